@@ -1,9 +1,9 @@
 """Problem 9: evaluation texts leaking into training text.
 
-The corpus gets a positional inverted index: per document and test term the positions at which the term stands. For each test
-item every window of ``min_words`` words names its rarest terms (by document frequency in the corpus), one more than may be
-replaced, so an exact or nearly exact copy keeps one of them; their postings give candidate alignments, and the offset-adjusted
-lists of all the item's terms are intersected along each alignment. Runs of at least ``min_words`` words that begin and end with
+The corpus gets a positional inverted index, partitioned by document and stored: per document the test terms it holds and each
+term's positions. For each test item every window of ``min_words`` words names its rarest terms (by document frequency in the
+corpus), two more than may be replaced, so an exact or nearly exact copy keeps two of them; where two of their offset-adjusted
+postings agree, the lists of all the item's terms are intersected along that alignment. Runs of at least ``min_words`` words that begin and end with
 equal words and have at most one replaced word in ``per_replaced`` are reported.
 
 Defined results: null, empty and short documents hold nothing; items whose task has fewer words than the window can't leak; the
@@ -23,8 +23,8 @@ from corpusmill.runtime import map_columns, materialize
 
 MIN_WORDS = 15
 PER_REPLACED = 6
-#: Bound of the broadcast test side, in words of all items together; larger test sets are joined by shuffle.
-BROADCAST_WORDS = 2_000_000
+#: Words of the test items that are sent to the executors at once; larger test sets go in blocks.
+BLOCK_WORDS = 1_000_000
 TAG = re.compile(r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>\n]*)?/?>|&(?:nbsp|amp|lt|gt|quot|#\d+);")
 PREFIX = re.compile(r"^[ \t]*(?:(?:[>|#*+;%-]|//|--)[ \t]*)*(?:(?:\d{1,4}[.):|]|\[\d+\]|[Ll]ine \d+:|L\d+[.:]?)[ \t]+)?", re.M)
 SOFT = re.compile(r"(?<=[^\W\d_])-\n[ \t>|#*/]*(?=[^\W\d_])|[­​‌‍⁠﻿]")
@@ -60,33 +60,39 @@ def item_words(items: DataFrame) -> list[tuple[int, list[str]]]:
     return [(i, words(task_text(t, shared))) for i, t in rows]
 
 
-def build_index(documents: DataFrame, vocabulary: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, term, positions): postings of the test terms, term as its number in ``vocabulary``."""
+def build_index(documents: DataFrame, vocabulary: list[str], min_words: int = MIN_WORDS, per_replaced: int = PER_REPLACED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, terms, positions): the positional index, partitioned by document, of the test terms (as numbers in ``vocabulary``).
+
+    Documents with fewer occurrences of test terms than the shortest passage has unreplaced words can't match and get no entry.
+    """
     number = documents.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(vocabulary)})
+    least = min_words - min_words // per_replaced
 
     def batch(ids, texts):
         terms = number.value
-        out = {"doc_id": [], "term": [], "positions": []}
+        out = {"doc_id": [], "terms": [], "positions": []}
         for i, t in zip(ids, texts):
             if not t:
                 continue
             here: dict[int, list[int]] = {}
+            n = 0
             for pos, w in enumerate(words(t)):
                 k = terms.get(w)
                 if k is not None:
                     here.setdefault(k, []).append(pos)
-            for k, positions in here.items():
+                    n += 1
+            if n >= least:
                 out["doc_id"].append(i)
-                out["term"].append(k)
-                out["positions"].append(positions)
+                out["terms"].append(list(here))
+                out["positions"].append(list(here.values()))
         return out
 
-    return map_columns(documents.where(F.col(text_col).isNotNull()), [id_col, text_col], batch, "doc_id bigint, term int, positions array<int>")
+    return map_columns(documents.where(F.col(text_col).isNotNull()), [id_col, text_col], batch, "doc_id bigint, terms array<int>, positions array<array<int>>")
 
 
 def anchors(sequence: list[int], frequency: dict[int, int], min_words: int, per_replaced: int) -> list[int]:
-    """Positions of the rarest terms of each window, one more than a window may have replaced."""
-    need = min_words // per_replaced + 1
+    """Positions of the rarest terms of each window: two more than can be replaced in it, so two of them agree in any match."""
+    need = -(-6 * min_words // (5 * per_replaced)) + 2
     chosen: set[int] = set()
     for a in range(len(sequence) - min_words + 1):
         window = sorted(range(a, a + min_words), key=lambda p: (frequency.get(sequence[p], 0), sequence[p], p))
@@ -109,8 +115,49 @@ def longest_run(positions: list[int], min_words: int, per_replaced: int) -> int:
     return best
 
 
+def _search(index: DataFrame, tests: list[tuple[int, list[int]]], frequency: dict[int, int], min_words: int, per_replaced: int) -> DataFrame:
+    """Evaluates a block of test items on every document's postings: offset-adjusted lists of the rarest terms first, then all."""
+    starts: dict[int, list[tuple[int, int]]] = {}
+    for k, (_, sequence) in enumerate(tests):
+        for p in anchors(sequence, frequency, min_words, per_replaced):
+            starts.setdefault(sequence[p], []).append((k, p))
+    shared = index.sparkSession.sparkContext.broadcast((starts, tests))
+
+    def batch(docs, all_terms, all_positions):
+        begin, items = shared.value
+        out = {"doc_id": [], "item_id": [], "n_words": []}
+        for d, terms, positions in zip(docs, all_terms, all_positions):
+            agreeing: dict[tuple[int, int], int] = {}
+            for t, places in zip(terms, positions):
+                for k, p in begin.get(t, ()):
+                    for pos in places:
+                        at = (k, pos - p)
+                        agreeing[at] = agreeing.get(at, 0) + 1
+            at_position: dict[int, int] = {}
+            best: dict[int, int] = {}
+            for (k, shift), n in agreeing.items():
+                if n < 2:
+                    continue
+                if not at_position:
+                    at_position = {pos: t for t, places in zip(terms, positions) for pos in places}
+                matched = [p for p, t in enumerate(items[k][1]) if at_position.get(p + shift) == t]
+                run = longest_run(matched, min_words, per_replaced)
+                if run > best.get(k, 0):
+                    best[k] = run
+            for k, run in best.items():
+                for name, v in zip(out, (d, items[k][0], run)):
+                    out[name].append(v)
+        return out
+
+    return map_columns(index, ["doc_id", "terms", "positions"], batch, "doc_id bigint, item_id bigint, n_words int")
+
+
 def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, per_replaced: int = PER_REPLACED) -> DataFrame:
-    """(doc_id, item_id, n_words): each document and each item it holds a passage of, with the longest passage's words."""
+    """(doc_id, item_id, n_words): each document and each item it holds a passage of, with the longest passage's words.
+
+    The test side is bounded by the test sets; it is sent out in blocks of at most ``BLOCK_WORDS`` words, each block against the
+    stored index, so no join moves the corpus.
+    """
     spark = documents.sparkSession
     result = "doc_id bigint, item_id bigint, n_words int"
     tests = [(i, w) for i, w in item_words(items) if len(w) >= min_words]
@@ -118,37 +165,21 @@ def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, pe
         return spark.createDataFrame([], result)
     vocabulary = sorted({w for _, ws in tests for w in ws})
     number = {t: i for i, t in enumerate(vocabulary)}
-    index = materialize(build_index(documents, vocabulary), "postings")
-    frequency = {r[0]: r[1] for r in index.groupBy("term").agg(F.count("*").alias("n")).collect()}  # one row per test term
-    every, chosen = [], []
+    index = materialize(build_index(documents, vocabulary, min_words, per_replaced), "postings")
+    frequency = {r[0]: r[1] for r in index.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}  # one row per test term
+    blocks: list[list[tuple[int, list[int]]]] = [[]]
+    held = 0
     for i, ws in tests:
-        sequence = [number[w] for w in ws]
-        every += [(i, p, t) for p, t in enumerate(sequence)]
-        chosen += [(i, p, sequence[p]) for p in anchors(sequence, frequency, min_words, per_replaced)]
-    side = F.broadcast if len(every) <= BROADCAST_WORDS else lambda df: df
-    anchor = side(spark.createDataFrame(chosen, "item_id bigint, ipos int, term int"))
-    whole = side(spark.createDataFrame(every, "item_id bigint, ipos int, term int"))
-    # Candidate alignments from the rarest terms only; two anchors must agree, since min_words words hold at least two unreplaced ones.
-    hits = index.join(anchor, "term").select("doc_id", "item_id", F.explode("positions").alias("pos"), "ipos")
-    aligned = hits.groupBy("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("shift")).agg(F.count("*").alias("n"))
-    candidates = materialize(aligned.select("doc_id", "item_id", "shift"), "alignments")
-    # Intersect the offset-adjusted lists of the item's terms along each candidate alignment.
-    postings = index.join(candidates.select("doc_id").distinct(), "doc_id", "left_semi")
-    adjusted = (
-        postings.join(whole, "term")
-        .select("doc_id", "item_id", "ipos", F.explode("positions").alias("pos"))
-        .select("doc_id", "item_id", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"))
-        .join(candidates, ["doc_id", "item_id", "shift"], "left_semi")
-        .groupBy("doc_id", "item_id", "shift")
-        .agg(F.collect_list("ipos").alias("matched"))  # at most one entry per word of the item
-        .where(F.size("matched") >= F.lit(min_words - min_words // per_replaced))
-    )
-
-    def batch(docs, its, matched):
-        return {"doc_id": docs, "item_id": its, "n_words": [longest_run(m, min_words, per_replaced) for m in matched]}
-
-    runs = map_columns(adjusted, ["doc_id", "item_id", "matched"], batch, result)
-    return runs.where(F.col("n_words") > 0).groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"))
+        if held + len(ws) > BLOCK_WORDS and blocks[-1]:
+            blocks.append([])
+            held = 0
+        blocks[-1].append((i, [number[w] for w in ws]))
+        held += len(ws)
+    out = None
+    for b in blocks:
+        found = _search(index, b, frequency, min_words, per_replaced)
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def p9_found(documents: DataFrame, items: DataFrame) -> DataFrame:
