@@ -1,15 +1,257 @@
-"""All queries over the engine's own operators and their SQL counterparts."""
+"""All queries over the engine's own operators and their SQL counterparts. Each runs over its whole tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusmill.functions import pyast, textfn
+from corpusmill.operators import chat, fim, instruct, outliers, quality, synth
+from corpusmill.plans import rendered
+from corpusmill.runtime import table
+from corpusmill.sources import html, jsonl
+
+SEED = 42
+EXAMPLES = 15_000
+PAIRS = 80_000
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "source_docs").select("file_id", "doc_id", "content")
+
+
+def _files(spark: SparkSession, d: str) -> DataFrame:
+    """Python files only."""
+    return table(spark, d, "source_docs").where(F.col("file_path").endswith(".py")).select("file_id", "content")
+
+
+def _corpus(spark: SparkSession, d: str) -> DataFrame:
+    return rendered.code_corpus(table(spark, d, "part"))
+
+
+def _triples(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "fim_triples").select("triple_id", "prefix_code", "target_code", "suffix_code")
+
+
+def _chats(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "chat_records").select("record_id", "messages")
+
+
+def _features(spark: SparkSession, d: str) -> DataFrame:
+    """Whole numbers from the documents' texts, so that distances are exact in any engine."""
+    t = F.col("text")
+    return table(spark, d, "documents").where(t.isNotNull()).select(
+        "doc_id",
+        F.length(t).cast("double").alias("f1"),
+        F.length(F.regexp_replace(t, "[^0-9]", "")).cast("double").alias("f2"),
+        F.length(F.regexp_replace(t, "[^A-Z]", "")).cast("double").alias("f3"),
+        F.length(F.regexp_replace(t, "[^\\n]", "")).cast("double").alias("f4"),
+    )
+
+
+def _json_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Triples as JSON lines, some of them cut."""
+    t = _triples(spark, d)
+    line = F.to_json(F.struct("prefix_code", "target_code", "suffix_code"), {"ignoreNullFields": "false"})
+    return t.select(F.col("triple_id").alias("line_no"), F.when(F.col("triple_id") % 7 == 0, F.substring(line, 2, 1 << 30)).otherwise(line).alias("value"))
+
+
+def _personas(spark: SparkSession) -> DataFrame:
+    rows = [({"role_context": f"You are a {r}.", "tone_context": t, "task_instruction": "Complete the code.", "output_requirement": m},) for r in ("teacher", "reviewer") for t in ("Be brief.", "Be kind.") for m, _ in synth.ADDITIONS]
+    return spark.createDataFrame([*rows, ({"role_context": "Ein Prüfer."},)], "persona map<string,string>")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {
+        "rule1_clean": lambda s, d: quality.drop_empty(_docs(s, d)).select("file_id", "original_content_length"),
+        "dedup_content": lambda s, d: quality.first_of_each(quality.drop_empty(_docs(s, d)), ["content"], "file_id").select("file_id"),
+        "text_metrics": lambda s, d: quality.text_metrics(_docs(s, d)).select("file_id", F.round("special_ratio", 10).alias("special_ratio"), "content_length", "number_of_lines", F.round("comment_ratio", 10).alias("comment_ratio")),
+        "remove_comments": lambda s, d: _docs(s, d).select("file_id", F.md5(textfn.remove_comments("content")).alias("clean_md5")),
+        "min_len_filter": lambda s, d: quality.text_metrics(_docs(s, d)).where("content_length >= 10").select("file_id", "content_length"),
+        "license_filter": lambda s, d: _docs(s, d).where(F.col("content").isNotNull() & ~instruct.licence_chunk(F.col("content"))).select("file_id"),
+        "allowed_text": lambda s, d: _docs(s, d).select("file_id", textfn.only_allowed_characters("content").alias("allowed")),
+        "unescape_project": lambda s, d: chat.projected_content(_docs(s, d), "file_id").select("file_id", F.md5("content").alias("content_md5")),
+        "quality_labels": lambda s, d: quality.labelled(_files(s, d), "file_id").drop("content", "clean_content"),
+        "corpus_labels": lambda s, d: quality.labelled(_corpus(s, d), "doc_id").select("doc_id", "is_syntax_error", "cyclomatic_complexity", "number_of_lines"),
+        "quality_pipeline": lambda s, d: quality.pipeline(_files(s, d), "file_id").select("file_id", "label", "removed_by"),
+        "stage_counts": lambda s, d: quality.stage_counts(quality.labelled(_corpus(s, d), "doc_id").withColumn("removed_by", F.when(F.col("is_syntax_error"), "syntax"))),
+        "union_bad": lambda s, d: quality.union_of_sets(_docs(s, d).where("length(content) < 10").select("file_id", F.lit("short").alias("why")), _docs(s, d).where("content IS NULL").select("file_id")),
+        "removed_rows": lambda s, d: quality.without(_docs(s, d), quality.first_of_each(_docs(s, d), ["content"], "file_id"), "file_id").select("file_id"),
+        "code_structure": lambda s, d: _structure(_corpus(s, d)),
+        "file_structure": lambda s, d: quality.with_code_metrics(_files(s, d).withColumn("clean_content", textfn.remove_comments("content"))).drop("content", "clean_content"),
+        "valid_python": lambda s, d: _corpus(s, d).select("doc_id", pyast.is_valid_python(F.col("content")).alias("is_valid")),
+        "short_fim": lambda s, d: fim.statement_triples(_corpus(s, d), "doc_id"),
+        "short_fim_files": lambda s, d: fim.statement_triples(_files(s, d), "file_id"),
+        "long_fim": lambda s, d: fim.function_triples(_corpus(s, d), "doc_id"),
+        "long_fim_files": lambda s, d: fim.function_triples(_files(s, d), "file_id"),
+        "import_move": lambda s, d: fim.move_imports(_triples(s, d)),
+        "fim_chat_render": lambda s, d: fim.chat_form(_triples(s, d)).select("triple_id", F.element_at("messages", 1)["content"].alias("ask"), F.element_at("messages", 2)["content"].alias("answer")),
+        "merge_unique": lambda s, d: chat.merge_unique(_triples(s, d), "triple_id"),
+        "merge_all": lambda s, d: chat.merge_all(_triples(s, d).where("triple_id % 2 = 0"), _triples(s, d).where("triple_id % 2 = 1")),
+        "valid_lines": lambda s, d: jsonl.valid_lines(_json_lines(s, d)).select("line_no"),
+        "policy_records": lambda s, d: jsonl.records(_json_lines(s, d), list(chat.TRIPLE), jsonl.POLICIES["unique_merge"]).select("line_no", *chat.TRIPLE),
+        "anti_processed": lambda s, d: instruct.unprocessed(_docs(s, d), table(s, d, "chat_records").select("doc_id"), "doc_id").select("file_id", "doc_id"),
+        "newest_unprocessed": lambda s, d: instruct.newest(instruct.unprocessed(_docs(s, d), table(s, d, "chat_records").select("doc_id"), "doc_id"), "file_id", 100).select("file_id"),
+        "dialogue_pretty": lambda s, d: chat.pretty_dialogues(_chats(s, d), "record_id"),
+        "assistant_code_blocks": lambda s, d: chat.assistant_code(_chats(s, d), "record_id"),
+        "spacing_normalize": lambda s, d: chat.turns(chat.normalized_spacing(_chats(s, d)), "record_id"),
+        "chat_turns": lambda s, d: chat.turns(_chats(s, d), "record_id"),
+        "chat_regroup": lambda s, d: chat.regrouped(chat.turns(_chats(s, d), "record_id"), "record_id").select("record_id", F.size("messages").alias("n_turns"), F.md5(F.array_join(F.transform("messages", lambda m: F.coalesce(m["content"], F.lit("<null>"))), "|")).alias("joined_md5")),
+        "fn_chunks": lambda s, d: instruct.function_chunks(_corpus(s, d), "doc_id"),
+        "fn_chunks_files": lambda s, d: instruct.function_chunks(_files(s, d), "file_id"),
+        "instructions_function": lambda s, d: instruct.function_instructions(_corpus(s, d), "doc_id").select("doc_id", "idx", F.element_at("messages", 1)["content"].alias("instruction"), F.element_at("messages", 2)["content"].alias("code")),
+        "instructions_document": lambda s, d: instruct.document_instructions(_files(s, d), "file_id").select("file_id", F.element_at("messages", 1)["content"].alias("instruction")),
+        "page_headings": lambda s, d: _page(s, d, lambda t: html.headings(t, ("h2",)), "headings"),
+        "page_headings_wide": lambda s, d: _page(s, d, lambda t: html.headings(t, ("h2", "h3"), ""), "headings"),
+        "page_definitions": lambda s, d: _page(s, d, html.definitions, "definitions"),
+        "page_header_table": lambda s, d: _page(s, d, html.header_table, "tables"),
+        "page_cell_table": lambda s, d: _page(s, d, html.cell_table, "tables"),
+        "error_examples": lambda s, d: synth.error_examples(s, EXAMPLES, SEED).select("id", "kind", "error_context.*", "fixed_code_snippet"),
+        "error_kinds": lambda s, d: synth.error_examples(s, EXAMPLES, SEED).groupBy("kind").agg(F.count("*").alias("n_examples")),
+        "persona_pairs": lambda s, d: synth.persona_pairs(_files(s, d), _personas(s), PAIRS, "file_id").select("id", F.element_at("messages", 1)["content"].alias("system"), F.element_at("messages", 2)["content"].alias("ask"), F.element_at("messages", 3)["content"].alias("answer")),
+        "persona_filter": lambda s, d: synth.allowed_personas(_personas(s)).select(synth.system_turn(F.col("persona")).alias("system")),
+        "isolation_filter": lambda s, d: outliers.isolation_forest(_features(s, d), "doc_id", ("f1", "f2", "f3", "f4")).select("doc_id", "iso_score", "is_outlier"),
+        "lof_filter": lambda s, d: outliers.local_outlier_factor(_features(s, d), "doc_id", ("f1", "f2", "f3", "f4")).select("doc_id", F.round("lof", 6).alias("lof"), "is_outlier"),
+    }
+
+
+def _structure(corpus: DataFrame) -> DataFrame:
+    rows = quality.with_code_metrics(corpus.withColumn("clean_content", textfn.remove_comments("content")))
+    names = lambda c: F.array_join(F.transform(c, lambda x: x["name"]), ",")
+    return rows.select(
+        "doc_id",
+        names("function_definitions").alias("functions"),
+        names("class_definitions").alias("classes"),
+        F.array_join("imports", ",").alias("imports"),
+        "has_module_docstring",
+        "cyclomatic_complexity",
+        F.col("is_syntax_error"),
+    )
+
+
+def _page(spark: SparkSession, d: str, how, source: str) -> DataFrame:
+    return html.extract(rendered.pages(table(spark, d, "repos")), how, source).select("title", "description", "source")
+
+
+# Python's white space as an RE2 class body.
+WS = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+BREAK = r"\r\n|[\n\r\x{0B}\x{0C}\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^[{WS}]+|[{WS}]+$', '', 'g')"
+
+
+def _clean(x: str) -> str:
+    c = f"regexp_replace({x}, '#.*', '', 'g')"
+    c = f"""regexp_replace({c}, '(?s)\"\"\".*?\"\"\"', '', 'g')"""
+    return f"""coalesce(regexp_replace({c}, '(?s)''''''.*?''''''', '', 'g'), '')"""
+
+
+def _lines(x: str) -> str:
+    parts = f"regexp_split_to_array({x}, '{BREAK}')"
+    return f"CASE WHEN {x} = '' THEN [] WHEN list_last({parts}) = '' THEN list_slice({parts}, 1, len({parts}) - 1) ELSE {parts} END"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    corpus = rendered.code_corpus_sql()
+    nl = "chr(10)"
+    ends = f"list_filter(list_transform(string_split(prefix_code, {nl}), lambda x, i: CASE WHEN i < len(string_split(prefix_code, {nl})) THEN x || {nl} ELSE x END), lambda x: x <> '')"
+    page = "CASE WHEN coalesce(n_stars, 0) % 2 = 0 THEN 'Error' ELSE 'Notice' END"
+    draw = lambda seed, bound, *parts: f"(('0x' || substr(md5(concat_ws('|', '{seed}', {', '.join(parts)})), 1, 8))::BIGINT % {bound})"
+    kinds = ", ".join(f"'{t[0]}'" for t in synth.TEMPLATES)
+    features = "SELECT doc_id, length(text)::DOUBLE AS f1, length(regexp_replace(text, '[^0-9]', '', 'g'))::DOUBLE AS f2, length(regexp_replace(text, '[^A-Z]', '', 'g'))::DOUBLE AS f3, length(regexp_replace(text, '[^\\n]', '', 'g'))::DOUBLE AS f4 FROM documents WHERE text IS NOT NULL"
+    turns = "SELECT record_id, unnest(range(0, len(messages)))::INT AS turn, unnest(messages) AS m FROM chat_records WHERE messages IS NOT NULL"
+
+    return {
+        "rule1_clean": "SELECT file_id, length(content)::INT AS original_content_length FROM source_docs WHERE content IS NOT NULL AND content <> ''",
+        "dedup_content": "SELECT min(file_id) AS file_id FROM source_docs WHERE content IS NOT NULL AND content <> '' GROUP BY content",
+        "text_metrics": f"""
+            SELECT file_id,
+                   round(CASE WHEN content IS NULL OR NOT regexp_matches(content, '[^{WS}]') THEN 1.0 ELSE length(regexp_replace(content, '[a-zA-Z0-9{WS}]', '', 'g'))::DOUBLE / length(content) END, 10) AS special_ratio,
+                   length({_clean('content')})::INT AS content_length, len(lines)::INT AS number_of_lines,
+                   round(CASE WHEN lines IS NULL OR len(lines) = 0 THEN CASE WHEN lines IS NULL THEN NULL ELSE 0.0 END ELSE len(list_filter(lines, lambda x: regexp_matches(x, '^[{WS}]*(#|\"\"\"|'''''')')))::DOUBLE / len(lines) END, 10) AS comment_ratio
+            FROM (SELECT *, {_lines('content')} AS lines FROM source_docs)""",
+        "remove_comments": f"SELECT file_id, md5({_clean('content')}) AS clean_md5 FROM source_docs",
+        "min_len_filter": f"SELECT file_id, length({_clean('content')})::INT AS content_length FROM source_docs WHERE length({_clean('content')}) >= 10",
+        "license_filter": "SELECT file_id FROM source_docs WHERE content IS NOT NULL AND NOT (length(content) > 500 AND (contains(content, 'Copyright') OR contains(content, 'License')))",
+        "allowed_text": "SELECT file_id, coalesce(NOT regexp_matches(content, '[^\\x00-\\x7F\\x{FF5C}]'), false) AS allowed FROM source_docs",
+        "unescape_project": "SELECT file_id, md5(replace(content, '\\/', '/')) AS content_md5 FROM source_docs WHERE content IS NOT NULL",
+        "corpus_labels": f"""
+            WITH {corpus}
+            SELECT p AS doc_id, broken OR p % 11 = 0 AS is_syntax_error, CASE WHEN broken THEN 0.0 ELSE 2.0 * len(funs) + len(klass) END AS cyclomatic_complexity,
+                   len(string_split(content, {nl}))::INT - 1 AS number_of_lines FROM corpus""",
+        "stage_counts": f"WITH {corpus} SELECT CASE WHEN broken THEN 'syntax' ELSE 'kept' END AS stage, count(*) AS n_rows FROM corpus GROUP BY 1",
+        "union_bad": "SELECT file_id, 'short' AS why FROM source_docs WHERE length(content) < 10 UNION ALL SELECT file_id, NULL FROM source_docs WHERE content IS NULL",
+        "removed_rows": "SELECT file_id FROM source_docs WHERE file_id NOT IN (SELECT min(file_id) FROM source_docs GROUP BY content)",
+        "code_structure": f"""
+            WITH {corpus}
+            SELECT p AS doc_id, CASE WHEN broken THEN '' ELSE array_to_string(list_concat(list_transform(range(0, len(funs)), lambda i: 'f' || i || '_' || p), list_transform(klass, lambda x: 'm')), ',') END AS functions,
+                   CASE WHEN broken THEN '' ELSE array_to_string(list_transform(klass, lambda x: 'C' || p), ',') END AS classes,
+                   CASE WHEN broken THEN '' ELSE array_to_string(list_slice(['os', 'sys', 'math.sqrt', 'json'], 1, len(imports)), ',') END AS imports,
+                   false AS has_module_docstring, CASE WHEN broken THEN 0.0 ELSE 2.0 * len(funs) + len(klass) END AS cyclomatic_complexity, broken AS is_syntax_error
+            FROM corpus""",
+        "valid_python": f"WITH {corpus} SELECT p AS doc_id, NOT broken AS is_valid FROM corpus",
+        "short_fim": f"""
+            WITH {corpus}, parts AS (SELECT *, unnest(range(0, len(stmts)))::INT AS idx FROM corpus WHERE NOT broken),
+            t AS (SELECT p AS doc_id, idx, CASE WHEN idx = 0 THEN header ELSE stmts[idx] END AS prefix_code, stmts[idx + 1] AS target_code,
+                         coalesce(array_to_string(list_slice(string_split(stmts[idx + 2], {nl}), 1, 3), {nl}), '') AS suffix_code FROM parts)
+            SELECT * FROM t WHERE prefix_code <> '' AND suffix_code <> ''
+            UNION ALL SELECT p, 0, '', content, '' FROM corpus WHERE broken""",
+        "import_move": f"""
+            WITH l AS (SELECT *, {ends} AS lines FROM fim_triples),
+            i AS (SELECT *, list_filter(range(1, len(lines) + 1), lambda k: regexp_matches({_strip('lines[k]')}, '^(import|from) ')) AS places FROM l),
+            m AS (SELECT *, CASE WHEN len(places) = 3 THEN places[3:3] WHEN len(places) > 3 THEN places[-2:] ELSE [] END AS moved FROM i)
+            SELECT triple_id,
+                   CASE WHEN len(coalesce(moved, [])) > 0 THEN coalesce(array_to_string(list_filter(lines, lambda x, k: NOT list_contains(moved, k)), ''), '') ELSE prefix_code END AS prefix_code,
+                   CASE WHEN len(coalesce(moved, [])) > 0 THEN array_to_string(list_filter(lines, lambda x, k: list_contains(moved, k)), '') || coalesce(target_code, '') ELSE target_code END AS target_code,
+                   suffix_code FROM m""",
+        "fim_chat_render": f"""
+            SELECT triple_id, 'Please complete the blank part of the following Python code:' || {nl} || {nl} || '```python' || {nl} || prefix_code || '# (Complete the code here)' || {nl} || suffix_code || '```' || {nl} || {nl} AS ask,
+                   'Yes, I have completed the code as requested. Here is the completed code:' || {nl} || {nl} || '```python' || {nl} || '{textfn.FIM_BEGIN}' || prefix_code || '{textfn.FIM_HOLE}' || suffix_code || '{textfn.FIM_END}' || target_code || '{textfn.END_OF_TURN}' || {nl} || '```' AS answer
+            FROM fim_triples WHERE prefix_code IS NOT NULL AND target_code IS NOT NULL AND suffix_code IS NOT NULL""",
+        "merge_unique": "SELECT min(triple_id) AS triple_id, prefix_code, target_code, suffix_code FROM fim_triples GROUP BY prefix_code, target_code, suffix_code",
+        "merge_all": "SELECT triple_id, prefix_code, target_code, suffix_code FROM fim_triples",
+        "valid_lines": "SELECT triple_id AS line_no FROM fim_triples WHERE triple_id % 7 <> 0",
+        "policy_records": "SELECT triple_id AS line_no, prefix_code, target_code, suffix_code FROM fim_triples WHERE triple_id % 7 <> 0",
+        "anti_processed": "SELECT file_id, doc_id FROM source_docs s WHERE NOT EXISTS (SELECT 1 FROM chat_records c WHERE c.doc_id = s.doc_id)",
+        "newest_unprocessed": "SELECT file_id FROM source_docs s WHERE NOT EXISTS (SELECT 1 FROM chat_records c WHERE c.doc_id = s.doc_id) ORDER BY file_id DESC LIMIT 100",
+        "dialogue_pretty": f"""
+            SELECT record_id, row_number() OVER (ORDER BY record_id) AS n,
+                   '--- Dialogue ' || row_number() OVER (ORDER BY record_id) || ' ---' || {nl} || array_to_string(list_transform(coalesce(messages, []), lambda m: CASE m.role WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant' ELSE upper(m.role[1]) || lower(m.role[2:]) END || ':' || {nl} || coalesce(m.content, '') || {nl} || {nl}), '') || '{chat.RULE}' || {nl} || {nl} AS value
+            FROM chat_records""",
+        "assistant_code_blocks": f"""
+            WITH t AS ({turns}), b AS (SELECT record_id, turn, regexp_extract_all(m.content, '(?s)```(?:python)?\\n(.*?)```', 1) AS found, {_strip('m.content')} AS whole FROM t WHERE m.role = 'assistant' AND m.content IS NOT NULL),
+            c AS (SELECT record_id, turn, CASE WHEN len(found) > 0 THEN found ELSE [whole] END AS blocks FROM b)
+            SELECT record_id, turn, unnest(range(0, len(blocks)))::INT AS block, unnest(blocks) AS code FROM c""",
+        "spacing_normalize": f"""
+            WITH f AS (SELECT record_id, messages, list_filter(range(1, len(messages) + 1), lambda i: messages[i].role = 'assistant' AND messages[i].content IS NOT NULL)[1] AS first FROM chat_records WHERE messages IS NOT NULL),
+            t AS (SELECT record_id, first, unnest(range(0, len(messages)))::INT AS turn, unnest(messages) AS m FROM f)
+            SELECT record_id, turn, m.role AS role, CASE WHEN turn + 1 = first THEN regexp_replace({_strip('m.content')}, '\\n{{2,}}', {nl} || {nl}, 'g') ELSE m.content END AS content FROM t""",
+        "chat_turns": f"WITH t AS ({turns}) SELECT record_id, turn, m.role AS role, m.content AS content FROM t",
+        "chat_regroup": "SELECT record_id, len(messages)::INT AS n_turns, md5(array_to_string(list_transform(messages, lambda m: coalesce(m.content, '<null>')), '|')) AS joined_md5 FROM chat_records WHERE messages IS NOT NULL AND len(messages) > 0",
+        "fn_chunks": f"""
+            WITH {corpus}, c AS (SELECT p, list_concat(list_concat(CASE WHEN header = '' THEN [] ELSE [header] END, funs),
+                   list_concat(CASE WHEN len(klass) > 0 THEN ['class C' || p || '(Base):', 'def m(self):' || {nl} || '    return ' || p] ELSE [] END, ['x = 1' || {nl} || 'y = 2' || {nl} || 'z = 3'])) AS chunks FROM corpus WHERE NOT broken)
+            SELECT p AS doc_id, unnest(range(0, len(chunks)))::INT AS idx, unnest(chunks) AS chunk FROM c""",
+        "page_headings": f"SELECT 'Error in' || repo AS title, 'Stars: ' || coalesce(n_stars, 0) AS description, 'headings' AS source FROM repos WHERE {page} = 'Error'",
+        "page_headings_wide": f"SELECT {page} || ' in' || repo AS title, 'Stars: ' || coalesce(n_stars, 0) AS description, 'headings' AS source FROM repos UNION ALL SELECT 'Other', 'rest', 'headings' FROM repos",
+        "page_definitions": "SELECT repo || 'Exception' AS title, 'has ' || coalesce(n_stars, 0) || ' stars' AS description, 'definitions' AS source FROM repos",
+        "page_header_table": "SELECT 'E' || coalesce(n_stars, 0) AS title, repo AS description, 'tables' AS source FROM repos",
+        "page_cell_table": "SELECT repo AS title, 'N/A' AS description, 'tables' AS source FROM repos UNION ALL SELECT coalesce(n_stars, 0)::VARCHAR, 'N/A', 'tables' FROM repos",
+        "error_kinds": f"SELECT [{kinds}][{draw(SEED, len(synth.TEMPLATES), 'id::VARCHAR', chr(39) + 'kind' + chr(39))} + 1] AS kind, count(*) AS n_examples FROM range({EXAMPLES}) t(id) GROUP BY 1",
+        "lof_filter": f"""
+            WITH r AS ({features}), v AS (SELECT f1, f2, f3, f4, count(*) AS c FROM r GROUP BY ALL),
+            d AS (SELECT a.f1, a.f2, a.f3, a.f4, b.f1 AS g1, b.f2 AS g2, b.f3 AS g3, b.f4 AS g4, sqrt((a.f1 - b.f1) ** 2 + (a.f2 - b.f2) ** 2 + (a.f3 - b.f3) ** 2 + (a.f4 - b.f4) ** 2) AS dist,
+                         b.c - CASE WHEN a.f1 = b.f1 AND a.f2 = b.f2 AND a.f3 = b.f3 AND a.f4 = b.f4 THEN 1 ELSE 0 END AS w FROM v a, v b),
+            s AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY f1, f2, f3, f4 ORDER BY dist, g1, g2, g3, g4 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d),
+            n AS (SELECT f1, f2, f3, f4, g1, g2, g3, g4, dist, least(w, 20 - before) AS w FROM s WHERE before < 20 AND w > 0),
+            k AS (SELECT f1, f2, f3, f4, max(dist) AS kd FROM n GROUP BY ALL),
+            l AS (SELECT n.f1, n.f2, n.f3, n.f4, 1 / (sum(greatest(k.kd, n.dist) * n.w) / sum(n.w) + 1e-10) AS lrd FROM n JOIN k ON n.g1 = k.f1 AND n.g2 = k.f2 AND n.g3 = k.f3 AND n.g4 = k.f4 GROUP BY ALL),
+            o AS (SELECT n.f1, n.f2, n.f3, n.f4, sum(m.lrd * n.w) / sum(n.w) AS mean_lrd FROM n JOIN l m ON n.g1 = m.f1 AND n.g2 = m.f2 AND n.g3 = m.f3 AND n.g4 = m.f4 GROUP BY ALL),
+            z AS (SELECT o.f1, o.f2, o.f3, o.f4, mean_lrd / l.lrd AS lof FROM o JOIN l USING (f1, f2, f3, f4)),
+            x AS (SELECT r.doc_id, z.lof FROM r JOIN z USING (f1, f2, f3, f4))
+            SELECT doc_id, round(lof, 6) AS lof, lof > (SELECT quantile_cont(lof, 0.9) FROM x) AS is_outlier FROM x""",
+    }
