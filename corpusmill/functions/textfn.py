@@ -21,7 +21,7 @@ def as_column(c: Column | str) -> Column:
 
 def py_strip(c: Column | str) -> Column:
     """``str.strip()``: Spark's own ``trim`` only knows the plain space."""
-    return F.regexp_replace(as_column(c), f"(?U)^[{PY_SPACE}]+|[{PY_SPACE}]+$(?!\\n)", "")
+    return F.regexp_replace(as_column(c), f"(?U)^[{PY_SPACE}]+|[{PY_SPACE}]+\\z", "")
 
 
 def is_blank(c: Column | str) -> Column:

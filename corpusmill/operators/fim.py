@@ -6,18 +6,22 @@ no triple; empty contexts are dropped where a builder asks for complete ones; eq
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+import re
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import pyast, textfn
 from corpusmill.functions.textfn import END_OF_TURN, FIM_BEGIN, FIM_END, FIM_HOLE
+from corpusmill.runtime import map_columns
 
 SUFFIX_LINES = 3
 CHUNK_LINES = 30
 CHUNKS_PER_FILE = 5
 CONTEXT_LINES = 3
 #: A line that opens a definition: its colon has to be on the same line; ``async def`` doesn't count.
-DEFINITION = "(?U)^[\\s\\x1c-\\x1f]*(?:def|class)[\\s\\x1c-\\x1f]+\\w+[\\s\\x1c-\\x1f]*\\(?.*\\)?:"
+DEFINITION = re.compile(r"^\s*(?:def|class)\s+\w+\s*\(?.*\)?:")
 
 
 def statement_triples(df: DataFrame, key: str, content: str = "content", suffix_lines: int = SUFFIX_LINES, drop_unparsed: bool = False) -> DataFrame:
@@ -47,32 +51,42 @@ def statement_triples(df: DataFrame, key: str, content: str = "content", suffix_
     return out.where(F.col("__whole") | complete).select(key, "t.idx", "t.prefix_code", "t.target_code", "t.suffix_code")
 
 
-def definition_chunks(content: Column, chunk_lines: int = CHUNK_LINES) -> Column:
+def definition_chunks(text: str, chunk_lines: int = CHUNK_LINES) -> list[str]:
     """Stripped chunks of a text: what stands before the first definition, then each region in pieces of ``chunk_lines`` lines.
 
     Without a definition the whole text is the only chunk.
     """
-    lines = F.split(content, "\n", -1)
-    n = F.size(lines)
-    starts = F.filter(F.sequence(F.lit(1), n), lambda i: F.get(lines, i - 1).rlike(DEFINITION))
-    regions = F.transform(starts, lambda s, i: F.struct(s.alias("a"), F.coalesce(F.get(starts, i + 1), n + 1).alias("b")))
-    head = F.slice(lines, 1, F.coalesce(F.get(starts, F.lit(0)), F.lit(1)) - 1)
+    lines = text.split("\n")
+    starts = [i for i, x in enumerate(lines) if DEFINITION.match(x)]
+    if not starts:
+        return [text]
+    regions = [(0, starts[0], len(lines))] + [(a, b, chunk_lines) for a, b in zip(starts, [*starts[1:], len(lines)])]
+    cut = ["\n".join(lines[at : min(at + step, b)]).strip() for a, b, step in regions for at in range(a, b, step)]
+    return [c for c in cut if c]
+
 
-    def pieces(region: Column) -> Column:
-        offsets = F.sequence(region["a"], region["b"] - 1, F.lit(chunk_lines))
-        return F.transform(offsets, lambda o: F.array_join(F.slice(lines, o, F.least(F.lit(chunk_lines), region["b"] - o)), "\n"))
+def located(text: str, chunks: list[str]) -> list[tuple[int, int, str]]:
+    """(first line, number of lines, chunk) of each chunk that is found as whole lines, from the place of the chunk before it on.
 
-    cut = F.flatten(F.transform(regions, pieces))
-    every = F.concat(F.array(F.array_join(head, "\n")), cut)
-    stripped = F.filter(F.transform(every, textfn.py_strip), lambda c: c != "")
-    return F.when(F.size(starts) == 0, F.array(content)).otherwise(stripped)
+    Stripping costs an indented chunk its first indent, so it isn't found and is left out.
+    """
+    framed = f"\n{text}\n"
+    found, at, line = [], 0, 0
+    for c in chunks:
+        hit = framed.find(f"\n{c}\n", at)
+        if hit >= 0:
+            line += framed.count("\n", at, hit)
+            at = hit
+            found.append((line, c.count("\n") + 1, c))
+    return found
 
 
-def sampled(chunks: Column, key: Column, seed: int, keep: int = CHUNKS_PER_FILE) -> Column:
-    """At most ``keep`` chunks of a file, drawn by a seeded hash and put back in their order."""
-    drawn = F.transform(chunks, lambda c, i: F.struct(F.md5(F.concat_ws("|", F.lit(str(seed)), key.cast("string"), i.cast("string"))).alias("h"), i.alias("i"), c.alias("c")))
-    few = F.slice(F.array_sort(drawn), 1, keep)
-    return F.transform(F.array_sort(F.transform(few, lambda s: F.struct(s["i"], s["c"]))), lambda s: s["c"])
+def sampled(chunks: list[str], key: object, seed: int, keep: int) -> list[str]:
+    """At most ``keep`` chunks of a file, drawn by a seeded hash of key and place and put back in their order."""
+    if len(chunks) <= keep:
+        return chunks
+    drawn = sorted(range(len(chunks)), key=lambda i: (hashlib.md5(f"{seed}|{key}|{i}".encode()).hexdigest(), i))[:keep]
+    return [chunks[i] for i in sorted(drawn)]
 
 
 def function_triples(
@@ -80,35 +94,24 @@ def function_triples(
 ) -> DataFrame:
     """(key, idx, prefix_code, target_code, suffix_code): definition-level chunks found again in their file, with their context.
 
-    A chunk is looked for from the place of the chunk before it, never backwards; stripping costs an indented chunk its first
-    indent, so it isn't found and is left out. Triples need ``context`` lines on either side.
+    Triples need ``context`` lines on either side. Map-only, one pass per file.
     """
+
+    def batch(keys, texts):
+        out = {"k": [], "idx": [], "prefix_code": [], "target_code": [], "suffix_code": []}
+        for k, t in zip(keys, texts):
+            lines = t.split("\n")
+            for i, (at, n, chunk) in enumerate(located(t, sampled(definition_chunks(t, chunk_lines), k, seed, keep))):
+                if at >= context and len(lines) - at - n >= context:
+                    for name, v in zip(out, (k, i, "\n".join(lines[:at]).strip(), chunk, "\n".join(lines[at + n :]).strip())):
+                        out[name].append(v)
+        return out
+
     text = textfn.unescape_slashes(content) if unescape else F.col(content)
-    rows = df.where(F.col(content).isNotNull()).select(F.col(key), text.alias("__text")).where(F.col("__text") != "")
-    rows = rows.withColumn("__lines", F.split("__text", "\n", -1)).withColumn("__chunks", sampled(definition_chunks(F.col("__text"), chunk_lines), F.col(key), seed, keep))
-    n = F.size("__lines")
-    empty = F.expr("cast(array() as array<struct<at:int,k:int,c:string>>)")
-
-    def step(state: Column, chunk: Column) -> Column:
-        parts = F.split(chunk, "\n", -1)
-        k = F.size(parts)
-        places = F.when(k <= n - state["pos"], F.sequence(state["pos"], n - k)).otherwise(F.expr("cast(array() as array<int>)"))
-        at = F.get(F.filter(places, lambda i: (F.get("__lines", i) == F.get(parts, F.lit(0))) & (F.slice("__lines", i + 1, k) == parts)), F.lit(0))
-        return F.struct(
-            F.coalesce(at, state["pos"]).alias("pos"),
-            F.when(at.isNull(), state["hits"]).otherwise(F.concat(state["hits"], F.array(F.struct(at.alias("at"), k.alias("k"), chunk.alias("c"))))).alias("hits"),
-        )
-
-    found = F.aggregate("__chunks", F.struct(F.lit(0).alias("pos"), empty.alias("hits")), step)["hits"]
-    hits = rows.withColumn("__hits", found).select(key, "__lines", F.posexplode("__hits").alias("idx", "hit"))
-    before, after = F.slice("__lines", 1, F.col("hit.at")), F.slice("__lines", F.col("hit.at") + F.col("hit.k") + 1, n)
-    return hits.where((F.col("hit.at") >= context) & (F.size(after) >= context)).select(
-        key,
-        "idx",
-        textfn.py_strip(F.array_join(before, "\n")).alias("prefix_code"),
-        F.col("hit.c").alias("target_code"),
-        textfn.py_strip(F.array_join(after, "\n")).alias("suffix_code"),
-    )
+    rows = df.where(F.col(content).isNotNull()).select(key, text.alias("__text")).where(F.col("__text") != "")
+    kind = df.schema[key].dataType.simpleString()
+    out = map_columns(rows, [key, "__text"], batch, f"k {kind}, idx int, prefix_code string, target_code string, suffix_code string")
+    return out.withColumnRenamed("k", key)
 
 
 def move_imports(df: DataFrame) -> DataFrame:
@@ -116,20 +119,21 @@ def move_imports(df: DataFrame) -> DataFrame:
 
     Rows with fewer import lines or a null prefix stay as they are; null target and suffix count as empty once lines move.
     """
-    lines = textfn.lines_keeping_ends("prefix_code")
     is_import = lambda x: textfn.py_strip(x).rlike("^(?:import|from) ")
-    imports = F.filter(lines, is_import)
-    count = F.size(imports)
-    places = F.filter(F.transform(lines, lambda x, i: F.when(is_import(x), i)), lambda i: i.isNotNull())
-    moved = F.slice(places, F.when(count == 3, 3).otherwise(count - 1), F.when(count == 3, 1).otherwise(2))
-    text = lambda keep: F.array_join(F.filter(lines, lambda _, i: F.array_contains(moved, i) == keep), "")
-    some = F.col("prefix_code").isNotNull() & (count >= 3)
-    return df.withColumns(
+    marked = df.withColumn("__lines", textfn.lines_keeping_ends("prefix_code"))
+    marked = marked.withColumn("__places", F.filter(F.transform("__lines", lambda x, i: F.when(is_import(x), i)), lambda i: i.isNotNull()))
+    count = F.size("__places")
+    moved = F.when(count == 3, F.array(F.get("__places", F.lit(2)))).otherwise(F.array(F.get("__places", count - 2), F.get("__places", count - 1)))
+    marked = marked.withColumn("__moved", F.when(F.col("prefix_code").isNotNull() & (count >= 3), moved))
+    stays = F.array_join(F.filter("__lines", lambda _, i: ~F.array_contains("__moved", i)), "")
+    goes = F.array_join(F.transform("__moved", lambda i: F.get("__lines", i)), "")
+    some = F.col("__moved").isNotNull()
+    return marked.withColumns(
         {
-            "prefix_code": F.when(some, text(False)).otherwise(F.col("prefix_code")),
-            "target_code": F.when(some, F.concat(text(True), F.coalesce("target_code", F.lit("")))).otherwise(F.col("target_code")),
+            "prefix_code": F.when(some, stays).otherwise(F.col("prefix_code")),
+            "target_code": F.when(some, F.concat(goes, F.coalesce("target_code", F.lit("")))).otherwise(F.col("target_code")),
         }
-    )
+    ).select(*df.columns)
 
 
 def chat_form(df: DataFrame) -> DataFrame:

@@ -113,9 +113,8 @@ def allowed_personas(personas: DataFrame, column: str = "persona") -> DataFrame:
     return personas.where(F.forall(F.map_values(column), lambda v: textfn.only_allowed_characters(F.coalesce(v, F.lit("None")))))
 
 
-def conversation(snippet: Column, persona: Column, seed: int, key: Column | str) -> Column:
-    """(user, assistant) of a snippet with a gap between its first and last line, and the persona's kind of addition."""
-    lines = F.split(textfn.py_strip(snippet), "\n", -1)
+def conversation(lines: Column, persona: Column, seed: int, key: Column | str) -> Column:
+    """(user, assistant) of a snippet's lines with a gap between the first and the last, and the persona's kind of addition."""
     n = F.size(lines)
     wide = lambda slot: F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), textfn.as_column(key).cast("string"), F.lit(slot))), 1, 8), 16, 10).cast("long")
     a = (F.lit(1) + F.pmod(wide("a"), (n - 2).cast("long"))).cast("int")
@@ -138,7 +137,7 @@ def persona_pairs(snippets: DataFrame, personas: DataFrame, count: int, order: s
     Both sides are numbered and met by equality on the drawn numbers: no pair table is ever built.
     """
     spark = snippets.sparkSession
-    usable = snippets.where(F.size(F.split(textfn.py_strip(content), "\n", -1)) >= 3).select(order, F.col(content).alias("__snippet"))
+    usable = snippets.select(order, F.split(textfn.py_strip(content), "\n", -1).alias("__lines")).where(F.size("__lines") >= 3)
     indexed = numbered(usable, order, "__s")
     people = numbered(allowed_personas(personas).withColumn("__o", F.to_json("persona")), "__o", "__p").select("__p", "persona")
     n, m = indexed.count(), people.count()
@@ -146,7 +145,7 @@ def persona_pairs(snippets: DataFrame, personas: DataFrame, count: int, order: s
         return spark.createDataFrame([], "id bigint, messages array<struct<role:string,content:string>>")
     wide = lambda slot, k: F.pmod(F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("id").cast("string"), F.lit(slot))), 1, 12), 16, 10).cast("long"), F.lit(k)) + 1
     draws = spark.range(count).withColumn("__s", wide("s", n)).withColumn("__p", wide("p", m))
-    met = draws.join(indexed, "__s").join(people, "__p").withColumn("__c", conversation(F.col("__snippet"), F.col("persona"), seed, "id"))
+    met = draws.join(indexed, "__s").join(people, "__p").withColumn("__c", conversation(F.col("__lines"), F.col("persona"), seed, "id"))
     turn = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
     out = met.select("id", F.array(turn("system", system_turn(F.col("persona"))), turn("user", F.col("__c.user")), turn("assistant", F.col("__c.assistant"))).alias("messages"))
     return out.where(~textfn.is_blank(F.get("messages", F.lit(2))["content"]))
