@@ -115,6 +115,8 @@ NAME_KO = re.compile(
 )
 SURNAME_KO = re.compile(f"(?:{SURNAMES_KO})[가-힣]{{2}}|(?:제갈|남궁|황보|선우|사공|서문|독고|동방)[가-힣]{{1,2}}")
 NAME_CJK = re.compile(r"(?:担当者?|作者|姓名|氏名|联系人|名前|報告者|负责人|报告人)(?:は|是|:|：)\s*(?P<c>[一-鿿]{2,4}(?:[ 　][一-鿿]{1,3})?)(?=です|さん|様|。|，|,|\s|$)|(?P<c2>[一-鿿]{2,4})(?=さん|様|先生|女士)", re.M)
+# Articles, after which a capitalised pair names a thing.
+ARTICLE = re.compile(r"(?i)(?<!\w)(?:the|a|der|die|das|den|dem|ein|eine|le|la|les|un|une|el|los|las|una)\s$")
 CODE = re.compile(r"```.*?(?:```|\Z)", re.S)
 
 
@@ -182,6 +184,8 @@ def _names(text: str, found: list[Entity]) -> None:
             if pair in NOT_NAMES or m[g].lower() in STARTERS or m[f].lower() in STARTERS:
                 continue
             a, b = min(m.start(g), m.start(f)), max(m.end(g), m.end(f))
+            if ARTICLE.search(plain[max(0, a - 6) : a]):
+                continue
             found.append(Entity(a, b, "name"))
     if "님" in text or "씨" in text or "자" in text or "이름" in text or "성명" in text:
         for m in NAME_KO.finditer(plain):

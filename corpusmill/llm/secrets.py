@@ -103,6 +103,8 @@ def strong(v: str) -> bool:
     """Whether a value looks like a credential by its own form, without a name beside it."""
     if len(v) < 8 or MASKED.search(v) or STAND_IN.fullmatch(v):
         return False
+    if len(set(v)) < 6:
+        return False
     if PROVIDER.fullmatch(v) or WORDS_NUMBER.fullmatch(v) or re.fullmatch(r"[0-9a-f]{24,}|[0-9A-F]{24,}", v):
         return True
     if "://" in v or re.search(r"[()\[\]{}\\|]", v) or SNAKE.fullmatch(v):
@@ -270,8 +272,8 @@ def scan(text: str | None, layers: int = MAX_LAYERS) -> list[Finding]:
             v = m["v"].rstrip(".。!?)")
             if strong(v):
                 add("prose", (m.start("v"), m.start("v") + len(v)))
-        if "+" in line and ('"' in line or "'" in line):
-            _split_strings(text, start, end, add)
+        if '"' in line or "'" in line:
+            _split_strings(text, start, end, far, add)
     if layers:
         _encoded(text, layers, add, inside, found)
     taken: list[Finding] = []
@@ -281,10 +283,13 @@ def scan(text: str | None, layers: int = MAX_LAYERS) -> list[Finding]:
     return taken
 
 
-def _split_strings(text: str, start: int, end: int, add) -> None:
-    """Literals put together with +: their joined text is scanned, the finding stands at the first piece that holds a part of it."""
+MORE = re.compile(r"([\"'])((?:(?!\1)[^\\\n])+)\1(?=\s*\+|[ \t]*\n[ \t]*[bBrRuUfF]{0,2}[\"'][^\"'\n])")
+
+
+def _split_strings(text: str, start: int, end: int, far: int, add) -> None:
+    """Literals put together from pieces: what only shows in the joined text is found at the first piece."""
     at = start
-    while m := re.compile(r"([\"'])((?:(?!\1)[^\\\n])*)\1(?=\s*\+)").search(text, at, end):
+    while (m := MORE.search(text, at, far)) and m.start() < end:
         pieces, nxt = [m.span(2)], m.end()
         while p := PIECES.match(text, nxt):
             pieces.append(p.span(2))
@@ -296,17 +301,18 @@ def _split_strings(text: str, start: int, end: int, add) -> None:
         for a, b in pieces:
             edges.append(len(joined))
             joined += text[a:b]
-        inner = [f for f in scan(joined, 0)]
-        if inner:
-            spans = []
-            for f in inner:
-                for a, b in f.spans:
-                    for (pa, pb), e in zip(pieces, edges):
-                        lo, hi = max(a, e), min(b, e + pb - pa)
-                        if lo < hi:
-                            spans.append((pa + lo - e, pa + hi - e))
-            if spans:
-                add("split", (pieces[0][0], pieces[0][0]), *spans)
+        alone = {text[a:b][x.spans[0][0] : x.spans[-1][1]] for a, b in pieces for x in scan(text[a:b], 0)}
+        spans = []
+        for f in scan(joined, 0):
+            if joined[f.spans[0][0] : f.spans[-1][1]] in alone:
+                continue
+            for a, b in f.spans:
+                for (pa, pb), e in zip(pieces, edges):
+                    lo, hi = max(a, e), min(b, e + pb - pa)
+                    if lo < hi:
+                        spans.append((pa + lo - e, pa + hi - e))
+        if spans:
+            add("split", (pieces[0][0], pieces[0][0]), *spans)
 
 
 def _encoded(text: str, layers: int, add, inside, found) -> None:
