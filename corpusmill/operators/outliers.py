@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.runtime import materialize
@@ -19,8 +19,9 @@ from corpusmill.runtime import materialize
 FOREST_SAMPLE = 25_600
 TREES = 100
 TREE_ROWS = 256
-#: Distinct vectors of one kNN block and bins of one quantile pass.
-BLOCK_ROWS = 2_000
+#: Distinct vectors of one kNN box, vectors that its tree is built from, and bins of one quantile pass.
+BLOCK_ROWS = 1_000
+TREE_SAMPLE = 100_000
 BINS = 4_096
 
 
@@ -130,87 +131,145 @@ def isolation_forest(df: DataFrame, key: str, features: Sequence[str], contamina
 
 
 # -------------------------------------------------------------------------------------------------------- local outlier factor
-def _nearest(own: np.ndarray, others: np.ndarray, copies: np.ndarray, k: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each own vector the indexes of enough nearest others (itself included) to hold ``k + 1`` rows, and the distance reached.
+class Boxes:
+    """A k-d tree over a bounded sample of the vectors: axis-parallel leaf boxes that cover space, about ``block_rows`` vectors each."""
+
+    def __init__(self, sample: np.ndarray, leaf_rows: float, dims: int) -> None:
+        self.dim, self.cut, self.left, self.right, self.leaf = [], [], [], [], []
+        self.low: list[np.ndarray] = []
+        self.high: list[np.ndarray] = []
+        self._build(sample, leaf_rows, np.full(dims, -np.inf), np.full(dims, np.inf))
+        self.lows, self.highs = np.array(self.low), np.array(self.high)
+
+    def _build(self, part: np.ndarray, leaf_rows: float, low: np.ndarray, high: np.ndarray) -> int:
+        at = len(self.dim)
+        for column, value in ((self.dim, -1), (self.cut, 0.0), (self.left, -1), (self.right, -1), (self.leaf, -1)):
+            column.append(value)
+        spread = part.max(0) - part.min(0) if len(part) else np.zeros(len(low))
+        if len(part) > max(2, leaf_rows) and spread.max() > 0:
+            d = int(spread.argmax())
+            cut = float(np.median(part[:, d]))
+            if not (part[:, d] < cut).any():  # more than half share the smallest value: cut above it
+                cut = float(part[part[:, d] > cut, d].min())
+            below = part[:, d] < cut
+            self.dim[at], self.cut[at] = d, cut
+            upper, lower = high.copy(), low.copy()
+            upper[d] = lower[d] = cut
+            self.left[at] = self._build(part[below], leaf_rows, low, upper)
+            self.right[at] = self._build(part[~below], leaf_rows, lower, high)
+        else:
+            self.leaf[at] = len(self.low)
+            self.low.append(low)
+            self.high.append(high)
+        return at
 
-    Ties in distance are broken by the vectors' coordinates, in their order.
-    """
-    order_keys = tuple(others[:, j] for j in range(others.shape[1] - 1, -1, -1))
-    found, reach = [], np.empty(len(own))
-    for i, x in enumerate(own):
-        d = np.sqrt(((others - x) ** 2).sum(1))
-        near = np.lexsort((*order_keys, d))
-        enough = int(np.searchsorted(np.cumsum(copies[near]), k + 1)) + 1
-        pick = near[:enough]
-        found.append(pick)
-        reach[i] = d[pick[-1]] if copies[near[: len(pick)]].sum() >= k + 1 else np.inf
+    def place(self, x: np.ndarray) -> np.ndarray:
+        dim, cut, left, right, leaf = (np.array(c) for c in (self.dim, self.cut, self.left, self.right, self.leaf))
+        at = np.zeros(len(x), int)
+        live = np.flatnonzero(leaf[at] < 0)
+        while len(live):
+            n = at[live]
+            at[live] = np.where(x[live, dim[n]] < cut[n], left[n], right[n])
+            live = live[leaf[at[live]] < 0]
+        return leaf[at]
+
+    def within(self, x: np.ndarray, radius: float) -> np.ndarray:
+        """Leaves that come as near to a point as ``radius``."""
+        gap = np.maximum(0.0, np.maximum(self.lows - x, x - self.highs))
+        return np.flatnonzero(np.sqrt((gap**2).sum(1)) <= radius)
+
+
+def _candidates(own: np.ndarray, others: np.ndarray, copies: np.ndarray, enough: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each own vector the indexes of those others, ties included, that hold at least ``enough`` rows, and the distance reached
+    (infinite where all of them together hold fewer)."""
+    found: list[np.ndarray] = []
+    reach = np.full(len(own), np.inf)
+    m = min(enough, len(others))
+    total = copies.sum()
+    for start in range(0, len(own), 256):
+        d = np.sqrt(((own[start : start + 256, None] - others[None]) ** 2).sum(2))
+        limit = np.partition(d, m - 1, axis=1)[:, m - 1] if m else np.full(len(d), np.inf)
+        for row in range(len(d)):
+            pick = np.flatnonzero(d[row] <= limit[row])
+            near = pick[np.argsort(d[row, pick], kind="stable")]
+            if total >= enough:
+                last = d[row, near[np.searchsorted(np.cumsum(copies[near]), enough)]]
+                near = near[d[row, near] <= last]
+                reach[start + row] = last
+            found.append(near)
     return found, reach
 
 
-def _comparison(reach: int, edges: list[float], names: list[str], k: int):
-    """Neighbours of a block's own vectors among those of the blocks up to ``reach`` away."""
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        own, others = pdf[pdf["mine"]], pdf.drop_duplicates("vid")
-        out: list[tuple] = []
-        if len(own):
-            centre = int(own["block"].iloc[0])
-            lo, hi = edges[max(0, centre - reach)], edges[min(len(edges) - 1, centre + reach + 1)]
-            x, y = own[names].to_numpy(float), others[names].to_numpy(float)
-            copies, ids = others["copies"].to_numpy(), others["vid"].to_numpy()
-            everything = lo == -np.inf and hi == np.inf
-            picks, far = _nearest(x, y, copies, k)
-            for row, (pick, distance) in enumerate(zip(picks, far)):
-                settled = bool(everything or (distance < x[row, 0] - lo and distance < hi - x[row, 0]))
-                me, left = own["vid"].iloc[row], k
-                for j in pick:
-                    weight = min(left, int(copies[j]) - (1 if ids[j] == me else 0))
-                    if weight > 0:
-                        out.append((me, ids[j], float(np.sqrt(((y[j] - x[row]) ** 2).sum())), weight, settled))
-                        left -= weight
-                if left == k:
-                    out.append((me, me, 0.0, 0, settled))
-        return pd.DataFrame(out, columns=["vid", "oid", "distance", "weight", "settled"])
-
-    return compare
+def _own_leaf(names: list[str], k: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, copies, vid = pdf[names].to_numpy(float), pdf["copies"].to_numpy(), pdf["vid"].to_numpy()
+        picks, reach = _candidates(x, x, copies, k + 1)
+        i, j = np.repeat(np.arange(len(x)), [len(p) for p in picks]), np.concatenate(picks)
+        distance = np.sqrt(((x[j] - x[i]) ** 2).sum(1))
+        return pd.DataFrame({"vid": vid[i], "oid": vid[j], "distance": distance, "copies": copies[j], "radius": reach[i]} | {n: x[j, d] for d, n in enumerate(names)})
+
+    return run
+
+
+def _other_leaf(names: list[str], k: int):
+    columns = ["vid", "oid", "distance", "copies", *names]
+
+    def run(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+        if not len(queries) or not len(vectors):
+            return pd.DataFrame({c: [] for c in columns})
+        q, x, copies, oid = queries[names].to_numpy(float), vectors[names].to_numpy(float), vectors["copies"].to_numpy(), vectors["vid"].to_numpy()
+        vid, radius = queries["vid"].to_numpy(), queries["radius"].to_numpy()
+        parts = []
+        for start in range(0, len(q), 256):
+            d = np.sqrt(((q[start : start + 256, None] - x[None]) ** 2).sum(2))
+            near = d <= radius[start : start + 256, None]
+            full = np.flatnonzero(near.sum(1) > 4 * (k + 1))  # a dense box: only its nearest can matter
+            if len(full):
+                limit = np.partition(d[full], k, axis=1)[:, k]
+                near[full] &= d[full] <= limit[:, None]
+            i, j = np.nonzero(near)
+            parts.append(pd.DataFrame({"vid": vid[start + i], "oid": oid[j], "distance": d[i, j], "copies": copies[j]} | {n: x[j, c] for c, n in enumerate(names)}))
+        return pd.concat(parts)[columns]
+
+    return run
 
 
 def nearest_neighbours(vectors: DataFrame, features: Sequence[str], k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(vid, oid, distance, weight): for each distinct vector its ``k`` nearest rows, exactly.
+    """(vid, oid, distance, weight): for each distinct vector (vid, features..., copies) its ``k`` nearest rows, exactly.
 
-    Vectors are ordered by their first feature and cut into blocks. A block is compared with its neighbours on either side; a
-    vector whose ``k``-th distance doesn't reach beyond the compared range is settled, the others go on with a range twice as
-    wide. No pair of far blocks ever meets.
+    Space is cut into the leaf boxes of a k-d tree over a bounded sample. A first pass finds each vector's neighbours within its
+    own box and so a radius; a second one asks only those other boxes that the ball of this radius touches. Ties in distance are
+    broken by the coordinates. ``weight`` is how many of a vector's copies are among the ``k``, its own copy aside.
     """
-    lead = features[0]
-    total = vectors.count()
-    n_blocks = max(1, -(-total // block_rows))
-    cuts = sorted(set(vectors.approxQuantile(lead, [i / n_blocks for i in range(1, n_blocks)], 0.1 / n_blocks))) if n_blocks > 1 else []
-    edges = [-np.inf, *cuts, np.inf]
-    block = F.lit(0)
-    for c in cuts:
-        block = block + (F.col(lead) >= F.lit(c)).cast("int")
-    placed = materialize(vectors.withColumn("block", block), "vectors")
     names = list(features)
-    neighbour = "vid bigint, oid bigint, distance double, weight bigint, settled boolean"
-    pending, width, parts = placed, 1, []
-    while True:
-        reach = width
-        offers = placed.withColumn("target", F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach)))
-        wanted = pending.select(F.col("vid").alias("pid"), F.col("block").alias("target"))
-        targets = wanted.select("target").distinct()
-        mine = wanted.select(F.col("pid").alias("vid"), "target", F.lit(True).alias("mine"))
-        grouped = offers.join(targets, "target", "left_semi").join(mine, ["vid", "target"], "left").withColumn("mine", F.coalesce("mine", F.lit(False)))
-        result = materialize(grouped.groupBy("target").applyInPandas(_comparison(reach, edges, names, k), neighbour), "knn")
-        parts.append(result.where("settled").drop("settled"))
-        open_ids = result.where("NOT settled").select("vid").distinct()
-        if open_ids.isEmpty():
-            break
-        pending, width = materialize(placed.join(open_ids, "vid", "left_semi"), "pending"), width * 2
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    spark = vectors.sparkSession
+    total = vectors.count()
+    sample = np.array(vectors.orderBy(F.xxhash64("vid"), "vid").limit(TREE_SAMPLE).select(*names).collect(), float).reshape(-1, len(names))
+    boxes = spark.sparkContext.broadcast(Boxes(sample, max(block_rows * len(sample) / max(total, 1), 1), len(names)))
+
+    @F.pandas_udf("int")
+    def place(*parts: pd.Series) -> pd.Series:
+        return pd.Series(boxes.value.place(np.column_stack([p.to_numpy(float) for p in parts])))
+
+    placed = materialize(vectors.withColumn("leaf", place(*names)), "placed")
+    coordinates = ", ".join(f"{f} double" for f in names)
+    inner = materialize(placed.groupBy("leaf").applyInPandas(_own_leaf(names, k), f"vid bigint, oid bigint, distance double, copies bigint, radius double, {coordinates}"), "inner")
+    radius = inner.groupBy("vid").agg(F.max("radius").alias("radius"))
+
+    def touched(batches):
+        for pdf in batches:
+            x, radius, home = pdf[names].to_numpy(float), pdf["radius"].to_numpy(), pdf["leaf"].to_numpy()
+            leaves = [boxes.value.within(x[i], radius[i]) for i in range(len(pdf))]
+            i, leaf = np.repeat(np.arange(len(pdf)), [len(a) for a in leaves]), np.concatenate([*leaves, np.array([], int)])
+            i, leaf = i[leaf != home[i]], leaf[leaf != home[i]].astype(np.int32)
+            yield pd.DataFrame({"vid": pdf["vid"].to_numpy()[i]} | {n: x[i, d] for d, n in enumerate(names)} | {"radius": radius[i], "leaf": leaf})
+
+    asked = placed.join(radius, "vid").select("vid", *names, "radius", "leaf").mapInPandas(touched, f"vid bigint, {coordinates}, radius double, leaf int")
+    outer = asked.groupBy("leaf").cogroup(placed.groupBy("leaf")).applyInPandas(_other_leaf(names, k), f"vid bigint, oid bigint, distance double, copies bigint, {coordinates}")
+    offers = inner.drop("radius").unionByName(outer).withColumn("rows", F.col("copies") - (F.col("vid") == F.col("oid")).cast("long"))
+    order = Window.partitionBy("vid").orderBy("distance", *names).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = offers.withColumn("before", F.coalesce(F.sum("rows").over(order), F.lit(0)))
+    return ranked.where((F.col("before") < k) & (F.col("rows") > 0)).select("vid", "oid", "distance", F.least("rows", F.lit(k) - F.col("before")).alias("weight"))
 
 
 def local_outlier_factor(df: DataFrame, key: str, features: Sequence[str], neighbours: int = 20, contamination: float = 0.1, block_rows: int = BLOCK_ROWS) -> DataFrame:

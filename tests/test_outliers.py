@@ -15,7 +15,7 @@ def brute_lof(x, k):
     return [np.mean([lrd[m[-1]] for m in near[i]]) / lrd[i] for i in range(n)]
 
 
-@pytest.mark.parametrize("block_rows", [2000, 7])
+@pytest.mark.parametrize("block_rows", [2000, 7, 1])
 def test_lof_is_exact_with_ties_and_copies(frame, block_rows):
     rng = np.random.default_rng(3)
     x = rng.integers(0, 25, (90, 2)).astype(float)
@@ -57,3 +57,12 @@ def test_quantile_is_numpys(frame, q):
     df = frame([(float(v),) for v in x], "v double")
     assert np.isclose(outliers.exact_quantile(df, "v", q, bins=16, small=10), np.quantile(x, q), rtol=1e-12)
     assert outliers.exact_quantile(df.limit(0), "v", q) is None
+
+
+def test_boxes_cover_space_and_split_ties():
+    rng = np.random.default_rng(8)
+    x = np.column_stack([np.full(400, 3.0), rng.integers(0, 3, 400), rng.normal(size=400)])
+    boxes = outliers.Boxes(x, 20, 3)
+    leaf = boxes.place(x)
+    assert np.bincount(leaf).max() <= 40 and len(boxes.lows) >= 20
+    assert all(leaf[i] in boxes.within(x[i], 0.0) for i in range(400)) and len(boxes.within(x[0], np.inf)) == len(boxes.lows)
