@@ -144,7 +144,7 @@ def _count_in_tries(schema: str):
 
 
 def _combine(batches):
-    """Copies within a task meet before anything is shuffled: a key with a third of all rows leaves a task once per million keys."""
+    """Copies within a task meet before anything is shuffled: a key with a third of all rows leaves a task once per quarter of a million rows."""
     trie, held = Trie(), 0
 
     def flush(trie):
@@ -157,7 +157,7 @@ def _combine(batches):
         for k, n, least, second in zip(*(batch.column(c).to_pylist() for c in ("k", "n", "least", "second"))):
             trie.add(k, n, least, second)
         held += batch.num_rows
-        if held >= 1_000_000:
+        if held >= 250_000:
             yield flush(trie)
             trie, held = Trie(), 0
     if held:
@@ -200,7 +200,7 @@ def groups(keys: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame,
     by_raw = materialize(first.select(F.col("k").alias("raw"), "n", "least", F.coalesce("second", "k").alias("final")), "rawkeys")
     by_final = by_raw.groupBy("final").agg(F.sum("n").alias("copies"), F.min("least").alias("keep_id"))
     several = by_final.where(F.col("copies") > 1)
-    return by_raw.join(several, "final").select("raw", "keep_id", "copies"), by_final.select("keep_id", "copies")
+    return skew_safe_join(by_raw, several, "final").select("raw", "keep_id", "copies"), by_final.select("keep_id", "copies")
 
 
 def collapse(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
