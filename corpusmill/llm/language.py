@@ -22,34 +22,38 @@ _LETTERS = {"de": "äöüß", "es": "ñ¿¡áíóú", "fr": "àâçéèêëîï
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*")
 HAN = re.compile(r"[㐀-鿿豈-﫿]")
 KANA = re.compile(r"[ぁ-ヿｦ-ﾟ]")
+LATIN = re.compile(r"[A-Za-z]")
 HANGUL = re.compile(r"[가-힣ᄀ-ᇿ]")
 
 
 def latin_scores(text: str) -> tuple[dict[str, float], int]:
     """Votes of function words and typical letters, and the number of words."""
     score = dict.fromkeys(FUNCTION_WORDS, 0.0)
-    words = 0
-    for raw in WORD.findall(text.lower()):
-        parts = raw.split("'")
-        words += 1
-        for w in parts:
-            for lang, v in _VOTES.get(w, {}).items():
+    low = text.lower()
+    found = WORD.findall(low)
+    for w in found:
+        if w in _VOTES:
+            for lang, v in _VOTES[w].items():
                 score[lang] += v
-    for lang, letters in _LETTERS.items():
-        hits = sum(text.lower().count(c) for c in letters)
-        score[lang] += min(1.5, 0.5 * hits)
-    return score, words
+        elif "'" in w:
+            for part in w.split("'"):
+                for lang, v in _VOTES.get(part, {}).items():
+                    score[lang] += v
+    if not text.isascii():
+        for lang, letters in _LETTERS.items():
+            score[lang] += min(1.5, 0.5 * sum(map(low.count, letters)))
+    return score, len(found)
 
 
 def language(text: str, least: float = 1.5) -> str | None:
     """The language that a text is written in, or None where too little speaks for any."""
-    hangul, kana, han = len(HANGUL.findall(text)), len(KANA.findall(text)), len(HAN.findall(text))
-    latin = sum(1 for c in text if "a" <= c.lower() <= "z")
-    cjk = hangul + kana + han
-    if cjk * 3 >= latin and cjk >= 4 or cjk >= 12:
-        if hangul >= kana + han:
-            return "ko"
-        return "ja" if kana >= max(2, 0.12 * (kana + han)) else "zh"
+    if not text.isascii() and max(text) >= "\u1100":
+        hangul, kana, han = len(HANGUL.findall(text)), len(KANA.findall(text)), len(HAN.findall(text))
+        cjk = hangul + kana + han
+        if cjk >= 12 or cjk >= 4 and cjk * 3 >= len(LATIN.findall(text)):
+            if hangul >= kana + han:
+                return "ko"
+            return "ja" if kana >= max(2, 0.12 * (kana + han)) else "zh"
     score, words = latin_scores(text)
     if not words:
         return None

@@ -29,6 +29,7 @@ CODE_LINE = re.compile(r"^(?:[\w.\[\]\"', ]+\s*[-+*/|&]?=[^=]|(?:def|class|impor
 ASSIGNMENT = re.compile(r"^\s*(?:[\w.\[\]\"']+(?:\s*,\s*[\w.\[\]]+)*\s*[-+*/|&]?=\s*[^=\s]\S*(?:\s*[-+*/%|&<>]+\s*\S+)*|[\w.]+\([^()]*\))\s*$")
 ENDERS = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？])|\n\s*\n|\n(?=\s*(?::\w+|@\w+|[-*•]\s|\d+[.)]\s|Args?:|Returns?:|Raises:))")
 LABEL = re.compile(r"^\s*(?::\w+(?:\s+[\w.\[\], *]+)?:|@\w+(?:\s+\w+)?|\w+\s*\([\w\[\], ]+\):|(?:Args?|Returns?|Raises|Yields|Note|Example)s?:)\s*")
+PLAIN = re.compile(r"[(\"'`«¿¡]*[^\W\d_]+(?:['’-][^\W\d_]+)*[)\"'`».,;:!?…]*")
 EAST = re.compile(r"[ぁ-鿿]")
 
 
@@ -73,25 +74,26 @@ def sentences(span: str) -> dict[str, int]:
     found: dict[str, int] = {}
     if SQL.match(span) and not re.search(r"[.!?]\s+[A-Z]", span):
         return found
-    if "=" in span or "(" in span:  # commented-out code between lines of prose
+    if "\n" in span and ("=" in span or "(" in span):  # commented-out code between lines of prose
         span = "\n".join("" if ASSIGNMENT.match(x) else x for x in span.split("\n"))
     for part in ENDERS.split(span):
-        s = LABEL.sub("", " ".join(x.strip().lstrip("#*>|/ ").strip() for x in part.split("\n"))).strip()
+        s = LABEL.sub("", " ".join(x.strip().lstrip("#*>|/ ").strip() for x in part.split("\n")) if "\n" in part else part.strip().lstrip("#*>|/ ")).strip()
         if len(s) < 10:
             continue
-        east = len(HAN.findall(s)) + len(KANA.findall(s))
-        words = [w for w in re.split(r"\s+", s) if WORD.search(w)]
-        hangul = sum(1 for w in words if HANGUL.search(w))
-        if east < 10 and len(words) < 5 or SQL.match(s):
+        eastern = not s.isascii() and max(s) >= "\u1100"
+        east = len(HAN.findall(s)) + len(KANA.findall(s)) if eastern else 0
+        words = [w for w in s.split() if w.isalpha() or WORD.search(w)]
+        if east < 10 and len(words) < 5:
             continue
-        if CODE_LINE.match(s) and east < 10 and not hangul:
+        hangul = sum(1 for w in words if HANGUL.search(w)) if eastern else 0
+        if east < 10 and not hangul and CODE_LINE.match(s) or SQL.match(s):
             continue
         lang = language(s)
         if lang is None or (lang in ("ja", "zh") and east < 10) or (lang == "ko" and (len(words) < 5 or hangul < 3)):
             continue
         if lang not in ("ja", "zh", "ko"):
-            plain = [w for w in words if re.fullmatch(r"[(\"'`«¿¡]*[^\W\d_]+(?:['’-][^\W\d_]+)*[)\"'`».,;:!?…]*", w)]
-            if len(words) < 5 or len(plain) < 4 or len(plain) * 2 < len(words):
+            plain = sum(1 for w in words if w.isalpha() or PLAIN.fullmatch(w))
+            if len(words) < 5 or plain < 4 or plain * 2 < len(words):
                 continue
         found[lang] = found.get(lang, 0) + len(s)
     return found
