@@ -107,7 +107,7 @@ def visit(body: list[ast.stmt], owner: str, out: list[tuple[ast.AST, str]]) -> N
 
 def pairs(source: str | None) -> list[tuple[str, int, str, str]]:
     """(qualified name, line of def, code with decorators, description) of each documented function."""
-    if not source or "def " not in source:
+    if not source or "def" not in source:
         return []
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
@@ -144,7 +144,7 @@ def code_doc_pairs(docs: DataFrame) -> DataFrame:
                     out[k].append(v)
         return out
 
-    src = docs.where(F.col("file_path").endswith(".py") & F.col("content").contains("def "))
+    src = docs.where(F.col("file_path").endswith(".py") & F.col("content").contains("def"))
     return map_columns(src, ["file_id", "content"], batch, "file_id bigint, name string, def_line int, code string, description string")
 
 

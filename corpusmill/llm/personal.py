@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from corpusmill.runtime import map_columns
 
+#: Kinds whose surrogates are a permutation of their format.
+PERMUTED = ("phone", "identity_number")
 KINDS = ("email", "phone", "identity_number", "street_address", "name")
 
 
@@ -222,7 +224,7 @@ def normal(kind: str, value: str) -> str:
         v = re.sub(r"\s*[\[({<]at[\])}>]\s*|\s+(?:at|arroba)\s+", "@", v, flags=re.I)
         v = re.sub(r"\s*[\[({<]dot[\])}>]\s*|\s+(?:dot|punto)\s+", ".", v, flags=re.I)
         return v.lower()
-    if kind in ("phone", "identity_number"):
+    if kind in PERMUTED:
         return re.sub(r"[^0-9A-Za-z+]", "", v).upper()
     if kind == "name":
         if "," in v:
@@ -262,7 +264,7 @@ def _word(n: int, parts: int) -> tuple[str, int]:
 def surrogate(secret: bytes, kind: str, value: str, salt: int = 0) -> str:
     """A replacement of the same type, script, format and (for given names) gender reading."""
     n = _digest(secret, kind, normal(kind, value), salt)
-    if kind in ("phone", "identity_number"):
+    if kind in PERMUTED:
         return _permute(secret, kind, value)
     if kind == "email":
         local, n = _word(n, 5)
@@ -288,28 +290,25 @@ def surrogate(secret: bytes, kind: str, value: str, salt: int = 0) -> str:
 
 
 def replace(text: str | None, secret: bytes, mode: str = "placeholder") -> str | None:
-    """The text with its entities replaced. Different originals of one text never share a replacement, equal ones always do."""
+    """The text with its entities replaced. Different originals of one text never share a replacement, mentions of the same one do:
+    numbers by construction, other kinds by a check that moves on to the next keyed value."""
     if not text:
         return text
-    given: dict[tuple[str, str], str] = {}
-    used: dict[str, tuple[str, str]] = {}
+    salts: dict[tuple[str, str], int] = {}
+    owner: dict[tuple[str, str], str] = {}
     out, at = [], 0
     for e in entities(text):
         value = text[e.start : e.end]
-        who = (e.kind, normal(e.kind, value))
+        who = normal(e.kind, value)
         if mode == "placeholder":
-            new = f"[{e.kind.upper()}:{_digest(secret, e.kind, who[1]) >> 176:020x}]"
-        elif who in given and e.kind not in ("phone", "identity_number", "name"):
-            new = given[who]
+            new = f"[{e.kind.upper()}:{_digest(secret, e.kind, who) >> 176:020x}]"
         else:
-            salt = 0
+            salt = salts.get((e.kind, who), 0)
             new = surrogate(secret, e.kind, value, salt)
-            while used.setdefault(normal(e.kind, new), who) != who or new == value:
+            while e.kind not in PERMUTED and owner.setdefault((e.kind, normal(e.kind, new)), who) != who:
                 salt += 1
-                new = surrogate(secret, e.kind, value + " " * (e.kind in ("phone", "identity_number")) * 0, salt)
-                if e.kind in ("phone", "identity_number"):
-                    break
-            given[who] = new
+                new = surrogate(secret, e.kind, value, salt)
+            salts[e.kind, who] = salt
         out += [text[at : e.start], new]
         at = e.end
     out.append(text[at:])

@@ -5,7 +5,7 @@ transition functions of a small automaton (each block of text is reduced to the
 are composed, and every position gets its state), which yields the token starts. The slices feed a cached pair merging; offsets
 are kept, so that every id can be traced to its characters and decoded again.
 
-Defined results: null text gives null ids, empty text gives an empty list; text that looks like a special token is plain text;
+Defined results: null and empty texts give an empty list of ids; text that looks like a special token is plain text;
 lone surrogates are encoded as the replacement character; whole texts are encoded, whatever their length.
 """
 
@@ -187,12 +187,12 @@ def merger(path: str) -> PairMerger:
     return PairMerger(path)
 
 
-def encode_batch(texts: list[str | None], path: str = DEFAULT_VOCABULARY, offsets: bool = False) -> tuple[list, list | None]:
+def encode_batch(texts: list[str | None], path: str = DEFAULT_VOCABULARY, offsets: bool = False) -> tuple[list[list[int]], list[list[dict]] | None]:
     """Ids of each text, and per pre-token the (start character, number of ids) where ``offsets`` is set."""
     merge = merger(path)
-    present = [i for i, t in enumerate(texts) if t is not None]
-    out: list = [None] * len(texts)
-    spans: list | None = [None] * len(texts) if offsets else None
+    present = [i for i, t in enumerate(texts) if t]
+    out: list[list[int]] = [[] for _ in texts]
+    spans: list[list[dict]] | None = [[] for _ in texts] if offsets else None
     if not present:
         return out, spans
     joined, starts, seps = token_starts([texts[i] for i in present])
