@@ -121,12 +121,14 @@ def conversation(lines: Column, persona: Column, seed: int, key: Column | str) -
     b = (a + F.pmod(wide("b"), (n - 1 - a).cast("long"))).cast("int")
     join = lambda x: F.array_join(x, "\n")
     gap = F.concat(F.lit(FIM_BEGIN), join(F.slice(lines, 1, a)), F.lit(FIM_HOLE), join(F.slice(lines, b + 2, n)), F.lit(FIM_END))
+    # Fixed value: the opening of the user turn.
+    ask = "Please complete the missing part of the following Python code snippet:\n\n"
     wish = F.coalesce(persona["output_requirement"], F.lit(""))
     addition = F.lit("")
     for mark, text in reversed(ADDITIONS):
         addition = F.when(F.contains(wish, F.lit(mark)), F.lit(f"\n\n{mark}\n{text}")).otherwise(addition)
     return F.struct(
-        F.concat(F.lit("Please complete the missing part of the following Python code snippet:\n\n"), gap).alias("user"),
+        F.concat(F.lit(ask), gap).alias("user"),
         F.concat(join(F.slice(lines, a + 1, b - a + 1)), addition).alias("assistant"),
     )
 
