@@ -141,7 +141,7 @@ def persona_pairs(snippets: DataFrame, personas: DataFrame, count: int, order: s
     spark = snippets.sparkSession
     usable = snippets.select(order, F.split(textfn.py_strip(content), "\n", -1).alias("__lines")).where(F.size("__lines") >= 3)
     indexed = numbered(usable, order, "__s")
-    people = numbered(allowed_personas(personas).withColumn("__o", F.to_json("persona")), "__o", "__p").select("__p", "persona")
+    people = numbered(allowed_personas(personas).withColumn("__o", F.to_json(F.array_sort(F.map_entries("persona")))), "__o", "__p").select("__p", "persona")
     n, m = indexed.count(), people.count()
     if not n or not m:
         return spark.createDataFrame([], "id bigint, messages array<struct<role:string,content:string>>")

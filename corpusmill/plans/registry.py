@@ -155,6 +155,62 @@ def _lines(x: str) -> str:
     return f"CASE WHEN {x} = '' THEN [] WHEN list_last({parts}) = '' THEN list_slice({parts}, 1, len({parts}) - 1) ELSE {parts} END"
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _system_turns() -> list[str]:
+    return [f"You are a {r}. {t} Complete the code. {m}" for r in ("teacher", "reviewer") for t in ("Be brief.", "Be kind.") for m, _ in synth.ADDITIONS]
+
+
+def _persona_sql() -> str:
+    nl = "chr(10)"
+    ranked = sorted((mark, x, chr(10) * 2 + mark + chr(10) + text) for x in _system_turns() for mark, text in synth.ADDITIONS if x.endswith(mark))
+    people = ", ".join(f"({i}, {_quoted(x)}, {_quoted(addition)})" for i, (_, x, addition) in enumerate(ranked, 1))
+    wide = lambda slot, digits: f"('0x' || substr(md5('{SEED}|' || id || '|{slot}'), 1, {digits}))::BIGINT"
+    part = lambda a, b: f"array_to_string(lines[{a}:{b}], {nl})"
+    return f"""
+        WITH s AS (SELECT lines, row_number() OVER (ORDER BY file_id) AS s FROM (SELECT file_id, string_split({_strip('content')}, {nl}) AS lines FROM source_docs WHERE file_path LIKE '%.py' AND content IS NOT NULL) WHERE len(lines) >= 3),
+        p(p, system, addition) AS (VALUES {people}),
+        d AS (SELECT id, {wide('s', 12)} % (SELECT count(*) FROM s) + 1 AS s, {wide('p', 12)} % (SELECT count(*) FROM p) + 1 AS p FROM range({PAIRS}) r(id)),
+        a AS (SELECT *, 1 + {wide('a', 8)} % (len(lines) - 2) AS a FROM d JOIN s USING (s) JOIN p USING (p)),
+        b AS (SELECT *, a + {wide('b', 8)} % (len(lines) - 1 - a) AS b FROM a)
+        SELECT id, system, 'Please complete the missing part of the following Python code snippet:' || {nl} || {nl} || '{textfn.FIM_BEGIN}' || {part(1, 'a')} || '{textfn.FIM_HOLE}' || {part('b + 2', 'len(lines)')} || '{textfn.FIM_END}' AS ask,
+               {part('a + 1', 'b + 1')} || addition AS answer FROM b"""
+
+
+def _error_sql(draw) -> str:
+    """The same templates and draws, put together by another engine."""
+    rows = []
+    for i, (kind, simple, hard) in enumerate(synth.TEMPLATES):
+        for c, case in enumerate((simple, hard or simple)):
+            rows.append(f"({i}, {c}, {', '.join(map(_quoted, (kind, *case)))})")
+    pick = lambda words, slot: f"([{', '.join(map(_quoted, words))}][{draw(SEED, len(words), 'id::VARCHAR', _quoted(slot))} + 1])"
+    title = lambda w: f"(upper({w}[1]) || {w}[2:])"
+    number = lambda bound, least, slot: f"({draw(SEED, bound, 'id::VARCHAR', _quoted(slot))} + {least})::VARCHAR"
+    slots = {
+        "{v}": f"{pick(synth.FIRST, 'va')} || '_' || {pick(synth.SECOND, 'vb')}",
+        "{w}": f"{pick(synth.FIRST, 'wa')} || '_' || {pick(synth.SECOND, 'wb')}",
+        "{C}": f"{title(pick(synth.FIRST, 'Ca'))} || {title(pick(synth.SECOND, 'Cb'))}",
+        "{n}": number(491, 10, "n"),
+        "{m}": number(900, 100, "m"),
+        "{k}": number(4, 3, "k"),
+        "{x}": f"chr(({draw(SEED, 26, 'id::VARCHAR', _quoted('x'))} + 97)::INT)",
+    }
+
+    def filled(column: str) -> str:
+        for slot in slots:
+            column = f"replace({column}, '{slot}', \"{slot}\")"
+        return column
+
+    drawn = ", ".join(f'{e} AS "{s}"' for s, e in slots.items())
+    return f"""
+        WITH t(k, c, kind, title, log, description, buggy, fixed) AS (VALUES {', '.join(rows)}),
+        d AS (SELECT id, {draw(SEED, len(synth.TEMPLATES), 'id::VARCHAR', _quoted('kind'))} AS k, {draw(SEED, 2, 'id::VARCHAR', _quoted('case'))} AS c, {drawn} FROM range({EXAMPLES}) r(id))
+        SELECT id, kind, {filled('title')} AS title, {filled('log')} AS error_log, 'python' AS language, {filled('description')} AS description, {filled('buggy')} AS buggy_code_snippet, {filled('fixed')} AS fixed_code_snippet
+        FROM d JOIN t USING (k, c)"""
+
+
 def oracle_sql() -> dict[str, str]:
     corpus = rendered.code_corpus_sql()
     nl = "chr(10)"
@@ -163,6 +219,12 @@ def oracle_sql() -> dict[str, str]:
     draw = lambda seed, bound, *parts: f"(('0x' || substr(md5(concat_ws('|', '{seed}', {', '.join(parts)})), 1, 8))::BIGINT % {bound})"
     kinds = ", ".join(f"'{t[0]}'" for t in synth.TEMPLATES)
     features = "SELECT doc_id, length(text)::DOUBLE AS f1, length(regexp_replace(text, '[^0-9]', '', 'g'))::DOUBLE AS f2, length(regexp_replace(text, '[^A-Z]', '', 'g'))::DOUBLE AS f3, length(regexp_replace(text, '[^\\n]', '', 'g'))::DOUBLE AS f4 FROM documents WHERE text IS NOT NULL"
+    first_name = lambda c: f"regexp_extract({c}, '(?:def|class)[{WS}]+([A-Za-z0-9_]+)', 1)"
+    asked = lambda c: f"'Please write ' || CASE WHEN {first_name(c)} = '' THEN 'a short script' ELSE {first_name(c)} END || ' in Python.'"
+    fn_chunks = f"""
+            WITH {corpus}, c AS (SELECT p, list_concat(list_concat(CASE WHEN header = '' THEN [] ELSE [header] END, funs),
+                   list_concat(CASE WHEN len(klass) > 0 THEN ['class C' || p || '(Base):', 'def m(self):' || {nl} || '    return ' || p] ELSE [] END, ['x = 1' || {nl} || 'y = 2' || {nl} || 'z = 3'])) AS chunks FROM corpus WHERE NOT broken)
+            SELECT p AS doc_id, unnest(range(0, len(chunks)))::INT AS idx, unnest(chunks) AS chunk FROM c"""
     turns = "SELECT record_id, unnest(range(0, len(messages)))::INT AS turn, unnest(messages) AS m FROM chat_records WHERE messages IS NOT NULL"
 
     return {
@@ -232,15 +294,27 @@ def oracle_sql() -> dict[str, str]:
             SELECT record_id, turn, m.role AS role, CASE WHEN turn + 1 = first THEN regexp_replace({_strip('m.content')}, '\\n{{2,}}', {nl} || {nl}, 'g') ELSE m.content END AS content FROM t""",
         "chat_turns": f"WITH t AS ({turns}) SELECT record_id, turn, m.role AS role, m.content AS content FROM t",
         "chat_regroup": "SELECT record_id, len(messages)::INT AS n_turns, md5(array_to_string(list_transform(messages, lambda m: coalesce(m.content, '<null>')), '|')) AS joined_md5 FROM chat_records WHERE messages IS NOT NULL AND len(messages) > 0",
-        "fn_chunks": f"""
-            WITH {corpus}, c AS (SELECT p, list_concat(list_concat(CASE WHEN header = '' THEN [] ELSE [header] END, funs),
-                   list_concat(CASE WHEN len(klass) > 0 THEN ['class C' || p || '(Base):', 'def m(self):' || {nl} || '    return ' || p] ELSE [] END, ['x = 1' || {nl} || 'y = 2' || {nl} || 'z = 3'])) AS chunks FROM corpus WHERE NOT broken)
-            SELECT p AS doc_id, unnest(range(0, len(chunks)))::INT AS idx, unnest(chunks) AS chunk FROM c""",
+        "fn_chunks": fn_chunks,
+        "instructions_function": f"SELECT doc_id, idx, {asked('chunk')} AS instruction, chunk AS code FROM ({fn_chunks})",
+        "instructions_document": f"SELECT file_id, {asked('code')} AS instruction FROM (SELECT file_id, {_strip('content')} AS code FROM source_docs WHERE file_path LIKE '%.py') WHERE code <> '' AND length(code) <= 60000",
+        "long_fim": f"""
+            WITH {corpus}, r AS (
+              SELECT *, string_split(content, {nl}) AS lines, len(imports) + CASE WHEN header = '' THEN 0 ELSE 1 END AS h, len(funs) AS nf FROM corpus),
+            c AS (SELECT p, lines, h, nf, unnest(range(0, 1 + nf + 2 * len(klass))) AS i, 1 + nf + 2 * len(klass) AS n, len(klass) > 0 AS has_class FROM r),
+            d AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY md5('{SEED}|' || p || '|' || i), i) AS draw FROM c),
+            f AS (SELECT *, CASE WHEN i = 0 THEN 0 WHEN i <= nf THEN h + 4 * (i - 1) ELSE h + 4 * nf END AS start,
+                         CASE WHEN i = 0 THEN h WHEN i < nf OR i = nf AND has_class THEN 4 WHEN i = nf THEN len(lines) - 1 - (h + 4 * (nf - 1)) ELSE 2 END AS k FROM d WHERE (n <= 5 OR draw <= 5) AND NOT (has_class AND i = n - 1)),
+            x AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY i) - 1 AS idx FROM f)
+            SELECT p AS doc_id, idx::INT AS idx, {_strip(f"array_to_string(lines[1:start], {nl})")} AS prefix_code, array_to_string(lines[start + 1:start + k], {nl}) AS target_code,
+                   {_strip(f"array_to_string(lines[start + k + 1:], {nl})")} AS suffix_code FROM x WHERE start >= 3 AND len(lines) - start - k >= 3""",
         "page_headings": f"SELECT 'Error in' || repo AS title, 'Stars: ' || coalesce(n_stars, 0) AS description, 'headings' AS source FROM repos WHERE {page} = 'Error'",
         "page_headings_wide": f"SELECT {page} || ' in' || repo AS title, 'Stars: ' || coalesce(n_stars, 0) AS description, 'headings' AS source FROM repos UNION ALL SELECT 'Other', 'rest', 'headings' FROM repos",
         "page_definitions": "SELECT repo || 'Exception' AS title, 'has ' || coalesce(n_stars, 0) || ' stars' AS description, 'definitions' AS source FROM repos",
         "page_header_table": "SELECT 'E' || coalesce(n_stars, 0) AS title, repo AS description, 'tables' AS source FROM repos",
         "page_cell_table": "SELECT repo AS title, 'N/A' AS description, 'tables' AS source FROM repos UNION ALL SELECT coalesce(n_stars, 0)::VARCHAR, 'N/A', 'tables' FROM repos",
+        "error_examples": _error_sql(draw),
+        "persona_pairs": _persona_sql(),
+        "persona_filter": f"SELECT * FROM (VALUES {', '.join(f'({_quoted(x)})' for x in _system_turns())}) t(system)",
         "error_kinds": f"SELECT [{kinds}][{draw(SEED, len(synth.TEMPLATES), 'id::VARCHAR', chr(39) + 'kind' + chr(39))} + 1] AS kind, count(*) AS n_examples FROM range({EXAMPLES}) t(id) GROUP BY 1",
         "lof_filter": f"""
             WITH r AS ({features}), v AS (SELECT f1, f2, f3, f4, count(*) AS c FROM r GROUP BY ALL),
