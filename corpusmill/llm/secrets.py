@@ -53,7 +53,7 @@ QUOTED = r"[bBrRuUfF]{0,2}(?P<q>\"\"\"|'''|\\?[\"'])(?P<v>(?:(?!(?P=q))[^\n]){1,
 PIECES = re.compile(r"\s*(?:\+\s*|\\\n\s*)?[bBrRuUfF]{0,2}([\"'])((?:(?!\1)[^\\\n])*)\1")
 ASSIGN = re.compile(
     rf"(?i:{CRED})(?![A-Za-z0-9_])\\?[\"']?\]?\s*(?:=>|:=|(?::\s*(?:str|bytes|String|Optional\[str\]|str \| None)\s*)?=(?!=)|:(?!:))\s*"
-    rf"(?:\(\s*)?(?:{QUOTED}|(?P<u>[^\s\"'<>,;)\]}}&#`]+))"
+    rf"(?:\(\s*)?(?:{QUOTED}|(?P<u>[^\s\"'<>,;)\]}}&#`](?:[^\s\"'<>,;)\]}}&`])*))"
 )
 MARKUP = re.compile(rf"(?i:{CRED})\s*>\s*(?P<v>[^<\s][^<]*?)\s*</|(?i:{CRED})[\"']\s+(?:content|value)\s*=\s*[\"'](?P<w>[^\"'\n]+)[\"']")
 DEFAULT = re.compile(
@@ -111,7 +111,7 @@ def strong(v: str) -> bool:
         return False
     if re.fullmatch(r"[A-Za-z0-9+/_-]{20,}={0,2}", v):
         return _mixed(v) and not re.fullmatch(r"(?:[A-Za-z]*[a-z_]+[/_-])+[\w-]*", v)
-    return _mixed(v) and len(re.findall(r"[A-Za-z]", v)) >= 4 and bool(re.search(r"\d", v)) and not re.fullmatch(r"[\w.-]+\.(?:[a-z]{2,4}|example|test|invalid)(?:[/:].*)?|v?\d+(?:\.\d+)+\S*", v)
+    return _mixed(v) and len(re.findall(r"[A-Za-z]", v)) >= 4 and bool(re.search(r"\d", v)) and not re.fullmatch(r"[a-z0-9_.-]+\.[a-z]{2,4}|[\w.-]+\.(?:com|org|net|example|test|invalid)(?:[/:].*)?|v?\d+(?:\.\d+)+\S*", v)
 
 
 def literal(v: str, quoted: bool) -> bool:

@@ -20,6 +20,8 @@ def lines(text):
         f'API_KEY = "{KEY}"',
         "db_pass: Pallet!node5653",
         "export TOKEN=PAL48798.rosruc",
+        "PANEL_PASSWD=VEC59114.tols",
+        "schema_password = Page#orchard3740",
         'x_auth = ("worker", "packet-invoice-gauge-corpus-69")',
         'url = "postgresql://slot:bUNgKw$Nj3GdcL@channel.example/shelf"',
         'u = "https://w.example/v4?access_token=IN0kUX2tnfLzlpP&limit=57"',
