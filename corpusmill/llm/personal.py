@@ -25,7 +25,6 @@ from corpusmill.runtime import map_columns
 
 #: Kinds whose surrogates are a permutation of their format.
 PERMUTED = ("phone", "identity_number")
-KINDS = ("email", "phone", "identity_number", "street_address", "name")
 
 
 class Entity(NamedTuple):

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from corpusmill.llm import functions, leaks, pairs, personal, prose, secrets, split, syntax, tokens, variants
 from corpusmill.runtime import table
