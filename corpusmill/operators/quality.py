@@ -61,7 +61,7 @@ def drop_empty(df: DataFrame, content: str = "content") -> DataFrame:
 
 
 def first_of_each(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The row with the smallest ``order`` among rows equal in ``keys`` (nulls are equal to nulls).
+    """The row with the smallest ``order``, a unique key, among rows equal in ``keys`` (nulls are equal to nulls).
 
     Rows combine per task before the shuffle, so a text that a third of all rows repeat doesn't gather in one task; only a
     digest of the keys and the order key travel, the rows themselves are found again by the order key.

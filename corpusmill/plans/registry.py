@@ -243,7 +243,7 @@ def oracle_sql() -> dict[str, str]:
         "unescape_project": "SELECT file_id, md5(replace(content, '\\/', '/')) AS content_md5 FROM source_docs WHERE content IS NOT NULL",
         "corpus_labels": f"""
             WITH {corpus}
-            SELECT p AS doc_id, broken OR p % 11 = 0 AS is_syntax_error, CASE WHEN broken THEN 0.0 ELSE 2.0 * len(funs) + len(klass) END AS cyclomatic_complexity,
+            SELECT p AS doc_id, broken OR p % 11 = 0 AS is_syntax_error, (CASE WHEN broken THEN 0.0 ELSE 2.0 * len(funs) + len(klass) END)::DOUBLE AS cyclomatic_complexity,
                    len(string_split(content, {nl}))::INT - 1 AS number_of_lines FROM corpus""",
         "stage_counts": f"WITH {corpus} SELECT CASE WHEN broken THEN 'syntax' ELSE 'kept' END AS stage, count(*) AS n_rows FROM corpus GROUP BY 1",
         "union_bad": "SELECT file_id, 'short' AS why FROM source_docs WHERE length(content) < 10 UNION ALL SELECT file_id, NULL FROM source_docs WHERE content IS NULL",
@@ -253,7 +253,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT p AS doc_id, CASE WHEN broken THEN '' ELSE array_to_string(list_concat(list_transform(range(0, len(funs)), lambda i: 'f' || i || '_' || p), list_transform(klass, lambda x: 'm')), ',') END AS functions,
                    CASE WHEN broken THEN '' ELSE array_to_string(list_transform(klass, lambda x: 'C' || p), ',') END AS classes,
                    CASE WHEN broken THEN '' ELSE array_to_string(list_slice(['os', 'sys', 'math.sqrt', 'json'], 1, len(imports)), ',') END AS imports,
-                   false AS has_module_docstring, CASE WHEN broken THEN 0.0 ELSE 2.0 * len(funs) + len(klass) END AS cyclomatic_complexity, broken AS is_syntax_error
+                   false AS has_module_docstring, (CASE WHEN broken THEN 0.0 ELSE 2.0 * len(funs) + len(klass) END)::DOUBLE AS cyclomatic_complexity, broken AS is_syntax_error
             FROM corpus""",
         "valid_python": f"WITH {corpus} SELECT p AS doc_id, NOT broken AS is_valid FROM corpus",
         "short_fim": f"""
