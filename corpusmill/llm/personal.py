@@ -74,6 +74,12 @@ ID_WORD = re.compile(
     r"|\bdni\b|\bnie\b|\bnif\b|pasaporte|seguridad social|\bnir\b|sécurité sociale|\bsécu\b|passeport|carte d'identité|주민(?:등록)?번호|여권|외국인등록|マイナンバー|個人番号|旅券|パスポート|身份证|护照|社保|national id|id card|identity (?:card|number)|driver'?s licen[cs]e)"
 )
 
+# Parts of which any word of ``ID_WORD`` holds one.
+ID_HINTS = (
+    "ssn", "social", "tax", "tin", "insurance", "ni n", "nino", "pass", "ausweis", "steuer", "sozial", "dni", "nie", "nif", "pasaporte", "seguridad", "nir", "sécu", "identit", "주민", "여권", "외국인", "マイナンバー", "個人番号", "旅券",
+    "パスポート", "身份", "护照", "社保", "national id", "id card", "driver",
+)
+
 STREET_EN = r"(?:Street|St\.?|Avenue|Ave\.?|Road|Rd\.?|Lane|Ln\.?|Drive|Dr\.?|Boulevard|Blvd\.?|Court|Ct\.?|Place|Pl\.?|Way|Terrace|Crescent|Square|Close|Grove|Hill|Row|Walk|Parkway|Highway)"
 ADDRESS = tuple(
     re.compile(p)
@@ -88,11 +94,14 @@ ADDRESS = tuple(
     )
 )
 
+#: What a text must hold for an address of the same place in ``ADDRESS``.
+ADDRESS_GATES = (None, None, None, None, re.compile("[로길] ?[0-9]"), re.compile("[市区町村郡].{0,12}[0-9]"), re.compile("[路街道巷同][0-9]"))
+
 # Capitalised pairs of products and methods.
 NOT_NAMES = frozenset(
     "random forest|monte carlo|visual studio|gaussian process|hidden markov|data layer|docker compose|apache beam|apache spark|street view|fast lane|lane detection|road segmentation|stack overflow|google cloud|machine learning|deep learning|neural network|open source|pull request|merge request|read only|viele grüße|best regards|kind regards|san francisco|new york|hello world|user id|all rights".split("|")
 )
-PART = r"[A-ZÀ-ÖØ-ÞŁŚŽČŠ][a-zà-öø-ÿłńśžčšěřůı]+(?:['’][A-ZÀ-Þ]?[a-zà-öø-ÿ]+)?"
+PART = r"[A-ZÀ-ÖØ-ÞŁŚŽČŠ][a-zà-öø-ÿłńśžčšěřůı]+(?:['’](?!s\b)[A-ZÀ-Þ]?[a-zà-öø-ÿ]+)?"
 GIVEN = rf"{PART}(?:-{PART})?"
 FAMILY = rf"(?:(?:van|von|de|di|da|del|della|der|den|le|la|Mc|Mac|O['’])\s?)*{PART}(?:-{PART})?"
 TITLE = r"(?:(?:Mr|Mrs|Ms|Mx|Dr|Prof|Herr|Frau|Sr|Sra|Mme|M)\.?\s+)"
@@ -103,10 +112,13 @@ BEFORE = (
     r"|\b(?:cc|[Rr]eported by|[Ff]ound by|[Ff]ixed by|[Ww]ritten by|[Rr]eviewed by|[Ss]uggested by|[Aa]ssigned to:?|[Tt]alked to|[Ss]poke (?:to|with)|[Tt]hanks to|[Tt]hank you,?|[Aa]sk|[Pp]ing|[Hh]i|[Hh]ello|[Dd]ear|[Hh]allo|[Hh]ola|[Bb]onjour|As|[Cc]redit to|[Dd]anke an|[Gg]emeldet (?:wurde das )?von|[Vv]on|[Mm]erci à|[Ss]ignalé par|[Pp]ar|[Ll]o comentó|[Gg]racias a|[Ss]aludos,?|[Gg]rüße,?|[Cc]ordialement,?|[Rr]egards,?|[Cc]heers,?|[Bb]est,?|[Mm]y name is|I am|[Ii]ch bin|[Mm]e llamo|[Jj]e m'appelle)\s+"
     r"|(?:^|(?<=[\s|]))(?:--|—|–)\s+|\|\s*|담당자는\s*|작성자는\s*|(?:連絡先|担当)は\s*"
 )
-NAME_BEFORE = re.compile(rf"(?:{BEFORE}){TITLE}?{FULL}(?![\w-])", re.M)
-NAME_TITLED = re.compile(rf"(?<!\w){TITLE}{FULL}(?![\w-])")
-NAME_AFTER = re.compile(
-    rf"(?<![\w-]){TITLE}?{FULL}(?=(?:['’]s\s+\w+|\s+(?:wrote|said|pointed out|reported|suggested|asked|noted|mentioned|confirmed|fixed|merged|reviewed|found|told|agreed|schrieb|sagte|meinte|hat\s|escribió|dijo|comentó|a\s+(?:écrit|signalé|dit))|\s+<|\s*(?:님|씨|さん|様|先生|女士|입니다|です)|\s*,?\s*\|))"
+PAIR = re.compile(rf"(?<![\w-]){FULL}(?![A-Za-zÀ-ÿ0-9_-])")
+TITLED = re.compile(rf"(?<!\w){TITLE}$")
+INTRODUCED = re.compile(rf"(?:{BEFORE}){TITLE}?$", re.M)
+#: Characters before a pair in which its context begins.
+REACH = 60
+FOLLOWED = re.compile(
+    r"(?:['’]s\s+\w+|\s+(?:wrote|said|pointed out|reported|suggested|asked|noted|mentioned|confirmed|fixed|merged|reviewed|found|told|agreed|schrieb|sagte|meinte|hat\s|escribió|dijo|comentó|a\s+(?:écrit|signalé|dit))|\s+<|\s*(?:님|씨|さん|様|先生|女士|입니다|です)|\s*,?\s*\|)"
 )
 SURNAMES_KO = "제갈|남궁|황보|선우|사공|서문|독고|동방|김|이|박|최|정|강|조|윤|장|임|한|오|서|신|권|황|안|송|전|홍|유|고|문|양|손|배|백|허|남|심|노|하|곽|성|차|주|우|구|민|류|나|진|지|엄|채|원|천|방|공|현|함|변|염|여|추|도|소|석|선|설|마|길|연|위|표|명|기|반|왕|금|옥|육|인|맹|제|모|탁|국|어|은|편|용|예|경|봉|사|부|가|복|태|목|형|피|두|감|음|빈|동|온|호|범|좌|팽|승|간|상|시|갈|단|견|당"
 NAME_KO = re.compile(
@@ -143,8 +155,9 @@ def entities(text: str | None) -> list[Entity]:
     digits = any(c in "0123456789" for c in text)
     if digits:
         _numbers(text, found)
-        for pattern in ADDRESS:
-            found += [Entity(m.start(), m.end(), "street_address") for m in pattern.finditer(text)]
+        for pattern, gate in zip(ADDRESS, ADDRESS_GATES):
+            if gate is None or gate.search(text):
+                found += [Entity(m.start(), m.end(), "street_address") for m in pattern.finditer(text)]
     _names(text, found)
     order = {"email": 0, "street_address": 1, "identity_number": 2, "phone": 3, "name": 4}
     out: list[Entity] = []
@@ -162,7 +175,9 @@ def _numbers(text: str, found: list[Entity]) -> None:
         return any(len(before) - m.end() <= 30 for m in ID_WORD.finditer(before))
 
     taken: list[tuple[int, int]] = []
-    for pattern, free in ((RRN, True), (SSN, False), (NINO, False), (DNI, False), (NIR, False), (PASSPORT, False), (TAXID, False)):
+    low = text.lower()
+    stated = any(w in low for w in ID_HINTS)
+    for pattern, free in ((RRN, True), *(((SSN, False), (NINO, False), (DNI, False), (NIR, False), (PASSPORT, False), (TAXID, False)) if stated else ())):
         for m in pattern.finditer(text):
             if (free or named(m.start())) and not any(a < m.end() and m.start() < b for a, b in taken):
                 taken.append(m.span())
@@ -178,16 +193,17 @@ def _numbers(text: str, found: list[Entity]) -> None:
 
 def _names(text: str, found: list[Entity]) -> None:
     plain = CODE.sub(lambda m: " " * len(m[0]) if "\n" in m[0] else m[0], text) if "```" in text else text
-    for pattern in (NAME_BEFORE, NAME_TITLED, NAME_AFTER):
-        for m in pattern.finditer(plain):
-            g, f = ("g", "f") if m["g"] else ("g2", "f2")
-            pair = f"{m[g]} {m[f]}".lower()
-            if pair in NOT_NAMES or m[g].lower() in STARTERS or m[f].lower() in STARTERS:
-                continue
-            a, b = min(m.start(g), m.start(f)), max(m.end(g), m.end(f))
-            if ARTICLE.search(plain[max(0, a - 6) : a]):
-                continue
+    at = 0
+    while m := PAIR.search(plain, at):
+        g, f = ("g", "f") if m["g"] else ("g2", "f2")
+        a, b = min(m.start(g), m.start(f)), max(m.end(g), m.end(f))
+        at = a + len(re.match(r"\S+", m[0])[0])  # an overlapping pair may begin with this one's second word
+        if f"{m[g]} {m[f]}".lower() in NOT_NAMES or m[g].lower() in STARTERS or m[f].lower() in STARTERS or ARTICLE.search(plain, max(0, a - 6), a):
+            continue
+        near = max(0, a - REACH)
+        if INTRODUCED.search(plain, near, a) or TITLED.search(plain, near, a) or FOLLOWED.match(plain, m.end()):
             found.append(Entity(a, b, "name"))
+            at = b
     if "님" in text or "씨" in text or "자" in text or "이름" in text or "성명" in text:
         for m in NAME_KO.finditer(plain):
             group = "k" if m["k"] else "k2"
@@ -200,7 +216,7 @@ def _names(text: str, found: list[Entity]) -> None:
 
 # Capitalised words that open sentences or name things, never a person's name.
 STARTERS = frozenset(
-    "the this that these those when where what which who why how if use set please note some each every both only large small before after has nobody with without it its we you they he she i my our your rows returns as and or but not no yes for from to in on at by of is are was were do does read write thanks hi hello dear see add move street view random forest monte carlo visual studio gaussian process hidden markov data layer docker compose apache beam lane road avenue drive version build ticket catalogue error value type key index import file traceback most recent call last port ports drive pinned timestamp clone json http https api url todo fixme der die das ein eine wir sie ich el la los las un una le les une des du".split()
+    "mr mrs ms mx dr prof herr frau sr sra mme the this that these those when where what which who why how if use set please note some each every both only large small before after has nobody with without it its we you they he she i my our your rows returns as and or but not no yes for from to in on at by of is are was were do does read write thanks hi hello dear see add move street view random forest monte carlo visual studio gaussian process hidden markov data layer docker compose apache beam lane road avenue drive version build ticket catalogue error value type key index import file traceback most recent call last port ports drive pinned timestamp clone json http https api url todo fixme der die das ein eine wir sie ich el la los las un una le les une des du".split()
 )
 NOT_NAMES_KO = frozenset("손님 고객 주인 사용자 관리자 담당자 작성자 선생 부모 형 누 해 달".split())
 
