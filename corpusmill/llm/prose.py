@@ -10,7 +10,9 @@ rows under both ids; shares are characters of the spans' sentences over the char
 from __future__ import annotations
 
 import hashlib
+import io
 import re
+import tokenize
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ TOKEN = re.compile(
     r"#[^\n]*|([A-Za-z]{0,2})('''(?:[^\\']|\\.|'(?!''))*'''|\"\"\"(?:[^\\\"]|\\.|\"(?!\"\"))*\"\"\"|'(?:[^'\\\n]|\\.)*'|\"(?:[^\"\\\n]|\\.)*\")",
     re.S,
 )
+LITERAL = re.compile(r"([A-Za-z]{0,2})(.*)", re.S)
+CODED = re.compile(r"\\u([0-9a-fA-F]{4})|\\U([0-9a-fA-F]{8})|\\x([0-9a-fA-F]{2})")
 SQL = re.compile(r"^\s*(?:SELECT\b.*\bFROM\b|INSERT\s+INTO\b|UPDATE\b.*\bSET\b|DELETE\s+FROM\b|CREATE\s+(?:TABLE|INDEX|VIEW)\b|ALTER\s+TABLE\b|DROP\s+TABLE\b|WITH\b.*\bAS\s*\()", re.S | re.I)
 CODE_LINE = re.compile(r"^(?:[\w.\[\]\"', ]+\s*[-+*/|&]?=[^=]|(?:def|class|import|from|return|raise|assert|for|while|if|elif|else|with|try|except|async|await|del|print|lambda|yield)\b.*[:()=\]]\s*$|@\w|[\w.]+\(.*\)\s*[:;]?$|[\[{(<].*[\]})>]\s*,?$|>>>|\$ |:\w+ )")
 ASSIGNMENT = re.compile(r"^\s*(?:[\w.\[\]\"']+(?:\s*,\s*[\w.\[\]]+)*\s*[-+*/|&]?=\s*[^=\s]\S*(?:\s*[-+*/%|&<>]+\s*\S+)*|[\w.]+\([^()]*\))\s*$")
@@ -33,37 +37,95 @@ PLAIN = re.compile(r"[(\"'`«¿¡]*[^\W\d_]+(?:['’-][^\W\d_]+)*[)\"'`».,;:!?
 EAST = re.compile(r"[ぁ-鿿]")
 
 
+def _exact_tokens(source: str):
+    """(start, end, literal or None for a comment) by the standard tokenizer, for f-strings that hold quotes of their own kind."""
+    starts = [0]
+    for x in source.splitlines(keepends=True):
+        starts.append(starts[-1] + len(x))
+    opened: list[tuple[int, str]] = []
+    text = ""
+    for t in tokenize.generate_tokens(io.StringIO(source).readline):
+        a, b = starts[t.start[0] - 1] + t.start[1], starts[t.end[0] - 1] + t.end[1]
+        if t.type == tokenize.COMMENT:
+            yield a, b, None
+        elif t.type == tokenize.FSTRING_START:
+            opened.append((a, t.string))
+            text = text if len(opened) > 1 else ""
+        elif t.type == tokenize.FSTRING_END:
+            begin, _ = opened.pop()
+            if not opened:
+                yield begin, b, "r'" + text + "'"
+        elif t.type == tokenize.FSTRING_MIDDLE and len(opened) == 1:
+            text += t.string
+        elif opened and t.string == "{" and len(opened) == 1:
+            text += " x "
+        elif t.type == tokenize.STRING and not opened:
+            yield a, b, t.string
+
+
+def _tokens(source: str) -> list[tuple[int, int, str | None]]:
+    """(start, end, literal or None for a comment) in order."""
+    out = []
+    for m in TOKEN.finditer(source):
+        if m[2] is None:
+            out.append((m.start(), m.end(), None))
+            continue
+        if "f" in m[1].lower() and m[2].count("{") != m[2].count("}"):
+            try:
+                return list(_exact_tokens(source))
+            except (tokenize.TokenError, SyntaxError, IndexError):
+                return []
+        out.append((m.start(), m.end(), m[0]))
+    return out
+
+
+def _body(literal: str) -> str | None:
+    """What a string literal says; None for bytes."""
+    prefix, quoted = LITERAL.match(literal).groups()
+    prefix = prefix.lower()
+    if "b" in prefix:
+        return None
+    body = quoted[3:-3] if quoted[:3] in ("'''", '"""') and len(quoted) >= 6 else quoted[1:-1]
+    if "f" in prefix:
+        body = re.sub(r"\{[^{}]*\}", " x ", body)
+    if "\\" in body and "r" not in prefix:
+        if CODED.search(body):
+            body = CODED.sub(lambda m: chr(int(m[1] or m[2] or m[3], 16)) if int(m[1] or m[2] or m[3], 16) < 0x110000 else " ", body)
+        body = re.sub(r"\\([nrt])", " ", body.replace("\\'", "'").replace('\\"', '"').replace("\\\n", ""))
+    return body
+
+
 def spans(source: str) -> list[str]:
-    """Comment blocks and string literals that may hold a sentence."""
+    """Comment blocks and string literals that may hold a sentence; literals side by side are one."""
     out: list[str] = []
     block: list[str] = []
     last = -2
     line = at = 0
-    for m in TOKEN.finditer(source):
-        start = m.start()
-        if m[2] is None:
+    string_end = -1
+    for start, end, literal in _tokens(source):
+        if literal is None:
             line += source.count("\n", at, start)
             at = start
             own = not source[source.rfind("\n", 0, start) + 1 : start].strip()
             if block and not (own and line == last + 1):
                 out.append("\n".join(block))
                 block = []
-            block.append(m[0].lstrip("#! ").rstrip())
+            block.append(source[start:end].lstrip("#! ").rstrip())
             last = line if own else -2
             if not own:
                 out.append("\n".join(block))
                 block = []
-        else:
-            prefix, body = m[1].lower(), m[2]
-            if "b" in prefix:
-                continue
-            body = body[3:-3] if body[:3] in ("'''", '"""') else body[1:-1]
-            if len(body) >= 10:
-                if "f" in prefix:
-                    body = re.sub(r"\{[^{}]*\}", " x ", body)
-                if "\\" in body and "r" not in prefix:
-                    body = re.sub(r"\\([nrt])", " ", body.replace("\\'", "'").replace('\\"', '"').replace("\\\n", ""))
+        elif (body := _body(literal)) is not None:
+            if block:
+                out.append("\n".join(block))
+                block, last = [], -2
+            if string_end >= 0 and literal[-3:] not in ('"""', "'''") and start - string_end < 400 and not source[string_end:start].strip():
+                out[-1] += body if out[-1][-1:].isspace() or body[:1].isspace() else " " + body
+            else:
                 out.append(body)
+            string_end = end
+            continue
+        string_end = -1
     if block:
         out.append("\n".join(block))
     return [s for s in out if len(s) >= 10 and (len(s.split(None, 5)) >= 5 or EAST.search(s))]

@@ -82,6 +82,17 @@ def test_sentences_of_a_file(frame):
     assert P.p5_found(df.limit(0)).count() == 0
 
 
+def test_literals_side_by_side_and_nested_quotes():
+    def langs(code):
+        return {k for s in P.spans(code) for k in P.sentences(s)}
+
+    assert langs('x = ("The result is "\n     "sorted by the row buffer.")\n') == {"en"}
+    assert langs('x = ["The result is", "sorted by the row"]\n') == set()
+    assert langs('f"{a["k"]} # The result of {b["k"]} is sorted by the row buffer."\n') == {"en"}
+    assert langs('x = "\\uc11c\\ubc84\\ub97c \\ub2e4\\uc2dc \\uc2dc\\uc791\\ud55c \\ub4a4\\uc5d0\\ub294 \\uc0c1\\ud0dc\\ub97c \\ud655\\uc778\\ud574 \\uc8fc\\uc138\\uc694."\n') == {"ko"}
+    assert langs("") == langs('""') == langs('"""') == langs('f"{"') == set()
+
+
 def test_a_comment_shared_by_a_third_of_all_files(frame):
     rows = [(i, "a.py", f"# The loop stops as soon as the row buffer is full.\nx = {i}\n" if i % 3 == 0 else f"# Sie {i} warten bis der Index der Tabelle fertig ist.\n") for i in range(600)]
     got = {tuple(r) for r in P.p5_found(frame(rows, "file_id long, file_path string, content string").repartition(6)).collect()}
