@@ -226,7 +226,7 @@ def scan(text: str | None, layers: int = MAX_LAYERS) -> list[Finding]:
     if "PRIVATE KEY" in text:
         for m in PEM.finditer(text):
             body = "".join(x.strip() for x in m[2].replace("\\n", "\n").split("\n") if ":" not in x)
-            if len(re.findall(r"[A-Za-z0-9+/]", body)) >= 40 and not MASKED.search(body):
+            if len(re.findall(r"[A-Za-z0-9+/]", body.replace("REDACTED", ""))) >= 40 and not MASKED.search(body):
                 blocks.append(m.span())
                 found[m.start()] = Finding(m.start(), "private_key", (m.span(2),))
     if "-----BEGIN" in text:

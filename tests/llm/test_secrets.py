@@ -74,7 +74,8 @@ def test_no_credential(line):
 
 def test_key_blocks_and_pieces_count_at_their_first_line():
     assert lines(f'a = 1\nP = """{PEM}"""\n') == [2]
-    assert S.redact(PEM).count("\n") == PEM.count("\n") and "z286" not in S.redact(PEM)
+    long = PEM.replace("\n-----END", "\n" + "AbCd0123+/" * 6 + "\n" + "AbCd0123+/" * 6 + "\n-----END")
+    assert S.redact(long).count("\n") == long.count("\n") and "z286" not in S.redact(long) and lines(S.redact(long)) == []
     assert lines("-----BEGIN PUBLIC KEY-----\nF8d6i6n7rHOpW8g62kMfmgIThM4fjld5WSmiJQVuJ5RM5Ige3Jb4c0WSBHZOOiek\n-----END PUBLIC KEY-----") == []
     assert lines('K = ("ghp_b7juUOhNyD8ilQMf"\n    "G5AYbKEMrqz7RJQoOkZV")\n') == [1]
     assert lines('o = {\n "secret_key":\n   "' + KEY + '",\n}') == [3]
