@@ -30,25 +30,51 @@ class Finding(NamedTuple):
     spans: tuple[tuple[int, int], ...]
 
 
-# Formats of public providers' tokens.
-PROVIDER = re.compile(
-    r"(?<![A-Za-z0-9])(?:sk-[A-Za-z0-9_-]{20,}|gh[pousr]_[A-Za-z0-9]{30,}|github_pat_\w{22,}|glpat-[\w-]{18,}|(?:AKIA|ASIA)[A-Z0-9]{16}"
-    r"|AIza[\w-]{30,}|xox[abeprs]-[A-Za-z0-9-]{16,}|(?:tok|sk|pk|rk)_(?:live|test)_[A-Za-z0-9]{16,}|npm_[A-Za-z0-9]{30,}|hf_[A-Za-z0-9]{30,}"
-    r"|SG\.[\w-]{16,}\.[\w-]{16,}|ya29\.[\w-]{20,}|eyJ[\w-]{8,}\.eyJ[\w-]{8,}\.[\w-]{16,})(?![A-Za-z0-9])"
+# Openings and rests of public providers' tokens.
+PROVIDERS = (
+    (("sk-",), r"[A-Za-z0-9_-]{20,}"),
+    (("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), r"[A-Za-z0-9]{30,}"),
+    (("github_pat_",), r"\w{22,}"),
+    (("glpat-",), r"[\w-]{18,}"),
+    (("AKIA", "ASIA"), r"[A-Z0-9]{16}"),
+    (("AIza",), r"[\w-]{30,}"),
+    (("xoxa-", "xoxb-", "xoxe-", "xoxp-", "xoxr-", "xoxs-"), r"[A-Za-z0-9-]{16,}"),
+    (tuple(f"{k}_{mode}_" for k in ("tok", "sk", "pk", "rk") for mode in ("live", "test")), r"[A-Za-z0-9]{16,}"),
+    (("npm_", "hf_"), r"[A-Za-z0-9]{30,}"),
+    (("SG.",), r"[\w-]{16,}\.[\w-]{16,}"),
+    (("ya29.",), r"[\w-]{20,}"),
+    (("eyJ",), r"[\w-]{8,}\.eyJ[\w-]{8,}\.[\w-]{16,}"),
 )
-# Words whose presence makes a line worth a closer look (lower case).
-HINTS = (
-    "passw", "passphr", "_pass", "pwd", "secret", "token", "apikey", "api_key", "api-key", "access_key", "access-key", "accesskey",
-    "private_key", "-key", "my key", "auth", "dsn", "credential", "://", "login", "connect", "curl", "bearer", "basic ", "pass ", "pass=",
-    "pass:", "pass'", 'pass"', "key is", "key:", "key =", "sk-", "gh", "glpat-", "akia", "asia", "aiza", "xox", "_live_", "npm_", "hf_", "eyj",
-    "비밀", "토큰", "パスワード", "トークン", "密码", "令牌", "contraseña", "clave", "mot de passe", "schlüssel", "sshpass",
-    '" +', "' +", '"+', "'+",
-)
-# Names that hold a credential.
+PROVIDER = re.compile("(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{'|'.join(map(re.escape, heads))}){rest}" for heads, rest in PROVIDERS) + ")(?![A-Za-z0-9])")
+# Names that hold a credential. Those of ``KEY_OWNERS`` end in key.
+KEY_OWNERS = ("api", "access", "private", "encryption", "signing", "account")
 CRED = (
-    r"(?:pass(?:word|wd|phrase|code)?|pwd|secret(?:[_-]?(?:access[_-]?)?key)?|api[_-]?key|access[_-]?key|private[_-]?key|encryption[_-]?key"
-    r"|signing[_-]?key|account[_-]?key|auth(?:[_-]?token|[_-]?key)?|token|credentials?)"
+    r"(?:pass(?:word|wd|phrase|code)?|pwd|secret(?:[_-]?(?:access[_-]?)?key)?"
+    rf"|(?:{'|'.join(KEY_OWNERS)})[_-]?key|auth(?:[_-]?token|[_-]?key)?|token|credentials?)"
 )
+# Parameters of a URL's query besides.
+QUERY_NAMES = ("token", "api_?key", "key", "sig", "signature", "password", "passwd", "pwd", "auth", "secret")
+# Methods that take a user and a password.
+LOGINS = ("login", "log_in", "connect", "set_auth", "auth", "authenticate", "set_credentials", "basic_auth", "signin", "sign_in")
+# Words that introduce a credential in prose of the corpus languages; those of ``PROSE_EAST`` need no word boundary.
+PROSE_WORDS = ("key", "token", "password", "passwd", "passphrase", "secret", "pass", "pw", "contraseña", "clave", "mot de passe", "jeton", "passwort", "kennwort", "schlüssel")
+PROSE_EAST = ("비밀번호", "토큰", "키", "パスワード", "トークン", "キー", "密码", "令牌", "密钥")
+# What each match of a pattern below must hold on the line where it begins: in any case (lower case here), and as it stands.
+HINTS = tuple(
+    dict.fromkeys(
+        (
+            "pass", "pwd", "secret", "auth", "token", "credential", *(owner + sep + "key" for owner in KEY_OWNERS for sep in ("", "_", "-")),
+            *(name.replace("_?", "") + "=" for name in QUERY_NAMES), "api_key=", *PROSE_WORDS, *PROSE_EAST,
+            *(f".{name}" for name in LOGINS), "bearer", '"basic', "'basic", "://",
+        )
+    )
+)
+EXACT = (*(head for heads, _ in PROVIDERS for head in heads), "-u", "--user", "--proxy-user", "sshpass", "mysql")
+#: Hints that hold another hint are found with it.
+HINTS = tuple(h for h in HINTS if not any(o != h and o in h for o in HINTS))
+EXACT = tuple(h for h in EXACT if not any(o in h.lower() for o in HINTS) and not any(o != h and o in h for o in EXACT))
+#: Letters that a pattern takes for another one where case doesn't matter.
+ALIKE = {"ſ": "s", "ı": "i", "İ": "i", "\u212a": "k"}
 QUOTED = r"[bBrRuUfF]{0,2}(?P<q>\"\"\"|'''|\\?[\"'])(?P<v>(?:(?!(?P=q))[^\n]){1,4000}?)(?P=q)"
 PIECES = re.compile(r"\s*(?:\+\s*|\\\n\s*)?[bBrRuUfF]{0,2}([\"'])((?:(?!\1)[^\\\n])*)\1")
 ASSIGN = re.compile(
@@ -61,22 +87,21 @@ DEFAULT = re.compile(
     rf"|(?:environ\.get|getenv|\.get|setdefault|pop)\(\s*[\"'][\w.-]*?(?i:{CRED})[\"']\s*,\s*[bruf]?[\"'](?P<w>[^\"'\n]+)[\"']"
 )
 URL = re.compile(r"(?<![A-Za-z0-9])[A-Za-z][A-Za-z0-9+.-]{1,20}://(?P<u>[^\s:/@\"'<>`]{0,200}):(?P<v>[^\s@\"'<>`]{1,400})@(?=[\w.\[{-])")
-QUERY = re.compile(r"(?i)[?&](?:[a-z]+[_-])?(?:token|api_?key|key|sig|signature|password|passwd|pwd|auth|secret)=(?P<v>[^&\s\"'<>#`]+)")
+QUERY = re.compile(rf"(?i)[?&](?:[a-z]+[_-])?(?:{'|'.join(QUERY_NAMES)})=(?P<v>[^&\s\"'<>#`]+)")
 HEADER = re.compile(
     r"(?i)authorization\\?[\"']?\s*[:=,]\s*[bf]?\\?[\"']?(?P<s>bearer|basic|token|apikey)\s+(?P<v>[^\s\"'<>`\\]+)|[\"'](?P<t>bearer|basic)\s+(?P<w>[^\s\"'<>`\\]+)[\"']"
     r"|(?<![a-z0-9])x-[a-z0-9-]*?(?:key|token|secret|auth)\\?[\"']?\s*[:=]\s*\\?[\"']?(?P<x>[^\s\"'<>`\\]+)"
 )
 CALL = re.compile(
-    r"(?i)(?:\.(?:login|log_in|connect|set_auth|auth|authenticate|set_credentials|basic_auth|sign_?in)|httpbasicauth|auth\s*=\s*)\(\s*[bruf]?[\"'][^\"'\n]*[\"']\s*,\s*"
+    rf"(?i)(?:\.(?:{'|'.join(LOGINS)})|httpbasicauth|auth\s*=\s*)\(\s*[bruf]?[\"'][^\"'\n]*[\"']\s*,\s*"
     r"(?:\w+\s*=\s*)?[bruf]?[\"'](?P<v>[^\"'\n]+)[\"']"
 )
 COMMAND = re.compile(
     r"(?:(?<=\s)|(?<=[\"']))(?:-u|--user|--proxy-user)[\"']?(?:\s*,\s*|[\s=]+)[\"']?(?P<u>[^\s:\"',]+):(?P<v>[^\s\"']+)"
     r"|sshpass\s+-p\s*[\"']?(?P<w>[^\s\"']+)|\bmysql\w*\b[^\n]*?\s-p(?P<x>[^\s\"']+)"
 )
-# How prose in the corpus languages introduces a credential.
 PROSE = re.compile(
-    r"(?i)(?:\b(?:key|token|password|passwd|passphrase|secret|pass|pw|contraseña|clave|mot de passe|jeton|passwort|kennwort|schlüssel)|비밀번호|토큰|키|パスワード|トークン|キー|密码|令牌|密钥)"
+    rf"(?i)(?:\b(?:{'|'.join(PROSE_WORDS)})|{'|'.join(PROSE_EAST)})"
     r"\s*(?:is|was|ist|lautet|est|es|:|=|는|은|가|이|は|是|为|：)\s*:?\s*[\"'`]?(?P<v>[^\s\"'`,;<>]+)"
 )
 # Stand-ins that are no credentials.
@@ -182,19 +207,24 @@ def _basic(v: str) -> bool:
 
 
 def _regions(text: str) -> list[tuple[int, int, int]]:
-    """(start, end of line, end with two more lines) of each line that holds a hint."""
+    """(start, end of line, end with two more lines) of each line on which a pattern can begin: it holds a hint, or a literal that is continued."""
     low = text.lower()
     if len(low) != len(text):
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    if not text.isascii():
+        for letter, other in ALIKE.items():
+            low = low.replace(letter, other)
     starts = set()
-    for hint in HINTS:
-        at = low.find(hint)
-        while at >= 0:
-            starts.add(low.rfind("\n", 0, at) + 1)
-            end = low.find("\n", at)
-            if end < 0:
-                break
-            at = low.find(hint, end)
+    for where, hints in ((low, HINTS), (text, EXACT)):
+        for hint in hints:
+            at = where.find(hint)
+            while at >= 0:
+                starts.add(where.rfind("\n", 0, at) + 1)
+                end = where.find("\n", at)
+                if end < 0:
+                    break
+                at = where.find(hint, end)
+    starts.update(text.rfind("\n", 0, m.start()) + 1 for m in CONTINUED.finditer(text))
     out = []
     for start in sorted(starts):
         far = end = len(text) if (end := text.find("\n", start)) < 0 else end
@@ -283,6 +313,8 @@ def scan(text: str | None, layers: int = MAX_LAYERS) -> list[Finding]:
     return taken
 
 
+#: The end of a literal that is continued, as ``MORE`` has it.
+CONTINUED = re.compile(r"[\"'](?:\s*\+|[ \t]*\n[ \t]*[bBrRuUfF]{0,2}[\"'])")
 MORE = re.compile(r"([\"'])((?:(?!\1)[^\\\n])+)\1(?=\s*\+|[ \t]*\n[ \t]*[bBrRuUfF]{0,2}[\"'][^\"'\n])")
 
 

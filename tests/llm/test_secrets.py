@@ -57,6 +57,35 @@ def test_found_and_redacted(line):
     assert lines(out) == []
 
 
+WORD = "Q7w!branch2x"
+NAMES = ["pass", "password", "passwd", "passphrase", "passcode", "pwd", "secret", "secret_key", "secret_access_key", "auth", "auth_token", "authkey", "token", "credential", "credentials"]
+NAMES += [owner + sep + "key" for owner in S.KEY_OWNERS for sep in ("", "_", "-")]
+BODY = "aB3dE5fG7jK9mN1pQ3sT5vW7yZ"
+RESTS = {"SG.": f"{BODY}.{BODY}", "eyJ": f"{BODY}.eyJ{BODY}.{BODY}", "AKIA": "TBZ0SMH6WLXKSCEH", "ASIA": "TBZ0SMH6WLXKSCEH"}
+
+
+@pytest.mark.parametrize(
+    "line",
+    [f"{n.upper()}=QUO54798.rosruc" for n in NAMES]
+    + [f'{{"{n}": "{WORD}"}}' for n in NAMES]
+    + [f"AccountKey={BODY};", f"<{NAMES[4]}>{WORD}</{NAMES[4]}>", f'add("--signing-key", default="{WORD}")']
+    + [f"v = '{head}{RESTS.get(head, BODY + BODY)}'" for heads, _ in S.PROVIDERS for head in heads]
+    + [f"{w} = {WORD}" for w in S.PROSE_WORDS + S.PROSE_EAST]
+    + [f"{w} {verb} {WORD}" for w, verb in (("The KEY", "was"), ("Das Kennwort", "lautet"), ("Le jeton", "est"), ("La clave", "es"), ("키", "는"), ("キー", "は"), ("密钥", "是"))]
+    + [f"x.{name}('u', '{WORD}')" for name in S.LOGINS]
+    + [f"HTTPBasicAuth('u', '{WORD}')", f"get(u, auth=('u', '{WORD}'))"]
+    + [f"wget {flag} frame:{WORD} c.example" for flag in ("-u", "--user", "--proxy-user")]
+    + [f"mysql -u x -p{WORD}", f"sshpass -p {WORD} x", f"ab://u:{WORD}@c.example", f"h = ['bearer {BODY}']", f"X-Auth: {WORD}", f"Authorization: Bearer {BODY}"]
+    + [f"/v?{n.replace('_?', '_')}={WORD}" for n in S.QUERY_NAMES]
+    + [f"h = '{scheme}\t" + base64.b64encode(b"corpus:widget-ticket-50").decode() + "'" for scheme in ("basic", "Basic")]
+    + [f's = ("Pa"\n "ssword={WORD};")', f's = "Pa"  + "ssword={WORD};"', f's = "Pa"\n  + "ssword={WORD};"', f"\u017figning_key = '{WORD}'"],
+)
+def test_every_trigger_is_reached_on_a_line_of_its_own(line):
+    text = f"x = 1\n{line}\ny = 2\n"
+    assert lines(text) == [2]
+    assert WORD not in S.redact(text) and BODY not in S.redact(text)
+
+
 @pytest.mark.parametrize(
     "line",
     [
