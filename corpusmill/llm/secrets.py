@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import binascii
 import re
+from bisect import bisect_left
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 from corpusmill.runtime import map_columns
 
-MAX_LAYERS = 3
+#: Encoded layers that are opened; None: until nothing decodes. Each layer is shorter than the one around it.
+MAX_LAYERS: int | None = None
 
 
 class Finding(NamedTuple):
@@ -116,6 +118,16 @@ SNAKE = re.compile(r"_*[a-z]+(?:_[a-z0-9]+)*_*|_*[A-Z]+(?:_[A-Z0-9]+)*_*|[a-z]+(
 WORDS_NUMBER = re.compile(r"[a-z]{3,}(?:-[a-z]{2,}){2,}-\d{1,6}")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*?)PRIVATE KEY(?: BLOCK)?-----(.*?)(?:-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----|\Z)", re.S)
 RUN = re.compile(r"(?<![A-Za-z0-9+/_%=-])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/_-])")
+# A line of a wrapped run that is followed by another, and what stands between two lines.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_%-])[A-Za-z0-9+/_-]{16,}(?=[ \t]*\\?\r?\n[ \t]*(?:(?:[#*;>]+|//|--)[ \t]+)?[A-Za-z0-9+/_-]|(?:\\r)?\\n[A-Za-z0-9+/_-])")
+WRAP = re.compile(r"[ \t]*\\?\r?\n[ \t]*(?:(?:[#*;>]+|//|--)[ \t]+)?|(?:\\r)?\\n")
+WRAPPED_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+# Calls that decode their argument.
+DECODERS = ("b64decode", "decodebytes", "decodestring", "a2b_base64", "from_base64", "fromhex", "unhexlify", "a2b_hex", "codecs.decode", "atob")
+DECODER = re.compile(rf"(?:{'|'.join(map(re.escape, DECODERS))})\(\s*[bBrRuU]{{0,2}}([\"'])(?P<v>(?:(?!\1)[^\n\\])+)\1")
+SUFFIX = re.compile(r"(?i)[_-]?(?:b64|base64|hex|enc|encoded)(?=\\?[\"']?\]?\s*[:=])")
+#: A percent sign that was encoded over and over.
+PERCENTS = re.compile(r"%(?:25)+(?=[0-9A-Fa-f]{2})")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2}[\w.~+/:;@-]*){3,}")
 BACKSLASH = re.compile(r"(?:\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}){4,}")
 
@@ -243,7 +255,46 @@ def _joined(text: str, m: re.Match) -> tuple[str, list[tuple[int, int]]]:
     return value, spans
 
 
-def scan(text: str | None, layers: int = MAX_LAYERS) -> list[Finding]:
+def _contextual(text: str, start: int, end: int, far: int, add, inside) -> None:
+    """What the patterns find on one line."""
+    for m in PROVIDER.finditer(text, start, end):
+        if not MASKED.search(m[0]) and not inside(m.start()):
+            add("token", m.span())
+    for m in ASSIGN.finditer(text, start, far):
+        if m.start() > end:
+            break
+        if m["v"] is not None:
+            value, spans = _joined(text, m)
+            if literal(value, True) and (len(spans) == 1 or text[m.start() : spans[0][0]].find("(") >= 0 or "+" in text[spans[0][1] : spans[-1][0]] or "\n" not in text[spans[0][1] : spans[-1][0]]):
+                add("password" if "pass" in m[0].lower() or "pwd" in m[0].lower() else "secret", *spans)
+        elif literal(m["u"], False) and "\n" not in text[m.start() : m.start("u")].rstrip("\n")[-1:]:
+            add("secret", m.span("u"))
+    for pattern, kind in ((MARKUP, "secret"), (DEFAULT, "secret"), (QUERY, "token"), (CALL, "password")):
+        for m in pattern.finditer(text, start, end):
+            group = "v" if m["v"] is not None else "w"
+            if literal(m[group], True):
+                add(kind, m.span(group))
+    for m in URL.finditer(text, start, end):
+        v = unquote(m["v"])
+        if len(v) >= 5 and not STAND_IN.fullmatch(v) and not MASKED.search(v) and not re.match(r"\d+/|\{|\$|%[(sd]", v) and not m["u"].startswith(("{", "$")):
+            add("url_login", m.span("v"))
+    for m in HEADER.finditer(text, start, end):
+        scheme, group = (m["s"], "v") if m["v"] else (m["t"], "w") if m["w"] else ("key", "x")
+        v = m[group].rstrip(".,;")
+        if (scheme.lower() == "basic" and _basic(v)) or (scheme.lower() != "basic" and literal(v, True)):
+            add("header", (m.start(group), m.start(group) + len(v)))
+    for m in COMMAND.finditer(text, start, end):
+        group = next(g for g in "vwx" if m[g])
+        v = m[group].rstrip(",;")
+        if literal(v, True):
+            add("command", (m.start(group), m.start(group) + len(v)))
+    for m in PROSE.finditer(text, start, end):
+        v = m["v"].rstrip(".。!?)")
+        if strong(v):
+            add("prose", (m.start("v"), m.start("v") + len(v)))
+
+
+def scan(text: str | None, layers: int | None = MAX_LAYERS) -> list[Finding]:
     """All credential literals of a text in order of position."""
     if not text or not text.strip():
         return []
@@ -265,47 +316,17 @@ def scan(text: str | None, layers: int = MAX_LAYERS) -> list[Finding]:
     def inside(at: int) -> bool:
         return any(a <= at < b for a, b in blocks)
 
+    held: list[Held] = []
+    joined = 0
     for start, end, far in _regions(text):
+        _contextual(text, start, end, far, add, inside)
         line = text[start:end]
-        for m in PROVIDER.finditer(text, start, end):
-            if not MASKED.search(m[0]) and not inside(m.start()):
-                add("token", m.span())
-        for m in ASSIGN.finditer(text, start, far):
-            if m.start() > end:
-                break
-            if m["v"] is not None:
-                value, spans = _joined(text, m)
-                if literal(value, True) and (len(spans) == 1 or text[m.start() : spans[0][0]].find("(") >= 0 or "+" in text[spans[0][1] : spans[-1][0]] or "\n" not in text[spans[0][1] : spans[-1][0]]):
-                    add("password" if "pass" in m[0].lower() or "pwd" in m[0].lower() else "secret", *spans)
-            elif literal(m["u"], False) and "\n" not in text[m.start() : m.start("u")].rstrip("\n")[-1:]:
-                add("secret", m.span("u"))
-        for pattern, kind in ((MARKUP, "secret"), (DEFAULT, "secret"), (QUERY, "token"), (CALL, "password")):
-            for m in pattern.finditer(text, start, end):
-                group = "v" if m["v"] is not None else "w"
-                if literal(m[group], True):
-                    add(kind, m.span(group))
-        for m in URL.finditer(text, start, end):
-            v = unquote(m["v"])
-            if len(v) >= 5 and not STAND_IN.fullmatch(v) and not MASKED.search(v) and not re.match(r"\d+/|\{|\$|%[(sd]", v) and not m["u"].startswith(("{", "$")):
-                add("url_login", m.span("v"))
-        for m in HEADER.finditer(text, start, end):
-            scheme, group = (m["s"], "v") if m["v"] else (m["t"], "w") if m["w"] else ("key", "x")
-            v = m[group].rstrip(".,;")
-            if (scheme.lower() == "basic" and _basic(v)) or (scheme.lower() != "basic" and literal(v, True)):
-                add("header", (m.start(group), m.start(group) + len(v)))
-        for m in COMMAND.finditer(text, start, end):
-            group = next(g for g in "vwx" if m[g])
-            v = m[group].rstrip(",;")
-            if literal(v, True):
-                add("command", (m.start(group), m.start(group) + len(v)))
-        for m in PROSE.finditer(text, start, end):
-            v = m["v"].rstrip(".。!?)")
-            if strong(v):
-                add("prose", (m.start("v"), m.start("v") + len(v)))
-        if '"' in line or "'" in line:
-            _split_strings(text, start, end, far, add)
-    if layers:
-        _encoded(text, layers, add, inside, found)
+        if joined < end and ('"' in line or "'" in line):
+            joined = _split_strings(text, max(start, joined), end, far, layers, add, held)
+    if layers is None or layers > 0:
+        _encoded(text, layers and layers - 1, add, inside, found, held)
+        if held:
+            _in_place(text, held, add)
     taken: list[Finding] = []
     for f in sorted(found.values(), key=lambda f: (f.start, -f.spans[-1][1])):
         if (not taken or f.start >= taken[-1].spans[-1][1]) and not (f.kind != "private_key" and inside(f.start)):
@@ -318,8 +339,8 @@ CONTINUED = re.compile(r"[\"'](?:\s*\+|[ \t]*\n[ \t]*[bBrRuUfF]{0,2}[\"'])")
 MORE = re.compile(r"([\"'])((?:(?!\1)[^\\\n])+)\1(?=\s*\+|[ \t]*\n[ \t]*[bBrRuUfF]{0,2}[\"'][^\"'\n])")
 
 
-def _split_strings(text: str, start: int, end: int, far: int, add) -> None:
-    """Literals put together from pieces: what only shows in the joined text is found at the first piece."""
+def _split_strings(text: str, start: int, end: int, far: int, layers: int | None, add, held: list[Held]) -> int:
+    """Literals put together from pieces: what only shows in the joined text is found at the first piece. Returns where the last one ends."""
     at = start
     while (m := MORE.search(text, at, far)) and m.start() < end:
         pieces, nxt = [m.span(2)], m.end()
@@ -333,49 +354,182 @@ def _split_strings(text: str, start: int, end: int, far: int, add) -> None:
         for a, b in pieces:
             edges.append(len(joined))
             joined += text[a:b]
-        alone = {text[a:b][x.spans[0][0] : x.spans[-1][1]] for a, b in pieces for x in scan(text[a:b], 0)}
+        alone = {text[a:b][x.spans[0][0] : x.spans[-1][1]] for a, b in pieces for x in scan(text[a:b], layers)}
         spans = []
-        for f in scan(joined, 0):
-            if joined[f.spans[0][0] : f.spans[-1][1]] in alone:
+        whole = [f.spans for f in scan(joined, layers)]
+        if not whole and (values := list(_unwrapped(joined))):
+            held.append(Held(pieces[0][0], pieces[-1][1], "split", ((pieces[0][0], pieces[0][0]), *pieces), values))
+        for found in whole:
+            if joined[found[0][0] : found[-1][1]] in alone:
                 continue
-            for a, b in f.spans:
+            for a, b in found:
                 for (pa, pb), e in zip(pieces, edges):
                     lo, hi = max(a, e), min(b, e + pb - pa)
                     if lo < hi:
                         spans.append((pa + lo - e, pa + hi - e))
         if spans:
             add("split", (pieces[0][0], pieces[0][0]), *spans)
+    return at
+
+
+def _plain_layer(v: str) -> str | None:
+    """The text that a whole value encodes."""
+    if re.fullmatch(r"[A-Za-z0-9+/_-]{4,}={0,2}", v):
+        data = bytes.fromhex(v) if re.fullmatch(r"(?:[0-9a-f]{2})+|(?:[0-9A-F]{2})+", v) else _decoded(v)
+        return _text(data) if data else None
+    if "%" in v and (s := unquote(PERCENTS.sub("%", v))) != v:
+        return s
+    if "\\" in v and (s := _unescaped(v)) != v:
+        return s
+    return None
+
+
+def _unescaped(v: str) -> str:
+    return re.sub(r"\\x([0-9a-fA-F]{2})|\\u([0-9a-fA-F]{4})", lambda x: chr(int(x[1] or x[2], 16)), v)
+
+
+def _unwrapped(v: str):
+    """The texts under a value's layers, outermost first."""
+    while (v := _plain_layer(v.strip())) is not None:
+        yield v
+
+
+class Held(NamedTuple):
+    """A literal that encodes ``values``, none of which is a credential by itself."""
+
+    start: int
+    end: int
+    kind: str
+    spans: tuple[tuple[int, int], ...]
+    values: list[str]
+
+
+def _in_place(text: str, held: list[Held], add) -> None:
+    """Judge decoded values where their literals stand: under their names, in their calls or markup, without calls that decode them."""
+    held = [h._replace(values=[v for x in h.values if len(v := x.strip()) >= 4 and not re.search(r"\s", v)]) for h in {h[:2]: h for h in reversed(held)}.values()]
+    while held := [h for h in held if h.values]:
+        held.sort(key=lambda h: (h.start, -h.end))
+        now, later, edge = [], [], 0
+        for h in held:
+            if h.start < edge:
+                later.append(h)
+            else:
+                now.append(h)
+                edge = h.end
+        parts, places, at, size = [], [], 0, 0
+        for h in now:
+            head, value, at = text[at : h.start], h.values[0], h.end
+            if head.endswith(("'", '"')):
+                mark = head[-1]
+                head = head.rstrip(mark)
+                while text.startswith(mark, at):
+                    at += 1
+                if re.search(r"(?<!\w)[bBrRuUfF]{1,2}\Z", head[-3:]):
+                    head = head.rstrip("bBrRuUfF")
+                while (cut := head.rstrip()).endswith("("):
+                    k = len(cut) - 1
+                    while k and (cut[k - 1].isalnum() or cut[k - 1] in "_."):
+                        k -= 1
+                    head = cut[:k]
+                quote = next((q for q in ('"', "'") if q not in value), '"""')
+                value = quote + value + quote
+            head = SUFFIX.sub("", head)
+            parts += [head, value]
+            places.append((size + len(head), size + len(head) + len(value)))
+            size = places[-1][1]
+        changed, hits = "".join(parts) + text[at:], []
+        starts = [a for a, _ in places]
+        for start, end, far in _regions(changed):
+            k = bisect_left(starts, far)
+            if k and places[k - 1][1] > start:
+                _contextual(changed, start, end, far, lambda kind, *spans: hits.extend(spans), lambda _: False)
+        hit = set()
+        for a, b in hits:
+            k = bisect_left(starts, b)
+            while k and places[k - 1][1] > a:
+                k -= 1
+                hit.add(k)
+        for k, h in enumerate(now):
+            if k in hit:
+                add(h.kind, *h.spans)
+            else:
+                later.append(h._replace(values=h.values[1:]))
+        held = later
+
+
+def _wrapped(text: str):
+    """Runs that go on over several lines of one width, a shorter one last: (spans of the lines, all characters)."""
+    at = 0
+    while m := WRAPPED.search(text, at):
+        spans, width, at = [m.span()], len(m[0]), m.end()
+        while (w := WRAP.match(text, at)) and (p := WRAPPED_LINE.match(text, w.end())) and len(p[0]) <= width:
+            spans.append(p.span())
+            at = p.end()
+            if len(p[0]) < width or p[0].endswith("="):
+                break
+        if len(spans) > 1:
+            yield spans, "".join(text[a:b] for a, b in spans)
+            if len(spans) > 2:
+                yield spans[:-1], "".join(text[a:b] for a, b in spans[:-1])
+
+
+def _may_decode(run: str) -> bool:
+    return run.isalnum() and (run.lower() == run or run.isupper()) or bool(re.search(r"[a-z]", run) and re.search(r"[A-Z]", run))
 
 
-def _encoded(text: str, layers: int, add, inside, found) -> None:
+def _encoded(text: str, layers: int | None, add, inside, found, held: list[Held]) -> None:
+    """Literals that hold a credential under base64, hex, percent or backslash layers; ``layers`` more may be opened below."""
+
+    def holds(s: str, kind: str, *spans: tuple[int, int]) -> bool:
+        if scan(s, layers):
+            return True
+        held.append(Held(spans[0][0], spans[-1][1], kind, spans, [s, *_unwrapped(s)]))
+        return False
+
+    covered: list[tuple[int, int]] = []
+    for spans, run in _wrapped(text):
+        a, b = spans[0][0], spans[-1][1]
+        if inside(a) or covered and a < covered[-1][1] or not _may_decode(run) or text[max(0, a - 8) : a].endswith("base64,") or not (data := _decoded(run)):
+            continue
+        if _der(data):
+            found[a] = Finding(a, "private_key", tuple(spans))
+        elif (s := _text(data)) and holds(s, "encoded", *spans):
+            found[a] = Finding(a, "encoded", tuple(spans))
+        else:
+            continue
+        covered.append((a, b))
     for m in RUN.finditer(text):
         run = m[0]
         if m.start() in found or inside(m.start()) or text[max(0, m.start() - 8) : m.start()].endswith("base64,"):
             continue
-        if not (run.isalnum() and run.lower() == run or run.isupper() and run.isalnum()) and not (re.search(r"[a-z]", run) and re.search(r"[A-Z]", run)):
+        if not _may_decode(run) or any(a <= m.start() < b for a, b in covered):
             continue
         data = _decoded(run)
         if not data:
             continue
         if _der(data):
             add("private_key", m.span())
-        elif (s := _text(data)) and scan(s, layers - 1):
+        elif (s := _text(data)) and holds(s, "encoded", m.span()):
             add("encoded", m.span())
+    if any(name in text for name in DECODERS):
+        for m in DECODER.finditer(text):
+            if m.start("v") not in found and not inside(m.start()):
+                held.append(Held(*m.span("v"), "encoded", (m.span("v"),), list(_unwrapped(m["v"]))))
     if "%" in text:
         for m in PERCENT.finditer(text):
             start = m.start()
             while start and (text[start - 1].isalnum() or text[start - 1] in "._~+/:;@-"):
                 start -= 1
-            if start not in found and not inside(start) and scan(unquote(text[start : m.end()]), layers - 1):
+            if start not in found and not inside(start) and holds(unquote(PERCENTS.sub("%", text[start : m.end()])), "encoded", (start, m.end())):
                 add("encoded", (start, m.end()))
     if "\\x" in text or "\\u" in text:
         for m in BACKSLASH.finditer(text):
-            s = re.sub(r"\\[xu]([0-9a-fA-F]+)", lambda x: chr(int(x[1], 16)), m[0])
-            if scan(s, layers - 1) or strong(s):
+            s = _unescaped(m[0])
+            if strong(s) or holds(s, "encoded", m.span()):
                 add("encoded", m.span())
 
 
-def redact(text: str | None, layers: int = MAX_LAYERS) -> str | None:
+def redact(text: str | None, layers: int | None = MAX_LAYERS) -> str | None:
     """The text with each credential replaced by ``REDACTED_<KIND>``; everything else, line structure included, is untouched."""
     if not text:
         return text
@@ -405,7 +559,7 @@ def _lines(text: str, findings: list[Finding]) -> list[tuple[int, str]]:
     return list(seen.items())
 
 
-def find(df: DataFrame, id_col: str, text_col: str, layers: int = MAX_LAYERS) -> DataFrame:
+def find(df: DataFrame, id_col: str, text_col: str, layers: int | None = MAX_LAYERS) -> DataFrame:
     """(id, line_no, kind): one row per line on which a credential begins. Map-only: no shuffle, one pass over the text."""
 
     def batch(ids, texts):
@@ -421,7 +575,7 @@ def find(df: DataFrame, id_col: str, text_col: str, layers: int = MAX_LAYERS) ->
     return map_columns(df, [id_col, text_col], batch, "id bigint, line_no int, kind string")
 
 
-def find_in_messages(df: DataFrame, id_col: str, messages_col: str, layers: int = MAX_LAYERS) -> DataFrame:
+def find_in_messages(df: DataFrame, id_col: str, messages_col: str, layers: int | None = MAX_LAYERS) -> DataFrame:
     """(id, msg_idx, line_no, kind) over an array of (role, content) turns."""
 
     def batch(ids, all_messages):
@@ -437,7 +591,7 @@ def find_in_messages(df: DataFrame, id_col: str, messages_col: str, layers: int
     return map_columns(df, [id_col, messages_col], batch, "id bigint, msg_idx int, line_no int, kind string")
 
 
-def redacted(df: DataFrame, id_col: str, text_col: str, layers: int = MAX_LAYERS) -> DataFrame:
+def redacted(df: DataFrame, id_col: str, text_col: str, layers: int | None = MAX_LAYERS) -> DataFrame:
     """(id, text, n_found): each row's text with its credentials replaced; null stays null."""
 
     def batch(ids, texts):
@@ -446,7 +600,7 @@ def redacted(df: DataFrame, id_col: str, text_col: str, layers: int = MAX_LAYERS
     return map_columns(df, [id_col, text_col], batch, "id bigint, text string, n_found int")
 
 
-def redacted_messages(df: DataFrame, id_col: str, messages_col: str, layers: int = MAX_LAYERS) -> DataFrame:
+def redacted_messages(df: DataFrame, id_col: str, messages_col: str, layers: int | None = MAX_LAYERS) -> DataFrame:
     """(id, messages): the turns with credentials replaced; roles, order and null contents stay."""
 
     def batch(ids, all_messages):

@@ -101,6 +101,50 @@ def test_no_credential(line):
     assert lines(line) == [] and S.redact(line) == line
 
 
+def b64(s, times=1):
+    for _ in range(times):
+        s = base64.b64encode(s if isinstance(s, bytes) else s.encode()).decode()
+    return s
+
+
+def wrap(s, width, sep="\n"):
+    return sep.join(s[i : i + width] for i in range(0, len(s), width))
+
+
+BARE = "S3cr3t-Branch-2605!"
+DER = b"\x30\x82\x01\x05\x02\x01\x00\x30\x0d" + bytes(range(256))
+OPENSSH = b"openssh-key-v1\0" + bytes(range(240))
+BLOB = b64('password = "Valve#page5967"')
+
+
+@pytest.mark.parametrize(
+    ("text", "left"),
+    [
+        (f'blob = ("{BLOB[:17]}"\n    "{BLOB[17:]}")', BLOB[17:]), (f'blob = "{BLOB[:9]}" + "{BLOB[9:]}"', BLOB[9:]), (f'k = ("{wrap(b64(DER), 60, chr(34) + chr(10) + chr(34))}")', b64(DER)[60:120]),
+        (f'PASSWORD = b64decode("{b64(BARE)[:11]}"\n    "{b64(BARE)[11:]}")', b64(BARE)[11:]),
+        *((f'k = """{wrap(b64(key), width)}\n"""', b64(key)[width : width * 2]) for width in (64, 76) for key in (DER, OPENSSH, PEM)),
+        (f"key:\n  {wrap(b64(DER), 64, chr(10) + '  ')}\nnext: 1", b64(DER)[64:128]), (f"private_key:\n  {wrap(b64(DER), 64, chr(10) + '  ')}\nnext: 1", b64(DER)[64:128]), (f"# {wrap(b64(DER), 64, chr(10) + '# ')}\nword", b64(DER)[64:128]),
+        (f'k = "{wrap(b64(DER), 64, chr(92) + "n")}"', b64(DER)[64:128]), (wrap(b64('x = 1\npassword = "Valve#page5967"\ny = 2'), 24), b64('x = 1\npassword = "Valve#page5967"\ny = 2')[24:48]),
+        (f'PASSWORD = b64decode("{b64(BARE)}")', b64(BARE)), (f"PASSWORD = base64.b64decode(b'{b64(BARE)}').decode()", b64(BARE)), (f'PASSWORD = b64decode(b64decode("{b64(BARE, 2)}"))', b64(BARE, 2)), (f'x.password = bytes.fromhex("{BARE.encode().hex()}")', BARE.encode().hex()),
+        (f'PASSWORD = b64decode("{b64(WORD)}")', b64(WORD)), (f'x.login("u", b64decode("{b64(BARE)}"))', b64(BARE)), (f'p = os.environ.get("X_TOKEN", b64decode("{b64(BARE)}"))', b64(BARE)), (f'SECRET_HEX = "{BARE.encode().hex()}"', BARE.encode().hex()),
+        (f'v = "{b64(f"password = {BARE}", 6)}"', b64(f"password = {BARE}", 6)), ('v = "' + "password%3D%22Valve%23page5967%22".replace("%", "%25252525") + '"', "page5967"),
+    ],
+)
+def test_layers_over_pieces_lines_and_names(text, left):
+    found = lines(f"x = 1\n{text}\nz = 2\n")
+    assert found == [3 if "key:\n" in text else 2]
+    out = S.redact(f"x = 1\n{text}\nz = 2\n")
+    assert left not in out and out.count("\n") == text.count("\n") + 3 and lines(out) == []
+
+
+@pytest.mark.parametrize(
+    "text",
+    [f'TITLE = b64decode("{b64("Branch protocol of today")}")', f'PASSWORD = b64decode("{b64("changeme")}")', f'PASSWORD_FIELD = b64decode("{b64("branch_client_secret_name")}")', f'k = """{wrap(b64(bytes(range(256)) * 2), 64)}"""', "\n".join(["import_row_buffer_of_table", "import_row_token_of_branch", "import_row"])],
+)
+def test_layers_without_credential(text):
+    assert S.scan(text) == [] and S.redact(text) == text
+
+
 def test_key_blocks_and_pieces_count_at_their_first_line():
     assert lines(f'a = 1\nP = """{PEM}"""\n') == [2]
     long = PEM.replace("\n-----END", "\n" + "AbCd0123+/" * 6 + "\n" + "AbCd0123+/" * 6 + "\n-----END")
