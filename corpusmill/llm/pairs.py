@@ -7,7 +7,8 @@ proposed defect follows, which only takes proposals away.
 
 Defined results: a record without an assistant turn, with a null, blank or filler answer is ``empty`` (also where the question is
 missing); records whose messages are null count as without assistant turn; a record has at most one defect, in the order of
-``DEFECTS``; repeated records are judged each; with no usable training rows (an empty table) nothing is proposed.
+``DEFECTS``; repeated records are judged each; a defect without synthetic examples to calibrate it on (a small table, or one without
+sound exchanges) is proposed for every record, so that its exact check decides alone.
 """
 
 from __future__ import annotations
@@ -49,6 +50,16 @@ REFUSALS = {
     "ja": ["申し訳ありませんが、そのご依頼にはお応えできません。", "このコードを書くことはお断りいたします。", "その質問にはお答えできません。", "言語モデルのため、このコードは書けません。"],
     "zh": ["抱歉，我无法帮助您完成这个请求。", "很抱歉，我不能回答这个问题。", "作为语言模型，我不能编写这段代码。", "我必须拒绝这个请求。"],
 }
+# Sound answers in each corpus language, so that there is foreign prose where the sample has only one language.
+FOREIGN = {
+    "en": ["The function returns the sorted list and leaves the input as it was.", "You can use a dictionary for this, because the keys are unique and the order does not matter."],
+    "de": ["Die Funktion gibt die sortierte Liste zurück und lässt die Eingabe unverändert.", "Dafür kann man ein Wörterbuch verwenden, weil die Schlüssel eindeutig sind und die Reihenfolge nicht wichtig ist."],
+    "es": ["La función devuelve la lista ordenada y no cambia los datos de entrada.", "Para esto se puede usar un diccionario, porque las claves son únicas y el orden no importa."],
+    "fr": ["La fonction renvoie la liste triée et ne modifie pas les données en entrée.", "On peut utiliser un dictionnaire pour cela, parce que les clés sont uniques et que l'ordre ne compte pas."],
+    "ko": ["이 함수는 정렬된 목록을 반환하고 입력은 그대로 둡니다.", "키가 고유하고 순서는 중요하지 않으므로 사전을 사용하면 됩니다."],
+    "ja": ["この関数は並べ替えたリストを返し、入力は変更しません。", "キーは一意で順序は関係ないので、辞書を使うことができます。"],
+    "zh": ["这个函数返回排序后的列表，并且不会修改输入。", "因为键是唯一的，而且顺序并不重要，所以可以使用字典。"],
+}
 DECLINES = re.compile(
     r"(?i)\b(?:can(?:no|['’])t|can not|unable to|not able to|won['’]t be able|will not|won['’]t|could ?n['’]t|not going to|not (?:in a position|comfortable|allowed|possible for me))\b.{0,60}?\b(?:help|assist|provide|answer|write|review|do|give|comply|fulfil|share|create|support|discuss|produce|complete|this|that|here)\b"
     r"|\b(?:must|have to|need to|going to)\s+(?:\w+\s+)?(?:decline|refuse|pass on)\b|\b(?:decline|refuse) (?:to|this|that)\b|\brather not\b|\bas an? (?:ai )?(?:large )?(?:language model|ai\b|assistant)|\bagainst my\b|\bnot something i (?:can|will)\b"
@@ -288,7 +299,7 @@ def training_set(records: list[tuple[int, list[dict] | None]]) -> tuple[list[np.
         q, a, there = exchange(messages)
         if q and a and there and not any(verified(d, q, a, there) for d in DEFECTS):
             sound.append((i, q, a))
-    others: dict[str, list[str]] = {}
+    others = {k: list(v) for k, v in FOREIGN.items()}
     for _, _, a in sound:
         text = prose(a).strip()
         lang = language(text)
@@ -316,7 +327,7 @@ def fit(records: list[tuple[int, list[dict] | None]], epochs: int = 4, rate: flo
     weights = np.zeros((BUCKETS, len(DEFECTS)), np.float32)
     xs, ys, held = training_set(records)
     if not len(xs) or held.all():
-        return Classifier(weights, np.full(len(DEFECTS), np.inf, np.float32))
+        return Classifier(weights, np.full(len(DEFECTS), -np.inf, np.float32))
     grads = np.full_like(weights, 1e-6)
     order = np.flatnonzero(~held)
     for epoch in range(epochs):
@@ -330,7 +341,7 @@ def fit(records: list[tuple[int, list[dict] | None]], epochs: int = 4, rate: flo
     thresholds = []
     for k in range(len(DEFECTS)):
         positive = np.sort(margins[held & (ys[:, k] == 1), k])
-        thresholds.append(min(0.0, float(positive[int((1 - RECALL) * len(positive))])) - SLACK if len(positive) else np.inf)
+        thresholds.append(min(0.0, float(positive[int((1 - RECALL) * len(positive))])) - SLACK if len(positive) else -np.inf)
     return Classifier(weights, np.array(thresholds, np.float32))
 
 

@@ -52,3 +52,23 @@ def test_frames(frame):
     got = sorted((r.record_id, r.defect) for r in P.p6_found(df.repartition(5)).collect())
     assert got == [(1000, "empty"), (1001, "empty"), (1002, "empty"), (1003, "empty"), (1005, "other_language"), (1005, "other_language")]
     assert P.p6_found(df.limit(0)).count() == 0
+
+
+def as_messages(rows):
+    return [(i, [{"role": r, "content": c} for r, c in m]) for i, m in rows]
+
+
+BROKEN = [(ASK, "", "empty"), (ASK, ASK.upper(), "copies_question"), (ASK, "I'm sorry, but I can't help with that request.", "refusal"), (ASK, DE, "other_language"), (ASK, EN[:-12], "truncated")]
+
+
+@pytest.mark.parametrize("sound", [[], [(1, [("user", ASK), ("assistant", EN)])], [r for r in corpus() if r[0] % 2]])
+def test_defects_without_calibration_are_left_to_the_exact_check(sound):
+    model = P.fit(as_messages(sound + [(1000 + i, [("user", q), ("assistant", a)]) for i, (q, a, _) in enumerate(BROKEN)]))
+    for q, a, want in BROKEN:
+        assert want in model.proposals(P.features(q, a, True))
+    assert all(P.language(t) == k for k, texts in P.FOREIGN.items() for t in texts)
+
+
+def test_foreign_texts_of_one_language_table():
+    _, ys, held = P.training_set(as_messages([r for r in corpus() if r[0] % 2]))
+    assert ys[held][:, P.DEFECTS.index("other_language")].sum() > 0 < ys[~held][:, P.DEFECTS.index("other_language")].sum()
