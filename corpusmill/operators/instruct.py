@@ -6,8 +6,11 @@ cleaning are dropped; ids are marked together with the batch that holds their re
 
 from __future__ import annotations
 
+import random
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from typing import Protocol
 
 import pyarrow as pa
@@ -27,49 +30,85 @@ class RateLimited(Exception):
     """A provider asks to come back later."""
 
 
+@dataclass(frozen=True)
+class Request:
+    """What a provider is asked besides the prompt: its instructions, and the length and randomness of the answer."""
+
+    system: str = ""
+    max_tokens: int = 1_500
+    temperature: float = 0.0
+
+
 class CompletionProvider(Protocol):
     """One client per task. Whether a provider's terms allow training on its output is the operator's responsibility."""
 
-    def complete(self, prompt: str, system: str) -> str: ...
+    def complete(self, prompt: str, request: Request) -> str | Sequence[str]:
+        """The answer, as one text or in blocks that are joined."""
+        ...
 
 
 class OfflineProvider:
     """Deterministic stand-in without a network: names the first definition of the code in the prompt."""
 
-    def complete(self, prompt: str, system: str) -> str:
+    def complete(self, prompt: str, request: Request) -> str:
         import re
 
         m = re.search(r"(?:def|class)\s+(\w+)", prompt)
         return f'"Please write {m[1] if m else "a short script"} in Python."'
 
 
-def completed(df: DataFrame, prompt: str, make: Callable[[], CompletionProvider], system: str = "", attempts: int = 5, base_wait: float = 1.0, name: str = "answer") -> DataFrame:
-    """``df`` with the provider's answer to each prompt: exponential waiting on rate limits, empty text on any other failure."""
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema.fields)}, `{name}` string"
+#: The two builders' requests: their instructions are the same, a whole file may be told about at more length.
+SYSTEM = (
+    "You write training data. You are shown a piece of Python code that answers somebody's wish. Put that wish into English words, as a question or a command that a user "
+    "could have typed. Name what shall be reached, not how the code does it. Reply with the wish alone, without introduction or remarks."
+)
+FUNCTION_REQUEST = Request(SYSTEM, 1_500)
+DOCUMENT_REQUEST = Request(SYSTEM, 2_000)
+
+
+def completed(
+    df: DataFrame, prompt: str, make: Callable[[], CompletionProvider], request: Request = Request(), attempts: int = 5, base_wait: float = 1.0, jitter: float = 1.0, name: str = "answer", parallel: int = 4
+) -> DataFrame:
+    """``df`` with the provider's answer to each prompt and, in ``<name>_error``, why there is none.
+
+    On a rate limit a prompt waits ``base_wait * 2**i`` seconds and up to ``jitter`` more, so that tasks don't come back together; after
+    ``attempts`` of them, and on any other failure, the answer is empty text and the error is named. A null prompt has neither.
+    A task has ``parallel`` prompts under way at once.
+    """
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema.fields)}, `{name}` string, `{name}_error` string"
     arrow_schema = _arrow(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = make()
 
-        def ask(text: str | None) -> str | None:
+        def ask(text: str | None) -> tuple[str | None, str | None]:
             if text is None:
-                return None
+                return None, None
             for i in range(attempts):
                 try:
-                    return client.complete(text, system)
+                    said = client.complete(text, request)
+                    return (said if isinstance(said, str) else "".join(said)), None
                 except RateLimited:
-                    time.sleep(base_wait * 2**i)
-                except Exception:
-                    return ""
-            return ""
-
-        for batch in batches:
-            answers = pa.array([ask(t) for t in batch.column(batch.schema.get_field_index(prompt)).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, arrow_schema)] + [answers], schema=arrow_schema)
+                    if i + 1 < attempts:
+                        time.sleep(base_wait * 2**i + random.uniform(0, jitter))
+                except Exception as e:
+                    return "", type(e).__name__
+            return "", RateLimited.__name__
+
+        with ThreadPoolExecutor(parallel) as pool:
+            for batch in batches:
+                asked = list(pool.map(ask, batch.column(batch.schema.get_field_index(prompt)).to_pylist()))
+                answers = [pa.array(column, pa.string()) for column in (zip(*asked) if asked else ((), ()))]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, arrow_schema)] + answers, schema=arrow_schema)
 
     return df.mapInArrow(run, schema)
 
 
+def failures(asked: DataFrame, name: str = "answer") -> DataFrame:
+    """(error, n_prompts): prompts without an answer by error."""
+    return asked.where(F.col(f"{name}_error").isNotNull()).groupBy(F.col(f"{name}_error").alias("error")).agg(F.count("*").alias("n_prompts"))
+
+
 def unprocessed(docs: DataFrame, processed: DataFrame, key: str) -> DataFrame:
     """Documents whose key isn't in the log yet; log lines are stripped, empty ones ignored. The join shuffles on the key alone and
     Spark broadcasts a small log by itself."""
@@ -93,8 +132,8 @@ def function_chunks(docs: DataFrame, key: str, content: str = "content") -> Data
     return rows.where(~licence_chunk(F.col("chunk")))
 
 
-def _answered(rows: DataFrame, key: str, code: str, make, budget: int | None) -> DataFrame:
-    asked = completed(rows.withColumn("__prompt", instruction_prompt(F.col(code))), "__prompt", make, name="__raw")
+def _answered(rows: DataFrame, key: str, code: str, make, budget: int | None, request: Request) -> DataFrame:
+    asked = completed(rows.withColumn("__prompt", instruction_prompt(F.col(code))), "__prompt", make, request, name="__raw")
     told = asked.withColumn("__instruction", pyast.cleaned_answer(F.col("__raw"))).where("__instruction <> ''")
     if budget is not None:
         told = told.where(F.length("__instruction") + F.length(code) <= budget)
@@ -103,13 +142,13 @@ def _answered(rows: DataFrame, key: str, code: str, make, budget: int | None) ->
 
 def function_instructions(docs: DataFrame, key: str, content: str = "content", make: Callable[[], CompletionProvider] = OfflineProvider, budget: int = RECORD_BUDGET) -> DataFrame:
     """(key, idx, messages): a record per chunk within the budget."""
-    return _answered(function_chunks(docs, key, content), key, "chunk", make, budget).select(key, "idx", "messages")
+    return _answered(function_chunks(docs, key, content), key, "chunk", make, budget, FUNCTION_REQUEST).select(key, "idx", "messages")
 
 
 def document_instructions(docs: DataFrame, key: str, content: str = "content", make: Callable[[], CompletionProvider] = OfflineProvider, budget: int = DOCUMENT_BUDGET) -> DataFrame:
     """(key, messages): a record per document of at most ``budget`` characters."""
     rows = docs.where(F.col(content).isNotNull()).select(key, textfn.py_strip(content).alias("code")).where((F.col("code") != "") & (F.length("code") <= budget))
-    return _answered(rows, key, "code", make, None).select(key, "messages")
+    return _answered(rows, key, "code", make, None, DOCUMENT_REQUEST).select(key, "messages")
 
 
 def processed_ids(docs: DataFrame, records: DataFrame, key: str, content: str = "content", mark_failed: bool = False) -> DataFrame:

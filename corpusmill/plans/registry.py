@@ -101,6 +101,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "chat_regroup": lambda s, d: chat.regrouped(chat.turns(_chats(s, d), "record_id"), "record_id").select("record_id", F.size("messages").alias("n_turns"), F.md5(F.array_join(F.transform("messages", lambda m: F.coalesce(m["content"], F.lit("<null>"))), "|")).alias("joined_md5")),
         "fn_chunks": lambda s, d: instruct.function_chunks(_corpus(s, d), "doc_id"),
         "fn_chunks_files": lambda s, d: instruct.function_chunks(_files(s, d), "file_id"),
+        "fn_chunks_odd": lambda s, d: instruct.function_chunks(rendered.odd_files(table(s, d, "part")), "doc_id"),
+        "cleaned_answers": lambda s, d: rendered.answers(table(s, d, "part")).select("p_partkey", pyast.cleaned_answer("answer").alias("answer")),
         "instructions_function": lambda s, d: instruct.function_instructions(_corpus(s, d), "doc_id").select("doc_id", "idx", F.element_at("messages", 1)["content"].alias("instruction"), F.element_at("messages", 2)["content"].alias("code")),
         "instructions_document": lambda s, d: instruct.document_instructions(_files(s, d), "file_id").select("file_id", F.element_at("messages", 1)["content"].alias("instruction")),
         "page_headings": lambda s, d: _page(s, d, lambda t: html.headings(t, ("h2",)), "headings"),
@@ -222,7 +224,7 @@ def oracle_sql() -> dict[str, str]:
     first_name = lambda c: f"regexp_extract({c}, '(?:def|class)[{WS}]+([A-Za-z0-9_]+)', 1)"
     asked = lambda c: f"'Please write ' || CASE WHEN {first_name(c)} = '' THEN 'a short script' ELSE {first_name(c)} END || ' in Python.'"
     fn_chunks = f"""
-            WITH {corpus}, c AS (SELECT p, list_concat(list_concat(CASE WHEN header = '' THEN [] ELSE [header] END, funs),
+            WITH {corpus}, c AS (SELECT p, list_concat(funs,
                    list_concat(CASE WHEN len(klass) > 0 THEN ['class C' || p || '(Base):', 'def m(self):' || {nl} || '    return ' || p] ELSE [] END, ['x = 1' || {nl} || 'y = 2' || {nl} || 'z = 3'])) AS chunks FROM corpus WHERE NOT broken)
             SELECT p AS doc_id, unnest(range(0, len(chunks)))::INT AS idx, unnest(chunks) AS chunk FROM c"""
     turns = "SELECT record_id, unnest(range(0, len(messages)))::INT AS turn, unnest(messages) AS m FROM chat_records WHERE messages IS NOT NULL"
@@ -295,6 +297,8 @@ def oracle_sql() -> dict[str, str]:
         "chat_turns": f"WITH t AS ({turns}) SELECT record_id, turn, m.role AS role, m.content AS content FROM t",
         "chat_regroup": "SELECT record_id, len(messages)::INT AS n_turns, md5(array_to_string(list_transform(messages, lambda m: coalesce(m.content, '<null>')), '|')) AS joined_md5 FROM chat_records WHERE messages IS NOT NULL AND len(messages) > 0",
         "fn_chunks": fn_chunks,
+        "fn_chunks_odd": rendered.odd_chunks_sql(),
+        "cleaned_answers": rendered.answers_sql(),
         "instructions_function": f"SELECT doc_id, idx, {asked('chunk')} AS instruction, chunk AS code FROM ({fn_chunks})",
         "instructions_document": f"SELECT file_id, {asked('code')} AS instruction FROM (SELECT file_id, {_strip('content')} AS code FROM source_docs WHERE file_path LIKE '%.py') WHERE code <> '' AND length(code) <= 60000",
         "long_fim": f"""

@@ -52,3 +52,66 @@ def pages(repos: DataFrame) -> DataFrame:
         F.lit(" stars </dd><dt>plain</dt><dd>no</dd></dl><table><tbody><tr><th><a><code><span>E"), stars, F.lit("</span></code></a></th><td><span>"), r, F.lit("</span></td></tr><tr><td>"), stars, F.lit("</td></tr></tbody></table></body></html>"),
     )
     return repos.select(r.alias("repo"), F.coalesce(F.col("n_stars"), F.lit(0)).alias("stars"), F.monotonically_increasing_id().alias("page_id"), html.alias("html"))
+
+
+def answers(part: DataFrame) -> DataFrame:
+    """(p_partkey, answer): a wish about each part, in the frames that language models put around an answer, and in some that they don't."""
+    p, name = F.col("p_partkey"), F.col("p_name")
+    wish = F.concat(F.lit("Write "), name)
+    framed = F.concat(F.lit("Write "), name)
+    for k, (before, after, _) in ANSWER_FORMS.items():
+        framed = F.when(p % len(ANSWER_FORMS) == k, F.concat(F.lit(before), wish, F.lit(after))).otherwise(framed)
+    return part.select(p, framed.alias("answer"))
+
+
+_INPUT = "a natural user request (input) that describes its functionality and purpose"
+#: What stands before and behind the wish, by key, and what of it stays after cleaning: the wish alone, or all.
+ANSWER_FORMS = {
+    0: ("", "", "wish"),
+    1: ("A suitable user request could be:\n\n", "", "wish"),
+    2: ("  Here's a natural request:\n\n", " ", "wish"),
+    3: (f"The given code snippet is a Python function that returns x.\n\nBased on this, {_INPUT} could be:\n\n", "", "wish"),
+    4: ("This code is a parser.\n\nIt has two parts.\n\n", "", "wish"),
+    5: ('"', '"\n\nThis request describes the functionality and purpose of it.', "wish"),
+    6: ('"', '"', "wish"),
+    7: ("The given code snippet is a Python class which walks x.\n\n", "", "all"),
+    8: ("The given code snippet appears to be a Python script that creates x.\n\n", "", "wish"),
+    9: (f"{_INPUT} of this code could be:\n\n", "", "wish"),
+    10: ("user request:\n\n", '\n\n"', "wish_quote"),
+}
+
+
+def answers_sql() -> str:
+    """What is left of each answer."""
+    quoted = lambda text: "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+    cases = " ".join(f"WHEN {k} THEN {quoted(before)} || wish || {quoted(after)}" for k, (before, after, stays) in ANSWER_FORMS.items() if stays == "all")
+    cases += " ".join(f" WHEN {k} THEN wish || {quoted(after)}" for k, (before, after, stays) in ANSWER_FORMS.items() if stays == "wish_quote")
+    return f"SELECT p_partkey, CASE p_partkey % {len(ANSWER_FORMS)} {cases} ELSE wish END AS answer FROM (SELECT p_partkey, 'Write ' || p_name AS wish FROM part)"
+
+
+#: Files that try the chunker's edges, ``{p}`` a number, each with its chunks.
+ODD_FILES = (
+    ("def a_{p}():\n    return {p}\n\nLIMIT_{p} = some_function(1, 2, 3, 4)\n", ["def a_{p}():\n    return {p}"]),
+    ("import os\n\nclass K_{p}: pass\n", ["import os\n\nclass K_{p}: pass"]),
+    ("@wrap\ndef d_{p}():\n    return {p}\n", ["@wrap", "@wrap\ndef d_{p}():\n    return {p}"]),
+    ("async def s_{p}():\n    return 1\n", ["async def s_{p}():\n    return 1"]),
+    ("#!/bin/run {p}\nx = 1\n", ["#!/bin/run {p}\nx = 1"]),
+    ("def a():\n    return 1\ntry:\n    go({p})\nfinally:\n    end()\n", ["def a():\n    return 1", "try:\n    go({p})\nfinally:\n    end()"]),
+    ("def b_{p}():\n    return 1\ntry_{p}()\n", ["def b_{p}():\n    return 1"]),
+    ("class C_{p}(Base):\n    x = 1\n\n    def m(self):\n        return {p}\n\n    limit = {p}\n", ["class C_{p}(Base):", "def m(self):\n    return {p}"]),
+    ("# note {p}\n# more\n# and more\nimport os\nvalue = compute(os, 1, 2, 3, 4, 5)\n", ["# note {p}\n# more\n# and more", "import os\nvalue = compute(os, 1, 2, 3, 4, 5)"]),
+    ("def broken_{p}(\n", []),
+)
+
+
+def odd_files(part: DataFrame) -> DataFrame:
+    """(doc_id, content)"""
+    p = F.col("p_partkey")
+    text = F.get(F.array(*(F.lit(t) for t, _ in ODD_FILES)), (p % len(ODD_FILES)).cast("int"))
+    return part.select(p.alias("doc_id"), F.replace(text, F.lit("{p}"), p.cast("string")).alias("content"))
+
+
+def odd_chunks_sql() -> str:
+    quoted = lambda text: "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+    rows = ", ".join(f"({k}, {i}, {quoted(c)})" for k, (_, cs) in enumerate(ODD_FILES) for i, c in enumerate(cs))
+    return f"SELECT p_partkey AS doc_id, i::INT AS idx, replace(c, '{{p}}', p_partkey::VARCHAR) AS chunk FROM part JOIN (VALUES {rows}) t(k, i, c) ON p_partkey % {len(ODD_FILES)} = k"

@@ -1,12 +1,12 @@
 """Sinks: JSON lines, tables, text, and batches with their log of processed ids.
 
 Defined results: an empty frame writes no part that a reader would see as a row; nulls are written as explicit nulls; a batch's
-records and ids become visible together or not at all.
+records and ids are read only once the batch's commit mark, written after both, is there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,19 +36,41 @@ def write_text(df: DataFrame, path: str, value: str = "value", mode: str = "over
     df.select(F.col(value).alias("value")).write.mode(mode).text(path)
 
 
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the committed batches: one mark per batch ever written."""
+    if not existing(spark, [f"{path}/commits"]):
+        return []
+    marks = spark.read.schema("batch bigint").option("recursiveFileLookup", "true").json(f"{path}/commits")
+    return sorted(r[0] for r in marks.where("batch IS NOT NULL").distinct().collect())
+
+
+def is_committed(spark: SparkSession, path: str, batch_id: int) -> bool:
+    return batch_id in _batches(spark, path)
+
+
 def write_batch(records: DataFrame, ids: DataFrame, path: str, batch_id: int) -> None:
-    """A batch's records and processed ids. The ids are written last, below the batch's own folder: a repeated batch overwrites
-    itself, and only batches whose id folder is complete count as processed."""
+    """A batch's records and processed ids, then its commit mark. A batch that is committed already stays as it is; one that broke
+    off before its mark was never read and is written anew."""
+    spark = records.sparkSession
+    if is_committed(spark, path, batch_id):
+        return
     records.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/records/batch={batch_id}")
     ids.select(F.col(ids.columns[0]).cast("string").alias("id")).write.mode("overwrite").json(f"{path}/ids/batch={batch_id}")
+    spark.range(1).select(F.lit(batch_id).cast("long").alias("batch")).coalesce(1).write.mode("overwrite").json(f"{path}/commits/batch={batch_id}")
+
+
+def _committed(spark: SparkSession, path: str, what: str, schema: str) -> DataFrame:
+    folders = existing(spark, [f"{path}/{what}/batch={b}" for b in _batches(spark, path)])
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(folders)
 
 
-def batch_ids(spark, path: str) -> DataFrame:
-    """(id): ids of all complete batches."""
-    if not existing(spark, [f"{path}/ids"]):
-        return spark.createDataFrame([], "id string")
-    return spark.read.schema("id string").option("recursiveFileLookup", "true").json(f"{path}/ids").where("id IS NOT NULL").distinct()
+def batch_ids(spark: SparkSession, path: str) -> DataFrame:
+    """(id): ids of all committed batches."""
+    return _committed(spark, path, "ids", "id string").where("id IS NOT NULL").distinct()
 
 
-def batch_records(spark, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(f"{path}/records")
+def batch_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records of all committed batches."""
+    return _committed(spark, path, "records", schema)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusmill.operators.instruct import CompletionProvider, OfflineProvider, function_instructions, processed_ids, unprocessed
-from corpusmill.sources.sinks import batch_ids, write_batch
+from corpusmill.sources.sinks import batch_ids, is_committed, write_batch
 
 
 def build_instructions(
@@ -25,11 +25,14 @@ def build_instructions(
 ) -> StreamingQuery:
     """Records of documents that no earlier batch holds; ends once all present files are done and goes on from there next time.
 
-    The checkpoint replays an unfinished batch under its old number and the sink overwrites it, so no record is lost or doubled.
+    The checkpoint replays an unfinished batch under its old number. Where the sink has committed that batch already the replay does
+    nothing; where it broke off, none of its ids count as processed and it is written anew. So no record is lost or doubled.
     """
     docs = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        if is_committed(batch.sparkSession, target, batch_id):
+            return
         done = batch_ids(batch.sparkSession, target)
         fresh = unprocessed(batch.dropDuplicates([key]), done, key).persist()
         records = function_instructions(fresh, key, content, make).persist()

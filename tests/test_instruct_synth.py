@@ -1,3 +1,5 @@
+import shutil
+
 from pyspark.sql import functions as F
 
 from corpusmill.operators import instruct, synth
@@ -13,19 +15,25 @@ class Flaky:
     def __init__(self):
         self.waited = False
 
-    def complete(self, prompt, system):
+    def complete(self, prompt, request):
+        assert request.system == "be brief" and request.max_tokens == 9
+        if "never" in prompt:
+            raise instruct.RateLimited
         if "boom" in prompt:
             raise RuntimeError
         if not self.waited:
             self.waited = True
             raise instruct.RateLimited
-        return '"Please do it."'
+        return ['"Please', ' do it."']
 
 
-def test_completion_waits_and_swallows_failures(frame):
-    df = frame([(1, "a"), (2, "boom"), (3, None)], "i int, p string")
-    got = {r.i: r.answer for r in instruct.completed(df, "p", Flaky, base_wait=0.0).collect()}
-    assert got == {1: '"Please do it."', 2: "", 3: None}
+def test_completion_waits_and_names_failures(frame):
+    df = frame([(1, "a"), (2, "boom"), (3, None), (4, "never")], "i int, p string")
+    asked = instruct.completed(df, "p", Flaky, instruct.Request("be brief", 9), base_wait=0.0, jitter=0.0)
+    got = {r.i: (r.answer, r.answer_error) for r in asked.collect()}
+    assert got == {1: ('"Please do it."', None), 2: ("", "RuntimeError"), 3: (None, None), 4: ("", "RateLimited")}
+    assert {tuple(r) for r in instruct.failures(asked).collect()} == {("RuntimeError", 1), ("RateLimited", 1)}
+    assert instruct.completed(df.limit(0), "p", Flaky).collect() == []
 
 
 def test_records_and_filters(frame):
@@ -59,6 +67,27 @@ def test_stream_neither_loses_nor_repeats(spark, frame, tmp_path):
     assert {r.id for r in sinks.batch_ids(spark, target).collect()} == {"1", "2", "3"}
 
 
+def test_replayed_batch_is_neither_lost_nor_doubled(spark, frame, tmp_path):
+    """A crash after the sink's commit but before the stream's, and one between a batch's records and its commit mark."""
+    source, target, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    schema = "doc_id long, content string"
+
+    def run():
+        build_instructions(spark, source, schema, target, check).awaitTermination()
+        return sorted(r.doc_id for r in sinks.batch_records(spark, target, "doc_id long, idx int").collect())
+
+    frame([(i, CODE.format(i)) for i in range(5)], schema).write.parquet(source)
+    assert run() == list(range(5))
+    for last in (tmp_path / "check" / "commits").iterdir():
+        last.unlink()
+    assert run() == list(range(5)) and run() == list(range(5))
+    for last in (tmp_path / "check" / "commits").iterdir():
+        last.unlink()
+    shutil.rmtree(tmp_path / "out" / "commits")
+    assert sinks.batch_records(spark, target, "doc_id long").count() == 0 and sinks.batch_ids(spark, target).count() == 0
+    assert run() == list(range(5)) and {r.id for r in sinks.batch_ids(spark, target).collect()} == {str(i) for i in range(5)}
+
+
 def test_examples_depend_on_the_seed_only(spark):
     one = synth.error_examples(spark, 400, 1)
     rows = {r.id: (r.kind, r.error_context.title, r.error_context.buggy_code_snippet, r.fixed_code_snippet) for r in one.collect()}
