@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import pyast, textfn
 from corpusmill.operators.chat import chat_record, instruction_prompt
+from corpusmill.operators.joins import anti_join_in_place
 from corpusmill.runtime import _arrow
 
 RECORD_BUDGET = 6_000
@@ -110,10 +111,10 @@ def failures(asked: DataFrame, name: str = "answer") -> DataFrame:
 
 
 def unprocessed(docs: DataFrame, processed: DataFrame, key: str) -> DataFrame:
-    """Documents whose key isn't in the log yet; log lines are stripped, empty ones ignored. The join shuffles on the key alone and
-    Spark broadcasts a small log by itself."""
-    log = processed.select(textfn.py_strip(F.col(processed.columns[0]).cast("string")).alias("__done")).where("__done <> ''").distinct()
-    return docs.join(log, F.col(key).cast("string") == F.col("__done"), "left_anti")
+    """Documents whose key isn't in the log yet; log lines are stripped, empty ones ignored. Documents that the log's bitmap rules out
+    stay where they are."""
+    log = processed.select(textfn.py_strip(F.col(processed.columns[0]).cast("string")).alias("__key")).where("__key <> ''").distinct()
+    return anti_join_in_place(docs.withColumn("__key", F.col(key).cast("string")), log, "__key").drop("__key")
 
 
 def newest(docs: DataFrame, key: str, limit: int) -> DataFrame:

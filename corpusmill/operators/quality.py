@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import pyast, textfn
+from corpusmill.operators.joins import anti_join_in_place, skew_safe_join
 from corpusmill.operators.outliers import isolation_forest, local_outlier_factor
 from corpusmill.runtime import materialize
 
@@ -63,12 +64,15 @@ def drop_empty(df: DataFrame, content: str = "content") -> DataFrame:
 def first_of_each(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row with the smallest ``order``, a unique key, among rows equal in ``keys`` (nulls are equal to nulls).
 
-    Rows combine per task before the shuffle, so a text that a third of all rows repeat doesn't gather in one task; only a
-    digest of the keys and the order key travel, the rows themselves are found again by the order key.
+    Only a digest of the keys and the order key travel. Copies combine per task before the shuffle and hot ones are joined in
+    place, so a text that a third of all rows repeat gathers nowhere; rows that are no copy of another never move.
     """
-    digest = F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)
-    firsts = df.select(digest.alias("__digest"), F.col(order).alias("__order")).groupBy("__digest").agg(F.min("__order").alias("__order"))
-    return df.join(firsts.select(F.col("__order").alias(order)), order, "left_semi")
+    digest = F.unhex(F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256))
+    narrow = materialize(df.select(digest.alias("__digest"), F.col(order).alias("__order")), "digests")
+    several = narrow.groupBy("__digest").agg(F.min("__order").alias("__first"), F.count("*").alias("__n")).where("__n > 1")
+    several = materialize(several.select("__digest", "__first"), "several")
+    copies = skew_safe_join(narrow, several, "__digest").where(F.col("__order") != F.col("__first"))
+    return anti_join_in_place(df, materialize(copies.select(F.col("__order").alias(order)), "copies"), order)
 
 
 def text_metrics(df: DataFrame, content: str = "content") -> DataFrame:

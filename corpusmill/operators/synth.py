@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from corpusmill.functions import textfn
 from corpusmill.functions.textfn import FIM_BEGIN, FIM_END, FIM_HOLE, portable_draw
 from corpusmill.operators.chat import numbered
+from corpusmill.operators.joins import bounded_broadcast
+from corpusmill.runtime import materialize
 
 # Words that invented names are put together from.
 FIRST = ("order", "sensor", "cache", "parcel", "batch", "widget", "ledger")
@@ -133,21 +135,30 @@ def conversation(lines: Column, persona: Column, seed: int, key: Column | str) -
     )
 
 
+#: Draws and personas that are broadcast at most (tens of bytes, a few hundred bytes each).
+DRAWS_BROADCAST = 1_000_000
+PEOPLE_BROADCAST = 100_000
+
+
 def persona_pairs(snippets: DataFrame, personas: DataFrame, count: int, order: str, content: str = "content", seed: int = 42) -> DataFrame:
     """(id, messages): ``count`` independent draws, with replacement, of a snippet and a persona.
 
-    Both sides are numbered and met by equality on the drawn numbers: no pair table is ever built.
+    Both sides are numbered and met by equality on the drawn numbers: no pair table is ever built. Only keys are numbered; the texts
+    stay where they are and meet the drawn keys, which are broadcast up to ``DRAWS_BROADCAST`` draws, unless there are more draws than snippets.
     """
     spark = snippets.sparkSession
-    usable = snippets.select(order, F.split(textfn.py_strip(content), "\n", -1).alias("__lines")).where(F.size("__lines") >= 3)
-    indexed = numbered(usable, order, "__s")
+    lines = F.split(textfn.py_strip(content), "\n", -1)
+    indexed = numbered(snippets.where(F.size(lines) >= 3).select(F.col(order).alias("__key")), "__key", "__s")
     people = numbered(allowed_personas(personas).withColumn("__o", F.to_json(F.array_sort(F.map_entries("persona")))), "__o", "__p").select("__p", "persona")
     n, m = indexed.count(), people.count()
     if not n or not m:
         return spark.createDataFrame([], "id bigint, messages array<struct<role:string,content:string>>")
     wide = lambda slot, k: F.pmod(F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("id").cast("string"), F.lit(slot))), 1, 12), 16, 10).cast("long"), F.lit(k)) + 1
     draws = spark.range(count).withColumn("__s", wide("s", n)).withColumn("__p", wide("p", m))
-    met = draws.join(indexed, "__s").join(people, "__p").withColumn("__c", conversation(F.col("__lines"), F.col("persona"), seed, "id"))
+    drawn = materialize(draws.join(indexed, "__s").select("id", "__p", "__key"), "draws")
+    texts = snippets.select(F.col(order).alias("__key"), lines.alias("__lines"))
+    few = n > count  # fewer draws than snippets: most texts aren't drawn and stay; otherwise the texts, no more than draws, are spread
+    met = texts.join(bounded_broadcast(drawn, DRAWS_BROADCAST) if few else drawn.hint("shuffle_hash"), "__key").join(bounded_broadcast(people, PEOPLE_BROADCAST), "__p").withColumn("__c", conversation(F.col("__lines"), F.col("persona"), seed, "id"))
     turn = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
     out = met.select("id", F.array(turn("system", system_turn(F.col("persona"))), turn("user", F.col("__c.user")), turn("assistant", F.col("__c.assistant"))).alias("messages"))
     return out.where(~textfn.is_blank(F.get("messages", F.lit(2))["content"]))

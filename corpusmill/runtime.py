@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -12,17 +13,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+_written: list[str] = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` below ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset (tests, one machine)."""
+    """Folder that all executors share: ``spark.checkpoint.dir``. Only on one machine (local mode) may it be unset; a temporary folder
+    serves there."""
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="corpusmill-"))
     return sc.getCheckpointDir().rstrip("/")
 
@@ -31,15 +38,23 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts lineage so that a lost executor costs a re-read, not a re-computation, and lets later readers prune columns. The
-    table is removed when the driver ends.
+    table is removed by ``release`` or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/corpusmill-{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
+    if not _written:
+        atexit.register(release, spark)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove all tables that were written so far; results that still read them must have been written or shown."""
+    while _written:
+        _remove(spark, _written.pop())
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
