@@ -26,11 +26,12 @@ LATIN = re.compile(r"[A-Za-z]")
 HANGUL = re.compile(r"[가-힣ᄀ-ᇿ]")
 
 
-def latin_scores(text: str) -> tuple[dict[str, float], int]:
-    """Votes of function words and typical letters, and the number of words."""
+def latin_scores(text: str, found: list[str] | None = None) -> tuple[dict[str, float], int]:
+    """Votes of function words and typical letters, and the number of words; ``found`` are the words in lower case where they are known."""
     score = dict.fromkeys(FUNCTION_WORDS, 0.0)
     low = text.lower()
-    found = WORD.findall(low)
+    if found is None:
+        found = WORD.findall(low)
     for w in found:
         if w in _VOTES:
             for lang, v in _VOTES[w].items():
@@ -45,7 +46,7 @@ def latin_scores(text: str) -> tuple[dict[str, float], int]:
     return score, len(found)
 
 
-def language(text: str, least: float = 1.5) -> str | None:
+def language(text: str, least: float = 1.5, found: list[str] | None = None) -> str | None:
     """The language that a text is written in, or None where too little speaks for any."""
     if not text.isascii() and max(text) >= "\u1100":
         hangul, kana, han = len(HANGUL.findall(text)), len(KANA.findall(text)), len(HAN.findall(text))
@@ -54,7 +55,7 @@ def language(text: str, least: float = 1.5) -> str | None:
             if hangul >= kana + han:
                 return "ko"
             return "ja" if kana >= max(2, 0.12 * (kana + han)) else "zh"
-    score, words = latin_scores(text)
+    score, words = latin_scores(text, found)
     if not words:
         return None
     best = max(score, key=lambda k: score[k])

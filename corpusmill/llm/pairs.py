@@ -1,38 +1,42 @@
 """Problem 6: broken prompt and response pairs.
 
-A multi-label linear classifier over hashed n-grams and pair features proposes defects. It is trained on a bounded sample of the
-corpus' own exchanges, each also turned into synthetic defects (cut, copied, swapped with prose of another language, refused,
-emptied); thresholds are calibrated on a held-out part so that nearly all synthetic defects are proposed. An exact check of the
-proposed defect follows, which only takes proposals away.
-
-Defined results: a record without an assistant turn, with a null, blank or filler answer is ``empty`` (also where the question is
-missing); records whose messages are null count as without assistant turn; a record has at most one defect, in the order of
-``DEFECTS``; repeated records are judged each; a defect without synthetic examples to calibrate it on (a small table, or one without
-sound exchanges) is proposed for every record, so that its exact check decides alone.
+A multi-label linear classifier over hashed n-grams and pair features decides on every record. It is trained on a bounded sample of
+the corpus' own exchanges, each also turned into synthetic defects (emptied, copied, swapped with prose of another language,
+refused, cut); sampled exchanges that a first fit takes for defective are left out of a second one. Each defect's threshold is
+calibrated on a held-out part. Of several defects above their thresholds the one that exceeds its own by most is reported.
+
+The pair features say what an answer looks like beside its question (lengths, shared words, languages, open fences and brackets, how
+the text ends, whether it holds phrases that decline); none of them decides by itself. N-grams are those of the whole answer's prose,
+with its end marked.
+
+Defined results: a record without an assistant turn, with a null or blank answer is ``empty`` (also where the question is missing);
+records whose messages are null count as without assistant turn; a record has at most one defect; repeated records are judged each;
+a table without any exchange to learn from is judged by a model fitted on the fixed texts alone.
 """
 
 from __future__ import annotations
 
-import ast
 import re
-import warnings
 import zlib
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.language import HAN, HANGUL, KANA, language
+from corpusmill.llm.language import language
+from corpusmill.llm.syntax import parses_python
 from corpusmill.runtime import map_columns
 
 DEFECTS = ("empty", "copies_question", "refusal", "other_language", "truncated")
-#: Rows of the training sample (smallest hashes of record_id), its share held out for calibration, size of the hashed space.
+#: Rows of the training sample (smallest hashes of record_id), its share held out for calibration, tasks that prepare it, size of the hashed space.
 TRAIN_ROWS = 2000
 HELD_OUT = 0.25
+TRAIN_TASKS = 8
 BUCKETS = 1 << 16
-RECALL = 0.995
-#: Margin below the calibrated threshold: proposals are cheap, the exact check decides.
-SLACK = 4.0
+#: Shares of the held-out exchanges and of the held-out synthetic defects that may be odd ones; a threshold lies halfway between the others.
+ODD_SOUND = 0.01
+ODD = 0.02
 FENCE = re.compile(r"^[ \t]*(?:```|~~~)[^\n]*$", re.M)
 BLOCK = re.compile(r"(?:```|~~~)[^\n]*\n?(.*?)(?:```|~~~|\Z)", re.S)
 QUOTE = re.compile(r"^\s*>.*$", re.M)
@@ -42,7 +46,7 @@ NOISE = re.compile(r"[\W_]+")
 FILLERS = frozenset(("", "none", "null", "nil", "na", "nan", "noanswer", "empty", "tbd", "todo", "undefined", "blank"))
 # Phrases that decline, in the corpus languages.
 REFUSALS = {
-    "en": ["I'm sorry, but I can't help with that.", "I cannot assist with this request.", "I am unable to provide this.", "I won't be able to answer this question.", "Sorry, I'd rather not do that.", "I must decline this request.", "As an AI language model, I cannot write this code.", "Unfortunately, I can't provide an implementation.", "I can't do that for you, please ask a professional.", "It is not possible for me to help here."],
+    "en": ["I'm sorry, but I can't help with that.", "I cannot assist with this request.", "I am unable to provide this.", "I won't be able to answer this question.", "Sorry, I'd rather not do that.", "I must decline this request.", "As an AI language model, I cannot write this code.", "Unfortunately, I can't provide an implementation.", "I can't do that for you, please ask a professional.", "It is not possible for me to help here.", "I don't feel comfortable producing this, therefore I will leave it out.", "I would prefer not to work on that."],
     "de": ["Es tut mir leid, aber dabei kann ich nicht helfen.", "Diese Anfrage muss ich leider ablehnen.", "Als Sprachmodell darf ich das nicht schreiben.", "Das kann ich leider nicht beantworten.", "Dazu möchte ich nichts sagen."],
     "es": ["Lo siento, pero no puedo ayudarte con esa petición.", "No me es posible responder a esta pregunta.", "Como modelo de lenguaje no puedo escribir este código.", "Debo rechazar esta solicitud."],
     "fr": ["Désolé, je ne peux pas vous aider pour cette demande.", "Je ne suis pas en mesure de répondre à cette question.", "En tant que modèle de langage, je ne peux pas écrire ce code.", "Je dois refuser cette demande."],
@@ -50,6 +54,16 @@ REFUSALS = {
     "ja": ["申し訳ありませんが、そのご依頼にはお応えできません。", "このコードを書くことはお断りいたします。", "その質問にはお答えできません。", "言語モデルのため、このコードは書けません。"],
     "zh": ["抱歉，我无法帮助您完成这个请求。", "很抱歉，我不能回答这个问题。", "作为语言模型，我不能编写这段代码。", "我必须拒绝这个请求。"],
 }
+# What may come with a refusal.
+REASONS = {
+    "en": ["This topic touches on matters that I have to leave to others.", "The rules that I follow don't leave room for it.", "A colleague or the documentation will know more about this.", "I hope that you find what you need elsewhere."],
+    "de": ["Dieses Thema muss ich anderen überlassen.", "Meine Regeln lassen das nicht zu.", "Bitte wenden Sie sich an eine Fachperson."],
+    "es": ["Es un tema que debo dejar a otras personas.", "Mis normas no lo permiten.", "Le recomiendo consultar a un especialista."],
+    "fr": ["C'est un sujet que je dois laisser à d'autres.", "Mes règles ne le permettent pas.", "Veuillez consulter un spécialiste."],
+    "ko": ["이 주제는 제가 다룰 수 있는 범위를 벗어납니다.", "전문가에게 문의해 주세요.", "양해 부탁드립니다."],
+    "ja": ["この話題は私の扱える範囲を超えています。", "専門家にご相談ください。", "ご理解をお願いいたします。"],
+    "zh": ["这个话题超出了我可以处理的范围。", "请咨询专业人士。", "感谢您的理解。"],
+}
 # Sound answers in each corpus language, so that there is foreign prose where the sample has only one language.
 FOREIGN = {
     "en": ["The function returns the sorted list and leaves the input as it was.", "You can use a dictionary for this, because the keys are unique and the order does not matter."],
@@ -60,15 +74,19 @@ FOREIGN = {
     "ja": ["この関数は並べ替えたリストを返し、入力は変更しません。", "キーは一意で順序は関係ないので、辞書を使うことができます。"],
     "zh": ["这个函数返回排序后的列表，并且不会修改输入。", "因为键是唯一的，而且顺序并不重要，所以可以使用字典。"],
 }
+# Parts of phrases that decline, in scripts with and without spaces, and what each of the former holds.
+DECLINES_EAST = re.compile(
+    r"(?:드릴|할|도울|줄) 수 없|하지 않겠|어렵습니다|거절|거부|불가능|언어 모델"
+    r"|できません|できかね|お断り|お応えでき|お答えでき|書けません|控えさせ|言語モデル|いたしかね"
+    r"|无法(?:帮|回答|提供|协助|完成|编写|满足)|不能(?:帮|回答|提供|协助|编写|满足)|拒绝|作为(?:一个)?(?:人工智能|语言模型)|不便"
+)
+DECLINE_WORDS = ("can't", "can’t", "not", "n't", "n’t", "declin", "refus", "pass on", "unable", "rather", "as a", "against my", "nicht", "keine", "ablehn", "sprachmodell", "verweiger", "no ", "rechaza", "modelo", "prefiero", "ne ", "je dois", "modèle")
 DECLINES = re.compile(
     r"(?i)\b(?:can(?:no|['’])t|can not|unable to|not able to|won['’]t be able|will not|won['’]t|could ?n['’]t|not going to|not (?:in a position|comfortable|allowed|possible for me))\b.{0,60}?\b(?:help|assist|provide|answer|write|review|do|give|comply|fulfil|share|create|support|discuss|produce|complete|this|that|here)\b"
     r"|\b(?:must|have to|need to|going to)\s+(?:\w+\s+)?(?:decline|refuse|pass on)\b|\b(?:decline|refuse) (?:to|this|that)\b|\brather not\b|\bas an? (?:ai )?(?:large )?(?:language model|ai\b|assistant)|\bagainst my\b|\bnot something i (?:can|will)\b"
     r"|\bkann ich (?:\w+ ){0,3}(?:nicht|keine)\b|\bablehnen\b|\bals sprachmodell\b|\bdarf ich (?:\w+ ){0,3}nicht\b|\bmöchte ich (?:\w+ ){0,3}(?:nicht|nichts|keine)\b|\bnicht (?:helfen|beantworten|weiterhelfen)\b|\bverweiger"
     r"|\bno (?:puedo|podré|me es posible|estoy en condiciones|voy a poder)\b|\b(?:rechazar|declinar)\b|\bcomo modelo de lenguaje\b|\bprefiero no\b"
-    r"|\bje (?:ne (?:peux|suis|pourrai)|dois (?:refuser|décliner))\b|\brefuser\b|\ben tant que modèle\b|\bje préfère ne pas\b"
-    r"|(?:드릴|할|도울|줄) 수 없|하지 않겠|어렵습니다|거절|거부|불가능|언어 모델"
-    r"|できません|できかね|お断り|お応えでき|お答えでき|書けません|控えさせ|言語モデル|いたしかね"
-    r"|无法(?:帮|回答|提供|协助|完成|编写|满足)|不能(?:帮|回答|提供|协助|编写|满足)|拒绝|作为(?:一个)?(?:人工智能|语言模型)|不便",
+    r"|\bje (?:ne (?:peux|suis|pourrai)|dois (?:refuser|décliner))\b|\brefuser\b|\ben tant que modèle\b|\bje préfère ne pas\b",
     re.S,
 )
 # Names of the corpus languages in those languages.
@@ -87,7 +105,11 @@ SENTENCE_END = re.compile(r"[.!?。！？…][\"'”’»)\]*_`」』]*$|^\s*[-*
 
 def prose(text: str) -> str:
     """A text without fenced code, quoted lines and inline code."""
-    return INLINE.sub(" ", QUOTE.sub("", BLOCK.sub("\n", text)))
+    if "```" in text or "~~~" in text:
+        text = BLOCK.sub("\n", text)
+    if ">" in text:
+        text = QUOTE.sub("", text)
+    return INLINE.sub(" ", text) if "`" in text or "_" in text or "://" in text else text
 
 
 def plain(text: str) -> str:
@@ -109,146 +131,153 @@ def exchange(messages: list[dict] | None) -> tuple[str | None, str | None, bool]
     return (question if there else pending), answer, there
 
 
-def is_empty(answer: str | None, there: bool = True) -> bool:
-    if not there or answer is None:
-        return True
-    body = FENCE.sub("", answer) if "```" in answer or "~~~" in answer else answer
-    return plain(body) in FILLERS and not re.search(r"[^\W_]", re.sub(r"(?i)none|null|nil|n/?a|nan|no answer|empty|tbd|todo|undefined|blank", "", body))
-
-
 def units(question: str) -> list[str]:
     """What counts as the question: all of it, its prose, its first line, its first sentence line with and without code."""
     lines = [x for x in question.split("\n") if x.strip()]
     return [u for u in dict.fromkeys(plain(x) for x in (question, BLOCK.sub("\n", question), FENCE.sub("", question), lines[0] if lines else "")) if u]
 
 
-def copies(question: str | None, answer: str) -> bool:
-    """Nothing but the question, restyled or repeated."""
-    if not question:
-        return False
+def left_over(question: str, answer: str) -> float:
+    """Share of the answer's letters and digits that is left without the question, all or its first line, however often it is repeated."""
     a = plain(re.sub(r"(?im)^\s*(?:you asked|question|your question|q|frage|pregunta|question posée|질문|質問|问题)\s*[:：]\s*", "", FENCE.sub("", answer)))
     if len(a) < 8:
-        return False
-    for u in units(question):
-        rest = a
-        if len(u) >= 8 and u in rest:
-            rest = rest.replace(u, "")
-            if not rest:
-                return True
-    return False
+        return 1.0
+    return min([len(a.replace(u, "")) / len(a) for u in units(question) if len(u) >= 8], default=1.0)
 
 
 def asked_languages(question: str) -> set[str]:
     return {k for m in ASKED.finditer(question) for k, v in m.groupdict().items() if v}
 
 
-def languages(question: str | None, answer: str) -> tuple[str | None, str | None, bool]:
-    """(language of the question, of the answer's prose, was another language asked for)."""
-    q = language(prose(question)) if question else None
-    text = prose(answer)
-    a = language(text) if sum(c.isalpha() for c in text) >= 8 else None
-    return q, a, bool(question) and a in asked_languages(question)
-
-
 def broken_code(answer: str) -> bool:
     """Whether the last closed block breaks off: it does not parse, but its beginning does."""
     blocks = re.findall(r"```(?:python|py)?[ \t]*\n(.*?)```", answer, re.S)
     if not blocks or not re.search(r"^\s*(?:def|class|import|from)\b", blocks[-1], re.M):
         return False
-    with warnings.catch_warnings():
-        warnings.simplefilter("ignore")
-        try:
-            ast.parse(blocks[-1])
-            return False
-        except (SyntaxError, ValueError, RecursionError):
-            return True
-
-
-def breaks_off(answer: str) -> bool:
-    """Whether an answer stops inside a sentence, list or code block."""
-    text = answer.rstrip()
-    if len(FENCE.findall(text)) % 2:
-        return True
-    last = text.rsplit("\n", 1)[-1].strip()
-    if last.startswith(("```", "~~~")):
-        return broken_code(text)
-    if re.fullmatch(r"(?:\d+[.)]|[-*•])", last):
-        return True
-    if text.count("`") % 2 or len(re.findall(r"[(（]", last)) > len(re.findall(r"[)）]", last)):
-        return True
-    if SENTENCE_END.search(text):
-        return False
-    tail = re.split(r"(?<=[.!?。！？])\s", BLOCK.sub("\n", text).strip().rsplit("\n", 1)[-1])[-1]
-    if re.search(r"[。！？]", tail):
-        tail = re.split(r"[。！？]", tail)[-1]
-    words = len(re.findall(r"[^\W\d_]+", tail))
-    east = len(HAN.findall(text)) + len(KANA.findall(text)) + len(HANGUL.findall(text))
-    if not re.search(r"[^\W\d_]", tail):
-        return False
-    whole = len(re.findall(r"[^\W\d_]{2,}", prose(text)))
-    return not last.endswith((")", "`", '"', "'", "”")) and (words >= 1 and whole >= 4 or east >= 4) if not last.endswith(")") else False
+    return not parses_python(blocks[-1])
 
 
-def verified(defect: str, question: str | None, answer: str | None, there: bool) -> bool:
-    """The exact check of a proposed defect."""
-    if defect == "empty":
-        return is_empty(answer, there)
-    if not there or is_empty(answer, there):
-        return False
-    if defect == "copies_question":
-        return copies(question, answer)
-    if defect == "refusal":
-        return "```" not in answer and len(answer) <= 400 and bool(DECLINES.search(prose(answer)))
-    if defect == "other_language":
-        q, a, wanted = languages(question, answer)
-        return q is not None and a is not None and q != a and not wanted
-    return breaks_off(answer)
+def declines(text: str) -> bool:
+    low = text.lower()
+    return any(w in low for w in DECLINE_WORDS) and bool(DECLINES.search(text)) or not text.isascii() and max(text) >= "\u1100" and bool(DECLINES_EAST.search(text))
 
 
 # ---------------------------------------------------------------------------------------------------------------- features
-DENSE = 24
+#: Feature numbers below this are pair features, each a row of ``PAIR_FEATURES``.
+DENSE = 1024
+ENDS = {**dict.fromkeys(".!?。！？…", "stop"), **dict.fromkeys(":;,，、：；", "pause"), **dict.fromkeys(")]}）」』】", "bracket"), **dict.fromkeys("\"'”’»", "quote"), "`": "tick"}
+STOPS = re.compile(r"[.!?。！？…](?=\s|$|[\"'”’»)\]*_`」』])|[。！？]")
+WORDS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*")
 
 
-def _hash(s: str) -> int:
-    return zlib.crc32(s.encode("utf-8", "surrogatepass")) % (BUCKETS - DENSE) + DENSE
+def _binned(n: float, edges: tuple) -> int:
+    return sum(n >= e for e in edges)
 
 
-def features(question: str | None, answer: str | None, there: bool) -> np.ndarray:
-    """Indices of the active features: pair features below ``DENSE``, hashed n-grams above."""
-    on = [0]
+def pair_features(question: str | None, answer: str | None, there: bool) -> tuple[list[str], list[str]]:
+    """(names of the pair features that hold, words of the answer's prose, or all its letters and digits where they are few)."""
     if not there:
-        return np.array([0, 1, 2], np.int64)
-    a = answer or ""
-    text = a.strip()
-    if is_empty(answer, there):
-        on.append(1)
-    n = len(text)
-    on.append(3 if n < 12 else 4 if n < 60 else 5 if n < 250 else 6)
-    on.append(7 if "```" in a else 8)
-    if n and breaks_off(a):
-        on.append(9)
-    if copies(question, a):
-        on.append(10)
-    q_lang, a_lang, wanted = languages(question, a)
-    if q_lang and a_lang:
-        on.append(11 if q_lang == a_lang else 12 if wanted else 13)
-    if n <= 400 and "```" not in a and DECLINES.search(text):
-        on.append(14)
+        return ["no turn"], []
+    a = (answer or "").strip()
+    fenced = "```" in a or "~~~" in a
+    fences = FENCE.findall(a) if fenced else []
+    body = FENCE.sub("", a) if fenced else a
+    core = plain(body)
+    on = [f"letters {_binned(len(core), (1, 4, 12, 40, 120, 400))}", f"fences {min(len(fences), 4)}"]
+    if len(core) <= 12 and "`" not in body:
+        on.append("short")
+        if not core:
+            return [*on, "nothing"], []
+        if core in FILLERS:
+            return [*on, "filler"], [core]
+    said = prose(a)
+    low = said.lower()
+    found = WORDS.findall(low)
+    if len(fences) % 2:
+        on.append("open fence")
+    last = a.rsplit("\n", 1)[-1].strip()
+    closed = last.startswith(("```", "~~~")) and len(fences) % 2 == 0
+    bulk = _binned(len(found), (1, 4, 12))
+    on.append(f"prose {bulk}")
+    east = any(c >= "\u1100" for c in low[-1:] + low[len(low) // 2 :][:1])
+    if closed:
+        on.append("ends in code")
+        if broken_code(a):
+            on.append("code breaks off")
+    else:
+        end = ENDS.get(a[-1]) or ("letter" if a[-1].isalpha() else "digit" if a[-1].isdigit() else "other")
+        stop = bool(SENTENCE_END.search(last))
+        on.append("stops" if stop else f"end {end} {bulk}{' east' if east else ''}")
+        if not stop:
+            tail = said.strip().rsplit("\n", 1)[-1]
+            after = max((m.end() for m in STOPS.finditer(tail)), default=0)
+            rest = tail[after:]
+            on.append(f"after stop {_binned(len(WORDS.findall(rest)), (1, 2, 6))} {end}")
+            if after or said.strip().count("\n"):
+                on.append(f"more before {end}")
+        if re.fullmatch(r"(?:\d+[.)]|[-*•])", last):
+            on.append("bare mark")
+        if a.count("`") % 2 and not fenced or last.count("`") % 2:
+            on.append("open tick")
+        if len(re.findall(r"[(（]", last)) > len(re.findall(r"[)）]", last)):
+            on.append("open bracket")
+    if declines(said):
+        sentences = [x for x in STOPS.split(said) if len(plain(x)) >= 4]
+        others = sum(not declines(x) for x in sentences)
+        on += [f"declines {'code' if fenced else 'prose'} {_binned(others, (1, 2, 3, 5))}", f"declining share {_binned((len(sentences) - others) / max(1, len(sentences)), (0.1, 0.3, 0.5, 0.9))} {'code' if fenced else 'prose'}"]
     if question:
-        qa, aa = set(re.findall(r"\w+", question.lower())), set(re.findall(r"\w+", a.lower()))
-        share = len(qa & aa) / max(1, len(aa))
-        on.append(15 if share > 0.9 else 16 if share > 0.5 else 17)
-    if n and not SENTENCE_END.search(text) and not text.endswith("```"):
-        on.append(18)
-    if QUOTE.search(a):
-        on.append(19)
-    spoken = prose(a)
-    head, tail = spoken[:160].lower(), text[-24:].lower()
-    words = re.findall(r"[^\W\d_]+", head)[:24]
-    on += [_hash("w" + w) for w in words] + [_hash(f"b{x} {y}") for x, y in zip(words, words[1:])]
-    on += [_hash("c" + head[i : i + 3]) for i in range(0, min(len(head), 60) - 2) if ord(head[i]) > 0x2FF]
-    on += [_hash(f"t{k}" + tail[-k:]) for k in (1, 2, 3) if len(tail) >= k]
-    return np.unique(np.array(on, np.int64))
+        asked = prose(question)
+        q_found = WORDS.findall(asked.lower())
+        q = language(asked, found=q_found)
+        spoken = language(said, found=found) if sum(map(len, found)) >= 8 else None
+        if not q or not spoken:
+            on.append(f"language unclear {bulk}")
+        else:
+            on.append("same language" if q == spoken else "language asked for" if spoken in asked_languages(question) else f"another language {_binned(sum(map(len, found)), (12, 30, 80))}")
+        known = set(q_found)
+        share = sum(w in known for w in found) / len(found) if found else 0.0
+        on.append(f"shared {_binned(share, (0.2, 0.5, 0.8, 0.95))}")
+        left = left_over(question, a) if share >= 0.7 or not found else 1.0
+        on.append(f"left over {_binned(left, (0.001, 0.05, 0.3))}")
+        if QUOTE.search(a):
+            on.append("quotes")
+    return on, found
+
+
+@lru_cache(1 << 18)
+def _hash(s: str) -> int:
+    return zlib.crc32(s.encode("utf-8", "surrogatepass"))
+
+
+def features(question: str | None, answer: str | None, there: bool) -> list[int]:
+    """Numbers of the active features, without repetition: pair features hashed below ``DENSE``, n-grams above."""
+    on, found = pair_features(question, answer, there)
+    out = {0, *(_hash(x) % (DENSE - 1) + 1 for x in on)}
+    space = BUCKETS - DENSE
+    if found:
+        numbers = list(map(_hash, found))
+        out.update(h % space + DENSE for h in numbers)
+        out.update((31 * x + y) % space + DENSE for x, y in zip(numbers, numbers[1:]))
+        out.update((h + 7) % space + DENSE for h in numbers[-2:])
+        for w in found:
+            if w[0] >= "\u1100":  # scripts without spaces, and endings that hang on words: pairs of letters
+                out.update((65599 * ord(x) + ord(y)) % space + DENSE for x, y in zip(w, w[1:]))
+    return sorted(out)
+
+
+def margins(weights: np.ndarray, rows: list[list[int]]) -> np.ndarray:
+    """Sums of the rows' active weights; n-grams weigh together no more than a few pair features."""
+    if not rows:
+        return np.zeros((0, weights.shape[1]), np.float32)
+    flat = np.fromiter((i for r in rows for i in r), np.int64)
+    starts = np.cumsum([0, *(len(r) for r in rows[:-1])])
+    return np.add.reduceat(weights[flat] * scales(rows, flat)[:, None], starts, axis=0)
+
+
+def scales(rows: list[list[int]], flat: np.ndarray) -> np.ndarray:
+    """1 for pair features; n-grams of a row share a length of one."""
+    size = np.repeat([max(1, sum(i >= DENSE for i in r)) for r in rows], [len(r) for r in rows])
+    return np.where(flat < DENSE, 1.0, 1.0 / np.sqrt(size)).astype(np.float32)
 
 
 # ---------------------------------------------------------------------------------------------------------------- training
@@ -260,14 +289,18 @@ def corrupt(kind: str, question: str, answer: str, others: dict[str, list[str]],
     """A synthetic defect of one kind, or None where the pair doesn't lend itself to it."""
     rng = _rng(kind, seed)
     if kind == "empty":
-        return ("", " \n", "```python\n```", "...", "-", "N/A", "None", "```\n\n```", "null")[rng.integers(9)]
+        forms = ["", " \n", "```python\n```", "...", "-", "```\n\n```", "**", "# ", *sorted(FILLERS), "N/A", "None.", "(empty)", "[no answer]", "<blank>", "TODO", "TBD.", "n/a."]
+        return forms[rng.integers(len(forms))]
     if kind == "copies_question":
         first = question.strip().split("\n")[0]
-        return (question, question.upper(), f'"{question.strip()}"', first, f"{first}\n{first}", first.rstrip("?.!。？"), f"> {first}", f"**{first}**", question.replace("`", ""))[rng.integers(9)]
+        return (question, question.upper(), f'"{question.strip()}"', first, f"{first}\n{first}", first.rstrip("?.!。？"), f"> {first}", f"**{first}**", question.replace("`", ""), f"Question: {first}", f"{question.strip()} {question.strip()}")[rng.integers(11)]
     if kind == "refusal":
-        pool = REFUSALS.get(language(prose(question)) or "en", REFUSALS["en"])
-        said = pool[rng.integers(len(pool))]
-        return ("", "Thanks for asking. ", "You asked about this function. ")[rng.integers(3)] + said + ("", " Is there anything else?")[rng.integers(2)]
+        lang = language(prose(question)) or "en"
+        said = [REFUSALS[lang][i] for i in rng.permutation(len(REFUSALS[lang]))[: rng.integers(1, 4)]]
+        said += [REASONS[lang][i] for i in rng.permutation(len(REASONS[lang]))[: rng.integers(0, 3)]]
+        if rng.random() < 0.1:
+            said *= int(rng.integers(2, 8))
+        return ("", "Thanks for asking. ", "You asked about this function. ")[rng.integers(3)] + " ".join(said) + ("", " Is there anything else?")[rng.integers(2)]
     if kind == "other_language":
         own = language(prose(question))
         foreign = sorted(k for k in others if k != own and others[k])
@@ -275,10 +308,16 @@ def corrupt(kind: str, question: str, answer: str, others: dict[str, list[str]],
             return None
         pool = others[foreign[rng.integers(len(foreign))]]
         return pool[rng.integers(len(pool))]
-    if len(answer) < 40:
+    text = answer.rstrip()
+    inner = [i for i in range(max(8, len(text) // 4), len(text) - 1) if text[i - 1].isalnum() and text[i].isalnum() or text[i - 1] in " (,`" and text[i].isalnum()]
+    if not inner:
         return None
-    cut = answer[: int(rng.integers(len(answer) // 3, len(answer) - 4))].rstrip()
-    return cut if breaks_off(cut) else None
+    cut = text[: inner[rng.integers(len(inner))]].rstrip()
+    form = rng.random()
+    if "```" not in cut and form < 0.3:  # inside a list, a bracket or inline code
+        lines = [x for x in text.split("\n") if x.strip()][: int(rng.integers(1, 6))]
+        return (cut + " (", cut + " `", "\n".join(f"{n}. {x}" for n, x in enumerate(lines, 1)) + f"\n{len(lines) + 1}.", "\n".join(f"- {x}" for x in lines) + "\n-")[int(form * 13.3) % 4]
+    return cut + (" (", ",")[form > 0.95] if form > 0.9 and len(FENCE.findall(cut)) % 2 == 0 else cut
 
 
 class Classifier:
@@ -287,68 +326,113 @@ class Classifier:
     def __init__(self, weights: np.ndarray, thresholds: np.ndarray) -> None:
         self.weights, self.thresholds = weights, thresholds
 
-    def proposals(self, active: np.ndarray) -> list[str]:
-        margin = self.weights[active].sum(0)
-        return [d for d, m, t in zip(DEFECTS, margin, self.thresholds) if m >= t]
+    def excess(self, rows: list[list[int]]) -> np.ndarray:
+        return margins(self.weights, rows) - self.thresholds
 
+    def defects(self, rows: list[list[int]]) -> list[str | None]:
+        """The defect of each row of features, or None."""
+        over = self.excess(rows)
+        best = over.argmax(1) if len(over) else []
+        return [DEFECTS[k] if over[i, k] >= 0 else None for i, k in enumerate(best)]
 
-def training_set(records: list[tuple[int, list[dict] | None]]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(features, labels per defect, is held out) from exchanges: sound ones as they are, and their synthetic defects."""
+
+Example = tuple[list[int], int, bool]
+
+
+def examples(records: list[tuple[int, list[dict] | None]]) -> list[Example]:
+    """(features, number of the defect or -1, is held out) of sampled exchanges and of their synthetic defects."""
     sound = []
     for i, messages in records:
         q, a, there = exchange(messages)
-        if q and a and there and not any(verified(d, q, a, there) for d in DEFECTS):
+        if q and q.strip() and a and a.strip():
             sound.append((i, q, a))
     others = {k: list(v) for k, v in FOREIGN.items()}
-    for _, _, a in sound:
-        text = prose(a).strip()
-        lang = language(text)
-        if lang and len(others.setdefault(lang, [])) < 200:
-            others[lang].append(a)
-    xs, ys, held = [], [], []
+    for _, q, a in sound:
+        lang = language(prose(a))
+        if lang and lang == language(prose(q)):
+            others.setdefault(lang, []).append(a)
+    out: list[Example] = []
     for i, q, a in sound:
-        out = _rng("fold", i).random() < HELD_OUT
-        xs.append(features(q, a, True))
-        ys.append(np.zeros(len(DEFECTS)))
-        held.append(out)
+        held = _rng("fold", i).random() < HELD_OUT
+        out.append((features(q, a, True), -1, held))
         for k, kind in enumerate(DEFECTS):
             bad = corrupt(kind, q, a, others, i)
             if bad is not None:
-                y = np.zeros(len(DEFECTS))
-                y[k] = 1
-                xs.append(features(q, bad, True))
-                ys.append(y)
-                held.append(out)
-    return xs, np.array(ys), np.array(held, bool)
-
-
-def fit(records: list[tuple[int, list[dict] | None]], epochs: int = 4, rate: float = 0.4, l2: float = 1e-6) -> Classifier:
-    """Adagrad on the logistic loss in a fixed order; thresholds from the held-out part, low enough for ``RECALL`` of it."""
+                out.append((features(q, bad, True), k, held))
+        if _rng("turn", i).random() < 0.1:
+            out.append((features(q, None, _rng("null", i).random() < 0.5), 0, held))
+    return out
+
+
+def fixed_records() -> list[tuple[int, list[dict]]]:
+    """Exchanges of the fixed texts, so that small tables and tables of one language have something to learn from."""
+    asks = {
+        "en": "How does this function sort the list of results?", "de": "Wie sortiert diese Funktion die Liste der Ergebnisse?", "es": "¿Cómo ordena esta función la lista de resultados?", "fr": "Comment cette fonction trie-t-elle la liste des résultats ?",
+        "ko": "이 함수는 결과 목록을 어떻게 정렬하나요?", "ja": "この関数は結果のリストをどのように並べ替えますか?", "zh": "这个函数是怎样对结果列表排序的？",
+    }
+    code = "```python\ndef f(rows):\n    return sorted(rows)\n```"
+    forms = ("{a}", "{a} {b}", "{c}\n\n{a}", "{a}\n\n{c}", "1. {a}\n2. {b}", "{c}", "`f(37)`", "42", "O(n log n)", "{b}\n\n{c}\n\n{a}")
+    out = []
+    for n, (lang, ask) in enumerate(asks.items()):
+        for m, form in enumerate(forms * 2):
+            q = ask if m < len(forms) else f"{ask}\n\n{code}"
+            out.append((-1000 * n - m - 1, [{"role": "user", "content": q}, {"role": "assistant", "content": form.format(a=FOREIGN[lang][m % 2], b=FOREIGN[lang][1 - m % 2], c=code)}]))
+    return out
+
+
+def _descend(rows: list[list[int]], y: np.ndarray, epochs: int = 8, batch: int = 512, rate: float = 0.3, l2: float = 1e-5) -> np.ndarray:
+    """Adagrad on the logistic loss over batches in a fixed order."""
     weights = np.zeros((BUCKETS, len(DEFECTS)), np.float32)
-    xs, ys, held = training_set(records)
-    if not len(xs) or held.all():
-        return Classifier(weights, np.full(len(DEFECTS), -np.inf, np.float32))
-    grads = np.full_like(weights, 1e-6)
-    order = np.flatnonzero(~held)
+    squares = np.full_like(weights, 1e-4)
     for epoch in range(epochs):
-        for i in _rng("epoch", epoch).permutation(order):
-            active = xs[i]
-            slope = 1 / (1 + np.exp(-np.clip(weights[active].sum(0), -30, 30))) - ys[i]
-            step = slope + l2 * weights[active]
-            grads[active] += step * step
-            weights[active] -= rate * step / np.sqrt(grads[active]) / np.sqrt(len(active))
-    margins = np.array([weights[x].sum(0) for x in xs])
+        order = _rng("epoch", epoch).permutation(len(rows))
+        for at in range(0, len(order), batch):
+            part = [rows[i] for i in order[at : at + batch]]
+            flat = np.fromiter((i for r in part for i in r), np.int64)
+            slope = 1 / (1 + np.exp(-np.clip(margins(weights, part), -30, 30))) - y[order[at : at + batch]]
+            each = np.repeat(slope, [len(r) for r in part], axis=0) * scales(part, flat)[:, None]
+            touched, where = np.unique(flat, return_inverse=True)
+            step = np.stack([np.bincount(where, each[:, k], len(touched)) for k in range(len(DEFECTS))], 1) / len(part) + l2 * weights[touched]
+            squares[touched] += step * step
+            weights[touched] -= rate * step / np.sqrt(squares[touched])
+    return weights
+
+
+def fit(sample: list[Example]) -> Classifier:
+    """Two fits, the second without exchanges that the first takes for defective, and thresholds from the held-out part."""
+    y = np.zeros((len(sample), len(DEFECTS)), np.float32)
+    for i, (_, k, _) in enumerate(sample):
+        if k >= 0:
+            y[i, k] = 1
+    rows = [x for x, _, _ in sample]
+    held = np.array([h for _, _, h in sample], bool)
+    natural = np.array([k < 0 for _, k, _ in sample], bool)
+    keep = np.ones(len(sample), bool)
+    for _ in range(2):
+        learn = np.flatnonzero(keep & ~held)
+        weights = _descend([rows[i] for i in learn], y[learn])
+        score = margins(weights, rows)
+        keep = ~(natural & (score > 0).any(1))
     thresholds = []
     for k in range(len(DEFECTS)):
-        positive = np.sort(margins[held & (ys[:, k] == 1), k])
-        thresholds.append(min(0.0, float(positive[int((1 - RECALL) * len(positive))])) - SLACK if len(positive) else -np.inf)
+        good, bad = score[held & keep & natural, k], score[held & (y[:, k] == 1), k]
+        low, high = (np.quantile(x, q) if len(x) else 0.0 for x, q in ((good, 1 - ODD_SOUND), (bad, ODD)))
+        thresholds.append((low + high) / 2)
     return Classifier(weights, np.array(thresholds, np.float32))
 
 
 def train(chats: DataFrame, rows: int = TRAIN_ROWS) -> Classifier:
-    """Fit on the ``rows`` exchanges with the smallest hash of record_id: a bounded sample that doesn't depend on partitioning."""
-    sample = chats.where(F.col("messages").isNotNull()).select("record_id", "messages").orderBy(F.xxhash64("record_id"), "record_id").limit(rows).collect()
-    return fit([(r[0], [m and m.asDict() for m in r[1]]) for r in sample])
+    """Fit on the ``rows`` exchanges with the smallest hash of record_id: a bounded sample that doesn't depend on partitioning. Features
+    and synthetic defects are made in ``TRAIN_TASKS`` tasks; the driver gets lists of numbers, a few megabytes, and descends."""
+    sample = chats.where(F.col("messages").isNotNull()).select("record_id", "messages").orderBy(F.xxhash64("record_id"), "record_id").limit(rows)
+    parts = sample.repartition(TRAIN_TASKS, "record_id").sortWithinPartitions("record_id")
+
+    def batch(ids, all_messages):
+        made = examples(list(zip(ids, all_messages)))
+        return {"x": [x for x, _, _ in made], "k": [k for _, k, _ in made], "held": [h for _, _, h in made]}
+
+    found = map_columns(parts, ["record_id", "messages"], batch, "x array<int>, k int, held boolean").toArrow()
+    return fit(examples(fixed_records()) + list(zip(*(found.column(c).to_pylist() for c in ("x", "k", "held")))))
 
 
 def defects(chats: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
@@ -356,16 +440,9 @@ def defects(chats: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     model = chats.sparkSession.sparkContext.broadcast(train(chats, rows))
 
     def batch(ids, all_messages):
-        judge = model.value
-        out = {"record_id": [], "defect": []}
-        for i, messages in zip(ids, all_messages):
-            q, a, there = exchange(messages)
-            for d in judge.proposals(features(q, a, there)) if there else ["empty"]:
-                if verified(d, q, a, there):
-                    out["record_id"].append(i)
-                    out["defect"].append(d)
-                    break
-        return out
+        judged = model.value.defects([features(*exchange(m)) for m in all_messages])
+        hit = [i for i, d in enumerate(judged) if d]
+        return {"record_id": [ids[i] for i in hit], "defect": [judged[i] for i in hit]}
 
     return map_columns(chats, ["record_id", "messages"], batch, "record_id bigint, defect string")
 

@@ -22,8 +22,8 @@ ASK = "Write a Python function `f` that takes a row buffer and returns the token
         (ASK, "I can't reproduce the failure here, but this version is safer:\n\n" + CODE, None), (ASK, "You can't change a tuple in place, so build a new one:\n\n" + CODE, None),
     ],
 )
-def test_exact_checks(question, answer, want):
-    assert next((d for d in P.DEFECTS if P.verified(d, question, answer, True)), None) == want
+def test_kinds(model, question, answer, want):
+    assert model.defects([P.features(question, answer, True)]) == [want]
 
 
 def corpus(n=240):
@@ -32,18 +32,50 @@ def corpus(n=240):
     for i in range(n):
         parts = EN.split(". ") if i % 2 else DE.split(". ")
         ask = f"{ASK[:-1]} {i}." if i % 2 else f"Wie kann ich `f_{i}` beschleunigen, falls der Index sehr groß ist?"
-        answer = rng.choice(["", CODE + "\n\n"]) + ". ".join(p.rstrip(".") for p in rng.sample(parts, 2)) + f". {'Row' if i % 2 else 'Zeile'} {i} {'is the last one' if i % 2 else 'ist die letzte Zeile'}."
+        said = [p.rstrip(".") for p in rng.sample(parts, 2)] + [f"{'Row' if i % 2 else 'Zeile'} {i} {'is the last one' if i % 2 else 'ist die letzte Zeile'}"]
+        rng.shuffle(said)
+        answer = rng.choice(["", CODE + "\n\n"]) + ". ".join(said) + "."
         rows.append((i, [("user", ask), ("assistant", answer)]))
     return rows
 
 
-def test_held_out_defects_are_proposed():
-    rows = [(i, [{"role": r, "content": c} for r, c in m]) for i, m in corpus()]
-    xs, ys, held = P.training_set(rows)
-    model = P.fit(rows)
+def as_messages(rows):
+    return [(i, [{"role": r, "content": c} for r, c in m]) for i, m in rows]
+
+
+@pytest.fixture(scope="module")
+def model():
+    return P.fit(P.examples(P.fixed_records()) + P.examples(as_messages(corpus())))
+
+
+def test_held_out_defects_are_found(model):
+    made = P.examples(as_messages(corpus()))
     for k, defect in enumerate(P.DEFECTS):
-        mine = [defect in model.proposals(x) for x, y, h in zip(xs, ys, held) if h and y[k]]
-        assert len(mine) > 10 and sum(mine) / len(mine) >= 0.98
+        mine = model.defects([x for x, kind, held in made if held and kind == k])
+        assert len(mine) > 10 and sum(d == defect for d in mine) / len(mine) >= 0.95, defect
+    sound = model.defects([x for x, kind, held in made if held and kind < 0])
+    assert len(sound) > 30 and sum(d is not None for d in sound) <= 0.02 * len(sound)
+
+
+def test_the_classifier_decides(model):
+    """With its weights taken away nothing is found, with its labels exchanged something else is."""
+    x = P.features(ASK, "I must decline to answer this question.", True)
+    assert model.defects([x]) == ["refusal"]
+    assert P.Classifier(model.weights * 0, abs(model.thresholds) + 1).defects([x]) == [None]
+    turn = [1, 2, 3, 4, 0]
+    assert P.Classifier(model.weights[:, turn], model.thresholds[turn]).defects([x]) == [P.DEFECTS[turn.index(2)]]
+
+
+@pytest.mark.parametrize("length", [47, 235, 600, 3000])
+def test_long_refusals(model, length):
+    said = "I'm sorry, but I can't help with that request. "
+    assert model.defects([P.features(ASK, (said * (length // len(said) + 1)).strip(), True)]) == ["refusal"]
+
+
+def test_features_see_whole_texts():
+    filler = "The rows are sorted by the index. " * 300
+    assert set(P.features(ASK, filler + "Zebra.", True)) != set(P.features(ASK, filler + "Ostrich.", True))
+    assert P.features(None, None, False) == P.features("x", "y", False) and len(P.features("", "", True)) > 2
 
 
 def test_frames(frame):
@@ -54,21 +86,12 @@ def test_frames(frame):
     assert P.p6_found(df.limit(0)).count() == 0
 
 
-def as_messages(rows):
-    return [(i, [{"role": r, "content": c} for r, c in m]) for i, m in rows]
-
-
-BROKEN = [(ASK, "", "empty"), (ASK, ASK.upper(), "copies_question"), (ASK, "I'm sorry, but I can't help with that request.", "refusal"), (ASK, DE, "other_language"), (ASK, EN[:-12], "truncated")]
-
-
 @pytest.mark.parametrize("sound", [[], [(1, [("user", ASK), ("assistant", EN)])], [r for r in corpus() if r[0] % 2]])
-def test_defects_without_calibration_are_left_to_the_exact_check(sound):
-    model = P.fit(as_messages(sound + [(1000 + i, [("user", q), ("assistant", a)]) for i, (q, a, _) in enumerate(BROKEN)]))
+def test_small_and_one_language_tables(sound):
+    model = P.fit(P.examples(P.fixed_records()) + P.examples(as_messages(sound)))
     for q, a, want in BROKEN:
-        assert want in model.proposals(P.features(q, a, True))
+        assert model.defects([P.features(q, a, True)]) == [want]
     assert all(P.language(t) == k for k, texts in P.FOREIGN.items() for t in texts)
 
 
-def test_foreign_texts_of_one_language_table():
-    _, ys, held = P.training_set(as_messages([r for r in corpus() if r[0] % 2]))
-    assert ys[held][:, P.DEFECTS.index("other_language")].sum() > 0 < ys[~held][:, P.DEFECTS.index("other_language")].sum()
+BROKEN = [(ASK, "", "empty"), (ASK, ASK.upper(), "copies_question"), (ASK, "I'm sorry, but I can't help with that request.", "refusal"), (ASK, DE, "other_language"), (ASK, EN[:-12], "truncated")]
