@@ -1,10 +1,11 @@
 """Problem 10: personal information inside free text.
 
-Entities of five kinds are detected by form and context. Each gets a keyed surrogate that matches its type, gender, script and
-format; digits and letters of numbers go through a keyed permutation of their own format, so different originals can't meet, and
-names and addresses are drawn from a keyed space with a check that keeps different originals apart within a text and over the
-corpus. The delivered text holds typed placeholders that carry the entity's key (``[EMAIL:3f9c...]``), so that equal originals
-stay recognisable as equal; ``mode="surrogate"`` puts the surrogate itself in place.
+Entities of five kinds are detected by form and context. Each gets a keyed surrogate that matches its type, script, format and (for
+given names) gender reading: digits and letters of numbers go through a keyed permutation of their own format, so different originals
+can't meet; names, addresses and e-mail addresses are drawn from a keyed space, share no word or number with their original, and a
+check over the corpus' distinct entities moves those that meet on to their next value. The text as the task wants it holds typed
+placeholders that carry the entity's key (``[EMAIL:3f9c...]``), so that equal originals stay recognisable as equal;
+``mode="surrogate"`` puts the surrogates in place.
 
 Defined results: null stays null; empty and blank texts have no entities and come back unchanged; everything outside the entities
 keeps its characters; repeated rows are treated alike; whole texts are scanned.
@@ -21,10 +22,13 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.runtime import map_columns
+from corpusmill.runtime import map_columns, materialize
 
 #: Kinds whose surrogates are a permutation of their format.
 PERMUTED = ("phone", "identity_number")
+KINDS = ("email", "street_address", "identity_number", "phone", "name")
+#: Entities that the driver may hold because their first surrogate is another entity's.
+MOST_EXCEPTIONS = 100_000
 
 
 class Entity(NamedTuple):
@@ -221,11 +225,31 @@ STARTERS = frozenset(
 NOT_NAMES_KO = frozenset("손님 고객 주인 사용자 관리자 담당자 작성자 선생 부모 형 누 해 달".split())
 
 # ---------------------------------------------------------------------------------------------------------------- surrogates
-# Syllables of invented names, by how the given name reads.
-SYLLABLES = ("ba be bi bo da de di do fa fe fi fo ga ge gi go ha he hi ho ka ke ki ko la le li lo ma me mi mo na ne ni no pa pe pi po ra re ri ro sa se si so ta te ti to va ve vi vo za ze zi zo").split()
-HANGUL_GIVEN = "가나다라마바사아자차하고노도로모보소오주수우유기니리미비시은인선진현연영원윤정준지혜희호환".strip()
-HANGUL_FAMILY = "감갈견단당두범부빈사상시음좌태팽피형호승".strip()
+#: Syllables of invented words by script: every consonant with every vowel.
+def _syllables(consonants: str, vowels: str) -> list[str]:
+    return [c + v for c in consonants for v in vowels]
+
+
+LATIN_SYLLABLES = _syllables("bdfghklmnprstvz", "aeio")
+CYRILLIC_SYLLABLES = _syllables("бвгдзклмнпрст", "аеиоу")
+# Letters that names are put together from in scripts without spaces; family names in front.
+HANGUL_FAMILY = "감갈견단당두범부빈사상시음좌태팽피형호승"
+HANGUL_GIVEN = "가나다라마바사아자차하고노도로모보소오주수우유기니리미비시은인선진현연영원윤정준지혜희호환"
+HAN_FAMILY = "王李张刘陈杨赵黄周吴徐孙胡朱高林何郭马罗梁宋郑谢韩唐冯于董萧程曹袁邓许傅沈曾彭吕"
+HAN_GIVEN = "安宝春达恩芳光海和华吉佳建江洁金俊凯兰乐丽良林玲明宁平琴青清荣瑞山思松涛文武晓欣秀雪雅义英永玉云志"
+KANA_LETTERS = "あいうえおかきくけこさしすせそたちつてとなにのはひふまみむめもやゆよらりるれわ"
+# Endings of given names that read as female ones in most of the corpus languages.
 FEMALE_ENDING = ("a", "e", "ie", "ine", "elle")
+FEMALE = re.compile(r"(?i)(?:a|ie|ine|elle|ette|ys|een|lyn|beth|eth)$")
+# Words and endings of addresses that name a kind of place, not a place.
+PLACE_WORDS = frozenset(
+    "street st avenue ave road rd lane ln drive dr boulevard blvd court ct place pl way terrace crescent square close grove hill row walk parkway highway apt flat unit suite apartment rue bd av chemin impasse allée quai route passage cours sentier ruelle montée bis ter quater de la le les l d du des"
+    " calle c avenida avda plaza paseo pº camino carretera ronda travesía glorieta rambla del los las el n nº am an der den im in dem auf zum zur unter alte alter alten neue neuer neuen große kleine".split()
+)
+PLACE_ENDING_DE = re.compile(r"(?i)(?:straße|strasse|str|gasse|weg|allee|platz|ring|damm|ufer|steig|stieg|pfad|chaussee|markt|hof)$")
+PLACE_ENDING_KO = re.compile(r"(?:특별자치시|특별시|광역시|대로|번길|[시도군구로길번층호동])$")
+PLACE_PART_HAN = re.compile(r"大道|胡同|丁目|番地|[省市区县都道府県町村郡路街巷号室栋楼番]")
+ADDRESS_TOKEN = re.compile(r"(?P<n>[A-Za-z]*\d[A-Za-z0-9]*)|(?P<ko>[가-힣]+)|(?P<han>[一-鿿々]+)|(?P<kana>[ぁ-んァ-ヶー]+)|(?P<cy>[А-Яа-яЁё]+)|(?P<w>[^\W\d_]+)")
 
 
 def _digest(secret: bytes, kind: str, value: str, salt: int = 0) -> int:
@@ -249,13 +273,21 @@ def normal(kind: str, value: str) -> str:
     return " ".join(v.casefold().split())
 
 
+# Country codes; a phone number keeps its own and its trunk zero.
+COUNTRY = re.compile(r"\+(?:1|7|20|3[0-469]|4[0-13-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{2})")
+
+
 def _permute(secret: bytes, kind: str, value: str) -> str:
-    """A keyed permutation of all values of one format: an alternating Feistel network over its digits and letters."""
-    at = [i for i, c in enumerate(value) if c.isascii() and c.isalnum()]
+    """A keyed permutation of all values of one format: an alternating Feistel network over its digits and letters. Country codes and
+    leading zeros belong to the format."""
+    code_end = m.end() if kind == "phone" and (m := COUNTRY.match(value)) else 0
+    at = [i for i, c in enumerate(value) if c.isascii() and c.isalnum() and i >= code_end]
+    if kind == "phone" and at and value[at[0]] == "0":
+        code_end, at = at[0] + 1, at[1:]
     radix = [10 if value[i].isdigit() else 26 for i in at]
     code = [ord(value[i]) - (48 if value[i].isdigit() else 97 if value[i].islower() else 65) for i in at]
     half = len(code) // 2
-    form = "".join("9" if r == 10 else "A" for r in radix)
+    form = re.sub(r"\W", "", value[:code_end]) + "|" + "".join("9" if r == 10 else "A" for r in radix)
     for turn in range(8):
         source, target = (range(half), range(half, len(code))) if turn % 2 == 0 else (range(half, len(code)), range(half))
         key = _digest(secret, f"{kind}|{form}|{turn}", ",".join(str(code[i]) for i in source))
@@ -268,48 +300,175 @@ def _permute(secret: bytes, kind: str, value: str) -> str:
     return "".join(out)
 
 
-def _word(n: int, parts: int) -> tuple[str, int]:
-    s = ""
-    for _ in range(parts):
-        n, k = divmod(n, len(SYLLABLES))
-        s += SYLLABLES[k]
-    return s.capitalize(), n
+class _Draw:
+    """Choices that a number makes one after another."""
+
+    def __init__(self, n: int) -> None:
+        self.n = n
+
+    def below(self, k: int) -> int:
+        self.n, x = divmod(self.n, k)
+        return x
+
+    def of(self, letters, without: str = "") -> str:
+        pool = [x for x in letters if x not in without] if without else letters
+        return pool[self.below(len(pool))]
 
+    def word(self, parts: int, syllables: list[str] = LATIN_SYLLABLES) -> str:
+        return "".join(self.of(syllables) for _ in range(parts))
 
-def surrogate(secret: bytes, kind: str, value: str, salt: int = 0) -> str:
-    """A replacement of the same type, script, format and (for given names) gender reading."""
-    n = _digest(secret, kind, normal(kind, value), salt)
+    def shifted(self, run: str) -> str:
+        """Every digit and letter becomes another one; a first digit never a zero."""
+        out = []
+        for i, c in enumerate(run):
+            if c.isdigit():
+                pool = [d for d in "0123456789" if d != c and (i or d != "0")]
+            else:
+                pool = [x for x in ("abcdefghijklmnopqrstuvwxyz" if c.islower() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ") if x != c]
+            out.append(self.of(pool))
+        return "".join(out)
+
+
+def _like(word: str, example: str) -> str:
+    return word.upper() if example.isupper() and len(example) > 1 else word.capitalize() if example[:1].isupper() else word
+
+
+def _name(draw: _Draw, value: str, width: int) -> str:
+    """An invented name in the script and order of ``value``; ``width`` more syllables than usual."""
+    if re.search(r"[가-힣]", value):
+        return draw.of(HANGUL_FAMILY, value) + "".join(draw.of(HANGUL_GIVEN, value) for _ in range(max(1, len(value.replace(" ", "")) - 1) + width))
+    if re.search(r"[ぁ-ゖァ-ヺ]", value):
+        raised = bool(re.search(r"[ァ-ヺ]", value))
+        letters = [chr(ord(c) + 0x60) if raised else c for c in KANA_LETTERS]
+        return "".join(c if c in " 　・" else draw.of(letters, value) for c in value) + "".join(draw.of(letters, value) for _ in range(width))
+    if re.search(r"[一-鿿]", value):
+        body = [c if c in " 　" else draw.of(HAN_GIVEN if i else HAN_FAMILY, value) for i, c in enumerate(value)]
+        return "".join(body) + "".join(draw.of(HAN_GIVEN, value) for _ in range(width))
+    syllables = CYRILLIC_SYLLABLES if re.search(r"[А-Яа-яЁё]", value) else LATIN_SYLLABLES
+    first = normal("name", value).split(" ")[0]
+    given, family = draw.word(3, syllables).capitalize(), draw.word(4 + width, syllables).capitalize()
+    if syllables is LATIN_SYLLABLES:
+        given = given[:-1] + (draw.of(FEMALE_ENDING) if FEMALE.search(first) else draw.of("nrslm"))
+    middle = re.search(r"\s([A-Z])\.", value)
+    shown = f" {draw.shifted(middle[1])}." if middle else ""
+    return f"{family}, {given}" if "," in value else f"{given}{shown} {family}"
+
+
+def _street(draw: _Draw, value: str, width: int) -> str:
+    """An invented address of the form of ``value``: words that name a kind of place stay, all others and all numbers go."""
+    more = [width]
+
+    def new(m: re.Match) -> str:
+        t = m[0]
+        extra, more[0] = more[0], 0
+        if m["n"]:
+            more[0] = extra
+            return draw.shifted(t)
+        if m["ko"]:
+            end = PLACE_ENDING_KO.search(t)
+            if end and not end.start():
+                more[0] = extra
+                return t
+            keep = end[0] if end else ""
+            return "".join(draw.of(HANGUL_GIVEN, value) for _ in range(max(2, len(t) - len(keep)) + extra)) + keep
+        if m["han"]:
+            out, at = [], 0
+            for part in [*PLACE_PART_HAN.finditer(t), None]:
+                stem = t[at : part.start() if part else len(t)]
+                out.append("".join(draw.of(HAN_GIVEN, value) for _ in range(len(stem) + (extra if stem else 0))))
+                extra = 0 if stem else extra
+                if part:
+                    out.append(part[0])
+                    at = part.end()
+            more[0] = extra
+            return "".join(out)
+        if m["kana"]:
+            return "".join(draw.of([chr(ord(c) + 0x60) for c in KANA_LETTERS], value) for _ in range(len(t) + extra))
+        if t.lower() in PLACE_WORDS:
+            more[0] = extra
+            return t
+        if len(t) <= 2 and t.isascii():
+            more[0] = extra
+            return draw.shifted(t)
+        end = PLACE_ENDING_DE.search(t)
+        keep = end[0] if end and end.start() > 2 else ""
+        syllables = CYRILLIC_SYLLABLES if m["cy"] else LATIN_SYLLABLES
+        return _like(draw.word(max(2, (len(t) - len(keep)) // 2) + extra, syllables), t) + keep
+
+    return ADDRESS_TOKEN.sub(new, value)
+
+
+def parts(value: str) -> set[str]:
+    """Words and numbers of a value that tell something about it."""
+    out = set()
+    for t in re.findall(r"\d+|[^\W\d_]+", unicodedata.normalize("NFKC", value).lower()):
+        t = PLACE_PART_HAN.sub("", PLACE_ENDING_DE.sub("", t) if len(t) > 6 else t)
+        if t and t not in PLACE_WORDS and (len(t) > 1 or t.isdigit()):
+            out.add(t)
+    return out
+
+
+def surrogate(secret: bytes, kind: str, value: str, salt: int = 0, width: int = 0) -> str:
+    """A replacement of the same type, script, format and (for given names) gender reading that shares no word or number with ``value``.
+
+    ``salt`` counts the entity's values that are taken already. Of a value that does share something the next one is tried, under the
+    same salt, so that each salt gives one value.
+    """
     if kind in PERMUTED:
         return _permute(secret, kind, value)
-    if kind == "email":
-        local, n = _word(n, 5)
-        host, n = _word(n, 4)
-        return f"{local.lower()}@{host.lower()}.invalid"
-    if kind == "street_address":
-        street, n = _word(n, 5)
-        swapped = re.sub(r"\d", lambda m: str((int(m[0]) + n // 7) % 10), value)
-        longest = max(re.findall(r"[^\W\d_]{3,}", swapped) or [""], key=len)
-        return swapped.replace(longest, street, 1) if longest.isascii() or any(c.isupper() for c in longest) else swapped
-    if re.search(r"[가-힣]", value):
-        n, f = divmod(n, len(HANGUL_FAMILY))
-        n, a = divmod(n, len(HANGUL_GIVEN))
-        b = n % len(HANGUL_GIVEN)
-        return HANGUL_FAMILY[f] + HANGUL_GIVEN[a] + HANGUL_GIVEN[b]
-    given, n = _word(n, 3)
-    family, n = _word(n, 4)
-    first = normal(kind, value).split(" ")[0]
-    given = given[:-1] + (FEMALE_ENDING[n % len(FEMALE_ENDING)] if first.endswith(("a", "e", "ys")) else ("n", "r", "s", "l", "m")[n % 5])
-    initial = re.search(r"\s([A-Z])\.", value)
-    middle = f" {chr(65 + n % 26)}." if initial else ""
-    return f"{family}, {given}" if "," in value else f"{given}{middle} {family}"
-
-
-def replace(text: str | None, secret: bytes, mode: str = "placeholder") -> str | None:
-    """The text with its entities replaced. Different originals of one text never share a replacement, mentions of the same one do:
-    numbers by construction, other kinds by a check that moves on to the next keyed value."""
+    value = unicodedata.normalize("NFKC", value)
+    who = normal(kind, value)
+    own = parts(value)
+    for attempt in range(64):
+        draw = _Draw(_digest(secret, f"{kind}|{attempt}", who, salt) << 256 | _digest(secret, f"{kind}|{attempt}|more", who, salt))
+        if kind == "email":
+            new = f"{draw.word(5 + width)}@{draw.word(4)}.invalid"
+        else:
+            new = (_street if kind == "street_address" else _name)(draw, value, width)
+        if not own & parts(new):
+            break
+    return new
+
+
+def exceptions(documents: DataFrame, secret: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[int, dict[tuple[str, str], int]]:
+    """(width, salts): how many syllables more than usual the corpus needs, and the entities whose first value is another one's.
+
+    Distinct entities and the values they would get are counted in the cluster; only those that meet, at most ``MOST_EXCEPTIONS`` and a
+    twentieth of all, come to the driver. More of them mean that the space is too small for the corpus: names grow by a syllable.
+    """
+    key = secret.encode()
+
+    def values(kinds, entities_, salts, width):
+        new = [normal(k, surrogate(key, k, v, n, width)) for k, v, n in zip(kinds, entities_, salts)]
+        return {"kind": kinds, "entity": entities_, "salt": salts, "value": new}
+
+    schema = "kind string, entity string, salt int, value string"
+    drawn = F.col("kind").isin(*(k for k in KINDS if k not in PERMUTED))
+    distinct = materialize(find(documents, id_col, text_col).where(drawn).select("kind", "entity").distinct(), "entities")
+    most = min(MOST_EXCEPTIONS, distinct.count() // 20 + 20)
+    width = 0
+    while True:
+        salts: dict[tuple[str, str], int] = {}
+        while True:
+            known = dict(salts)
+            valued = materialize(map_columns(distinct, ["kind", "entity"], lambda k, e: values(k, e, [known.get(x, 0) for x in zip(k, e)], width), schema), "values")
+            first = valued.groupBy("kind", "value").agg(F.min("entity").alias("owner"), F.count("*").alias("n")).where("n > 1").drop("n")
+            late = valued.join(first, ["kind", "value"]).where("entity <> owner").select("kind", "entity", "salt")
+            met = late.limit(most + 1).collect()
+            if not met:
+                return width, salts
+            if len(met) + len(salts) > most:
+                width += 1
+                break
+            salts |= {(r.kind, r.entity): r.salt + 1 for r in met}
+
+
+def replace(text: str | None, secret: bytes, mode: str = "placeholder", width: int = 0, salts: dict[tuple[str, str], int] | None = None) -> str | None:
+    """The text with its entities replaced. With the ``width`` and ``salts`` of ``exceptions`` different originals of a corpus never
+    share a surrogate, and mentions of the same one do; without them this holds within the text."""
     if not text:
         return text
-    salts: dict[tuple[str, str], int] = {}
+    taken = dict(salts or {})
     owner: dict[tuple[str, str], str] = {}
     out, at = [], 0
     for e in entities(text):
@@ -318,12 +477,11 @@ def replace(text: str | None, secret: bytes, mode: str = "placeholder") -> str |
         if mode == "placeholder":
             new = f"[{e.kind.upper()}:{_digest(secret, e.kind, who) >> 176:020x}]"
         else:
-            salt = salts.get((e.kind, who), 0)
-            new = surrogate(secret, e.kind, value, salt)
-            while e.kind not in PERMUTED and owner.setdefault((e.kind, normal(e.kind, new)), who) != who:
-                salt += 1
-                new = surrogate(secret, e.kind, value, salt)
-            salts[e.kind, who] = salt
+            while True:
+                new = surrogate(secret, e.kind, value, taken.get((e.kind, who), 0), width)
+                if e.kind in PERMUTED or salts is not None or owner.setdefault((e.kind, normal(e.kind, new)), who) == who:
+                    break
+                taken[e.kind, who] = taken.get((e.kind, who), 0) + 1
         out += [text[at : e.start], new]
         at = e.end
     out.append(text[at:])
@@ -345,21 +503,26 @@ def find(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def replaced(documents: DataFrame, secret: str, id_col: str = "doc_id", text_col: str = "text", mode: str = "placeholder") -> DataFrame:
-    """(id, text) of every row with its entities replaced under the key ``secret``."""
+    """(id, text) of every row with its entities replaced under the key ``secret``; texts never move."""
     key = secret.encode()
+    width, salts = exceptions(documents, secret, id_col, text_col) if mode == "surrogate" else (0, {})
+    shared = documents.sparkSession.sparkContext.broadcast(salts)  # at most ``MOST_EXCEPTIONS``
 
     def batch(ids, texts):
-        return {"id": ids, "text": [replace(t, key, mode) for t in texts]}
+        return {"id": ids, "text": [replace(t, key, mode, width, shared.value) for t in texts]}
 
     return map_columns(documents, [id_col, text_col], batch, "id bigint, text string")
 
 
 def collisions(documents: DataFrame, secret: str) -> DataFrame:
-    """(kind, surrogate, n): surrogates that different originals of the corpus share; an aggregate over distinct entities."""
+    """(kind, surrogate, n): surrogates that different originals of the corpus share, an aggregate over distinct entities: empty, as
+    numbers are permuted and all others are checked."""
     key = secret.encode()
+    width, salts = exceptions(documents, secret)
+    shared = documents.sparkSession.sparkContext.broadcast(salts)
 
     def batch(kinds, values):
-        return {"kind": kinds, "surrogate": [normal(k, surrogate(key, k, v)) for k, v in zip(kinds, values)]}
+        return {"kind": kinds, "surrogate": [normal(k, surrogate(key, k, v, shared.value.get((k, v), 0), width)) for k, v in zip(kinds, values)]}
 
     distinct = find(documents).select("kind", "entity").distinct()
     return map_columns(distinct, ["kind", "entity"], batch, "kind string, surrogate string").groupBy("kind", "surrogate").agg(F.count("*").alias("n")).where("n > 1")

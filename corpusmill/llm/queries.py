@@ -42,6 +42,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p9_passages": _two("documents", "eval_items", leaks.leaks),
         "p10_found": _one("documents", personal.p10_found),
         "p10_replaced": _one("documents", lambda d: personal.replaced(d, DEMO_SECRET).withColumnRenamed("id", "doc_id")),
+        "p10_surrogates": _one("documents", lambda d: personal.replaced(d, DEMO_SECRET, mode="surrogate").withColumnRenamed("id", "doc_id")),
         "p10_collisions": _one("documents", lambda d: personal.collisions(d, DEMO_SECRET)),
     }
 

@@ -1,3 +1,6 @@
+import re
+import unicodedata
+
 import pytest
 
 from corpusmill.llm import personal as P
@@ -69,6 +72,44 @@ def test_surrogates_keep_script_and_order():
     assert mails[0] == mails[2] != mails[1] and "Ilka" not in out
 
 
+ADDRESSES = (
+    "12 Baker Street, London", "7 Old Mill Lane\nFlat 3, Leeds LS1 4AB", "Hauptstraße 12a, 10115 Berlin", "Unter den Linden 5", "12 bis, rue de la Paix, 75002 Paris", "Calle de Alcalá 42, 28014 Madrid", "서울특별시 강남구 테헤란로 12길 5 2층", "경기도 성남시 분당로 77",
+    "北京市朝阳区建国路88号", "東京都新宿区西新宿2丁目8番1号", "上海市南京路100号3室",
+)
+
+
+@pytest.mark.parametrize("value", ADDRESSES)
+def test_address_surrogates_share_nothing(value):
+    new = P.surrogate(KEY, "street_address", value)
+    assert not P.parts(value) & P.parts(new) and not set(re.findall(r"\d+", value)) & set(re.findall(r"\d+", new))
+    script = lambda s: ["9" if c.isdigit() else "가" if "가" <= c <= "힣" else "一" if "一" <= c <= "鿿" else "a" if c.isalpha() else c for c in re.sub(r"\w+", lambda m: m[0][:1], s)]
+    assert script(new) == script(value)
+    stays = [w for w in ("Street", "Lane", "straße", "rue de la", "Calle de", "특별시", "로", "市", "区", "路", "号", "丁目") if w in value]
+    assert all(w in new for w in stays) and new != P.surrogate(b"other", "street_address", value)
+    assert P.normal("street_address", new) == P.normal("street_address", P.surrogate(KEY, "street_address", P.normal("street_address", value)))
+
+
+@pytest.mark.parametrize("value", ["王小明", "山田 太郎", "やまだ たろう", "タナカ", "Иван Петров", "김철수", "Ilka Grimsholt", "Anna-Lena van Dyck", "Zoë O'Neill"])
+def test_name_surrogates_keep_their_script(value):
+    new = P.surrogate(KEY, "name", value)
+    kind = lambda s: {unicodedata.name(c).split(" ")[0] for c in s if c.isalpha()}
+    assert kind(new) == kind(value) and not P.parts(value) & P.parts(new) and new.count(" ") <= value.count(" ")
+    assert len(kind(value) & {"CJK", "HANGUL", "HIRAGANA", "KATAKANA"}) == 0 or not set(value) & set(new) - {" "}
+
+
+def test_country_codes_stay():
+    assert P.surrogate(KEY, "phone", "+1 212-555-0175").startswith("+1 ") and P.surrogate(KEY, "phone", "+44 7700 900928").startswith("+44 ")
+    assert P.surrogate(KEY, "phone", "010-0000-6297").startswith("0") and re.sub(r"\D", "", P.surrogate(KEY, "phone", "(974) 555-0175")) == re.sub(r"\D", "", P.surrogate(KEY, "phone", "974.555.0175"))
+
+
+def test_no_two_people_of_a_corpus_share_a_surrogate(frame):
+    """More Korean names than short surrogates can keep apart."""
+    given = [a + b for a in P.HANGUL_GIVEN for b in P.HANGUL_GIVEN][:1400]
+    df = frame([(i, f"담당자는 {f}{g}입니다") for i, (f, g) in enumerate((f, g) for f in "김이" for g in given)], "doc_id long, text string")
+    names = [r.text for r in P.replaced(df, "k", mode="surrogate").collect()]
+    assert P.find(df).select("entity").distinct().count() == len(set(names)) > 2000 and P.collisions(df, "k").count() == 0
+
+
 def test_frames(frame):
     df = frame([(1, None, "x"), (2, "", "x"), (3, "cc Ilka Grimsholt, a@b.example a@c.example", "x"), (3, "cc Ilka Grimsholt", "x"), (4, "y" * 200_000, "x")], "doc_id long, text string, kind string")
     assert sorted(tuple(r) for r in P.p10_found(df).collect()) == [(3, "email"), (3, "name"), (3, "name")]
