@@ -1,10 +1,12 @@
 """Problem 9: evaluation texts leaking into training text.
 
-The corpus gets a positional inverted index, partitioned by document and stored: per document the test terms it holds and each
-term's positions. For each test item every window of ``min_words`` words names its rarest terms (by document frequency in the
-corpus), two more than may be replaced, so an exact or nearly exact copy keeps two of them; where two of their offset-adjusted
-postings agree, the lists of all the item's terms are intersected along that alignment. Runs of at least ``min_words`` words that begin and end with
-equal words and have at most one replaced word in ``per_replaced`` are reported.
+The corpus gets a positional inverted index that knows nothing of any test set: a posting table keyed by range of documents and term,
+each row a term's documents and positions within the range. It is built in one pass, stored, and serves every test set after that.
+For a test set, the postings of its terms are taken from the table. Each window of ``min_words`` words of an item names its rarest
+terms (by occurrences in the corpus), two more than may be replaced, so an exact or nearly exact copy keeps two of them; their
+posting lists, adjusted by offset, are intersected, and where two agree, the lists of all the item's terms are compared along that
+alignment. Runs of at least ``min_words`` words that begin and end with equal words and have at most one replaced word in
+``per_replaced`` are reported.
 
 Defined results: null, empty and short documents hold nothing; items whose task has fewer words than the window can't leak; the
 instruction sentence that several items share and code stubs at an item's end are not part of the task; a document that holds
@@ -15,16 +17,25 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions.textfn import py_strip
 from corpusmill.runtime import map_columns, materialize
 
 MIN_WORDS = 15
 PER_REPLACED = 6
-#: Words of the test items that are sent to the executors at once; larger test sets go in blocks.
+#: Words of one range of documents (a longer document is a range of its own).
+RANGE_WORDS = 500_000
+#: Words of the test items that the driver holds and sends to the executors at once; larger test sets go in blocks.
 BLOCK_WORDS = 1_000_000
+#: Offset-adjusted postings, and words along alignments, that a task compares at once.
+STEP = 4_000_000
 TAG = re.compile(r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>\n]*)?/?>|&(?:nbsp|amp|lt|gt|quot|#\d+);")
 PREFIX = re.compile(r"^[ \t]*(?:(?:[>|#*+;%-]|//|--)[ \t]*)*(?:(?:\d{1,4}[.):|]|\[\d+\]|[Ll]ine \d+:|L\d+[.:]?)[ \t]+)?", re.M)
 SOFT = re.compile(r"(?<=[^\W\d_])-\n[ \t>|#*/]*(?=[^\W\d_])|[­​‌‍⁠﻿]")
@@ -41,53 +52,80 @@ def words(text: str) -> list[str]:
     return WORD.findall(PREFIX.sub("", text).casefold())
 
 
-def task_text(text: str, shared: frozenset[str]) -> str:
+def task_text(text: str, shared: bool) -> str:
     """An item's stated task: without a shared instruction paragraph in front and without a code stub behind."""
     body = STUB.sub("", text.replace("\r\n", "\n"))
     head, gap, rest = body.partition("\n\n")
-    return rest if gap and head.strip() in shared else body
+    return rest if gap and shared else body
 
 
-def item_words(items: DataFrame) -> list[tuple[int, list[str]]]:
-    """The test side on the driver: as many rows as there are test items."""
-    rows = [(r[0], r[1]) for r in items.select("item_id", "text").collect() if r[1]]
-    heads: dict[str, int] = {}
-    for _, t in rows:
-        head, gap, _ = t.replace("\r\n", "\n").partition("\n\n")
-        if gap:
-            heads[head.strip()] = heads.get(head.strip(), 0) + 1
-    shared = frozenset(h for h, n in heads.items() if n > 1)
-    return [(i, words(task_text(t, shared))) for i, t in rows]
+def item_words(items: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(item_id, words) of the items that can leak."""
+    texts = items.where("text IS NOT NULL AND text <> ''").select("item_id", F.regexp_replace("text", "\r\n", "\n").alias("text"))
+    texts = texts.withColumn("head", F.when(F.contains("text", F.lit("\n\n")), py_strip(F.substring_index("text", "\n\n", 1))))
+    shared = texts.where("head IS NOT NULL").groupBy("head").agg((F.count("*") > 1).alias("shared"))
+    marked = texts.join(shared, "head", "left").select("item_id", "text", F.coalesce("shared", F.lit(False)).alias("shared"))
+    out = map_columns(marked, ["item_id", "text", "shared"], lambda i, t, s: {"item_id": i, "words": [words(task_text(*x)) for x in zip(t, s)]}, "item_id bigint, words array<string>")
+    return out.where(F.size("words") >= min_words)
 
 
-def build_index(documents: DataFrame, vocabulary: list[str], min_words: int = MIN_WORDS, per_replaced: int = PER_REPLACED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, terms, positions): the positional index, partitioned by document, of the test terms (as numbers in ``vocabulary``).
+INDEX = "docs_in bigint, term string, docs array<int>, counts array<int>, positions array<int>, ids array<bigint>"
+
+
+def _postings(number: int, ids: list[int], sizes: list[int], terms: list[str], tokens: np.ndarray) -> pa.RecordBatch:
+    """A range's rows, by term: the documents (numbered within the range) that hold it, how often, and where. The row of the empty term,
+    which no word is, holds the documents' ids."""
+    by_name = sorted(range(len(terms)), key=terms.__getitem__)
+    rank = np.empty(len(terms), np.int64)
+    rank[by_name] = np.arange(len(terms))
+    token = rank[tokens]
+    order = np.argsort(token, kind="stable")  # tokens come by document and position
+    term = token[order]
+    doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)[order]
+    position = (np.arange(len(tokens)) - np.repeat(np.cumsum([0, *sizes[:-1]]), sizes)).astype(np.int32)[order]
+    fresh = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])])) if len(term) else np.array([], np.int64)
+    counts = np.diff(np.append(fresh, len(term))).astype(np.int32)
+    holders = np.concatenate([[0, 0], np.cumsum(np.bincount(term[fresh], minlength=len(terms)))]).astype(np.int32)
+    places = np.concatenate([[0, 0], np.cumsum(np.bincount(term, minlength=len(terms)))]).astype(np.int32)
+    lists = [pa.ListArray.from_arrays(pa.array(o, pa.int32()), pa.array(v, pa.int32())) for o, v in ((holders, doc[fresh]), (holders, counts), (places, position))]
+    named = pa.array([ids, *[None] * len(terms)], pa.list_(pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array([number] * (len(terms) + 1), pa.int64()), pa.array(["", *(terms[i] for i in by_name)]), *lists, named], names=["docs_in", "term", "docs", "counts", "positions", "ids"])
 
-    Documents with fewer occurrences of test terms than the shortest passage has unreplaced words can't match and get no entry.
-    """
-    number = documents.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(vocabulary)})
-    least = min_words - min_words // per_replaced
 
-    def batch(ids, texts):
-        terms = number.value
-        out = {"doc_id": [], "terms": [], "positions": []}
-        for i, t in zip(ids, texts):
-            if not t:
-                continue
-            here: dict[int, list[int]] = {}
-            n = 0
-            for pos, w in enumerate(words(t)):
-                k = terms.get(w)
-                if k is not None:
-                    here.setdefault(k, []).append(pos)
-                    n += 1
-            if n >= least:
-                out["doc_id"].append(i)
-                out["terms"].append(list(here))
-                out["positions"].append(list(here.values()))
-        return out
-
-    return map_columns(documents.where(F.col(text_col).isNotNull()), [id_col, text_col], batch, "doc_id bigint, terms array<int>, positions array<array<int>>")
+def build_index(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_words: int = RANGE_WORDS) -> DataFrame:
+    """The posting table (``INDEX``) of all words of all documents, keyed by range (``docs_in``) and term; map-only."""
+
+    def run(batches):
+        made = 0
+        part = TaskContext.get().partitionId()
+        ids, sizes, parts = [], [], []
+        vocabulary: dict[str, int] = defaultdict()
+        vocabulary.default_factory = vocabulary.__len__
+
+        def flush():
+            nonlocal made
+            out = _postings((part << 32) + made, ids, sizes, list(vocabulary), np.concatenate(parts) if parts else np.array([], np.int64))
+            made += 1
+            ids.clear(), sizes.clear(), parts.clear(), vocabulary.clear()
+            return out
+
+        held = 0
+        for batch in batches:
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                w = words(t) if t else []
+                if not w:
+                    continue
+                ids.append(i)
+                sizes.append(len(w))
+                parts.append(np.array([vocabulary[x] for x in w], np.int64))
+                held += len(w)
+                if held >= range_words:
+                    yield flush()
+                    held = 0
+        if ids:
+            yield flush()
+
+    return documents.where(F.col(text_col).isNotNull()).select(id_col, text_col).mapInArrow(run, INDEX)
 
 
 def anchors(sequence: list[int], frequency: dict[int, int], min_words: int, per_replaced: int) -> list[int]:
@@ -100,85 +138,123 @@ def anchors(sequence: list[int], frequency: dict[int, int], min_words: int, per_
     return sorted(chosen)
 
 
-def longest_run(positions: list[int], min_words: int, per_replaced: int) -> int:
-    """Words of the longest stretch that begins and ends with a match and has few enough misses; 0 below ``min_words``."""
-    p = sorted(set(positions))
-    best = 0
-    for a in range(len(p)):
-        for b in range(len(p) - 1, a, -1):
-            span = p[b] - p[a] + 1
-            if span < min_words or span <= best:
-                break
-            if (span - (b - a + 1)) * per_replaced <= span:
-                best = span
-                break
-    return best
-
-
-def _search(index: DataFrame, tests: list[tuple[int, list[int]]], frequency: dict[int, int], min_words: int, per_replaced: int) -> DataFrame:
-    """Evaluates a block of test items on every document's postings: offset-adjusted lists of the rarest terms first, then all."""
-    starts: dict[int, list[tuple[int, int]]] = {}
-    for k, (_, sequence) in enumerate(tests):
-        for p in anchors(sequence, frequency, min_words, per_replaced):
-            starts.setdefault(sequence[p], []).append((k, p))
-    shared = index.sparkSession.sparkContext.broadcast((starts, tests))
-
-    def batch(docs, all_terms, all_positions):
-        begin, items = shared.value
-        out = {"doc_id": [], "item_id": [], "n_words": []}
-        for d, terms, positions in zip(docs, all_terms, all_positions):
-            agreeing: dict[tuple[int, int], int] = {}
-            for t, places in zip(terms, positions):
-                for k, p in begin.get(t, ()):
-                    for pos in places:
-                        at = (k, pos - p)
-                        agreeing[at] = agreeing.get(at, 0) + 1
-            at_position: dict[int, int] = {}
-            best: dict[int, int] = {}
-            for (k, shift), n in agreeing.items():
-                if n < 2:
-                    continue
-                if not at_position:
-                    at_position = {pos: t for t, places in zip(terms, positions) for pos in places}
-                matched = [p for p, t in enumerate(items[k][1]) if at_position.get(p + shift) == t]
-                run = longest_run(matched, min_words, per_replaced)
-                if run > best.get(k, 0):
-                    best[k] = run
-            for k, run in best.items():
-                for name, v in zip(out, (d, items[k][0], run)):
-                    out[name].append(v)
-        return out
+def longest_run(positions: np.ndarray, min_words: int, per_replaced: int) -> int:
+    """Words of the longest stretch that begins and ends with a match and has few enough misses; 0 below ``min_words``.
 
-    return map_columns(index, ["doc_id", "terms", "positions"], batch, "doc_id bigint, item_id bigint, n_words int")
+    A stretch from match a to match b has few enough where ``per * (span - matches) <= span``, that is where ``g(b) <= g(a) + 1`` for
+    ``g(i) = (per - 1) * position - per * i``; the last such b is found in the smallest values of g from the right.
+    """
+    p = np.asarray(positions)
+    if len(p) < 2:
+        return 0
+    g = (per_replaced - 1) * p - per_replaced * np.arange(len(p))
+    ahead = np.minimum.accumulate(g[::-1])[::-1]
+    span = int((p[np.searchsorted(ahead, g + 1, "right") - 1] - p).max()) + 1
+    return span if span >= min_words else 0
 
 
-def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, per_replaced: int = PER_REPLACED) -> DataFrame:
+def _compare(postings: pa.Table, number: dict[str, int], begin: dict[int, list[tuple[int, int]]], items: list[tuple[int, np.ndarray]], min_words: int, per_replaced: int) -> dict[str, list]:
+    """The items that one range of documents holds."""
+    out = {"doc_id": [], "item_id": [], "n_words": []}
+    table = postings.combine_chunks()
+    terms = table["term"].to_pylist()
+    ids = next((x for x in table["ids"].to_pylist() if x is not None), [])
+    flat = lambda c: table[c].combine_chunks().flatten().to_numpy() if table.num_rows else np.array([], np.int32)
+    lengths = table["positions"].combine_chunks().value_lengths().to_numpy()
+    token = np.repeat(np.array([number.get(t, -1) for t in terms], np.int32), lengths)
+    doc, position = np.repeat(flat("docs"), flat("counts")), flat("positions").astype(np.int64)
+    gap = max(len(w) for _, w in items)
+    size = np.zeros(len(ids), np.int64)
+    np.maximum.at(size, doc, position + 1)
+    base = gap + np.concatenate([[0], np.cumsum(size + gap)])[:-1]  # documents lie apart, so that no alignment touches two
+    at = base[doc] + position
+    text = np.full(int(at.max(initial=0)) + 2 * gap + 1, -1, np.int32)
+    text[at] = token
+    first = np.concatenate([[0], np.cumsum(lengths)])
+    rows = {number[t]: i for i, t in enumerate(terms) if t in number}
+    by_item: dict[int, list[tuple[int, int]]] = {}
+    for t, starts in begin.items():
+        if t in rows:
+            for k, p in starts:
+                by_item.setdefault(k, []).append((p, rows[t]))
+    least = min_words - min_words // per_replaced
+    best: dict[tuple[int, int], int] = {}
+    for k, starts in by_item.items():
+        wanted = items[k][1]
+        shifts: list[np.ndarray] = []
+        agreed = [np.array([], np.int64)]
+        lists = [at[first[r] : first[r + 1]] - p for p, r in starts]
+        for lo, hi in _slices(sum(map(len, lists)), len(text)):  # alignments of one stretch of the range at a time
+            part = np.sort(np.concatenate([x[(x >= lo) & (x < hi)] for x in lists] if hi - lo < len(text) + gap else lists))
+            agreed.append(np.unique(part[1:][part[1:] == part[:-1]]))
+        shifts = np.concatenate(agreed)
+        step = max(1, STEP // len(wanted))
+        for a in range(0, len(shifts), step):
+            some = shifts[a : a + step]
+            equal = text[some[:, None] + np.arange(len(wanted))] == wanted
+            for row in np.flatnonzero(equal.sum(1) >= least):
+                hits = np.flatnonzero(equal[row])
+                run = longest_run(hits, min_words, per_replaced)
+                if run:
+                    d = int(np.searchsorted(base, some[row] + hits[0], "right")) - 1
+                    best[d, k] = max(run, best.get((d, k), 0))
+    for (d, k), run in best.items():
+        for name, v in zip(out, (ids[d], items[k][0], run)):
+            out[name].append(v)
+    return out
+
+
+def _slices(total: int, width: int) -> list[tuple[int, int]]:
+    """Stretches of 0..width, as many as keep about ``STEP`` of ``total`` in each."""
+    n = max(1, -(-total // STEP))
+    edges = [width * i // n for i in range(n + 1)]
+    return list(zip([-width, *edges[1:-1]], [*edges[1:-1], 2 * width]))
+
+
+RESULT = "doc_id bigint, item_id bigint, n_words int"
+
+
+def search(index: DataFrame, tests: list[tuple[int, list[str]]], min_words: int = MIN_WORDS, per_replaced: int = PER_REPLACED) -> DataFrame:
+    """(doc_id, item_id, n_words) of a block of test items over the posting table. Only the postings of their terms are read on; a
+    range's lists, bounded by ``RANGE_WORDS``, meet in one task."""
+    spark = index.sparkSession
+    vocabulary = sorted({w for _, ws in tests for w in ws})
+    number = {t: i for i, t in enumerate(vocabulary)}
+    wanted = F.broadcast(spark.createDataFrame([("",), *((t,) for t in vocabulary)], "term string"))  # at most ``BLOCK_WORDS`` words and one
+    postings = index.join(wanted, "term", "left_semi")
+    held = postings.where("term <> ''").groupBy("term").agg(F.sum(F.size("positions")).alias("n")).collect()  # one row per test term
+    frequency = {number[r["term"]]: r["n"] for r in held}
+    items = [(i, np.array([number[w] for w in ws], np.int32)) for i, ws in tests]
+    begin: dict[int, list[tuple[int, int]]] = {}
+    for k, (_, sequence) in enumerate(items):
+        for p in anchors(sequence.tolist(), frequency, min_words, per_replaced):
+            begin.setdefault(int(sequence[p]), []).append((k, p))
+    shared = spark.sparkContext.broadcast((number, begin, items))
+    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_words", pa.int32())])
+    return postings.groupBy("docs_in").applyInArrow(lambda table: pa.Table.from_pydict(_compare(table, *shared.value, min_words, per_replaced), schema=schema), RESULT)
+
+
+def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, per_replaced: int = PER_REPLACED, index: DataFrame | None = None) -> DataFrame:
     """(doc_id, item_id, n_words): each document and each item it holds a passage of, with the longest passage's words.
 
-    The test side is bounded by the test sets; it is sent out in blocks of at most ``BLOCK_WORDS`` words, each block against the
-    stored index, so no join moves the corpus.
+    Without the stored ``index`` of an earlier run the documents are indexed first. Test items are searched for in blocks of about
+    ``BLOCK_WORDS`` words; the driver holds one block at a time, and no join moves the corpus.
     """
     spark = documents.sparkSession
-    result = "doc_id bigint, item_id bigint, n_words int"
-    tests = [(i, w) for i, w in item_words(items) if len(w) >= min_words]
-    if not tests:
-        return spark.createDataFrame([], result)
-    vocabulary = sorted({w for _, ws in tests for w in ws})
-    number = {t: i for i, t in enumerate(vocabulary)}
-    index = materialize(build_index(documents, vocabulary, min_words, per_replaced), "postings")
-    frequency = {r[0]: r[1] for r in index.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}  # one row per test term
-    blocks: list[list[tuple[int, list[int]]]] = [[]]
-    held = 0
-    for i, ws in tests:
-        if held + len(ws) > BLOCK_WORDS and blocks[-1]:
-            blocks.append([])
-            held = 0
-        blocks[-1].append((i, [number[w] for w in ws]))
-        held += len(ws)
+    tests = materialize(item_words(items, min_words), "tests")
+    total = tests.agg(F.sum(F.size("words"))).first()[0]
+    if not total:
+        return spark.createDataFrame([], RESULT)
+    if index is None:
+        index = materialize(build_index(documents), "postings")
+    blocks = -(-total // BLOCK_WORDS)
     out = None
-    for b in blocks:
-        found = _search(index, b, frequency, min_words, per_replaced)
-        out = found if out is None else out.unionByName(found)
+    for b in range(blocks):
+        block = [(r[0], r[1]) for r in tests.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()]
+        if block:
+            found = search(index, block, min_words, per_replaced)
+            found = materialize(found, "leaks") if blocks > 1 else found
+            out = found if out is None else out.unionByName(found)
     return out
 
 

@@ -244,7 +244,7 @@ FEMALE = re.compile(r"(?i)(?:a|ie|ine|elle|ette|ys|een|lyn|beth|eth)$")
 # Words and endings of addresses that name a kind of place, not a place.
 PLACE_WORDS = frozenset(
     "street st avenue ave road rd lane ln drive dr boulevard blvd court ct place pl way terrace crescent square close grove hill row walk parkway highway apt flat unit suite apartment rue bd av chemin impasse allée quai route passage cours sentier ruelle montée bis ter quater de la le les l d du des"
-    " calle c avenida avda plaza paseo pº camino carretera ronda travesía glorieta rambla del los las el n nº am an der den im in dem auf zum zur unter alte alter alten neue neuer neuen große kleine".split()
+    " calle c avenida avda plaza paseo pº camino carretera ronda travesía glorieta rambla del los las el n nº º ª am an der den im in dem auf zum zur unter alte alter alten neue neuer neuen große kleine".split()
 )
 PLACE_ENDING_DE = re.compile(r"(?i)(?:straße|strasse|str|gasse|weg|allee|platz|ring|damm|ufer|steig|stieg|pfad|chaussee|markt|hof)$")
 PLACE_ENDING_KO = re.compile(r"(?:특별자치시|특별시|광역시|대로|번길|[시도군구로길번층호동])$")
@@ -348,7 +348,7 @@ def _name(draw: _Draw, value: str, width: int) -> str:
     first = normal("name", value).split(" ")[0]
     given, family = draw.word(3, syllables).capitalize(), draw.word(4 + width, syllables).capitalize()
     if syllables is LATIN_SYLLABLES:
-        given = given[:-1] + (draw.of(FEMALE_ENDING) if FEMALE.search(first) else draw.of("nrslm"))
+        given = given[:-1] + draw.of(FEMALE_ENDING) if FEMALE.search(first) else given + draw.of("nrslm")
     middle = re.search(r"\s([A-Z])\.", value)
     shown = f" {draw.shifted(middle[1])}." if middle else ""
     return f"{family}, {given}" if "," in value else f"{given}{shown} {family}"

@@ -42,6 +42,29 @@ def test_equals_brute_force(frame):
     assert got == want and 10 < len(want) < 60
 
 
+def test_longest_run_equals_trying_all():
+    rng = random.Random(8)
+    for _ in range(300):
+        p = sorted(rng.sample(range(60), rng.randint(0, 50)))
+        want = max((b - a + 1 for i, a in enumerate(p) for j, b in enumerate(p[i:]) if (b - a - j) * L.PER_REPLACED <= b - a + 1), default=0)
+        assert L.longest_run(p, L.MIN_WORDS, L.PER_REPLACED) == (want if want >= L.MIN_WORDS else 0)
+
+
+def test_the_index_serves_any_test_set_and_any_range(frame, monkeypatch):
+    rng = random.Random(9)
+    items = [(i, " ".join(item(rng))) for i in range(8)]
+    docs = frame([(i, " ".join(item(rng, 30)) + " " + t + " " + " ".join(item(rng, 30))) for i, t in items] + [(50, ""), (51, items[0][1] + " " + "walnut " * 3000 + items[1][1])], "doc_id long, text string")
+    index = L.build_index(docs.coalesce(1), range_words=300).cache()
+    assert index.select("docs_in").distinct().count() > 2
+    assert {tuple(r[:2]) for r in index.where("term = ''").selectExpr("docs_in", "size(ids)").collect()} and index.where("term = 'walnut'").selectExpr("sum(size(positions))").first()[0] >= 3000
+    monkeypatch.setattr(L, "STEP", 50)
+    for part in (items[:4], items[4:]):
+        table = frame(part, "item_id long, text string")
+        got = {(r.doc_id, r.item_id): r.n_words for r in L.leaks(docs, table, index=index).collect()}
+        assert {k: v for k, v in got.items() if k[0] != 51} == {(i, i): 40 for i, _ in part}
+        assert {k[1] for k in got if k[0] == 51} == {i for i, _ in part if i < 2}
+
+
 def test_blocks_of_items_give_the_same(frame, monkeypatch):
     rng = random.Random(5)
     items = [(i, " ".join(item(rng))) for i in range(5)]
