@@ -205,7 +205,7 @@ def classify(spans_df: DataFrame) -> DataFrame:
 def file_languages(docs: DataFrame) -> DataFrame:
     """(file_id, nl_lang, n_spans, n_chars, share) of each file and language."""
     rows = materialize(extract(docs), "spans")
-    labels = classify(rows)
+    labels = materialize(classify(rows), "labels")  # the join reads them twice
     joined = skew_safe_join(rows.select("file_id", "h", "n_file"), labels, "h")
     return joined.groupBy("file_id", "nl_lang").agg(
         F.count("*").alias("n_spans"), F.sum("n_chars").alias("n_chars"), (F.sum("n_chars") / F.max("n_file")).alias("share")

@@ -1,10 +1,10 @@
 """Problem 3: source files that do not parse.
 
-Every file is parsed by the grammar its path claims. Where that fails, the other grammars are tried in the order in which the
-file's tokens speak for them: a grammar that accepts the whole file shows a wrong extension, no accepting grammar shows corruption
+The grammars are ranked by the tokens of a file that speak for each, and the file is parsed against all of them in that order. If its
+claimed grammar isn't among those that accept it, the first accepting one shows a wrong extension, and none at all corruption
 (truncation, merge conflict, damage).
 
-Defined results: null, empty and blank contents and extensions without a grammar have verdict ``skipped`` and never count as
+Defined results: null, empty and blank contents and extensions without a checked grammar have verdict ``skipped`` and never count as
 invalid; a file without an extension has language null; repeated rows are judged one by one; whole texts are parsed.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.runtime import map_columns
 
-GRAMMARS = ("py", "json", "toml", "xml", "ini", "env")
+GRAMMARS = ("py", "json", "toml", "xml", "ini", "env", "yaml", "md")
 CLAIMED = ("py", "json", "toml", "xml")
 
 
@@ -71,9 +71,15 @@ def parses_xml(text: str) -> bool:
     return True
 
 
+INI_FIRST = re.compile(r"(?:[ \t]*(?:[#;][^\n]*)?\r?\n)*[ \t]*(\S)")
+
+
 def parses_ini(text: str) -> bool:
     import configparser
 
+    first = INI_FIRST.match(text)
+    if not first or first[1] != "[":  # no section stands in front of the first value
+        return False
     parser = configparser.RawConfigParser(allow_no_value=False, strict=False)
     try:
         parser.read_string(text)
@@ -87,15 +93,46 @@ def parses_env(text: str) -> bool:
     return bool(lines) and all(re.match(r"\s*(?:export\s+)?[A-Za-z_][A-Za-z0-9_.]*=", x) for x in lines)
 
 
-PARSERS = {"py": parses_python, "json": parses_json, "toml": parses_toml, "xml": parses_xml, "ini": parses_ini, "env": parses_env}
+YAML_LINE = re.compile(r"\s*(?:#.*|---.*|\.\.\.|(?:-\s+)*(?:[\w./<>\"'-]+(?: [\w./-]+)*:(?:\s.*)?|-(?:\s.*)?))$")
+
+
+def parses_yaml(text: str) -> bool:
+    """Block mappings and sequences: every line is a key, an item, a comment, or belongs to a value that began on a line less indented."""
+    if "\t" in text.split(":", 1)[0] or not re.search(r"^\s*(?:-\s+)?[\w./\"'-]+:(?:\s|$)", text, re.M):
+        return False
+    holder, held = -1, False
+    for line in text.split("\n"):
+        bare = line.strip()
+        indent = len(line) - len(line.lstrip(" "))
+        if not bare or held and indent > holder:
+            continue
+        held = False
+        if not YAML_LINE.match(line.rstrip()) or re.search(r"\{\s*$|[;{]\s*$", bare):
+            return False
+        if re.search(r"(?::|-)\s*[|>][+-]?\d*$", bare):
+            holder, held = indent, True
+    return True
+
+
+def parses_markdown(text: str) -> bool:
+    """Prose with headings: every text is Markdown, so one must have a heading, all its fences closed, and no code outside them to count
+    as that."""
+    if re.search(r"^[ \t]*(?:def|class|import|from|return|async|@\w)\b|[={}();]\s*$", re.sub(r"^```.*?^```", "", text, flags=re.M | re.S), re.M):
+        return False
+    return bool(re.search(r"^#{1,6} \S", text, re.M)) and len(re.findall(r"^\s*```", text, re.M)) % 2 == 0 and bool(re.search(r"^[A-Z*`>-][^=;{}]*[.:]\s*$", text, re.M))
+
+
+PARSERS = {"py": parses_python, "json": parses_json, "toml": parses_toml, "xml": parses_xml, "ini": parses_ini, "env": parses_env, "yaml": parses_yaml, "md": parses_markdown}
 # Tokens that speak for a grammar, and how strongly.
 SIGNS = {
-    "py": (re.compile(r"^(?:\s*(?:def|class|async def|return|import|from|if|for|while|with|try|@\w+)\b|.*:\s*$)", re.M), 2.0),
+    "py": (re.compile(r"^[ \t]*(?:def|class|async def|return|import|from|if|for|while|with|try|@\w+)\b|:[ \t]*$", re.M), 2.0),
     "json": (re.compile(r"\"[^\"\n]*\"\s*:|^\s*[\]}],?\s*$|\A\s*[\[{]", re.M), 2.0),
     "toml": (re.compile(r"^\s*(?:\[\[?[\w.\"-]+\]\]?\s*$|[\w.-]+\s*=\s*(?:[\"'\[{]|true|false|[-+]?\d))", re.M), 1.5),
     "xml": (re.compile(r"</?[A-Za-z][\w:.-]*(?:\s[^<>]*)?/?>|<\?xml"), 2.0),
     "ini": (re.compile(r"^\s*(?:\[[^\]\n]+\]\s*$|[\w.-]+\s*[:=]\s*\S)", re.M), 1.0),
     "env": (re.compile(r"^(?:export\s+)?[A-Z_][A-Z0-9_]*=", re.M), 1.8),
+    "yaml": (re.compile(r"^\s*(?:- )?[\w-]+:(?:\s+[^\s({].*)?$", re.M), 1.2),
+    "md": (re.compile(r"^(?:#{1,6} \S|[-*] \S|```)", re.M), 1.0),
 }
 
 
@@ -109,12 +146,10 @@ def judge(ext: str | None, text: str | None) -> tuple[str, str | None]:
     """(verdict, language that the content parses as): verdicts ``ok``, ``wrong_extension``, ``corrupt`` and ``skipped``."""
     if text is None or not text.strip() or ext not in CLAIMED:
         return "skipped", None
-    if PARSERS[ext](text):
+    accepting = [g for g in rank(text) if PARSERS[g](text)]
+    if ext in accepting:
         return "ok", ext
-    for g in rank(text):
-        if g != ext and PARSERS[g](text):
-            return "wrong_extension", g
-    return "corrupt", None
+    return ("wrong_extension", accepting[0]) if accepting else ("corrupt", None)
 
 
 def check_files(df: DataFrame, path_col: str = "file_path", text_col: str = "content", keep: tuple[str, ...] = ("file_id", "repo")) -> DataFrame:
