@@ -1,7 +1,7 @@
 """Problem 1: credentials embedded in source code and chat turns.
 
-A text is scanned line-wise around credential words, whole key containers are parsed by their grammar (PEM armour, DER
-tag-length-value, the OpenSSH key envelope), and base64, hex, percent and backslash layers are decoded and rescanned. Every
+A text is scanned line-wise around credential words, key containers are parsed by their grammar (armour with
+its fields, DER values of PKCS#1, #8, #12 and SEC 1, OpenSSH envelopes, OpenPGP packets), and base64, hex, percent and backslash layers are decoded and rescanned. Every
 finding carries the spans to redact, so that an encoded literal is replaced as a whole and code around it stays as it was.
 
 Defined results: null, empty or blank text has no findings and is returned unchanged; repeated rows each report their own
@@ -77,7 +77,7 @@ HINTS = tuple(h for h in HINTS if not any(o != h and o in h for o in HINTS))
 EXACT = tuple(h for h in EXACT if not any(o in h.lower() for o in HINTS) and not any(o != h and o in h for o in EXACT))
 #: Letters that a pattern takes for another one where case doesn't matter.
 ALIKE = {"ſ": "s", "ı": "i", "İ": "i", "\u212a": "k"}
-QUOTED = r"[bBrRuUfF]{0,2}(?P<q>\"\"\"|'''|\\?[\"'])(?P<v>(?:(?!(?P=q))[^\n]){1,4000}?)(?P=q)"
+QUOTED = r"[bBrRuUfF]{0,2}(?P<q>\"\"\"|'''|\\?[\"'])(?P<v>(?:(?!(?P=q))[^\n])+?)(?P=q)"
 PIECES = re.compile(r"\s*(?:\+\s*|\\\n\s*)?[bBrRuUfF]{0,2}([\"'])((?:(?!\1)[^\\\n])*)\1")
 ASSIGN = re.compile(
     rf"(?i:{CRED})(?![A-Za-z0-9_])\\?[\"']?\]?\s*(?:=>|:=|(?::\s*(?:str|bytes|String|Optional\[str\]|str \| None)\s*)?=(?!=)|:(?!:))\s*"
@@ -88,7 +88,7 @@ DEFAULT = re.compile(
     rf"[\"']-{{1,2}}[\w-]*?(?i:{CRED})[\"'][^\n]*?default\s*=\s*[bruf]?[\"'](?P<v>[^\"'\n]+)[\"']"
     rf"|(?:environ\.get|getenv|\.get|setdefault|pop)\(\s*[\"'][\w.-]*?(?i:{CRED})[\"']\s*,\s*[bruf]?[\"'](?P<w>[^\"'\n]+)[\"']"
 )
-URL = re.compile(r"(?<![A-Za-z0-9])[A-Za-z][A-Za-z0-9+.-]{1,20}://(?P<u>[^\s:/@\"'<>`]{0,200}):(?P<v>[^\s@\"'<>`]{1,400})@(?=[\w.\[{-])")
+URL = re.compile(r"(?<![A-Za-z0-9])[A-Za-z][A-Za-z0-9+.-]*://(?P<u>[^\s:/@\"'<>`]*):(?P<v>[^\s@\"'<>`]+)@(?=[\w.\[{-])")
 QUERY = re.compile(rf"(?i)[?&](?:[a-z]+[_-])?(?:{'|'.join(QUERY_NAMES)})=(?P<v>[^&\s\"'<>#`]+)")
 HEADER = re.compile(
     r"(?i)authorization\\?[\"']?\s*[:=,]\s*[bf]?\\?[\"']?(?P<s>bearer|basic|token|apikey)\s+(?P<v>[^\s\"'<>`\\]+)|[\"'](?P<t>bearer|basic)\s+(?P<w>[^\s\"'<>`\\]+)[\"']"
@@ -117,7 +117,7 @@ MASKED = re.compile(r"\*{3,}|x{5,}|X{5,}|\.{3,}|…|•{3,}|EXAMPLE|<[a-z]")
 SNAKE = re.compile(r"_*[a-z]+(?:_[a-z0-9]+)*_*|_*[A-Z]+(?:_[A-Z0-9]+)*_*|[a-z]+(?:\.[a-z_]+)*|[A-Za-z]+")
 WORDS_NUMBER = re.compile(r"[a-z]{3,}(?:-[a-z]{2,}){2,}-\d{1,6}")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*?)PRIVATE KEY(?: BLOCK)?-----(.*?)(?:-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----|\Z)", re.S)
-RUN = re.compile(r"(?<![A-Za-z0-9+/_%=-])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/_-])")
+RUN = re.compile(r"(?<![A-Za-z0-9+/_%=-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_-])")
 # A line of a wrapped run that is followed by another, and what stands between two lines.
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_%-])[A-Za-z0-9+/_-]{16,}(?=[ \t]*\\?\r?\n[ \t]*(?:(?:[#*;>]+|//|--)[ \t]+)?[A-Za-z0-9+/_-]|(?:\\r)?\\n[A-Za-z0-9+/_-])")
 WRAP = re.compile(r"[ \t]*\\?\r?\n[ \t]*(?:(?:[#*;>]+|//|--)[ \t]+)?|(?:\\r)?\\n")
@@ -128,8 +128,8 @@ DECODER = re.compile(rf"(?:{'|'.join(map(re.escape, DECODERS))})\(\s*[bBrRuU]{{0
 SUFFIX = re.compile(r"(?i)[_-]?(?:b64|base64|hex|enc|encoded)(?=\\?[\"']?\]?\s*[:=])")
 #: A percent sign that was encoded over and over.
 PERCENTS = re.compile(r"%(?:25)+(?=[0-9A-Fa-f]{2})")
-PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2}[\w.~+/:;@-]*){3,}")
-BACKSLASH = re.compile(r"(?:\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}){4,}")
+PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2}[\w.~+/:;@-]*)+")
+BACKSLASH = re.compile(r"(?:\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}){2,}")
 
 
 def _mixed(v: str) -> bool:
@@ -169,29 +169,112 @@ def literal(v: str, quoted: bool) -> bool:
     return kinds >= 2 and not re.fullmatch(r"[\d.,:/-]+|[a-z_]+\d*|[\w.-]+\.(?:example|test|invalid|py|json|txt)\S*", v)
 
 
-def _der(data: bytes) -> bool:
-    """Whether bytes are a private key container: PKCS#1, PKCS#8 or SEC 1 in DER, or an OpenSSH key."""
-    if data.startswith(b"openssh-key-v1\0"):
-        return True
+# Openings of the object identifiers of key algorithms, encryption schemes and container contents.
+OIDS = (bytes.fromhex("2a8648"), bytes.fromhex("2b65"), bytes.fromhex("2b81"), bytes.fromhex("2b0e"), bytes.fromhex("6086"))
 
-    def element(at: int) -> tuple[int, int, int] | None:
-        if at + 2 > len(data):
+
+def _elements(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
+    """(tag, start, end) of the values that fill ``data[at:end]`` in DER, or None where they don't."""
+    out = []
+    while at < end:
+        one = _head(data, at, end)[:1]
+        if not one:
             return None
+        out += one
+        at = one[0][2]
+    return out
+
+
+def _head(data: bytes, at: int, end: int) -> list[tuple[int, int, int]]:
+    """The first two values of ``data[at:end]``, or one or none where it breaks off before."""
+    out: list[tuple[int, int, int]] = []
+    while len(out) < 2 and at + 2 <= end:
         tag, n, at = data[at], data[at + 1], at + 2
         if n & 0x80:
             k = n & 0x7F
-            if not 1 <= k <= 4 or at + k > len(data):
-                return None
+            if not 1 <= k <= 4 or at + k > end:
+                break
             n, at = int.from_bytes(data[at : at + k]), at + k
-        return (tag, at, at + n) if at + n <= len(data) else None
+        if at + n > end:
+            break
+        out.append((tag, at, at + n))
+        at += n
+    return out
 
-    outer = element(0)
-    if not outer or outer[0] != 0x30 or outer[2] < len(data) - 2 or not (version := element(outer[1])):
-        return False
-    if version[0] != 0x02 or version[2] - version[1] != 1 or data[version[1]] > 1:
+
+def _algorithm(data: bytes, element: tuple[int, int, int]) -> bool:
+    """Whether a value is an algorithm identifier: a sequence that opens with a known object identifier."""
+    inner = _elements(data, *element[1:]) if element[0] == 0x30 else None
+    return bool(inner) and inner[0][0] == 0x06 and data[inner[0][1] : inner[0][2]].startswith(OIDS)
+
+
+def _openssh(data: bytes) -> bool:
+    """The envelope of an OpenSSH key: cipher, key derivation and its options, the number of keys, public keys and the private part."""
+    at = 15
+
+    def field() -> bytes | None:
+        nonlocal at
+        n = int.from_bytes(data[at : at + 4])
+        value = data[at + 4 : at + 4 + n]
+        at += 4 + n
+        return value if len(value) == n and at <= len(data) else None
+
+    cipher, derivation, options = field(), field(), field()
+    if not cipher or not derivation or options is None or not cipher.isascii() or not derivation.isascii():
         return False
-    second = element(version[2])
-    return bool(second) and second[0] in (0x30, 0x02, 0x04) and second[2] - second[1] >= 5
+    keys, at = int.from_bytes(data[at : at + 4]), at + 4
+    return 1 <= keys <= 64 and all(field() for _ in range(keys)) and bool(field())
+
+
+def container(data: bytes) -> str | None:
+    """The private key container that bytes are by their binary grammar, or None.
+
+    PKCS#1 (version and at least eight numbers), DSA, SEC 1 (version, key), PKCS#8 (version, algorithm, key), encrypted PKCS#8 (algorithm,
+    data), PKCS#12 (version 3 and contents), an OpenSSH envelope, an OpenPGP secret key packet. What opens like one of them but doesn't hold
+    together to the end is ``damaged``: it may be cut off or altered, and still gives the key away.
+    """
+    if data.startswith(b"openssh-key-v1\0"):
+        return "openssh" if _openssh(data) else "damaged"
+    if data[:1] in (b"\x94", b"\x95", b"\x96", b"\xc5"):  # secret key packet: length, then version 4 or 6
+        width = {0x94: 1, 0x95: 2, 0x96: 4}.get(data[0], 1 if data[1:2] < b"\xc0" else 2)
+        return "openpgp" if data[1 + width : 2 + width] in (b"\x04", b"\x06") and len(data) > 40 else None
+    outer = _elements(data, 0, len(data)) or _elements(data, 0, len(data.rstrip(b"\0\r\n"))) if data[:1] == b"\x30" else None
+    if not outer or len(outer) != 1:
+        return None
+    head = _head(data, *outer[0][1:])
+    version, second = (data[head[0][1] : head[0][2]], head[1]) if len(head) > 1 and head[0][0] == 0x02 else (b"", None)
+    inner = _elements(data, *outer[0][1:])
+    tags = bytes(t for t, _, _ in inner) if inner else b""
+    if inner and _algorithm(data, inner[0]):
+        return "pkcs8 encrypted" if tags == b"\x30\x04" else None
+    if version == b"\x03" and second[0] == 0x30:
+        first = _head(data, *second[1:])
+        return "pkcs12" if first and first[0][0] == 0x06 else None
+    if version not in (b"\0", b"\1") or second[2] - second[1] < 5:
+        return None
+    if second[0] == 0x30:
+        return "pkcs8" if tags[2:3] == b"\x04" and _algorithm(data, second) else "damaged"
+    if second[0] == 0x04:
+        return "sec1" if inner and second[2] - second[1] >= 16 else "damaged"
+    if second[0] == 0x02:
+        return ("pkcs1" if len(tags) >= 9 else "dsa") if len(tags) >= 6 and set(tags) == {0x02} else "damaged"
+    return None
+
+
+def armoured(body: str) -> str | None:
+    """What a private key block holds: the container that its lines encode, ``opaque`` for other key material, None for none.
+
+    Header fields (encryption, comments, checksum) are read over. Key material that no grammar knows, as of formats to come, still counts:
+    the armour says what it is.
+    """
+    if MASKED.search(body):
+        return None
+    lines = [x.strip() for x in body.replace("\\r", "").replace("\\n", "\n").split("\n")]
+    run = "".join(re.sub(r"[^A-Za-z0-9+/]", "", x) for x in lines if ":" not in x and not x.startswith("=")).replace("REDACTED", "")
+    if len(run) < 40:
+        return None
+    data = _decoded(run)
+    return data and container(data) or "opaque"
 
 
 def _text(data: bytes) -> str | None:
@@ -203,7 +286,7 @@ def _text(data: bytes) -> str | None:
 
 
 def _decoded(run: str) -> bytes | None:
-    if re.fullmatch(r"(?:[0-9a-f]{2}){16,}|(?:[0-9A-F]{2}){16,}", run):
+    if re.fullmatch(r"(?:[0-9a-f]{2}){8,}|(?:[0-9A-F]{2}){8,}", run):
         return bytes.fromhex(run)
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     try:
@@ -219,7 +302,7 @@ def _basic(v: str) -> bool:
 
 
 def _regions(text: str) -> list[tuple[int, int, int]]:
-    """(start, end of line, end with two more lines) of each line on which a pattern can begin: it holds a hint, or a literal that is continued."""
+    """(start, end of line, end with two more lines that aren't blank) of each line on which a pattern can begin: it holds a hint, or a literal that is continued."""
     low = text.lower()
     if len(low) != len(text):
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
@@ -240,8 +323,11 @@ def _regions(text: str) -> list[tuple[int, int, int]]:
     out = []
     for start in sorted(starts):
         far = end = len(text) if (end := text.find("\n", start)) < 0 else end
-        for _ in range(2):
-            far = len(text) if (nl := text.find("\n", far + 1)) < 0 else nl
+        more = 2
+        while more and far < len(text):
+            nxt = len(text) if (nl := text.find("\n", far + 1)) < 0 else nl
+            more -= not text[far:nxt].isspace()
+            far = nxt
         out.append((start, end, far))
     return out
 
@@ -306,8 +392,7 @@ def scan(text: str | None, layers: int | None = MAX_LAYERS) -> list[Finding]:
     blocks = []
     if "PRIVATE KEY" in text:
         for m in PEM.finditer(text):
-            body = "".join(x.strip() for x in m[2].replace("\\n", "\n").split("\n") if ":" not in x)
-            if len(re.findall(r"[A-Za-z0-9+/]", body.replace("REDACTED", ""))) >= 40 and not MASKED.search(body):
+            if armoured(m[2]):
                 blocks.append(m.span())
                 found[m.start()] = Finding(m.start(), "private_key", (m.span(2),))
     if "-----BEGIN" in text:
@@ -491,7 +576,7 @@ def _encoded(text: str, layers: int | None, add, inside, found, held: list[Held]
         a, b = spans[0][0], spans[-1][1]
         if inside(a) or covered and a < covered[-1][1] or not _may_decode(run) or text[max(0, a - 8) : a].endswith("base64,") or not (data := _decoded(run)):
             continue
-        if _der(data):
+        if container(data):
             found[a] = Finding(a, "private_key", tuple(spans))
         elif (s := _text(data)) and holds(s, "encoded", *spans):
             found[a] = Finding(a, "encoded", tuple(spans))
@@ -507,7 +592,7 @@ def _encoded(text: str, layers: int | None, add, inside, found, held: list[Held]
         data = _decoded(run)
         if not data:
             continue
-        if _der(data):
+        if container(data):
             add("private_key", m.span())
         elif (s := _text(data)) and holds(s, "encoded", m.span()):
             add("encoded", m.span())
@@ -531,10 +616,14 @@ def _encoded(text: str, layers: int | None, add, inside, found, held: list[Held]
 
 def redact(text: str | None, layers: int | None = MAX_LAYERS) -> str | None:
     """The text with each credential replaced by ``REDACTED_<KIND>``; everything else, line structure included, is untouched."""
-    if not text:
+    return redacted_as(text, scan(text, layers))
+
+
+def redacted_as(text: str | None, findings: list[Finding]) -> str | None:
+    if not findings:
         return text
     out, at = [], 0
-    for f in scan(text, layers):
+    for f in findings:
         spans = [s for s in f.spans if s[1] > s[0]]
         for i, (a, b) in enumerate(spans):
             if a < at:
@@ -595,7 +684,8 @@ def redacted(df: DataFrame, id_col: str, text_col: str, layers: int | None = MAX
     """(id, text, n_found): each row's text with its credentials replaced; null stays null."""
 
     def batch(ids, texts):
-        return {"id": ids, "text": [redact(t, layers) for t in texts], "n_found": [len(scan(t, layers)) for t in texts]}
+        found = [scan(t, layers) for t in texts]
+        return {"id": ids, "text": [redacted_as(t, f) for t, f in zip(texts, found)], "n_found": [len(f) for f in found]}
 
     return map_columns(df, [id_col, text_col], batch, "id bigint, text string, n_found int")
 

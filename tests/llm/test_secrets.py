@@ -175,3 +175,57 @@ def test_frames(frame):
     out = {r.id: r.messages for r in S.redacted_messages(chats, "record_id", "messages").collect()}
     assert out[7][0].content is None and KEY not in out[7][1].content and out[8] is None and out[9] == []
     assert {r.text for r in S.redacted(docs, "file_id", "content").where("id = 2").collect()} == {None, 'K = "REDACTED_TOKEN"'}
+
+
+def der(tag, *parts):
+    body = b"".join(parts)
+    n = len(body)
+    return bytes([tag]) + (bytes([n]) if n < 128 else bytes([0x82]) + n.to_bytes(2)) + body
+
+
+def envelope(*fields):
+    return b"openssh-key-v1\0" + b"".join(len(f).to_bytes(4) + f if isinstance(f, bytes) else f.to_bytes(4) for f in fields)
+
+
+NUMBER = der(2, bytes(range(1, 65)))
+RSA = der(0x30, der(6, bytes.fromhex("2a864886f70d010101")), der(5))
+CONTAINERS = {
+    "pkcs1": der(0x30, der(2, b"\0"), *[NUMBER] * 8), "pkcs8": der(0x30, der(2, b"\0"), RSA, der(4, bytes(range(64)))), "sec1": der(0x30, der(2, b"\1"), der(4, bytes(range(32)))), "dsa": der(0x30, der(2, b"\0"), *[NUMBER] * 5),
+    "pkcs8 encrypted": der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")), der(0x30)), der(4, bytes(range(90)))), "pkcs12": der(0x30, der(2, b"\3"), der(0x30, der(6, bytes.fromhex("2a864886f70d010701")), der(0xA0, bytes(range(60))))),
+    "openssh": envelope(b"none", b"none", b"", 1, b"public", bytes(range(90))), "openpgp": b"\x95\x00\x80\x04" + bytes(range(128)),
+}
+
+
+@pytest.mark.parametrize("name", sorted(CONTAINERS))
+def test_key_containers_are_told_by_their_grammar(name):
+    data = CONTAINERS[name]
+    assert S.container(data) == name
+    assert S.container(data[: len(data) // 3]) in ((None,) if data[0] == 0x30 else ("openpgp", "damaged"))
+    text = f"material: {base64.b64encode(data).decode()};\n\nnext"
+    assert [f.kind for f in S.scan(text)] == ["private_key"] and S.redact(text) == "material: REDACTED_PRIVATE_KEY;\n\nnext"
+    block = "-----BEGIN PRIVATE KEY-----\n" + base64.encodebytes(data).decode() + "-----END PRIVATE KEY-----"
+    assert S.armoured(base64.encodebytes(data).decode()) == name and [f.start for f in S.scan("x\n" + block)] == [2]
+
+
+def test_other_structures_are_no_keys():
+    for data in (b"", b"0", der(0x30), der(0x30, der(2, b"\0")), der(0x30, RSA, der(3, bytes(80))), bytes(range(256)), der(0x30, der(2, b"\5"), *[NUMBER] * 8)):
+        assert S.container(data) is None
+    assert S.container(envelope(b"none", b"none", b"", 1, b"public")) == "damaged" == S.container(der(0x30, der(2, b"\0"), RSA))
+    assert S.armoured("abc") is None and S.armoured("A" * 30 + "\nabcdefghij1234567890\n" * 4) == "opaque"
+
+
+@pytest.mark.parametrize("layers", [1, 2, 3, 4, 5, 8])
+def test_any_number_of_layers(layers):
+    value = "S3cr3t-Branch-2605!kq"
+    text = f'password = "{value}"'
+    for _ in range(layers):
+        text = base64.b64encode(text.encode()).decode()
+    assert S.redact(f"blob: {text}\n") == "blob: REDACTED_ENCODED\n"
+
+
+def test_long_values_and_late_ones():
+    token = "aB3-" * 1400
+    assert S.redact(f'token = "{token}"\nx = 1') == 'token = "REDACTED_SECRET"\nx = 1'
+    login = f"https://{'u' * 300}:{'pW9-' * 200}@db.example/x"
+    assert "pW9-" not in S.redact(login) and S.redact(login).startswith("https://" + "u" * 300)
+    assert "Kq7!branch" not in S.redact('password = (\n\n\n\n\n\n    "Kq7!branch2605"\n)')
