@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import pyast, textfn
 from corpusmill.operators.joins import anti_join_in_place, skew_safe_join
 from corpusmill.operators.outliers import isolation_forest, local_outlier_factor
 from corpusmill.runtime import materialize
+from corpusmill.sources.jsonl import documents
+from corpusmill.sources.sinks import write_jsonl
 
 FEATURES = ("content_length", "cyclomatic_complexity", "maintainability_index", "comment_ratio")
 
@@ -142,10 +144,35 @@ def bad(rows: DataFrame) -> DataFrame:
 
 
 def stage_counts(rows: DataFrame) -> DataFrame:
-    """Rows per fate."""
+    """Rows per fate of the whole pipeline's result."""
     return rows.groupBy(F.coalesce("removed_by", F.lit("kept")).alias("stage")).agg(F.count("*").alias("n_rows"))
 
 
+STAGES = ("loaded", "with_content", "distinct", "long_enough", "good", "bad")
+
+
+def stage_report(df: DataFrame, order: str, cfg: PipelineConfig = PipelineConfig(), content: str = "content") -> DataFrame:
+    """(stage, n_rows) after each of ``STAGES`` up to the rule label: what is loaded, has content, is distinct, is long enough, and how
+    the latter are labelled."""
+    filled = drop_empty(df, content)
+    distinct = text_metrics(first_of_each(filled, [content], order), content)
+    kept = with_code_metrics(distinct.where(F.col("content_length") >= cfg.min_content_length), content).select(rule_label(cfg).alias("label"))
+    count = lambda rows, stage: rows.agg(F.count("*").alias("n_rows")).select(F.lit(stage).alias("stage"), "n_rows")
+    label = F.when(F.col("label") == 1, "good").otherwise("bad")
+    labels = kept.groupBy(label.alias("stage")).agg(F.count("*").alias("n_rows"))
+    labels = labels.unionByName(df.sparkSession.createDataFrame([("good", 0), ("bad", 0)], "stage string, n_rows long")).groupBy("stage").agg(F.sum("n_rows").alias("n_rows"))
+    return count(df, STAGES[0]).unionByName(count(filled, STAGES[1])).unionByName(count(distinct, STAGES[2])).unionByName(labels.agg(F.sum("n_rows").alias("n_rows")).select(F.lit(STAGES[3]).alias("stage"), "n_rows")).unionByName(labels)
+
+
+def run(spark: SparkSession, cfg: PipelineConfig, order: str, content: str = "content", fmt: str = "parquet") -> DataFrame:
+    """The pipeline from ``cfg.source`` to both line files: good rows to ``cfg.good_path``, all others to ``cfg.bad_path``, without the
+    comment-free copy of the text; returns the rows per fate."""
+    rows = materialize(pipeline(documents(spark, cfg.source, fmt), order, cfg, content), "pipeline")
+    write_jsonl(good(rows).drop("clean_content"), cfg.good_path)
+    write_jsonl(bad(rows).drop("clean_content"), cfg.bad_path)
+    return stage_counts(rows)
+
+
 def union_of_sets(*parts: DataFrame) -> DataFrame:
     """All rows of all parts; columns that a part lacks are null."""
     out = parts[0]

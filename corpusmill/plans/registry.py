@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from corpusmill.functions import pyast, textfn
 from corpusmill.operators import chat, fim, instruct, outliers, quality, synth
 from corpusmill.plans import rendered
-from corpusmill.runtime import table
-from corpusmill.sources import html, jsonl
+from corpusmill.runtime import scratch, table
+from corpusmill.sources import html, jsonl, sinks
 
 SEED = 42
 EXAMPLES = 15_000
@@ -74,10 +74,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "allowed_text": lambda s, d: _docs(s, d).select("file_id", textfn.only_allowed_characters("content").alias("allowed")),
         "unescape_project": lambda s, d: chat.projected_content(_docs(s, d), "file_id").select("file_id", F.md5("content").alias("content_md5")),
         "quality_labels": lambda s, d: quality.labelled(_files(s, d), "file_id").drop("content", "clean_content"),
-        "corpus_labels": lambda s, d: quality.labelled(_corpus(s, d), "doc_id").select("doc_id", "is_syntax_error", "cyclomatic_complexity", "number_of_lines"),
+        "corpus_labels": lambda s, d: quality.labelled(_corpus(s, d), "doc_id").select("doc_id", "is_syntax_error", "cyclomatic_complexity", "number_of_lines", "label", F.round("maintainability_index", 8).alias("maintainability_index")),
         "quality_pipeline": lambda s, d: quality.pipeline(_files(s, d), "file_id").select("file_id", "label", "removed_by"),
-        "stage_counts": lambda s, d: quality.stage_counts(quality.labelled(_corpus(s, d), "doc_id").withColumn("removed_by", F.when(F.col("is_syntax_error"), "syntax"))),
-        "union_bad": lambda s, d: quality.union_of_sets(_docs(s, d).where("length(content) < 10").select("file_id", F.lit("short").alias("why")), _docs(s, d).where("content IS NULL").select("file_id")),
+        "stage_counts": lambda s, d: quality.stage_report(_corpus(s, d).withColumn("content", F.when(F.col("doc_id") % 9 == 0, F.concat(F.lit("x = "), (F.col("doc_id") % 5).cast("string"))).when(F.col("doc_id") % 13 == 0, F.lit("")).otherwise(F.col("content"))), "doc_id"),
+        "union_bad": lambda s, d: _bad_union(s, d),
         "removed_rows": lambda s, d: quality.without(_docs(s, d), quality.first_of_each(_docs(s, d), ["content"], "file_id"), "file_id").select("file_id"),
         "code_structure": lambda s, d: _structure(_corpus(s, d)),
         "file_structure": lambda s, d: quality.with_code_metrics(_files(s, d).withColumn("clean_content", textfn.remove_comments("content"))).drop("content", "clean_content"),
@@ -92,6 +92,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_all": lambda s, d: chat.merge_all(_triples(s, d).where("triple_id % 2 = 0"), _triples(s, d).where("triple_id % 2 = 1")),
         "valid_lines": lambda s, d: jsonl.valid_lines(_json_lines(s, d)).select("line_no"),
         "policy_records": lambda s, d: jsonl.records(_json_lines(s, d), list(chat.TRIPLE), jsonl.POLICIES["unique_merge"]).select("line_no", *chat.TRIPLE),
+        **{f"policy_{name}": lambda s, d, name=name: _policy(s, d, name) for name in jsonl.POLICIES},
+        "jsonl_roundtrip": lambda s, d: _jsonl_roundtrip(s, d),
+        "table_roundtrip": lambda s, d: _table_roundtrip(s, d),
+        "batch_roundtrip": lambda s, d: _batch_roundtrip(s, d),
+        "log_roundtrip": lambda s, d: _log_roundtrip(s, d),
+        "persona_file": lambda s, d: _persona_file(s),
+        "documents_scan": lambda s, d: jsonl.documents(s, f"{d}/source_docs.parquet", where="n_bytes > 1000", drop=("content", "_id", "crawled_at", "ingested_at", "file_lang")),
         "anti_processed": lambda s, d: instruct.unprocessed(_docs(s, d), table(s, d, "chat_records").select("doc_id"), "doc_id").select("file_id", "doc_id"),
         "newest_unprocessed": lambda s, d: instruct.newest(instruct.unprocessed(_docs(s, d), table(s, d, "chat_records").select("doc_id"), "doc_id"), "file_id", 100).select("file_id"),
         "dialogue_pretty": lambda s, d: chat.pretty_dialogues(_chats(s, d), "record_id"),
@@ -108,17 +115,108 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "page_headings": lambda s, d: _page(s, d, lambda t: html.headings(t, ("h2",)), "headings"),
         "page_headings_wide": lambda s, d: _page(s, d, lambda t: html.headings(t, ("h2", "h3"), ""), "headings"),
         "page_definitions": lambda s, d: _page(s, d, html.definitions, "definitions"),
-        "page_header_table": lambda s, d: _page(s, d, html.header_table, "tables"),
-        "page_cell_table": lambda s, d: _page(s, d, html.cell_table, "tables"),
+        "page_header_table": lambda s, d: _page(s, d, lambda t: html.header_table(t, rendered.MAIN_TABLE), "tables"),
+        "page_cell_table": lambda s, d: _page(s, d, lambda t: html.cell_table(t, rendered.MAIN_TABLE), "tables"),
         "error_examples": lambda s, d: synth.error_examples(s, EXAMPLES, SEED).select("id", "kind", "error_context.*", "fixed_code_snippet"),
         "error_kinds": lambda s, d: synth.error_examples(s, EXAMPLES, SEED).groupBy("kind").agg(F.count("*").alias("n_examples")),
         "persona_pairs": lambda s, d: synth.persona_pairs(_files(s, d), _personas(s), PAIRS, "file_id").select("id", F.element_at("messages", 1)["content"].alias("system"), F.element_at("messages", 2)["content"].alias("ask"), F.element_at("messages", 3)["content"].alias("answer")),
         "persona_filter": lambda s, d: synth.allowed_personas(_personas(s)).select(synth.system_turn(F.col("persona")).alias("system")),
-        "isolation_filter": lambda s, d: outliers.isolation_forest(_features(s, d), "doc_id", ("f1", "f2", "f3", "f4")).select("doc_id", "iso_score", "is_outlier"),
+        "isolation_filter": lambda s, d: outliers.isolation_forest(_labelled_features(_files(s, d), "file_id"), "file_id", quality.FEATURES).select("file_id", "iso_score", "is_outlier"),
+        "lof_features": lambda s, d: outliers.local_outlier_factor(_labelled_features(_corpus(s, d), "doc_id"), "doc_id", quality.FEATURES).select("doc_id", F.round(F.log("lof"), 6).alias("log_lof"), "is_outlier"),
         "lof_filter": lambda s, d: outliers.local_outlier_factor(_features(s, d), "doc_id", ("f1", "f2", "f3", "f4")).select("doc_id", F.round("lof", 6).alias("lof"), "is_outlier"),
     }
 
 
+def _labelled_features(df: DataFrame, key: str) -> DataFrame:
+    """The pipeline's four features of well labelled rows, rounded so that any engine has the same numbers."""
+    return quality.good(quality.labelled(df, key).withColumn("removed_by", F.lit(None))).select(key, *(F.round(F.col(f).cast("double"), 6).alias(f) for f in quality.FEATURES))
+
+
+def _bad_union(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that the rules label bad, and outliers among the others (here by a plain bound), as the pipeline puts them together."""
+    rows = quality.labelled(_corpus(spark, d), "doc_id")
+    marks = F.when(F.col("label") == 0, "rules").when(F.col("cyclomatic_complexity") >= 7, "outlier")
+    marked = rows.withColumn("removed_by", marks)
+    by_rules, outlying = marked.where("removed_by = 'rules'"), marked.where("removed_by = 'outlier'")
+    return quality.union_of_sets(by_rules.select("doc_id", "removed_by"), outlying.select("doc_id", "removed_by", "cyclomatic_complexity"))
+
+
+def _odd_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Triples as lines, by ``line_no % 7``: cut JSON, blank, a missing field, a number instead of text, otherwise sound."""
+    t = _triples(spark, d)
+    kind = F.col("triple_id") % 7
+    whole = F.to_json(F.struct("prefix_code", "target_code", "suffix_code"), {"ignoreNullFields": "false"})
+    line = (
+        F.when(kind == 0, F.substring(whole, 2, 1 << 30)).when(kind == 1, F.lit("  ")).when(kind == 2, F.to_json(F.struct("prefix_code"), {"ignoreNullFields": "false"}))
+        .when(kind == 3, F.to_json(F.struct("prefix_code", F.lit(5).alias("target_code"), "suffix_code"), {"ignoreNullFields": "false"})).otherwise(whole)
+    )
+    return t.select(F.col("triple_id").alias("line_no"), kind.alias("kind"), line.alias("value"))
+
+
+ODD_KINDS = ("invalid", "blank", "missing", "wrong_type")
+
+
+def _policy(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """What a policy makes of each kind of line; kinds that it ends the read at are left out (tests cover the error)."""
+    policy = jsonl.POLICIES[name]
+    ends = [i for i, k in enumerate(ODD_KINDS) if getattr(policy, k) == "fail"]
+    rows = _odd_lines(spark, d).where(~F.col("kind").isin(ends)) if ends else _odd_lines(spark, d)
+    return jsonl.records(rows, list(chat.TRIPLE), policy).select("line_no", *chat.TRIPLE, "problem")
+
+
+def _policy_sql(name: str) -> str:
+    policy = jsonl.POLICIES[name]
+    acts = [getattr(policy, k) for k in ODD_KINDS]
+    gone = ", ".join(str(i) for i, a in enumerate(acts) if a in ("skip", "fail"))
+    empty = "''" if acts[2] == "empty" else "NULL"
+    return f"""
+        SELECT triple_id AS line_no, CASE WHEN triple_id % 7 < 2 THEN NULL ELSE prefix_code END AS prefix_code,
+               CASE WHEN triple_id % 7 = 2 THEN {empty} WHEN triple_id % 7 < 4 THEN NULL ELSE target_code END AS target_code,
+               CASE WHEN triple_id % 7 = 2 THEN {empty} WHEN triple_id % 7 < 2 THEN NULL ELSE suffix_code END AS suffix_code,
+               CASE triple_id % 7 WHEN 0 THEN 'invalid JSON' WHEN 1 THEN 'blank line' WHEN 2 THEN {"NULL" if acts[2] == "empty" else "'no suffix_code'"} WHEN 3 THEN 'target_code is no text' END AS problem
+        FROM fim_triples WHERE triple_id % 7 NOT IN ({gone or -1})"""
+
+
+def _jsonl_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "lines")
+    sinks.write_jsonl(_triples(spark, d), path, single_order="triple_id")
+    return jsonl.records(jsonl.lines(spark, path).withColumn("line_no", F.get_json_object("value", "$.triple_id").cast("long")), list(chat.TRIPLE), jsonl.POLICIES["long_fim"]).select("line_no", *chat.TRIPLE)
+
+
+def _table_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Two appends of orders, with an internal id that isn't written and not-a-number in place of every fifth price."""
+    path = scratch(spark, "table")
+    o = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice")).alias("price"), F.lit("internal").alias("_id"))
+    for half in (0, 1):
+        sinks.write_table(o.where(F.col("o_orderkey") % 2 == half), path)
+    sinks.write_table(o.limit(0), path)
+    return spark.read.parquet(path)
+
+
+def _batch_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Processed ids and records of two batches, one of them replayed, and of a third that broke off before its commit."""
+    path = scratch(spark, "batches")
+    docs = _docs(spark, d).select("file_id")
+    for number in (0, 1, 1):
+        part = docs.where(F.col("file_id") % 3 == number)
+        sinks.write_batch(part.withColumn("batch_no", F.lit(number)), part, path, number)
+    docs.where("file_id % 3 = 2").write.json(f"{path}/records/batch=2")
+    records = sinks.batch_records(spark, path, "file_id bigint, batch_no int")
+    return records.join(sinks.batch_ids(spark, path).select(F.col("id").cast("long").alias("file_id")), "file_id")
+
+
+def _log_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "log")
+    sinks.write_text(table(spark, d, "chat_records").select(F.concat(F.lit(" "), F.coalesce("doc_id", F.lit("")), F.lit(" ")).alias("value")), path)
+    return jsonl.processed_log(spark, path)
+
+
+def _persona_file(spark: SparkSession) -> DataFrame:
+    path = scratch(spark, "personas")
+    sinks.write_text(_personas(spark).coalesce(1).agg(F.to_json(F.struct(F.collect_list("persona").alias("personas"))).alias("value")), path)
+    return synth.allowed_personas(jsonl.personas(spark, path)).select(synth.system_turn(F.col("persona")).alias("system"))
+
+
 def _structure(corpus: DataFrame) -> DataFrame:
     rows = quality.with_code_metrics(corpus.withColumn("clean_content", textfn.remove_comments("content")))
     names = lambda c: F.array_join(F.transform(c, lambda x: x["name"]), ",")
@@ -213,6 +311,30 @@ def _error_sql(draw) -> str:
         FROM d JOIN t USING (k, c)"""
 
 
+def _maintainability() -> str:
+    """The index of a rendered file by its formula, from the parts that the file was put together from."""
+    volume = "(3.0 * len(funs) * log2(3.0))"
+    logical = "(len(imports) + 4 * len(funs) + 4 * len(klass) + 3)"
+    share = "(100.0 * CASE WHEN header = '' THEN 0 ELSE 1 END / (len(string_split(content, chr(10))) - 1))"
+    return f"least(100.0, greatest(0.0, (171 - 5.2 * ln({volume}) - 0.23 * (2.0 * len(funs) + len(klass)) - 16.2 * ln({logical}) + 50 * sin(sqrt(2.46 * radians({share})))) * 100 / 171))"
+
+
+def _lof_sql(rows: str, f4: str = "f4", shown: str = "round(lof, 6) AS lof") -> str:
+    """The local outlier factor of ``rows`` (doc_id, f1..f4) by its definition."""
+    return f"""
+            WITH q AS ({rows}), r AS (SELECT doc_id, f1, f2, f3, {f4} AS f4 FROM q), v AS (SELECT f1, f2, f3, f4, count(*) AS c FROM r GROUP BY ALL),
+            d AS (SELECT a.f1, a.f2, a.f3, a.f4, b.f1 AS g1, b.f2 AS g2, b.f3 AS g3, b.f4 AS g4, sqrt((a.f1 - b.f1) ** 2 + (a.f2 - b.f2) ** 2 + (a.f3 - b.f3) ** 2 + (a.f4 - b.f4) ** 2) AS dist,
+                         b.c - CASE WHEN a.f1 = b.f1 AND a.f2 = b.f2 AND a.f3 = b.f3 AND a.f4 = b.f4 THEN 1 ELSE 0 END AS w FROM v a, v b),
+            s AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY f1, f2, f3, f4 ORDER BY dist, g1, g2, g3, g4 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d),
+            n AS (SELECT f1, f2, f3, f4, g1, g2, g3, g4, dist, least(w, 20 - before) AS w FROM s WHERE before < 20 AND w > 0),
+            k AS (SELECT f1, f2, f3, f4, max(dist) AS kd FROM n GROUP BY ALL),
+            l AS (SELECT n.f1, n.f2, n.f3, n.f4, 1 / (sum(greatest(k.kd, n.dist) * n.w) / sum(n.w) + 1e-10) AS lrd FROM n JOIN k ON n.g1 = k.f1 AND n.g2 = k.f2 AND n.g3 = k.f3 AND n.g4 = k.f4 GROUP BY ALL),
+            o AS (SELECT n.f1, n.f2, n.f3, n.f4, sum(m.lrd * n.w) / sum(n.w) AS mean_lrd FROM n JOIN l m ON n.g1 = m.f1 AND n.g2 = m.f2 AND n.g3 = m.f3 AND n.g4 = m.f4 GROUP BY ALL),
+            z AS (SELECT o.f1, o.f2, o.f3, o.f4, mean_lrd / l.lrd AS lof FROM o JOIN l USING (f1, f2, f3, f4)),
+            x AS (SELECT r.doc_id, z.lof FROM r JOIN z USING (f1, f2, f3, f4))
+            SELECT doc_id, {shown}, lof > (SELECT quantile_cont(lof, 0.9) FROM x) AS is_outlier FROM x"""
+
+
 def oracle_sql() -> dict[str, str]:
     corpus = rendered.code_corpus_sql()
     nl = "chr(10)"
@@ -246,9 +368,26 @@ def oracle_sql() -> dict[str, str]:
         "corpus_labels": f"""
             WITH {corpus}
             SELECT p AS doc_id, broken OR p % 11 = 0 AS is_syntax_error, (CASE WHEN broken THEN 0.0 ELSE 2.0 * len(funs) + len(klass) END)::DOUBLE AS cyclomatic_complexity,
-                   len(string_split(content, {nl}))::INT - 1 AS number_of_lines FROM corpus""",
-        "stage_counts": f"WITH {corpus} SELECT CASE WHEN broken THEN 'syntax' ELSE 'kept' END AS stage, count(*) AS n_rows FROM corpus GROUP BY 1",
-        "union_bad": "SELECT file_id, 'short' AS why FROM source_docs WHERE length(content) < 10 UNION ALL SELECT file_id, NULL FROM source_docs WHERE content IS NULL",
+                   len(string_split(content, {nl}))::INT - 1 AS number_of_lines, CASE WHEN broken OR {_maintainability()} < 20 THEN 0 ELSE 1 END AS label,
+                   round(CASE WHEN broken THEN 0.0 ELSE {_maintainability()} END, 8) AS maintainability_index FROM corpus""",
+        "stage_counts": f"""
+            WITH {corpus}, x AS (SELECT p, CASE WHEN p % 9 = 0 THEN 'x = ' || p % 5 WHEN p % 13 = 0 THEN '' ELSE content END AS content, broken AND p % 9 <> 0 AS broken FROM corpus), f AS (SELECT * FROM x WHERE content <> ''),
+            u AS (SELECT content, any_value(broken) AS broken FROM f GROUP BY content), k AS (SELECT * FROM u WHERE length({_clean('content')}) >= 10)
+            SELECT 'loaded' AS stage, count(*) AS n_rows FROM x UNION ALL SELECT 'with_content', count(*) FROM f UNION ALL SELECT 'distinct', count(*) FROM u UNION ALL SELECT 'long_enough', count(*) FROM k
+            UNION ALL SELECT 'good', count(*) FROM k WHERE NOT broken UNION ALL SELECT 'bad', count(*) FROM k WHERE broken""",
+        "union_bad": f"""
+            WITH {corpus}, c AS (SELECT p, broken, (2.0 * len(funs) + len(klass))::DOUBLE AS cc FROM corpus)
+            SELECT p AS doc_id, 'rules' AS removed_by, NULL::DOUBLE AS cyclomatic_complexity FROM c WHERE broken UNION ALL SELECT p, 'outlier', cc FROM c WHERE NOT broken AND cc >= 7""",
+        **{f"policy_{name}": _policy_sql(name) for name in jsonl.POLICIES},
+        "jsonl_roundtrip": "SELECT triple_id AS line_no, prefix_code, target_code, suffix_code FROM fim_triples",
+        "table_roundtrip": "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_totalprice END AS price FROM orders",
+        "batch_roundtrip": "SELECT file_id, (file_id % 3)::INT AS batch_no FROM source_docs WHERE file_id % 3 < 2",
+        "log_roundtrip": f"SELECT DISTINCT {_strip('doc_id')} AS id FROM chat_records WHERE {_strip('doc_id')} <> ''",
+        "persona_file": f"SELECT * FROM (VALUES {', '.join(f'({_quoted(x)})' for x in _system_turns())}) t(system)",
+        "documents_scan": "SELECT file_id, doc_id, repo, file_path, n_bytes FROM source_docs WHERE n_bytes > 1000",
+        "lof_features": _lof_sql(f"""
+            WITH {corpus} SELECT p AS doc_id, length({_clean('content')})::DOUBLE AS f1, (2.0 * len(funs) + len(klass))::DOUBLE AS f2, round({_maintainability()}, 6) AS f3,
+                   round(CASE WHEN header = '' THEN 0.0 ELSE 1.0 END + len(klass), 6) / (len(string_split(content, {nl})) - 1) AS f4 FROM corpus WHERE NOT broken AND {_maintainability()} >= 20""", "round(f4, 6)", "round(ln(lof), 6) AS log_lof"),
         "removed_rows": "SELECT file_id FROM source_docs WHERE file_id NOT IN (SELECT min(file_id) FROM source_docs GROUP BY content)",
         "code_structure": f"""
             WITH {corpus}
@@ -320,16 +459,5 @@ def oracle_sql() -> dict[str, str]:
         "persona_pairs": _persona_sql(),
         "persona_filter": f"SELECT * FROM (VALUES {', '.join(f'({_quoted(x)})' for x in _system_turns())}) t(system)",
         "error_kinds": f"SELECT [{kinds}][{draw(SEED, len(synth.TEMPLATES), 'id::VARCHAR', chr(39) + 'kind' + chr(39))} + 1] AS kind, count(*) AS n_examples FROM range({EXAMPLES}) t(id) GROUP BY 1",
-        "lof_filter": f"""
-            WITH r AS ({features}), v AS (SELECT f1, f2, f3, f4, count(*) AS c FROM r GROUP BY ALL),
-            d AS (SELECT a.f1, a.f2, a.f3, a.f4, b.f1 AS g1, b.f2 AS g2, b.f3 AS g3, b.f4 AS g4, sqrt((a.f1 - b.f1) ** 2 + (a.f2 - b.f2) ** 2 + (a.f3 - b.f3) ** 2 + (a.f4 - b.f4) ** 2) AS dist,
-                         b.c - CASE WHEN a.f1 = b.f1 AND a.f2 = b.f2 AND a.f3 = b.f3 AND a.f4 = b.f4 THEN 1 ELSE 0 END AS w FROM v a, v b),
-            s AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY f1, f2, f3, f4 ORDER BY dist, g1, g2, g3, g4 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d),
-            n AS (SELECT f1, f2, f3, f4, g1, g2, g3, g4, dist, least(w, 20 - before) AS w FROM s WHERE before < 20 AND w > 0),
-            k AS (SELECT f1, f2, f3, f4, max(dist) AS kd FROM n GROUP BY ALL),
-            l AS (SELECT n.f1, n.f2, n.f3, n.f4, 1 / (sum(greatest(k.kd, n.dist) * n.w) / sum(n.w) + 1e-10) AS lrd FROM n JOIN k ON n.g1 = k.f1 AND n.g2 = k.f2 AND n.g3 = k.f3 AND n.g4 = k.f4 GROUP BY ALL),
-            o AS (SELECT n.f1, n.f2, n.f3, n.f4, sum(m.lrd * n.w) / sum(n.w) AS mean_lrd FROM n JOIN l m ON n.g1 = m.f1 AND n.g2 = m.f2 AND n.g3 = m.f3 AND n.g4 = m.f4 GROUP BY ALL),
-            z AS (SELECT o.f1, o.f2, o.f3, o.f4, mean_lrd / l.lrd AS lof FROM o JOIN l USING (f1, f2, f3, f4)),
-            x AS (SELECT r.doc_id, z.lof FROM r JOIN z USING (f1, f2, f3, f4))
-            SELECT doc_id, round(lof, 6) AS lof, lof > (SELECT quantile_cont(lof, 0.9) FROM x) AS is_outlier FROM x""",
+        "lof_filter": _lof_sql(features),
     }

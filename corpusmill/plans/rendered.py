@@ -43,13 +43,17 @@ def code_corpus_sql() -> str:
           FROM files)"""
 
 
+#: Where a page's own table is; another one holds its menu.
+MAIN_TABLE = "#main > div.text:nth-child(2) table"
+
+
 def pages(repos: DataFrame) -> DataFrame:
     """(repo, html): each repository as a page with headings, a definition list and a table."""
     r, stars = F.col("repo"), F.coalesce(F.col("n_stars"), F.lit(0)).cast("string")
     word = F.when(F.coalesce(F.col("n_stars"), F.lit(0)) % 2 == 0, F.lit("Error")).otherwise(F.lit("Notice"))
     html = F.concat(
         F.lit("<html><body><h2>"), word, F.lit(" in <b>"), r, F.lit("</b></h2><div><p>Stars: "), stars, F.lit("</p></div><h3>Other</h3><p>rest</p><dl><dt>"), r, F.lit("Exception</dt><dd> has "), stars,
-        F.lit(" stars </dd><dt>plain</dt><dd>no</dd></dl><table><tbody><tr><th><a><code><span>E"), stars, F.lit("</span></code></a></th><td><span>"), r, F.lit("</span></td></tr><tr><td>"), stars, F.lit("</td></tr></tbody></table></body></html>"),
+        F.lit(" stars </dd><dt>plain</dt><dd>no</dd></dl><table><tr><th><code><span>menu</span></code></th><td><span>x</span></td></tr></table><div id=\"main\"><p>a</p><div class=\"wide text\"><table><tbody><tr><th><a><code><span>E"), stars, F.lit("</span></code></a></th><td><span>"), r, F.lit("</span></td></tr><tr><td>"), stars, F.lit("</td></tr></tbody></table></div></div></body></html>"),
     )
     return repos.select(r.alias("repo"), F.coalesce(F.col("n_stars"), F.lit(0)).alias("stars"), F.monotonically_increasing_id().alias("page_id"), html.alias("html"))
 

@@ -34,6 +34,15 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder; what is written there is removed by ``release`` or when the driver ends."""
+    if not _written:
+        atexit.register(release, spark)
+    path = f"{shared_dir(spark)}/corpusmill-{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -41,11 +50,8 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     table is removed by ``release`` or when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/corpusmill-{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
-    if not _written:
-        atexit.register(release, spark)
-    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ markup is read as far as it goes; repeated headings give repeated rows.
 
 from __future__ import annotations
 
-
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -26,6 +26,7 @@ class Node:
     tag: str
     parent: Node | None = None
     children: list = field(default_factory=list)
+    attributes: dict = field(default_factory=dict)
 
     def text(self, strip_parts: bool = False) -> str:
         parts = [c if isinstance(c, str) else c.text(strip_parts) for c in self.children]
@@ -47,6 +48,46 @@ class Node:
                 yield from c.walk()
 
 
+_STEP = re.compile(r"\s*(>)?\s*([a-zA-Z][\w-]*)?((?:[#.][\w-]+|:nth-child\(\d+\))*)")
+
+
+def _matches(node: Node, tag: str | None, marks: str) -> bool:
+    if tag and node.tag != tag.lower():
+        return False
+    for mark, name, n in re.findall(r"([#.])([\w-]+)|:nth-child\((\d+)\)", marks):
+        if n:
+            siblings = [c for c in node.parent.children if isinstance(c, Node)]
+            if len(siblings) < int(n) or siblings[int(n) - 1] is not node:
+                return False
+        elif mark == "#" and node.attributes.get("id") != name or mark == "." and name not in (node.attributes.get("class") or "").split():
+            return False
+    return True
+
+
+def select(root: Node, selector: str) -> list[Node]:
+    """Elements that a path of tags, ids, classes and ``:nth-child`` names, with ``>`` for children and a space for descendants."""
+    found, at = [root], 0
+    selector = selector.strip()
+    while at < len(selector):
+        m = _STEP.match(selector, at)
+        if not (m[2] or m[3]):
+            raise ValueError(f"selector: {selector[at:]}")
+        steps = ((c for c in n.children if isinstance(c, Node)) if m[1] else n.walk() for n in found)
+        found = list({id(x): x for step in steps for x in step if _matches(x, m[2], m[3])}.values())
+        at = m.end()
+    return found
+
+
+def _rows(html: str, within: str | None):
+    root = tree(html)
+    seen: set[int] = set()
+    for part in select(root, within) if within else [root]:
+        for n in part.walk():
+            if n.tag == "tr" and id(n) not in seen:
+                seen.add(id(n))
+                yield n
+
+
 class _Tree(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -55,13 +96,13 @@ class _Tree(HTMLParser):
     def handle_starttag(self, tag, attrs):
         while self.at.tag in _CLOSED_BY and tag in _CLOSED_BY[self.at.tag]:
             self.at = self.at.parent
-        node = Node(tag, self.at)
+        node = Node(tag, self.at, attributes=dict(attrs))
         self.at.children.append(node)
         if tag not in _VOID:
             self.at = node
 
     def handle_startendtag(self, tag, attrs):
-        self.at.children.append(Node(tag, self.at))
+        self.at.children.append(Node(tag, self.at, attributes=dict(attrs)))
 
     def handle_endtag(self, tag):
         at = self.at
@@ -108,10 +149,10 @@ def definitions(html: str, words: tuple[str, ...] = ("Error", "Exception")) -> l
     return out
 
 
-def header_table(html: str) -> list[tuple[str, str]]:
-    """Rows with a code name in a header cell and a span in a data cell; both must be there."""
+def header_table(html: str, within: str | None = None) -> list[tuple[str, str]]:
+    """Rows, of the tables that ``within`` selects or of all, with a code name in a header cell and a span in a data cell; both must be there."""
     out = []
-    for row in (n for n in tree(html).walk() if n.tag == "tr"):
+    for row in _rows(html, within):
         name = row.find("th", "a", "code", "span") or row.find("th", "code", "span")
         described = row.find("td", "span")
         if name and described:
@@ -119,10 +160,10 @@ def header_table(html: str) -> list[tuple[str, str]]:
     return out
 
 
-def cell_table(html: str) -> list[tuple[str, str]]:
-    """Rows' first two data cells; one of them is enough, a missing one is ``N/A``."""
+def cell_table(html: str, within: str | None = None) -> list[tuple[str, str]]:
+    """First two data cells of the rows of the tables that ``within`` selects, or of all; one of them is enough, a missing one is ``N/A``."""
     out = []
-    for row in (n for n in tree(html).walk() if n.tag == "tr"):
+    for row in _rows(html, within):
         cells = [c for c in row.children if isinstance(c, Node) and c.tag == "td"]
         if cells:
             out.append((cells[0].text().strip(), cells[1].text().strip() if len(cells) > 1 else NOT_FOUND))

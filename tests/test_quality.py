@@ -57,3 +57,16 @@ def test_configuration():
         PipelineConfig.from_mapping({})
     with pytest.raises(ValueError):
         PipelineConfig(contamination=0.7)
+
+
+def test_run_writes_both_files_and_counts(spark, frame, tmp_path):
+    rows = [(i, f"import os\n\ndef f{i}(a):\n    return a + {i % 7}\n" + "x = 1\n" * (i % 5)) for i in range(40)] + [(50, "def broken("), (51, "def broken("), (52, None), (53, "x = 1")]
+    frame(rows, "file_id long, content string").write.parquet(str(tmp_path / "in"))
+    cfg = quality.PipelineConfig.from_mapping({"SOURCE": str(tmp_path / "in"), "OUTPUT_GOOD_JSONL_FILE": str(tmp_path / "good"), "OUTPUT_BAD_JSONL_FILE": str(tmp_path / "bad")})
+    counts = {r.stage: r.n_rows for r in quality.run(spark, cfg, "file_id").collect()}
+    good, bad = (spark.read.json(str(tmp_path / x)) for x in ("good", "bad"))
+    assert good.count() == counts["kept"] and bad.count() == sum(counts.values()) - counts["kept"] and sum(counts.values()) == 41
+    assert {r.file_id for r in bad.where("removed_by = 'rules'").collect()} == {50} and not {r.file_id for r in good.collect()} & {r.file_id for r in bad.collect()}
+    report = {r.stage: r.n_rows for r in quality.stage_report(frame(rows, "file_id long, content string"), "file_id").collect()}
+    assert report == {"loaded": 44, "with_content": 43, "distinct": 42, "long_enough": 41, "good": 40, "bad": 1}
+    assert {r.n_rows for r in quality.stage_report(frame([], "file_id long, content string"), "file_id").collect()} == {0}

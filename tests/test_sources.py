@@ -86,3 +86,11 @@ def test_html():
 def test_pages_with_nulls(frame):
     df = frame([(1, None), (2, ""), (3, PAGE)], "page_id long, html string")
     assert [r.title for r in html.extract(df, html.definitions, "s").orderBy("idx").collect()] == ["KeyError", "MyException"]
+
+
+def test_selectors():
+    root = html.tree('<div id="a" class="x y"><p>1</p><div class="y"><p id="q">2</p><p>3</p></div></div><p>4</p>')
+    texts = lambda q: [n.text() for n in html.select(root, q)]
+    assert texts("#a > p") == ["1"] and texts("#a p") == ["1", "2", "3"] and texts("div.y > p:nth-child(2)") == ["3"] and texts("p") == ["1", "2", "3", "4"]
+    assert texts("div.x.y > .y #q") == ["2"] and texts("#none p") == [] and texts("p:nth-child(9)") == []
+    assert html.cell_table(PAGE, "#none") == [] and html.header_table(PAGE, "table > tbody") == html.header_table(PAGE)
