@@ -33,32 +33,34 @@ def _case(title: str, log: str, description: str, buggy: str, fixed: str) -> tup
     return title, "Traceback (most recent call last):\n  File \"<stdin>\", line {line}, in <module>\n".replace("{line}", str(buggy.strip("\n").count("\n") + 1)) + log, description, textwrap.dedent(buggy).strip("\n"), textwrap.dedent(fixed).strip("\n")
 
 
-# (kind, simple case, complex case). Slots: {n} {m} {k} numbers, {v} {w} names, {C} a class name, {x} a letter. None repeats the simple case.
+# (kind, simple case, complex case); None repeats the simple case. Slots: {n} 10..500, {m} 100..999, {p} 10..100, {q} 100..200, {L} a list of
+# 3 to 6 numbers up to 100 and {i} an index 1 to 3 behind its length, {a} {b} two different lengths of 3 to 6, {v} {w} names, {t} the first with
+# another last letter (or by chance the same), {C} a class name, {z} ten letters, {e} eight digits.
 TEMPLATES = (
     ("TypeError", _case("TypeError: object of type 'int' has no len()", "TypeError: object of type 'int' has no len()", "A number has no length.", "{v} = {n}\nprint(len({v}))", "{v} = {n}\nprint(len(str({v})))"),
      _case("TypeError: can only concatenate str (not \"int\") to str", "TypeError: can only concatenate str (not \"int\") to str", "Text and a number were added.", "def show({v}):\n    return 'value ' + {v}\n\nshow({m})", "def show({v}):\n    return f'value {{v}}'\n\nshow({m})")),
-    ("IndexError", _case("IndexError: list index out of range", "IndexError: list index out of range", "The index lies behind the end of the list.", "{v} = list(range({k}))\nprint({v}[{k}])", "{v} = list(range({k}))\nprint({v}[-1])"),
+    ("IndexError", _case("IndexError: list index out of range", "IndexError: list index out of range", "The index lies behind the end of the list.", "{v} = {L}\nprint({v}[{i}])", "{v} = {L}\nprint({v}[-1])"),
      _case("IndexError: pop from empty list", "IndexError: pop from empty list", "An empty list has nothing to pop.", "pending = []\npending.pop()", "pending = []\nif pending:\n    pending.pop()")),
     ("KeyError", _case("KeyError: 'size'", "KeyError: 'size'", "The mapping has no such key.", "{v} = {'colour': 'red'}\nprint({v}['size'])", "{v} = {'colour': 'red'}\nprint({v}.get('size'))"),
      _case("KeyError: 'street'", "KeyError: 'street'", "A nested mapping lacks the key.", "{v} = {'home': {'city': 'Oslo'}}\nprint({v}['home']['street'])", "{v} = {'home': {'city': 'Oslo'}}\nprint({v}.get('home', {}).get('street', ''))")),
     ("AttributeError", _case("AttributeError: 'int' object has no attribute 'append'", "AttributeError: 'int' object has no attribute 'append'", "A number can't be appended to.", "{v} = {m}\n{v}.append(1)", "{v} = [{m}]\n{v}.append(1)"),
      _case("AttributeError: '{C}' object has no attribute 'start'", "AttributeError: '{C}' object has no attribute 'start'", "The class doesn't define the method.", "class {C}:\n    pass\n\n{C}().start()", "class {C}:\n    def start(self):\n        return True\n\n{C}().start()")),
-    ("NameError", _case("NameError: name '{v}{x}' is not defined", "NameError: name '{v}{x}' is not defined", "The name is misspelt.", "{v} = 1\nprint({v}{x})", "{v} = 1\nprint({v})"),
+    ("NameError", _case("NameError: name '{t}' is not defined", "NameError: name '{t}' is not defined", "The name is misspelt.", "{v} = 1\nprint({t})", "{v} = 1\nprint({v})"),
      _case("NameError: name '{w}' is not defined", "NameError: name '{w}' is not defined", "The name only exists inside a function.", "def {v}():\n    {w} = 1\n\n{v}()\nprint({w})", "def {v}():\n    return 1\n\n{w} = {v}()\nprint({w})")),
-    ("ValueError", _case("ValueError: operands could not be broadcast together", "ValueError: operands could not be broadcast together with shapes ({k},) (2,)", "Two arrays of different length were added.", "import numpy as np\n\n{v} = np.zeros({k})\n{w} = np.zeros(2)\nprint({v} + {w})", "import numpy as np\n\n{v} = np.zeros({k})\n{w} = np.zeros({k})\nprint({v} + {w})"),
+    ("ValueError", _case("ValueError: operands could not be broadcast together with shapes ({a},) ({b},)", "ValueError: operands could not be broadcast together with shapes ({a},) ({b},)", "Two arrays of different length were added.", "import numpy as np\n\n{v} = np.zeros({a})\n{w} = np.ones({b})\nprint({v} + {w})", "import numpy as np\n\n{v} = np.zeros({a})\n{w} = np.ones({a})\nprint({v} + {w})"),
      _case("ValueError: cannot reshape array", "ValueError: cannot reshape array of size 7 into shape (2,3)", "The number of elements doesn't fit the shape.", "import numpy as np\n\nprint(np.arange(7).reshape(2, 3))", "import numpy as np\n\nprint(np.arange(6).reshape(2, 3))")),
-    ("ZeroDivisionError", _case("ZeroDivisionError: division by zero", "ZeroDivisionError: division by zero", "The divisor is zero.", "{v} = {n}\nprint({v} / 0)", "{v} = {n}\nshare = 0\nprint({v} / share if share else 0.0)"),
-     _case("ZeroDivisionError: division by zero", "ZeroDivisionError: division by zero", "The mean of nothing was asked for.", "def mean(values):\n    return sum(values) / len(values)\n\nmean([])", "def mean(values):\n    return sum(values) / len(values) if values else {m}\n\nmean([])")),
+    ("ZeroDivisionError", _case("ZeroDivisionError: division by zero", "ZeroDivisionError: division by zero", "The divisor is zero.", "print({p} / 0)", "share = 0\nprint({p} / share if share else 0.0)"),
+     _case("ZeroDivisionError: division by zero", "ZeroDivisionError: division by zero", "The mean over nobody was asked for.", "total = {q}\nmembers = []\nprint(total / len(members))", "total = {q}\nmembers = []\nprint(total / len(members) if members else 0)")),
     ("RecursionError", _case("RecursionError: maximum recursion depth exceeded", "RecursionError: maximum recursion depth exceeded", "The function calls itself without an end.", "def {v}(n):\n    return {v}(n - 1)\n\n{v}(3)", "def {v}(n):\n    return {v}(n - 1) if n else 0\n\n{v}(3)"),
      _case("RecursionError: maximum recursion depth exceeded", "RecursionError: maximum recursion depth exceeded", "Two functions call each other without an end.", "def ping():\n    return pong()\n\ndef pong():\n    return ping()\n\nping()", "def ping():\n    return 'pong'\n\nping()")),
-    ("ModuleNotFoundError", _case("ModuleNotFoundError: No module named '{v}_utils'", "ModuleNotFoundError: No module named '{v}_utils'", "The module isn't installed.", "import {v}_utils", "try:\n    import {v}_utils\nexcept ModuleNotFoundError:\n    {v}_utils = None"),
-     _case("ImportError: cannot import name '{w}' from 'json'", "ImportError: cannot import name '{w}' from 'json'", "The package doesn't offer the name.", "from json import {w}", "from json import dumps as {w}")),
-    ("FileNotFoundError", _case("FileNotFoundError: [Errno 2] No such file or directory: '{n}.csv'", "FileNotFoundError: [Errno 2] No such file or directory: '{n}.csv'", "The file isn't there.", "open('{n}.csv')", "import os\n\nif os.path.exists('{n}.csv'):\n    open('{n}.csv')"), None),
+    ("ModuleNotFoundError", _case("ModuleNotFoundError: No module named '{z}_utils'", "ModuleNotFoundError: No module named '{z}_utils'", "The module isn't installed.", "import {z}_utils", "try:\n    import {z}_utils\nexcept ModuleNotFoundError:\n    {z}_utils = None"),
+     _case("ImportError: cannot import name '{w}' from '{v}'", "ImportError: cannot import name '{w}' from '{v}' (unknown location)", "The package doesn't offer the name.", "import sys\nimport types\n\nsys.modules['{v}'] = types.ModuleType('{v}')\nfrom {v} import {w}", "import sys\nimport types\n\nsys.modules['{v}'] = types.ModuleType('{v}')\nsys.modules['{v}'].{w} = print\nfrom {v} import {w}")),
+    ("FileNotFoundError", _case("FileNotFoundError: [Errno 2] No such file or directory: 'lost_{e}.txt'", "FileNotFoundError: [Errno 2] No such file or directory: 'lost_{e}.txt'", "The file isn't there.", "open('lost_{e}.txt')", "import os\n\nif os.path.exists('lost_{e}.txt'):\n    open('lost_{e}.txt')"), None),
     ("PermissionError", _case("PermissionError: [Errno 13] Permission denied: '/etc/shadow'", "PermissionError: [Errno 13] Permission denied: '/etc/shadow'", "The file may not be read.", "open('/etc/shadow')", "try:\n    open('/etc/shadow')\nexcept PermissionError:\n    print('not allowed')"), None),
     ("SyntaxError", _case("SyntaxError: expected ':'", "SyntaxError: expected ':'", "A colon is missing.", "if True\n    print('yes')", "if True:\n    print('yes')"),
      _case("SyntaxError: '(' was never closed", "SyntaxError: '(' was never closed", "A bracket is left open.", "print('a'", "print('a')")),
-    ("IndentationError", _case("IndentationError: expected an indented block", "IndentationError: expected an indented block", "The body isn't indented.", "def {v}():\nreturn 1", "def {v}():\n    return 1"),
-     _case("IndentationError: unexpected indent", "IndentationError: unexpected indent", "A line is indented without need.", "{v} = 1\n  print({v})", "{v} = 1\nprint({v})")),
+    ("IndentationError", _case("IndentationError: expected an indented block", "IndentationError: expected an indented block after function definition on line 1", "The body isn't indented.", "text = 'def show():\\nreturn 1'\nexec(text)", "text = 'def show():\\n    return 1'\nexec(text)"),
+     _case("IndentationError: unindent does not match any outer indentation level", "IndentationError: unindent does not match any outer indentation level", "A line returns to a level that isn't there.", "text = 'if True:\\n    print(1)\\n  print(2)'\nexec(text)", "text = 'if True:\\n    print(1)\\nprint(2)'\nexec(text)")),
 )
 
 
@@ -71,14 +73,24 @@ def error_examples(spark: SparkSession, count: int, seed: int = 42, numpy: bool
     templates = spark.createDataFrame(rows, "__k int, __c int, kind string, title string, log string, description string, buggy string, fixed string")
     ids = spark.range(count)
     drawn = ids.withColumn("__k", portable_draw(seed, len(kinds), "id", F.lit("kind"))).withColumn("__c", portable_draw(seed, 2, "id", F.lit("case")))
+    number = lambda bound, slot, least: portable_draw(seed, bound, "id", F.lit(slot)).cast("int") + least
+    draw = lambda bound, slot, least: number(bound, slot, least).cast("string")
+    first = random_name(seed, "v", "id")
     slots = {
-        "{v}": random_name(seed, "v", "id"),
+        "{v}": first,
         "{w}": random_name(seed, "w", "id"),
         "{C}": random_name(seed, "C", "id", class_name=True),
-        "{n}": (portable_draw(seed, 491, "id", F.lit("n")) + 10).cast("string"),
-        "{m}": (portable_draw(seed, 900, "id", F.lit("m")) + 100).cast("string"),
-        "{k}": (portable_draw(seed, 4, "id", F.lit("k")) + 3).cast("string"),
-        "{x}": F.chr(portable_draw(seed, 26, "id", F.lit("x")) + 97),
+        "{n}": draw(491, "n", 10),
+        "{m}": draw(900, "m", 100),
+        "{p}": draw(91, "p", 10),
+        "{q}": draw(101, "q", 100),
+        "{L}": F.concat(F.lit("["), F.array_join(F.slice(F.array(*(draw(100, f"L{i}", 1) for i in range(6))), 1, number(4, "len", 3)), ", "), F.lit("]")),
+        "{i}": (number(4, "len", 3) + number(3, "i", 1)).cast("string"),
+        "{a}": draw(4, "a", 3),
+        "{b}": (F.pmod(number(4, "a", 0) + number(3, "b", 1), F.lit(4)) + 3).cast("string"),
+        "{t}": F.concat(F.substring(first, 1, F.length(first) - 1), F.chr(number(26, "x", 97))),
+        "{z}": F.concat(*(F.chr(number(26, f"z{i}", 97)) for i in range(10))),
+        "{e}": F.concat(*(draw(10, f"e{i}", 0) for i in range(8))),
     }
     joined = drawn.join(F.broadcast(templates), ["__k", "__c"])  # a fixed table of two rows per kind
     for c in ("title", "log", "description", "buggy", "fixed"):

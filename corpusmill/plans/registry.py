@@ -288,14 +288,23 @@ def _error_sql(draw) -> str:
     pick = lambda words, slot: f"([{', '.join(map(_quoted, words))}][{draw(SEED, len(words), 'id::VARCHAR', _quoted(slot))} + 1])"
     title = lambda w: f"(upper({w}[1]) || {w}[2:])"
     number = lambda bound, least, slot: f"({draw(SEED, bound, 'id::VARCHAR', _quoted(slot))} + {least})::VARCHAR"
+    whole = lambda bound, least, slot: f"({draw(SEED, bound, 'id::VARCHAR', _quoted(slot))} + {least})"
+    first = f"{pick(synth.FIRST, 'va')} || '_' || {pick(synth.SECOND, 'vb')}"
     slots = {
-        "{v}": f"{pick(synth.FIRST, 'va')} || '_' || {pick(synth.SECOND, 'vb')}",
+        "{v}": first,
         "{w}": f"{pick(synth.FIRST, 'wa')} || '_' || {pick(synth.SECOND, 'wb')}",
         "{C}": f"{title(pick(synth.FIRST, 'Ca'))} || {title(pick(synth.SECOND, 'Cb'))}",
         "{n}": number(491, 10, "n"),
         "{m}": number(900, 100, "m"),
-        "{k}": number(4, 3, "k"),
-        "{x}": f"chr(({draw(SEED, 26, 'id::VARCHAR', _quoted('x'))} + 97)::INT)",
+        "{p}": number(91, 10, "p"),
+        "{q}": number(101, 100, "q"),
+        "{L}": f"'[' || array_to_string(([{', '.join(number(100, 1, f'L{i}') for i in range(6))}])[1:{whole(4, 3, 'len')}], ', ') || ']'",
+        "{i}": f"({whole(4, 3, 'len')} + {whole(3, 1, 'i')})::VARCHAR",
+        "{a}": number(4, 3, "a"),
+        "{b}": f"(({whole(4, 0, 'a')} + {whole(3, 1, 'b')}) % 4 + 3)::VARCHAR",
+        "{t}": f"(({first})[:-2] || chr({whole(26, 97, 'x')}::INT))",
+        "{z}": " || ".join(f"chr({whole(26, 97, f'z{i}')}::INT)" for i in range(10)),
+        "{e}": " || ".join(number(10, 0, f"e{i}") for i in range(8)),
     }
 
     def filled(column: str) -> str:
