@@ -6,7 +6,7 @@ rows get equal scores; results don't depend on partitioning. An empty table give
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -173,10 +173,32 @@ class Boxes:
             live = live[leaf[at[live]] < 0]
         return leaf[at]
 
-    def within(self, x: np.ndarray, radius: float) -> np.ndarray:
-        """Leaves that come as near to a point as ``radius``."""
-        gap = np.maximum(0.0, np.maximum(self.lows - x, x - self.highs))
-        return np.flatnonzero(np.sqrt((gap**2).sum(1)) <= radius)
+    def touching(self, x: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(point, leaf) of each leaf that comes as near to a point as its ``radius``: all points go down the tree together, on both sides
+        of a cut where their ball reaches across, so no point looks at leaves far away."""
+        dim, cut, left, right, leaf = (np.array(c) for c in (self.dim, self.cut, self.left, self.right, self.leaf))
+        point, node = np.arange(len(x)), np.zeros(len(x), int)
+        points, leaves = [np.array([], int)], [np.array([], int)]
+        while len(point):
+            at = leaf[node]
+            done = at >= 0
+            gap = np.maximum(0.0, np.maximum(self.lows[at[done]] - x[point[done]], x[point[done]] - self.highs[at[done]]))
+            near = np.sqrt((gap**2).sum(1)) <= radius[point[done]]
+            points.append(point[done][near])
+            leaves.append(at[done][near])
+            point, node = point[~done], node[~done]
+            here, r = x[point, dim[node]], radius[point]
+            low, high = here - r < cut[node], here + r >= cut[node]
+            point, node = np.concatenate([point[low], point[high]]), np.concatenate([left[node[low]], right[node[high]]])
+        return np.concatenate(points), np.concatenate(leaves)
+
+
+#: Distances that a task computes at once.
+STEP = 4_000_000
+
+
+def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.sqrt(sum((x[:, None, d] - y[None, :, d]) ** 2 for d in range(x.shape[1])))
 
 
 def _candidates(own: np.ndarray, others: np.ndarray, copies: np.ndarray, enough: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -186,8 +208,9 @@ def _candidates(own: np.ndarray, others: np.ndarray, copies: np.ndarray, enough:
     reach = np.full(len(own), np.inf)
     m = min(enough, len(others))
     total = copies.sum()
-    for start in range(0, len(own), 256):
-        d = np.sqrt(((own[start : start + 256, None] - others[None]) ** 2).sum(2))
+    step = max(1, STEP // max(1, len(others)))
+    for start in range(0, len(own), step):
+        d = _near(own[start : start + step], others)
         limit = np.partition(d, m - 1, axis=1)[:, m - 1] if m else np.full(len(d), np.inf)
         for row in range(len(d)):
             pick = np.flatnonzero(d[row] <= limit[row])
@@ -200,18 +223,54 @@ def _candidates(own: np.ndarray, others: np.ndarray, copies: np.ndarray, enough:
     return found, reach
 
 
-def _own_leaf(names: list[str], k: int):
+def _own_leaf(names: list[str], k: int, block_rows: int, bound: Callable[[np.ndarray], np.ndarray]):
+    """Neighbours of a leaf's vectors within the leaf, and the radius that they leave to be asked elsewhere. A large leaf is cut into
+    boxes of its own: a vector looks at its own box first and then only at those its ball touches."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x, copies, vid = pdf[names].to_numpy(float), pdf["copies"].to_numpy(), pdf["vid"].to_numpy()
-        picks, reach = _candidates(x, x, copies, k + 1)
-        i, j = np.repeat(np.arange(len(x)), [len(p) for p in picks]), np.concatenate(picks)
+        boxes = Boxes(x, block_rows, len(names))
+        home = boxes.place(x)
+        order = np.argsort(home, kind="stable")
+        edges = np.searchsorted(home[order], np.arange(len(boxes.lows) + 1))
+        members = [order[a:b] for a, b in zip(edges, edges[1:])]
+        reach = np.full(len(x), np.inf)
+        rows: list[tuple[np.ndarray, np.ndarray]] = []
+        for inside in members:
+            picks, reach[inside] = _candidates(x[inside], x[inside], copies[inside], k + 1)
+            rows.append((np.repeat(inside, [len(p) for p in picks]), inside[np.concatenate(picks)]))
+        lone = np.isinf(reach)
+        if lone.any():
+            reach[lone] = bound(x[lone])
+        asking, box = boxes.touching(x, reach)
+        other = box != home[asking]
+        asking, box = asking[other], box[other]
+        by_box = np.argsort(box, kind="stable")
+        for part in np.split(by_box, np.flatnonzero(np.diff(box[by_box])) + 1) if len(by_box) else ():
+            rows += _asked(x[asking[part]], reach[asking[part]], asking[part], x, members[box[part[0]]], k)
+        i, j = (np.concatenate([r[n] for r in rows]) for n in (0, 1))
         distance = np.sqrt(((x[j] - x[i]) ** 2).sum(1))
         return pd.DataFrame({"vid": vid[i], "oid": vid[j], "distance": distance, "copies": copies[j], "radius": reach[i]} | {n: x[j, d] for d, n in enumerate(names)})
 
     return run
 
 
-def _other_leaf(names: list[str], k: int):
+def _asked(q: np.ndarray, radius: np.ndarray, numbers: np.ndarray, x: np.ndarray, inside: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(number of the query, index of a vector) of a box's vectors within each query's radius; of very many only the nearest."""
+    out = []
+    step = max(1, STEP // max(1, len(inside)))
+    for start in range(0, len(q), step):
+        d = _near(q[start : start + step], x[inside])
+        near = d <= radius[start : start + step, None]
+        full = np.flatnonzero(near.sum(1) > 4 * (k + 1))  # a dense box: only its nearest can matter
+        if len(full):
+            limit = np.partition(d[full], k, axis=1)[:, k]
+            near[full] &= d[full] <= limit[:, None]
+        i, j = np.nonzero(near)
+        out.append((numbers[start + i], inside[j]))
+    return out
+
+
+def _other_leaf(names: list[str], k: int, block_rows: int):
     columns = ["vid", "oid", "distance", "copies", *names]
 
     def run(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
@@ -219,17 +278,15 @@ def _other_leaf(names: list[str], k: int):
             return pd.DataFrame({c: [] for c in columns})
         q, x, copies, oid = queries[names].to_numpy(float), vectors[names].to_numpy(float), vectors["copies"].to_numpy(), vectors["vid"].to_numpy()
         vid, radius = queries["vid"].to_numpy(), queries["radius"].to_numpy()
-        parts = []
-        for start in range(0, len(q), 256):
-            d = np.sqrt(((q[start : start + 256, None] - x[None]) ** 2).sum(2))
-            near = d <= radius[start : start + 256, None]
-            full = np.flatnonzero(near.sum(1) > 4 * (k + 1))  # a dense box: only its nearest can matter
-            if len(full):
-                limit = np.partition(d[full], k, axis=1)[:, k]
-                near[full] &= d[full] <= limit[:, None]
-            i, j = np.nonzero(near)
-            parts.append(pd.DataFrame({"vid": vid[start + i], "oid": oid[j], "distance": d[i, j], "copies": copies[j]} | {n: x[j, c] for c, n in enumerate(names)}))
-        return pd.concat(parts)[columns]
+        boxes = Boxes(x, block_rows, len(names))
+        home = boxes.place(x)
+        asking, box = boxes.touching(q, radius)
+        rows = [(np.array([], int), np.array([], int))]
+        by_box = np.argsort(box, kind="stable")
+        for part in np.split(by_box, np.flatnonzero(np.diff(box[by_box])) + 1) if len(by_box) else ():
+            rows += _asked(q[asking[part]], radius[asking[part]], asking[part], x, np.flatnonzero(home == box[part[0]]), k)
+        i, j = (np.concatenate([r[n] for r in rows]) for n in (0, 1))
+        return pd.DataFrame({"vid": vid[i], "oid": oid[j], "distance": np.sqrt(((x[j] - q[i]) ** 2).sum(1)), "copies": copies[j]} | {n: x[j, c] for c, n in enumerate(names)})
 
     return run
 
@@ -237,15 +294,22 @@ def _other_leaf(names: list[str], k: int):
 def nearest_neighbours(vectors: DataFrame, features: Sequence[str], k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(vid, oid, distance, weight): for each distinct vector (vid, features..., copies) its ``k`` nearest rows, exactly.
 
-    Space is cut into the leaf boxes of a k-d tree over a bounded sample. A first pass finds each vector's neighbours within its
-    own box and so a radius; a second one asks only those other boxes that the ball of this radius touches. Ties in distance are
-    broken by the coordinates. ``weight`` is how many of a vector's copies are among the ``k``, its own copy aside.
+    Space is cut into the leaf boxes of a k-d tree over a bounded sample, so the tree is bounded and leaves grow with the table; each
+    leaf is cut further by the task that has it. A first pass finds each vector's neighbours within its own leaf and so a radius; a
+    second one asks only those other leaves that the ball of this radius touches. A vector whose leaf holds too few takes its radius
+    from the sample, whose vectors are as real as any. Ties in distance are broken by the coordinates. ``weight`` is how many of a
+    vector's copies are among the ``k``, its own copy aside.
     """
     names = list(features)
     spark = vectors.sparkSession
     total = vectors.count()
-    sample = np.array(vectors.orderBy(F.xxhash64("vid"), "vid").limit(TREE_SAMPLE).select(*names).collect(), float).reshape(-1, len(names))
-    boxes = spark.sparkContext.broadcast(Boxes(sample, max(block_rows * len(sample) / max(total, 1), 1), len(names)))
+    drawn = np.array(vectors.orderBy(F.xxhash64(*names), *names).limit(TREE_SAMPLE).select(*names, "copies").collect(), float).reshape(-1, len(names) + 1)
+    sample, held = drawn[:, :-1], drawn[:, -1]
+    boxes = spark.sparkContext.broadcast(Boxes(sample, max(block_rows * len(sample) / max(total, 1), 2 * (k + 1) if total > len(sample) else 1), len(names)))
+    points = spark.sparkContext.broadcast((sample, held))
+
+    def bound(x: np.ndarray) -> np.ndarray:
+        return _candidates(x, *points.value, k + 1)[1]
 
     @F.pandas_udf("int")
     def place(*parts: pd.Series) -> pd.Series:
@@ -253,19 +317,18 @@ def nearest_neighbours(vectors: DataFrame, features: Sequence[str], k: int, bloc
 
     placed = materialize(vectors.withColumn("leaf", place(*names)), "placed")
     coordinates = ", ".join(f"{f} double" for f in names)
-    inner = materialize(placed.groupBy("leaf").applyInPandas(_own_leaf(names, k), f"vid bigint, oid bigint, distance double, copies bigint, radius double, {coordinates}"), "inner")
+    inner = materialize(placed.groupBy("leaf").applyInPandas(_own_leaf(names, k, block_rows, bound), f"vid bigint, oid bigint, distance double, copies bigint, radius double, {coordinates}"), "inner")
     radius = inner.groupBy("vid").agg(F.max("radius").alias("radius"))
 
     def touched(batches):
         for pdf in batches:
             x, radius, home = pdf[names].to_numpy(float), pdf["radius"].to_numpy(), pdf["leaf"].to_numpy()
-            leaves = [boxes.value.within(x[i], radius[i]) for i in range(len(pdf))]
-            i, leaf = np.repeat(np.arange(len(pdf)), [len(a) for a in leaves]), np.concatenate([*leaves, np.array([], int)])
+            i, leaf = boxes.value.touching(x, radius)
             i, leaf = i[leaf != home[i]], leaf[leaf != home[i]].astype(np.int32)
             yield pd.DataFrame({"vid": pdf["vid"].to_numpy()[i]} | {n: x[i, d] for d, n in enumerate(names)} | {"radius": radius[i], "leaf": leaf})
 
     asked = placed.join(radius, "vid").select("vid", *names, "radius", "leaf").mapInPandas(touched, f"vid bigint, {coordinates}, radius double, leaf int")
-    outer = asked.groupBy("leaf").cogroup(placed.groupBy("leaf")).applyInPandas(_other_leaf(names, k), f"vid bigint, oid bigint, distance double, copies bigint, {coordinates}")
+    outer = asked.groupBy("leaf").cogroup(placed.groupBy("leaf")).applyInPandas(_other_leaf(names, k, block_rows), f"vid bigint, oid bigint, distance double, copies bigint, {coordinates}")
     offers = inner.drop("radius").unionByName(outer).withColumn("rows", F.col("copies") - (F.col("vid") == F.col("oid")).cast("long"))
     order = Window.partitionBy("vid").orderBy("distance", *names).rowsBetween(Window.unboundedPreceding, -1)
     ranked = offers.withColumn("before", F.coalesce(F.sum("rows").over(order), F.lit(0)))
@@ -285,8 +348,7 @@ def local_outlier_factor(df: DataFrame, key: str, features: Sequence[str], neigh
     names = list(features)
     exact: list[Column] = [F.col(f).cast("double").alias(f) for f in names]
     counted = rows.select(*exact).groupBy(*names).agg(F.count("*").alias("copies"))
-    vid = F.xxhash64(*names)
-    vectors = materialize(counted.withColumn("vid", vid), "distinct")
+    vectors = materialize(counted.withColumn("vid", F.monotonically_increasing_id()), "distinct")
     near = materialize(nearest_neighbours(vectors, names, k, block_rows), "neighbours")
     reach = near.groupBy("vid").agg(F.max("distance").alias("kdist"))
     reached = near.select("vid", "oid", "distance", "weight").join(reach.select(F.col("vid").alias("oid"), "kdist"), "oid")
@@ -295,6 +357,8 @@ def local_outlier_factor(df: DataFrame, key: str, features: Sequence[str], neigh
     others = near.join(density.select(F.col("vid").alias("oid"), F.col("lrd").alias("other_lrd")), "oid")
     factor = others.groupBy("vid").agg((F.sum(F.col("other_lrd") * F.col("weight")) / F.sum("weight")).alias("mean_lrd")).join(density, "vid")
     factor = factor.select("vid", (F.col("mean_lrd") / F.col("lrd")).alias("lof"))
-    scored = materialize(rows.withColumn("vid", F.xxhash64(*(F.col(f).cast("double") for f in names))).join(factor, "vid").drop("vid"), "lof")
+    told = vectors.join(factor, "vid").select(*(F.col(f).alias(f"__{f}") for f in names), "lof")
+    same = [F.col(f).cast("double") == F.col(f"__{f}") for f in names]
+    scored = materialize(rows.join(told, same).drop(*(f"__{f}" for f in names)), "lof")
     threshold = exact_quantile(scored, "lof", 1 - contamination)
     return scored.withColumn("is_outlier", F.col("lof") > F.lit(threshold))

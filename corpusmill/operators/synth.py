@@ -92,11 +92,12 @@ def error_examples(spark: SparkSession, count: int, seed: int = 42, numpy: bool
         "{z}": F.concat(*(F.chr(number(26, f"z{i}", 97)) for i in range(10))),
         "{e}": F.concat(*(draw(10, f"e{i}", 0) for i in range(8))),
     }
+    drawn = drawn.withColumns({f"__{slot[1]}_slot": value for slot, value in slots.items()})  # each draw once, however often a template names it
     joined = drawn.join(F.broadcast(templates), ["__k", "__c"])  # a fixed table of two rows per kind
     for c in ("title", "log", "description", "buggy", "fixed"):
         text = F.col(c)
-        for slot, value in slots.items():
-            text = F.replace(text, F.lit(slot), value)
+        for slot in slots:
+            text = F.replace(text, F.lit(slot), F.col(f"__{slot[1]}_slot"))
         joined = joined.withColumn(c, text)
     context = F.struct(F.col("title"), F.col("log").alias("error_log"), F.lit("python").alias("language"), F.col("description"), F.col("buggy").alias("buggy_code_snippet"))
     return joined.select("id", "kind", context.alias("error_context"), F.col("fixed").alias("fixed_code_snippet"))

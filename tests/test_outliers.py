@@ -65,4 +65,20 @@ def test_boxes_cover_space_and_split_ties():
     boxes = outliers.Boxes(x, 20, 3)
     leaf = boxes.place(x)
     assert np.bincount(leaf).max() <= 40 and len(boxes.lows) >= 20
-    assert all(leaf[i] in boxes.within(x[i], 0.0) for i in range(400)) and len(boxes.within(x[0], np.inf)) == len(boxes.lows)
+    point, near = boxes.touching(x, np.zeros(400))
+    assert all(leaf[i] in near[point == i] for i in range(400)) and len(boxes.touching(x[:1], np.array([np.inf]))[1]) == len(boxes.lows)
+    radius = rng.uniform(0, 2, 400)
+    point, near = boxes.touching(x, radius)
+    gap = np.sqrt((np.maximum(0, np.maximum(boxes.lows[None] - x[:, None], x[:, None] - boxes.highs[None])) ** 2).sum(2))
+    assert set(zip(point.tolist(), near.tolist())) == {tuple(map(int, p)) for p in np.argwhere(gap <= radius[:, None])}
+
+
+def test_leaves_larger_than_a_block_and_a_small_tree(frame, monkeypatch):
+    """A tree over few of the vectors, as for very large tables: leaves are cut further by their tasks."""
+    monkeypatch.setattr(outliers, "TREE_SAMPLE", 40)
+    monkeypatch.setattr(outliers, "STEP", 500)
+    rng = np.random.default_rng(11)
+    x = np.round(rng.normal(size=(400, 2)) * rng.choice([1, 9], (400, 1)), 2)
+    df = frame([(i, *map(float, r)) for i, r in enumerate(x)], "i int, a double, b double").repartition(3)
+    got = {r.i: r.lof for r in outliers.local_outlier_factor(df, "i", NAMES, 5, 0.1, 10).collect()}
+    assert np.allclose([got[i] for i in range(400)], brute_lof(x, 5), rtol=1e-9)
