@@ -98,8 +98,24 @@ ADDRESS = tuple(
     )
 )
 
-#: What a text must hold for an address of the same place in ``ADDRESS``.
-ADDRESS_GATES = (None, None, None, None, re.compile("[로길] ?[0-9]"), re.compile("[市区町村郡].{0,12}[0-9]"), re.compile("[路街道巷同][0-9]"))
+ENDINGS_DE = ("straße", "strasse", "str.", "gasse", "weg", "allee", "platz", "ring", "damm", "ufer", "steig", "stieg", "pfad", "chaussee", "markt", "hof")
+STANDS_BEFORE_DE = re.compile(r"(?:Am|An der|An den|Im|In der|Auf dem|Auf der|Zum|Zur|Unter den|Alte[rn]?|Neue[rn]?|Große|Kleine)\s+[A-ZÄÖÜ][\wäöüß-]*$")
+
+
+def before_number_de(before: str) -> bool:
+    """Whether a street's name, or the end of a long one, stands in front of a number."""
+    return before.endswith(ENDINGS_DE) or bool(STANDS_BEFORE_DE.search(before)) or len(before) == 60 and not re.search(r"\s", before[20:])
+
+
+#: What a text must hold for an address of the same place in ``ADDRESS``: parts of the pattern that are quickly looked for.
+ADDRESS_GATES = (
+    re.compile(r"\d[A-Za-z]? [A-Z]").search, lambda text: any(before_number_de(text[max(0, m.start() - 60) : m.start()]) for m in re.finditer(r"(?<=[\wäöüß.])\s+\d", text)), re.compile(r"\d(?:\s?(?:bis|ter|quater))?,?\s+(?:rue|avenue|boulevard|bd|av\.|chemin|impasse|place|allée|quai|route|passage|square|cours|sentier|ruelle|montée)\s").search,
+    re.compile(r"(?:Calle|C/|Avenida|Avda|Av\.|Plaza|Paseo|Pº|Camino|Carretera|Ronda|Travesía|Glorieta|Rambla|calle|avenida|plaza|paseo)").search,
+    re.compile("[로길] ?[0-9]").search, re.compile("[市区町村郡].{0,12}[0-9]").search, re.compile("[路街道巷同][0-9]").search,
+)
+#: A run with so many digits and separators that it may be a phone or identity number.
+ID_NUMBER = re.compile(r"\d{6}|\d\d ?\d\d ?\d\d|[A-Z]\d\d[A-Z0-9]{6}|[XYZ]-?\d")
+LONG_NUMBER = re.compile(r"\d[\d .()/-]{5,}\d")
 
 # Capitalised pairs of products and methods.
 NOT_NAMES = frozenset(
@@ -151,16 +167,16 @@ def entities(text: str | None) -> list[Entity]:
                 continue
             found.append(Entity(m.start(), m.end(), "email"))
     low = text.lower()
-    if any(x in low for x in ("at]", "at)", "at}", " at ", "arroba", "골뱅이")):
+    if any(x in low for x in ("at]", "at)", "at}", "<at>", "arroba", "골뱅이")) or ("dot" in low or "punto" in low) and (" at " in low or " chez " in low):
         for m in SPELT.finditer(text):
             spelt = re.sub(r"\s*[\[({<]?(?:dot|punto|point|punkt|점)[\])}>]?\s*", ".", m[0], flags=re.I)
-            if ("dot" in m[0].lower() or re.search(r"[\[({]at[\])}]", m[0], re.I) or "punto" in m[0]) and TLD.search(spelt.strip()):
+            if ("dot" in m[0].lower() or re.search(r"[\[({<]at[\])}>]", m[0], re.I) or "punto" in m[0] or "arroba" in m[0] or "골뱅이" in m[0]) and TLD.search(spelt.strip()):
                 found.append(Entity(m.start(), m.end(), "email"))
     digits = any(c in "0123456789" for c in text)
     if digits:
         _numbers(text, found)
         for pattern, gate in zip(ADDRESS, ADDRESS_GATES):
-            if gate is None or gate.search(text):
+            if gate(text):
                 found += [Entity(m.start(), m.end(), "street_address") for m in pattern.finditer(text)]
     _names(text, found)
     order = {"email": 0, "street_address": 1, "identity_number": 2, "phone": 3, "name": 4}
@@ -180,12 +196,15 @@ def _numbers(text: str, found: list[Entity]) -> None:
 
     taken: list[tuple[int, int]] = []
     low = text.lower()
-    stated = any(w in low for w in ID_HINTS)
-    for pattern, free in ((RRN, True), *(((SSN, False), (NINO, False), (DNI, False), (NIR, False), (PASSPORT, False), (TAXID, False)) if stated else ())):
+    long = LONG_NUMBER.search(text)
+    stated = (long or ID_NUMBER.search(text)) and any(w in low for w in ID_HINTS)
+    for pattern, free in (*(((RRN, True),) if long else ()), *(((SSN, False), (NINO, False), (DNI, False), (NIR, False), (PASSPORT, False), (TAXID, False)) if stated else ())):
         for m in pattern.finditer(text):
             if (free or named(m.start())) and not any(a < m.end() and m.start() < b for a, b in taken):
                 taken.append(m.span())
                 found.append(Entity(m.start(), m.end(), "identity_number"))
+    if not long:
+        return
     for m in PHONE.finditer(text):
         before = text[max(0, m.start() - 40) : m.start()].rsplit("\n", 1)[-1]
         if any(a < m.end() and m.start() < b for a, b in taken) or NOT_PHONE.search(before):
