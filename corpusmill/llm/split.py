@@ -211,3 +211,11 @@ def p4_pieces(docs: DataFrame, triples: DataFrame, limit: int = 6000, target_lim
 
 def p4_found(docs: DataFrame, triples: DataFrame) -> DataFrame:
     return p4_pieces(docs, triples).where(F.col("piece_no") == 0).select("tbl", "rec_id")
+
+
+def p4_rejoined(docs: DataFrame, triples: DataFrame, overlap: int = 200) -> DataFrame:
+    """(tbl, rec_id, within, text_md5): whether all pieces of an item are within the limit, and the digest of its pieces put together again without what they repeat."""
+    own = F.when(F.col("piece_no") == 0, F.col("text")).otherwise(F.expr(f"substring(text, {overlap} + 1)"))
+    parts = p4_pieces(docs, triples, overlap=overlap).select("tbl", "rec_id", "piece_no", F.length("text").alias("n"), own.alias("own"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece_no", "own"))), lambda x: x["own"]), "")
+    return parts.groupBy("tbl", "rec_id").agg((F.max("n") <= F.when(F.col("tbl") == "source_docs", 6000).otherwise(2000)).alias("within"), F.md5(whole).alias("text_md5"))

@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from corpusmill.runtime import map_columns
 
@@ -218,8 +219,13 @@ def encode_batch(texts: list[str | None], path: str = DEFAULT_VOCABULARY, offset
     return out, spans
 
 
+@lru_cache(2)
+def _bytes_of(path: str) -> dict[int, bytes]:
+    return {v: k for k, v in merger(path).ranks.items()}
+
+
 def decode(ids: list[int], path: str = DEFAULT_VOCABULARY) -> str:
-    back = {v: k for k, v in merger(path).ranks.items()}
+    back = _bytes_of(path)
     return b"".join(back[i] for i in ids).decode("utf-8", "replace")
 
 
@@ -256,3 +262,14 @@ def encode(df: DataFrame, id_col: str, text_col: str, path: str = DEFAULT_VOCABU
 
 def p8_ids(documents: DataFrame, path: str = DEFAULT_VOCABULARY) -> DataFrame:
     return encode(documents, "doc_id", "text", path).withColumnRenamed("id", "doc_id")
+
+
+def p8_pieces(documents: DataFrame, path: str = DEFAULT_VOCABULARY) -> DataFrame:
+    """(doc_id, spans): where each pre-token begins in the text and how many ids it has."""
+    return encode(documents, "doc_id", "text", path, offsets=True).select(F.col("id").alias("doc_id"), "spans")
+
+
+def p8_decoded(documents: DataFrame, path: str = DEFAULT_VOCABULARY) -> DataFrame:
+    """(doc_id, text_md5): digest of each text put together again from its ids; null and empty texts have none, which read as empty text."""
+    back = map_columns(p8_ids(documents, path), ["doc_id", "ids"], lambda docs, ids: {"doc_id": docs, "text": [decode(i, path) for i in ids]}, "doc_id bigint, text string")
+    return back.select("doc_id", F.md5("text").alias("text_md5"))
