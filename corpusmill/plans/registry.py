@@ -94,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "policy_records": lambda s, d: jsonl.records(_json_lines(s, d), list(chat.TRIPLE), jsonl.POLICIES["unique_merge"]).select("line_no", *chat.TRIPLE),
         **{f"policy_{name}": lambda s, d, name=name: _policy(s, d, name) for name in jsonl.POLICIES},
         "jsonl_roundtrip": lambda s, d: _jsonl_roundtrip(s, d),
+        "ascii_lines": lambda s, d: _ascii_lines(s, d),
         "table_roundtrip": lambda s, d: _table_roundtrip(s, d),
         "batch_roundtrip": lambda s, d: _batch_roundtrip(s, d),
         "log_roundtrip": lambda s, d: _log_roundtrip(s, d),
@@ -183,6 +184,15 @@ def _jsonl_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return jsonl.records(jsonl.lines(spark, path).withColumn("line_no", F.get_json_object("value", "$.triple_id").cast("long")), list(chat.TRIPLE), jsonl.POLICIES["long_fim"]).select("line_no", *chat.TRIPLE)
 
 
+def _ascii_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Chat turns written in ASCII only and read again."""
+    path = scratch(spark, "ascii")
+    sinks.write_jsonl(chat.turns(_chats(spark, d), "record_id"), path, ascii_only=True)
+    line = spark.read.text(path)
+    read = F.from_json("value", "record_id bigint, turn int, role string, content string")
+    return line.select((~F.col("value").rlike("[^\\x00-\\x7F]")).alias("is_ascii"), read.alias("r")).select("is_ascii", "r.*")
+
+
 def _table_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Two appends of orders, with an internal id that isn't written and not-a-number in place of every fifth price."""
     path = scratch(spark, "table")
@@ -389,6 +399,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT p AS doc_id, 'rules' AS removed_by, NULL::DOUBLE AS cyclomatic_complexity FROM c WHERE broken UNION ALL SELECT p, 'outlier', cc FROM c WHERE NOT broken AND cc >= 7""",
         **{f"policy_{name}": _policy_sql(name) for name in jsonl.POLICIES},
         "jsonl_roundtrip": "SELECT triple_id AS line_no, prefix_code, target_code, suffix_code FROM fim_triples",
+        "ascii_lines": f"WITH t AS ({turns}) SELECT true AS is_ascii, record_id, turn, m.role AS role, m.content AS content FROM t",
         "table_roundtrip": "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_totalprice END AS price FROM orders",
         "batch_roundtrip": "SELECT file_id, (file_id % 3)::INT AS batch_no FROM source_docs WHERE file_id % 3 < 2",
         "log_roundtrip": f"SELECT DISTINCT {_strip('doc_id')} AS id FROM chat_records WHERE {_strip('doc_id')} <> ''",

@@ -6,16 +6,30 @@ records and ids are read only once the batch's commit mark, written after both,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.sources.jsonl import existing
 
 
-def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", single_order: str | None = None) -> None:
-    """JSON lines with nulls kept. ``single_order`` sorts rows by range before the write, so that files follow the order."""
+def ascii_json(line: Column) -> Column:
+    """A JSON text with every character beyond ASCII as ``\\uXXXX``, those beyond sixteen bits as two of them."""
+    units = F.hex(F.encode(line, "UTF-16BE"))
+    unit = lambda i: F.substring(units, i * 4 + 1, F.lit(4))
+    shown = lambda u: F.when(u < "0080", F.chr(F.conv(u, 16, 10).cast("int"))).otherwise(F.concat(F.lit("\\u"), F.lower(u)))
+    escaped = F.array_join(F.transform(F.sequence(F.lit(0), (F.length(units) / 4).cast("int") - 1), lambda i: shown(unit(i))), "")
+    return F.when(line.rlike("[^\\x00-\\x7F]"), escaped).otherwise(line)
+
+
+def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", single_order: str | None = None, ascii_only: bool = False) -> None:
+    """JSON lines with nulls kept. ``single_order`` sorts rows by range before the write, so that files follow the order; ``ascii_only``
+    escapes all other characters."""
     out = df.repartitionByRange(single_order).sortWithinPartitions(single_order) if single_order else df
+    if ascii_only:
+        line = F.to_json(F.struct(*out.columns), {"ignoreNullFields": "false"})
+        out.select(ascii_json(line).alias("value")).write.mode(mode).text(path)
+        return
     out.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 

@@ -7,6 +7,9 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from corpusmill.operators import instruct, quality, synth
+from corpusmill.operators.joins import anti_join_in_place, hot_keys, skew_safe_join
+from corpusmill.runtime import shared_dir, table
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test data here")
@@ -54,7 +57,50 @@ def test_the_newest_rows_are_a_top_k(spark):
     assert "TakeOrderedAndProject" in plan(contract.queries()["newest_unprocessed"](spark, str(DATA)))
 
 
-@pytest.mark.parametrize("name", ["dedup_content", "merge_unique"])
-def test_copies_combine_before_the_shuffle(spark, name):
-    text = plan(contract.queries()[name](spark, str(DATA)))
-    assert text.count("HashAggregate") >= 2 and "Window" not in text
+def exchanged(text):
+    """Columns that go through a shuffle or broadcast."""
+    blocks = text.split("\n\n")
+    return " ".join(b.split("Input [", 1)[1].split("\n")[0] for b in blocks if "Exchange\n" in b + "\n" and "Input [" in b)
+
+
+def test_texts_of_rows_that_stay_are_never_exchanged(spark):
+    docs = table(spark, str(DATA), "source_docs").select("file_id", "repo", "content")
+    assert "content" not in exchanged(plan(quality.first_of_each(quality.drop_empty(docs), ["content"], "file_id")))
+    done = table(spark, str(DATA), "chat_records").select("doc_id")
+    assert "content" not in exchanged(plan(instruct.unprocessed(docs, done, "file_id")))
+    assert "part" in exchanged(plan(instruct.unprocessed(docs, done, "file_id")))
+
+
+def test_few_draws_leave_the_texts_where_they_are(spark):
+    docs = table(spark, str(DATA), "source_docs").select("file_id", "content")
+    people = spark.createDataFrame([({"role_context": "r"},)], "persona map<string,string>")
+    text = plan(synth.persona_pairs(docs, people, 10, "file_id"))
+    assert "BroadcastHashJoin" in text and "content" not in exchanged(text) and "lines" not in exchanged(text)
+
+
+def test_anti_join_in_place_equals_the_plain_one(frame):
+    rows = frame([(i, f"text {i}") for i in range(500)] + [(None, "none")], "k int, t string")
+    for gone in ([], [3], list(range(0, 500, 3)), list(range(500)), [None, 7, 7]):
+        removed = frame([(g,) for g in gone], "k int")
+        got = anti_join_in_place(rows, removed, "k")
+        assert got.columns == rows.columns and sorted(r.k or -1 for r in got.collect()) == sorted(k or -1 for k in [*range(500), None] if k is None or k not in gone)
+
+
+def test_skewed_join_equals_the_plain_one(frame):
+    many = frame([(1 if i % 3 else i, i) for i in range(3000)] + [(None, -1)], "k int, n int")
+    few = frame([(k, k * 10) for k in range(0, 3000, 2)] + [(1, 10)], "k int, v int")
+    assert hot_keys(many, "k") == [1]
+    assert sorted(map(tuple, skew_safe_join(many, few, "k").collect())) == sorted(map(tuple, many.join(few, "k").collect()))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+        getConf = lambda self: {}
+        getCheckpointDir = lambda self: None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(Session())

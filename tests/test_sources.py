@@ -94,3 +94,10 @@ def test_selectors():
     assert texts("#a > p") == ["1"] and texts("#a p") == ["1", "2", "3"] and texts("div.y > p:nth-child(2)") == ["3"] and texts("p") == ["1", "2", "3", "4"]
     assert texts("div.x.y > .y #q") == ["2"] and texts("#none p") == [] and texts("p:nth-child(9)") == []
     assert html.cell_table(PAGE, "#none") == [] and html.header_table(PAGE, "table > tbody") == html.header_table(PAGE)
+
+
+def test_ascii_lines_equal_pythons(frame, spark, tmp_path):
+    texts = ["plain", "é\u2028한", "😀 x", "", None, "\\u00e9 \"q\"\n"]
+    sinks.write_jsonl(frame([(i, t) for i, t in enumerate(texts)], "i int, t string"), str(tmp_path / "a"), ascii_only=True)
+    got = sorted(r.value for r in spark.read.text(str(tmp_path / "a")).collect())
+    assert got == sorted(json.dumps({"i": i, "t": t}, separators=(",", ":")) for i, t in enumerate(texts))
