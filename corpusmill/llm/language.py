@@ -6,7 +6,7 @@ import re
 
 # Frequent function words of the Latin-script languages.
 FUNCTION_WORDS = {
-    "en": "the a an is are was were be been to of and or in on at by for with from that this it its as if than then so not no do does did has have had will would can could should must may might when while which who what how why we you they he she i my your our their there here only every each both all any some same into over under after before because since until yet but out up down off once more less most please make sure one two nobody nothing anymore per",
+    "en": "the a an is are was were be been to of and or in on at by for with from that this it its as if than then so not no do does did has have had will would can could should must may might when while which who what how why we you they he she i my your our their there here only every each both all any some same into over under after before because since until yet but out up down off once more less most please make sure one two nobody nothing anymore per copyright contributors licensed",
     "de": "der die das den dem des ein eine einen einem einer und oder nicht kein keine ist sind war wird werden wurde hat haben darf dürfen muss müssen kann können soll sollte man nur wenn falls dass damit bis zum zur mit von vom für auf aus bei nach vor über unter ohne diese dieser dieses diesen hier danach noch einmal mehr als genug bitte achtung leider seit wir sie es ich sich erst wirklich etwa stattdessen vorher niemand automatisch gibt wie warum",
     "es": "el la los las un una unos unas y o no ni es son era está están ha han hay que de del al en con por para sin sobre entre si se su sus lo le les cuando como más menos muy ya esta este estos aquí antes después cada vez primero siempre desde hasta hacia donde porque debe deben puede pueden todo todos toda otra otro usa unos cómo qué olvides",
     "fr": "le la les un une des du de et ou ne pas plus est sont était être a ont il elle on nous vous que qui quand si ce cette ces dans sur sous avec sans pour par au aux en se son sa ses afin puis avant après toujours même bien déjà depuis dernière tout toute tous pouvoir faut peut doit attention ici environ malheureusement d'abord comme où l d n qu c s j",

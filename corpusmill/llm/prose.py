@@ -131,6 +131,19 @@ def spans(source: str) -> list[str]:
     return [s for s in out if len(s) >= 10 and (len(s.split(None, 5)) >= 5 or EAST.search(s))]
 
 
+def _by_language(part: str) -> list[str]:
+    """Lines without a full stop are one sentence that goes on, unless their languages differ: then each run of one language is one."""
+    runs: list[tuple[str | None, list[str]]] = []
+    for line in part.split("\n"):
+        long = len(line.split(None, 5)) >= 5 or len(EAST.findall(line)) >= 10
+        lang = language(line) if long else None
+        if runs and (lang is None or runs[-1][0] is None or lang == runs[-1][0]):
+            runs[-1] = (runs[-1][0] or lang, [*runs[-1][1], line])
+        else:
+            runs.append((lang, [line]))
+    return ["\n".join(lines) for _, lines in runs]
+
+
 def sentences(span: str) -> dict[str, int]:
     """Characters of sentences by language: five words at least, in ja and zh ten characters."""
     found: dict[str, int] = {}
@@ -138,7 +151,10 @@ def sentences(span: str) -> dict[str, int]:
         return found
     if "\n" in span and ("=" in span or "(" in span):  # commented-out code between lines of prose
         span = "\n".join("" if ASSIGNMENT.match(x) else x for x in span.split("\n"))
-    for part in ENDERS.split(span):
+    parts = ENDERS.split(span)
+    if "\n" in span:
+        parts = [p for part in parts for p in (_by_language(part) if "\n" in part else (part,))]
+    for part in parts:
         s = LABEL.sub("", " ".join(x.strip().lstrip("#*>|/ ").strip() for x in part.split("\n")) if "\n" in part else part.strip().lstrip("#*>|/ ")).strip()
         if len(s) < 10:
             continue

@@ -166,3 +166,8 @@ def test_pairs_of_odd_rows(frame):
     df = frame([(1, "a.py", FUNCTIONS, 3), (1, "a.py", FUNCTIONS.replace("\n", "\r\n"), 3), (2, "a.txt", FUNCTIONS, 3), (3, "a.py", None, 3), (4, "a.py", "def f(", 3)], "file_id long, file_path string, content string, def_line int")
     assert sorted(tuple(r) for r in F.p7_found(df).collect()) == sorted([(1, line) for _, line, _, _ in F.pairs(FUNCTIONS)] * 2)
     assert F.p7_found(df.limit(0)).count() == 0
+
+
+def test_lines_of_different_languages_are_different_sentences():
+    assert set(P.sentences("<<<<<<< is the mark of an open merge\nAchtung, das Verzeichnis darf nicht mehr als 361 Zeilen enthalten.\n=======")) == {"en", "de"}
+    assert P.sentences("Keep the order of the rows because\nthe index depends on it") == {"en": len("Keep the order of the rows because the index depends on it")}
