@@ -20,7 +20,7 @@ SUFFIX_LINES = 3
 CHUNK_LINES = 30
 CHUNKS_PER_FILE = 5
 CONTEXT_LINES = 3
-#: A line that opens a definition: its colon has to be on the same line; ``async def`` doesn't count.
+# Fixed value: a line that opens a definition; its colon has to be on the same line; ``async def`` doesn't count.
 DEFINITION = re.compile(r"^\s*(?:def|class)\s+\w+\s*\(?.*\)?:")
 
 

@@ -235,6 +235,8 @@ def _structure(corpus: DataFrame) -> DataFrame:
         names("function_definitions").alias("functions"),
         names("class_definitions").alias("classes"),
         F.array_join("imports", ",").alias("imports"),
+        F.array_join(F.transform("function_definitions", lambda x: F.concat_ws("-", x["lineno"].cast("string"), x["end_lineno"].cast("string"), x["has_docstring"].cast("string"))), ",").alias("function_lines"),
+        F.array_join(F.transform("class_definitions", lambda x: F.concat_ws("-", x["lineno"].cast("string"), x["end_lineno"].cast("string"), F.array_join(x["bases"], "+", "?"), x["has_docstring"].cast("string"))), ",").alias("class_lines"),
         "has_module_docstring",
         "cyclomatic_complexity",
         F.col("is_syntax_error"),
@@ -414,8 +416,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT p AS doc_id, CASE WHEN broken THEN '' ELSE array_to_string(list_concat(list_transform(range(0, len(funs)), lambda i: 'f' || i || '_' || p), list_transform(klass, lambda x: 'm')), ',') END AS functions,
                    CASE WHEN broken THEN '' ELSE array_to_string(list_transform(klass, lambda x: 'C' || p), ',') END AS classes,
                    CASE WHEN broken THEN '' ELSE array_to_string(list_slice(['os', 'sys', 'math.sqrt', 'json'], 1, len(imports)), ',') END AS imports,
+                   CASE WHEN broken THEN '' ELSE array_to_string(list_concat(list_transform(range(0, len(funs)), lambda i: (top + 4 * i + 1) || '-' || (top + 4 * i + 4) || '-false'), list_transform(klass, lambda x: (top + 4 * len(funs) + 4) || '-' || (top + 4 * len(funs) + 5) || '-false')), ',') END AS function_lines,
+                   CASE WHEN broken THEN '' ELSE array_to_string(list_transform(klass, lambda x: (top + 4 * len(funs) + 1) || '-' || (top + 4 * len(funs) + 5) || '-Base-true'), ',') END AS class_lines,
                    false AS has_module_docstring, (CASE WHEN broken THEN 0.0 ELSE 2.0 * len(funs) + len(klass) END)::DOUBLE AS cyclomatic_complexity, broken AS is_syntax_error
-            FROM corpus""",
+            FROM (SELECT *, len(imports) + CASE WHEN header = '' THEN 0 ELSE 1 END AS top FROM corpus)""",
         "valid_python": f"WITH {corpus} SELECT p AS doc_id, NOT broken AS is_valid FROM corpus",
         "short_fim": f"""
             WITH {corpus}, parts AS (SELECT *, unnest(range(0, len(stmts)))::INT AS idx FROM corpus WHERE NOT broken),
