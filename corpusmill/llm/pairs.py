@@ -265,19 +265,32 @@ def features(question: str | None, answer: str | None, there: bool) -> list[int]
     return sorted(out)
 
 
-def margins(weights: np.ndarray, rows: list[list[int]]) -> np.ndarray:
-    """Sums of the rows' active weights; n-grams weigh together no more than a few pair features."""
-    if not rows:
-        return np.zeros((0, weights.shape[1]), np.float32)
-    flat = np.fromiter((i for r in rows for i in r), np.int64)
-    starts = np.cumsum([0, *(len(r) for r in rows[:-1])])
-    return np.add.reduceat(weights[flat] * scales(rows, flat)[:, None], starts, axis=0)
-
-
-def scales(rows: list[list[int]], flat: np.ndarray) -> np.ndarray:
-    """1 for pair features; n-grams of a row share a length of one."""
-    size = np.repeat([max(1, sum(i >= DENSE for i in r)) for r in rows], [len(r) for r in rows])
-    return np.where(flat < DENSE, 1.0, 1.0 / np.sqrt(size)).astype(np.float32)
+class Rows:
+    """Rows of features one behind the other, with their weights: 1 for pair features; the n-grams of a row share a length of one, so that
+    they weigh together no more than a few pair features."""
+
+    def __init__(self, rows: list[list[int]]) -> None:
+        self.sizes = np.array([len(r) for r in rows], np.int64)
+        self.ends = np.cumsum(self.sizes)
+        self.flat = np.concatenate([np.array(r, np.int64) for r in rows]) if rows else np.array([], np.int64)
+        grams = self.flat >= DENSE
+        length = np.repeat(np.add.reduceat(grams, self.ends - self.sizes).clip(1), self.sizes) if rows else np.array([], np.int64)
+        self.scale = np.where(grams, 1.0 / np.sqrt(length), 1.0).astype(np.float32)
+
+    def margins(self, weights: np.ndarray) -> np.ndarray:
+        """Sums of the rows' weighted weights."""
+        if not len(self.sizes):
+            return np.zeros((0, weights.shape[1]), np.float32)
+        return np.add.reduceat(weights[self.flat] * self.scale[:, None], self.ends - self.sizes, axis=0)
+
+    def take(self, at: np.ndarray) -> Rows:
+        """Some of the rows."""
+        out = object.__new__(Rows)
+        out.sizes = self.sizes[at]
+        out.ends = np.cumsum(out.sizes)
+        where = np.repeat(self.ends[at] - out.ends, out.sizes) + np.arange(out.sizes.sum())
+        out.flat, out.scale = self.flat[where], self.scale[where]
+        return out
 
 
 # ---------------------------------------------------------------------------------------------------------------- training
@@ -327,7 +340,7 @@ class Classifier:
         self.weights, self.thresholds = weights, thresholds
 
     def excess(self, rows: list[list[int]]) -> np.ndarray:
-        return margins(self.weights, rows) - self.thresholds
+        return Rows(rows).margins(self.weights) - self.thresholds
 
     def defects(self, rows: list[list[int]]) -> list[str | None]:
         """The defect of each row of features, or None."""
@@ -380,19 +393,19 @@ def fixed_records() -> list[tuple[int, list[dict]]]:
     return out
 
 
-def _descend(rows: list[list[int]], y: np.ndarray, epochs: int = 8, batch: int = 512, rate: float = 0.3, l2: float = 1e-5) -> np.ndarray:
+def _descend(rows: Rows, y: np.ndarray, epochs: int = 8, batch: int = 512, rate: float = 0.3, l2: float = 1e-5) -> np.ndarray:
     """Adagrad on the logistic loss over batches in a fixed order."""
     weights = np.zeros((BUCKETS, len(DEFECTS)), np.float32)
     squares = np.full_like(weights, 1e-4)
     for epoch in range(epochs):
-        order = _rng("epoch", epoch).permutation(len(rows))
+        order = _rng("epoch", epoch).permutation(len(rows.sizes))
         for at in range(0, len(order), batch):
-            part = [rows[i] for i in order[at : at + batch]]
-            flat = np.fromiter((i for r in part for i in r), np.int64)
-            slope = 1 / (1 + np.exp(-np.clip(margins(weights, part), -30, 30))) - y[order[at : at + batch]]
-            each = np.repeat(slope, [len(r) for r in part], axis=0) * scales(part, flat)[:, None]
-            touched, where = np.unique(flat, return_inverse=True)
-            step = np.stack([np.bincount(where, each[:, k], len(touched)) for k in range(len(DEFECTS))], 1) / len(part) + l2 * weights[touched]
+            part = rows.take(order[at : at + batch])
+            slope = 1 / (1 + np.exp(-np.clip(part.margins(weights), -30, 30))) - y[order[at : at + batch]]
+            each = np.repeat(slope, part.sizes, axis=0) * part.scale[:, None]
+            seen = np.bincount(part.flat, minlength=BUCKETS)
+            touched = np.flatnonzero(seen)
+            step = np.stack([np.bincount(part.flat, each[:, k], BUCKETS)[touched] for k in range(len(DEFECTS))], 1) / len(slope) + l2 * weights[touched]
             squares[touched] += step * step
             weights[touched] -= rate * step / np.sqrt(squares[touched])
     return weights
@@ -404,14 +417,14 @@ def fit(sample: list[Example]) -> Classifier:
     for i, (_, k, _) in enumerate(sample):
         if k >= 0:
             y[i, k] = 1
-    rows = [x for x, _, _ in sample]
+    rows = Rows([x for x, _, _ in sample])
     held = np.array([h for _, _, h in sample], bool)
     natural = np.array([k < 0 for _, k, _ in sample], bool)
     keep = np.ones(len(sample), bool)
     for _ in range(2):
         learn = np.flatnonzero(keep & ~held)
-        weights = _descend([rows[i] for i in learn], y[learn])
-        score = margins(weights, rows)
+        weights = _descend(rows.take(learn), y[learn])
+        score = rows.margins(weights)
         keep = ~(natural & (score > 0).any(1))
     thresholds = []
     for k in range(len(DEFECTS)):

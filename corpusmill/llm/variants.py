@@ -248,8 +248,8 @@ def groups(keys: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """
     one = F.lit(1).cast("long").alias("n")
     by_raw = materialize(radix_count(keys.select(F.col("raw").alias("k"), one, F.col("id").alias("least")), bucket_rows).withColumnRenamed("k", "raw"), "rawkeys")
-    pairs = keys.where(F.col("ord").isNotNull()).select("raw", "ord").distinct()
-    pairs = materialize(pairs.join(by_raw.select("raw", F.col("least").alias("v")), "raw").select("ord", "v"), "pairs")
+    forms = materialize(keys.where(F.col("ord").isNotNull()).select("raw", "ord").distinct(), "forms")
+    pairs = materialize(skew_safe_join(forms, by_raw.select("raw", F.col("least").alias("v")), "raw").select("ord", "v"), "pairs")
     stars = radix_count(pairs.select(F.col("ord").alias("k"), one, F.col("v").alias("least")), bucket_rows).where("n > 1")
     stars = materialize(stars.select(F.col("k").alias("ord"), F.col("least").alias("root")), "stars")
     links = skew_safe_join(pairs, stars, "ord").where("v <> root").select("v", "root")
