@@ -449,8 +449,8 @@ def surrogate(secret: bytes, kind: str, value: str, salt: int = 0, width: int =
     return new
 
 
-def exceptions(documents: DataFrame, secret: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[int, dict[tuple[str, str], int]]:
-    """(width, salts): how many syllables more than usual the corpus needs, and the entities whose first value is another one's.
+def exceptions(mentions: DataFrame, secret: str) -> tuple[int, dict[tuple[str, str], int]]:
+    """(width, salts) of the ``mentions`` (kind, entity) of a corpus: how many syllables more than usual the corpus needs, and the entities whose first value is another one's.
 
     Distinct entities and the values they would get are counted in the cluster; only those that meet, at most ``MOST_EXCEPTIONS`` and a
     twentieth of all, come to the driver. More of them mean that the space is too small for the corpus: names grow by a syllable.
@@ -463,7 +463,7 @@ def exceptions(documents: DataFrame, secret: str, id_col: str = "doc_id", text_c
 
     schema = "kind string, entity string, salt int, value string"
     drawn = F.col("kind").isin(*(k for k in KINDS if k not in PERMUTED))
-    distinct = materialize(find(documents, id_col, text_col).where(drawn).select("kind", "entity").distinct(), "entities")
+    distinct = materialize(mentions.where(drawn).select("kind", "entity").distinct(), "entities")
     most = min(MOST_EXCEPTIONS, distinct.count() // 20 + 20)
     width = 0
     while True:
@@ -482,15 +482,16 @@ def exceptions(documents: DataFrame, secret: str, id_col: str = "doc_id", text_c
             salts |= {(r.kind, r.entity): r.salt + 1 for r in met}
 
 
-def replace(text: str | None, secret: bytes, mode: str = "placeholder", width: int = 0, salts: dict[tuple[str, str], int] | None = None) -> str | None:
+def replace(text: str | None, secret: bytes, mode: str = "placeholder", width: int = 0, salts: dict[tuple[str, str], int] | None = None, found: list[Entity] | None = None) -> str | None:
     """The text with its entities replaced. With the ``width`` and ``salts`` of ``exceptions`` different originals of a corpus never
-    share a surrogate, and mentions of the same one do; without them this holds within the text."""
+    share a surrogate, and mentions of the same one do; without them this holds within the text. ``found`` are its entities where they
+    are known."""
     if not text:
         return text
     taken = dict(salts or {})
     owner: dict[tuple[str, str], str] = {}
     out, at = [], 0
-    for e in entities(text):
+    for e in entities(text) if found is None else found:
         value = text[e.start : e.end]
         who = normal(e.kind, value)
         if mode == "placeholder":
@@ -521,29 +522,47 @@ def find(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return map_columns(documents.where(F.col(text_col).isNotNull()), [id_col, text_col], batch, "id bigint, kind string, start int, end int, entity string")
 
 
+MARKED = "id bigint, text string, mentions array<struct<start:int,end:int,kind:string,entity:string>>"
+
+
+def marked(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, mentions) of every row; map-only."""
+
+    def batch(ids, texts):
+        found = [[{"start": e.start, "end": e.end, "kind": e.kind, "entity": normal(e.kind, t[e.start : e.end])} for e in entities(t)] for t in texts]
+        return {"id": ids, "text": texts, "mentions": found}
+
+    return map_columns(documents, [id_col, text_col], batch, MARKED)
+
+
 def replaced(documents: DataFrame, secret: str, id_col: str = "doc_id", text_col: str = "text", mode: str = "placeholder") -> DataFrame:
-    """(id, text) of every row with its entities replaced under the key ``secret``; texts never move."""
+    """(id, text) of every row with its entities replaced under the key ``secret``; texts never move. For surrogates the texts are written
+    with their mentions first, so that they are searched once."""
     key = secret.encode()
-    width, salts = exceptions(documents, secret, id_col, text_col) if mode == "surrogate" else (0, {})
+    if mode == "placeholder":
+        return map_columns(documents, [id_col, text_col], lambda ids, texts: {"id": ids, "text": [replace(t, key) for t in texts]}, "id bigint, text string")
+    rows = materialize(marked(documents, id_col, text_col), "marked")
+    width, salts = exceptions(rows.select(F.inline("mentions")), secret)
     shared = documents.sparkSession.sparkContext.broadcast(salts)  # at most ``MOST_EXCEPTIONS``
 
-    def batch(ids, texts):
-        return {"id": ids, "text": [replace(t, key, mode, width, shared.value) for t in texts]}
+    def batch(ids, texts, mentions):
+        known = [[Entity(m["start"], m["end"], m["kind"]) for m in ms] for ms in mentions]
+        return {"id": ids, "text": [replace(t, key, mode, width, shared.value, found) for t, found in zip(texts, known)]}
 
-    return map_columns(documents, [id_col, text_col], batch, "id bigint, text string")
+    return map_columns(rows, ["id", "text", "mentions"], batch, "id bigint, text string")
 
 
 def collisions(documents: DataFrame, secret: str) -> DataFrame:
     """(kind, surrogate, n): surrogates that different originals of the corpus share, an aggregate over distinct entities: empty, as
     numbers are permuted and all others are checked."""
     key = secret.encode()
-    width, salts = exceptions(documents, secret)
+    distinct = materialize(find(documents).select("kind", "entity").distinct(), "mentioned")
+    width, salts = exceptions(distinct, secret)
     shared = documents.sparkSession.sparkContext.broadcast(salts)
 
     def batch(kinds, values):
         return {"kind": kinds, "surrogate": [normal(k, surrogate(key, k, v, shared.value.get((k, v), 0), width)) for k, v in zip(kinds, values)]}
 
-    distinct = find(documents).select("kind", "entity").distinct()
     return map_columns(distinct, ["kind", "entity"], batch, "kind string, surrogate string").groupBy("kind", "surrogate").agg(F.count("*").alias("n")).where("n > 1")
 
 
