@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import pyast, textfn
 from corpusmill.operators import chat, fim, instruct, outliers, quality, synth
 from corpusmill.plans import rendered
-from corpusmill.runtime import scratch, table
+from corpusmill.runtime import materialize, scratch, table
 from corpusmill.sources import html, jsonl, sinks
 
 SEED = 42
@@ -130,7 +130,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def _labelled_features(df: DataFrame, key: str) -> DataFrame:
     """The pipeline's four features of well labelled rows, rounded so that any engine has the same numbers."""
-    return quality.good(quality.labelled(df, key).withColumn("removed_by", F.lit(None))).select(key, *(F.round(F.col(f).cast("double"), 6).alias(f) for f in quality.FEATURES))
+    rows = quality.labelled(df, key).where("label = 1").select(key, *(F.round(F.col(f).cast("double"), 6).alias(f) for f in quality.FEATURES))
+    return materialize(rows, "features")  # the outlier filters read them several times
 
 
 def _bad_union(spark: SparkSession, d: str) -> DataFrame:
